@@ -18,6 +18,7 @@ UINT64_MAX = 18446744073709551615
 INT32_MAX = 2147483647
 DOUBLE_TINY = 2.2250738585072014e-308
 BOM = "\ufeff"
+BLANKS = " \t\r\n"
 
 COUNT_TYPE = "decimal(20,0)"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exprspark.functions.text import after, before, plain_path
+from exprspark.functions.text import BLANKS, after, before, plain_path
 from exprspark.sources.tsv import read_table
 
 
@@ -32,7 +32,7 @@ def read_provenance(spark: SparkSession, path: str) -> DataFrame:
 
 def read_resource_logs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``key: value`` lines as ``(source, key, value)``; other lines are left out."""
-    text = F.trim("value")
+    text = F.trim("value", F.lit(BLANKS))
     return (
         spark.read.text(paths)
         .filter(text.contains(": "))

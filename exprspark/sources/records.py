@@ -16,7 +16,7 @@ from exprspark.functions.sequence import (
     is_spliced,
     tag_values,
 )
-from exprspark.functions.text import accession, after, before, title_condition, title_count_column
+from exprspark.functions.text import BLANKS, accession, after, before, title_condition, title_count_column
 from exprspark.sources.lines import carry_forward, numbered_lines, raw_lines
 
 
@@ -74,7 +74,7 @@ def fasta_lengths(fasta: DataFrame) -> DataFrame:
     """Sections and bases per accession."""
     return fasta.groupBy("accession").agg(
         F.count_if("is_header").alias("sections"),
-        F.sum(F.when(~F.col("is_header"), F.length(F.trim("text"))).otherwise(0)).alias("bases"),
+        F.sum(F.when(~F.col("is_header"), F.length(F.trim("text", F.lit(BLANKS)))).otherwise(0)).alias("bases"),
     )
 
 
