@@ -87,7 +87,7 @@ def compare_results(a: DataFrame, b: DataFrame, alpha: float = 0.05) -> DataFram
     )
     median = exact_quantiles(common.select(F.abs(F.col("a") - F.col("b")).alias("d")), "d", [0.5])
     overlap = set_overlap(significant_genes(a, alpha), significant_genes(b, alpha))
-    return base.withColumn("median_absolute_difference", median.scalar()).withColumns(
+    return base.withColumn("median_absolute_difference", median.select("quantile").scalar()).withColumns(
         {c: overlap.select(c).scalar() for c in ("n_a", "n_b", "n_both", "n_either", "jaccard")}
     )
 

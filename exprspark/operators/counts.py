@@ -57,14 +57,18 @@ def dense(matrix: DataFrame, sample_ids: list[str], universe: DataFrame | None =
 
 
 def pack(matrix: DataFrame, ordinals: DataFrame, value: str = "count") -> DataFrame:
-    """One row per gene with its values as an array in sample order.
+    """One row per gene ``(gene_id, y, strangers)`` with its values as an array in sample order.
 
-    An array is as long as the sample list, and a gene with a missing or doubled cell keeps another length,
-    which the model stage refuses.
+    An array is as long as the sample list. A gene with a missing or doubled cell has another length, and
+    cells of unlisted samples are counted as ``strangers``; the model stage refuses both.
     """
-    placed = matrix.join(ordinals.select("sample_id", "ordinal"), "sample_id")
-    cells = F.sort_array(F.collect_list(F.struct("ordinal", F.col(value).cast("double").alias("v"))))
-    return placed.groupBy("gene_id").agg(F.transform(cells, lambda c: c["v"]).alias("y"))
+    placed = matrix.join(ordinals.select("sample_id", "ordinal"), "sample_id", "left")
+    known = F.col("ordinal").isNotNull()
+    cell = F.when(known, F.struct("ordinal", F.col(value).cast("double").alias("v")))
+    cells = F.sort_array(F.collect_list(cell))
+    return placed.groupBy("gene_id").agg(
+        F.transform(cells, lambda c: c["v"]).alias("y"), F.count_if(~known).alias("strangers")
+    )
 
 
 def annotate(table: DataFrame, annotation: DataFrame) -> DataFrame:

@@ -33,16 +33,24 @@ def range_bounds(df: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE
 
 
 def ordered_counts(
-    df: DataFrame, value: str, by: list[str], rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame,
+    value: str,
+    by: list[str],
+    rows_per_range: int = ROWS_PER_RANGE,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Distinct non-NULL values per group as ``by + (value, n, upto, total, value_range)``.
 
     ``n`` rows share the value, ``upto`` rows are less or equal, ``total`` rows are in the group. The
-    distinct values are written once, so finding the ranges does not run the input a second time.
+    distinct values are written once, so finding the ranges does not run the input a second time. A caller
+    that knows no group exceeds ``at_most`` rows saves that step when the bound fits one range.
     """
     distinct = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    distinct = Workspace(df.sparkSession, "ordered").save(distinct, "distinct")
-    bounds = range_bounds(distinct, value, rows_per_range)
+    if at_most is not None and at_most <= rows_per_range:
+        bounds = []
+    else:
+        distinct = Workspace(df.sparkSession, "ordered").save(distinct, "distinct")
+        bounds = range_bounds(distinct, value, rows_per_range)
     if not bounds:
         group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
         running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
@@ -79,6 +87,7 @@ def adjust_p(
     by: list[str] | None = None,
     out: str = "padj",
     rows_per_range: int = ROWS_PER_RANGE,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Benjamini-Hochberg adjusted p-values within each group; NULL p-values stay out and stay NULL.
 
@@ -86,7 +95,7 @@ def adjust_p(
     work runs over distinct p-values and is joined back.
     """
     by = by or []
-    ranked = ordered_counts(df, p, by, rows_per_range)
+    ranked = ordered_counts(df, p, by, rows_per_range, at_most)
     ranked = ranked.withColumn("step", F.col("total") * F.col(p) / F.col("upto"))
     keys = [*by, "value_range"]
     inside = Window.partitionBy(*keys).orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
@@ -103,12 +112,12 @@ def adjust_p(
     return df.join(adjusted, [*by, p], "left")
 
 
-def rejections(df: DataFrame, p: str, by: list[str], alpha: float) -> DataFrame:
+def rejections(df: DataFrame, p: str, by: list[str], alpha: float, at_most: int | None = None) -> DataFrame:
     """How many rows per group an adjusted p-value below ``alpha`` would select.
 
     It is the last rank whose own ``total * p / rank`` lies below ``alpha``; no reverse scan is needed.
     """
-    ranked = ordered_counts(df, p, by)
+    ranked = ordered_counts(df, p, by, at_most=at_most)
     hit = F.col("total") * F.col(p) / F.col("upto") < alpha
     return ranked.groupBy(*by).agg(F.coalesce(F.max(F.when(hit, F.col("upto"))), F.lit(0)).alias("rejections"))
 
@@ -119,32 +128,35 @@ def exact_quantiles(
     probs: list[float],
     by: list[str] | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
+    at_most: int | None = None,
 ) -> DataFrame:
-    """Interpolated quantiles per group as one double column per probability, ``q0``, ``q1``, ...
+    """Interpolated quantiles per group as ``by + (level, quantile)``, one row per probability in order.
 
-    Only the one or two rows around each wanted position take part in the last aggregate.
+    Only the one or two distinct values around each wanted position take part in the last aggregate.
+    Groups known to be small use the built-in exact percentile.
     """
     by = by or []
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    if at_most is not None and at_most <= rows_per_range:
+        found = df.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), [float(p) for p in probs]).alias("q"))
+        return found.select(*by, F.posexplode("q").alias("level", "quantile"))
     ranked = ordered_counts(df, value, by, rows_per_range)
-    at = F.col("upto")
-    aggs = []
-    for i, prob in enumerate(probs):
-        position = F.lit(float(prob)) * (F.col("total") - 1)
-        low, high = F.floor(position), F.ceil(position)
-        # Zero-based positions upto - n .. upto - 1 hold this value.
-        has_low = (low >= at - F.col("n")) & (low < at)
-        has_high = (high >= at - F.col("n")) & (high < at)
-        weight = position - low
-        aggs.append(
-            (
-                F.max(F.when(has_low, F.col(value).cast("double"))),
-                F.max(F.when(has_high, F.col(value).cast("double"))),
-                F.max(F.when(has_low, weight)),
-                f"q{i}",
-            )
-        )
-    columns = [(lo + (hi - lo) * w).alias(name) for lo, hi, w, name in aggs]
-    return ranked.groupBy(*by).agg(*columns) if by else ranked.agg(*columns)
+    places = F.transform(
+        wanted, lambda p, i: F.struct(i.cast("int").alias("level"), (p * (F.col("total") - 1)).alias("place"))
+    )
+    # Zero-based positions upto - n .. upto - 1 hold this value.
+    first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
+
+    def covers(place: Column) -> Column:
+        return (F.floor(place) <= last) & (F.ceil(place) >= first)
+
+    near = ranked.withColumn("value", F.col(value).cast("double")).select(
+        *by, "value", first.alias("first"), last.alias("last"), F.inline(F.filter(places, lambda s: covers(s["place"])))
+    )
+    low = F.max(F.when(F.floor("place").between(F.col("first"), F.col("last")), F.col("value")))
+    high = F.max(F.when(F.ceil("place").between(F.col("first"), F.col("last")), F.col("value")))
+    weight = F.max(F.col("place") - F.floor("place"))
+    return near.groupBy(*by, "level").agg((low + (high - low) * weight).alias("quantile"))
 
 
 def top_per_group(df: DataFrame, k: int, order: list[Column], by: list[str] | None = None) -> DataFrame:

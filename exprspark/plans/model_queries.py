@@ -31,8 +31,9 @@ def fitted(spark, sf):
     cells = ws.save(matrix(spark, sf), "matrix")
     ordinals = spark.createDataFrame([(s, i) for i, s in enumerate(SAMPLES)], "sample_id string, ordinal int")
     packed = pack(cells, ordinals).filter(F.exists("y", lambda v: v > 0))
-    sf_array = factor_array(size_factors(cells, len(SAMPLES)), SAMPLES)
-    return fit_model(ws, packed, view_model(), sf_array, "view", cells.count() // len(SAMPLES))
+    genes = cells.count() // len(SAMPLES)
+    sf_array = factor_array(size_factors(cells, len(SAMPLES), genes), SAMPLES)
+    return fit_model(ws, packed, view_model(), sf_array, "view", genes)
 
 
 def view_analysis(spark, sf):
@@ -58,13 +59,13 @@ def dispersion_estimates(spark, sf):
 @query("wald_results")
 def wald_results(spark, sf):
     fit = fitted(spark, sf)
-    return res.independent_filter(res.wald(fit, fit.model.coefficient), 0.05)
+    return res.independent_filter(res.wald(fit, fit.model.coefficient), 0.05, fit.gene_count)
 
 
 @query("shrunken_effects")
 def shrunken_effects(spark, sf):
     fit = fitted(spark, sf)
-    return res.shrink(fit, res.independent_filter(res.wald(fit, fit.model.coefficient), 0.05), fit.model.coefficient)
+    return res.shrink(fit, res.independent_filter(res.wald(fit, fit.model.coefficient), 0.05, fit.gene_count), fit.model.coefficient)
 
 
 @query("analysis_results")

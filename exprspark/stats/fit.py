@@ -64,6 +64,7 @@ class Fit:
     trend: Trend
     prior_var: float
     residual_var: float
+    gene_count: int | None = None
 
 
 def batches(table: pd.DataFrame, n: int) -> np.ndarray:
@@ -114,19 +115,28 @@ def genewise(packed: DataFrame, model: Model, sf: np.ndarray) -> DataFrame:
     return packed.mapInPandas(run, GENEWISE)
 
 
+def parameters(**values: float) -> str:
+    """Numbers as columns of a one-row generator instead of literals, so that an iteration only changes data
+    and Spark reuses the compiled plan of the round before."""
+    return "inline(array(named_struct(" + ", ".join(f"'{k}', {float(v)!r}D" for k, v in values.items()) + ")))"
+
+
+# Normal equations of gamma-weighted least squares on (1, 1/m), the deviance, and means that are not positive.
+TREND_SUMS = [
+    "sum(w)", "sum(w / m)", "sum(w / (m * m))", "sum(w * d)", "sum(w * d / m)",
+    "sum(if(mu > 0, -2 * (ln(d / mu) - (d - mu) / mu), null))", "count_if(mu <= 0)",
+]
+
+
 def trend_sums(points: DataFrame, now: tuple[float, float], mask: tuple[float, float]) -> np.ndarray:
-    """Weighted normal equations and deviance of the gamma regression at ``now``, genes chosen by ``mask``."""
-    m, d = F.col("base_mean"), F.col("gene_dispersion")
-    ratio = d / (F.lit(mask[0]) + F.lit(mask[1]) / m)
+    """Sums of one step of the gamma regression at ``now``, over the genes near the trend ``mask``."""
     low, high = TREND_RESIDUALS
-    mu = F.lit(now[0]) + F.lit(now[1]) / m
-    w = 1 / (mu * mu)
+    given = parameters(now0=now[0], now1=now[1], mask0=mask[0], mask1=mask[1])
     row = (
-        points.filter((ratio > low) & (ratio < high))
-        .agg(
-            F.sum(w), F.sum(w / m), F.sum(w / (m * m)), F.sum(w * d), F.sum(w * d / m),
-            F.sum(F.when(mu > 0, -2 * (F.ln(d / mu) - (d - mu) / mu))), F.count_if(mu <= 0),
-        )
+        points.selectExpr("base_mean AS m", "gene_dispersion AS d", given)
+        .where(f"d / (mask0 + mask1 / m) > {low!r}D AND d / (mask0 + mask1 / m) < {high!r}D")
+        .selectExpr("m", "d", "now0 + now1 / m AS mu", "1 / ((now0 + now1 / m) * (now0 + now1 / m)) AS w")
+        .selectExpr(*TREND_SUMS)
         .first()
     )
     if row[0] is None or row[6]:
@@ -191,11 +201,12 @@ def residual_column(trend: Trend):
     return F.ln("gene_dispersion") - curve("base_mean")
 
 
-def prior_width(genes: DataFrame, trend: Trend, residual_df: int) -> tuple[float, float]:
+def prior_width(genes: DataFrame, trend: Trend, residual_df: int, at_most: int | None = None) -> tuple[float, float]:
     """Variance of log residuals around the trend (robust), and the prior variance left after sampling noise."""
     residuals = genes.filter(F.col("gene_dispersion") >= USABLE_DISPERSION).select(residual_column(trend).alias("r"))
-    middle = exact_quantiles(residuals, "r", [0.5]).first()[0]
-    spread = exact_quantiles(residuals.select(F.abs(F.col("r") - middle).alias("d")), "d", [0.5]).first()[0]
+    middle = exact_quantiles(residuals, "r", [0.5], at_most=at_most).first()["quantile"]
+    gaps = residuals.selectExpr("r", parameters(middle=middle)).selectExpr("abs(r - middle) AS d")
+    spread = exact_quantiles(gaps, "d", [0.5], at_most=at_most).first()["quantile"]
     residual_var = float((MAD_SCALE * spread) ** 2)
     if residual_df <= 3:
         return residual_var, matched_width(residuals, residual_df)
@@ -332,11 +343,11 @@ def fit_model(ws: Workspace, packed: DataFrame, model: Model, sf: np.ndarray, na
     tasks = task_count(packed, genes, len(sf))
     first = ws.save(genewise(packed.repartition(tasks, "gene_id"), model, sf), f"{name}-genewise")
     trend = fit_trend(first)
-    residual_var, prior_var = prior_width(first, trend, model.residual_df)
+    residual_var, prior_var = prior_width(first, trend, model.residual_df, genes)
     fitter = GeneFitter(model, sf, trend, prior_var, residual_var)
     inputs = first.select("gene_id", "y", "mu", "gene_dispersion").repartition(tasks, "gene_id")
     fitted = ws.save(inputs.mapInPandas(fitter, FITTED), f"{name}-fitted")
-    return Fit(fitted, model, sf, trend, prior_var, residual_var)
+    return Fit(fitted, model, sf, trend, prior_var, residual_var, genes)
 
 
 Scorer = Callable[[float], float]

@@ -27,11 +27,13 @@ def log_ratios(matrix: DataFrame, samples: int | None = None) -> DataFrame:
     return cells.join(usable, "gene_id").select("sample_id", (F.ln("c") - F.col("mean_log")).alias("log_ratio"))
 
 
-def size_factors(matrix: DataFrame, samples: int | None = None) -> DataFrame:
-    """Median-of-ratios size factor per sample: ``(sample_id, size_factor)``."""
-    return exact_quantiles(log_ratios(matrix, samples), "log_ratio", [0.5], ["sample_id"]).select(
-        "sample_id", F.exp("q0").alias("size_factor")
-    )
+def size_factors(matrix: DataFrame, samples: int | None = None, genes: int | None = None) -> DataFrame:
+    """Median-of-ratios size factor per sample: ``(sample_id, size_factor)``.
+
+    ``samples`` and ``genes`` spare counting them where the caller knows them.
+    """
+    medians = exact_quantiles(log_ratios(matrix, samples), "log_ratio", [0.5], ["sample_id"], at_most=genes)
+    return medians.select("sample_id", F.exp("quantile").alias("size_factor"))
 
 
 def normalized(matrix: DataFrame, factors: DataFrame) -> DataFrame:

@@ -43,21 +43,23 @@ def wald(fit: Fit, coefficient: int) -> DataFrame:
     )
 
 
-def filter_levels(results: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def filter_levels(results: DataFrame, at_most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Levels from the share of zero means up to 0.95, and the mean counts at them."""
     zero_share = results.agg(F.avg((F.col("baseMean") == 0).cast("double"))).first()[0]
     top = FILTER_TOP if zero_share < FILTER_TOP else 1.0
     levels = np.linspace(zero_share, top, FILTER_LEVELS)
-    row = exact_quantiles(results, "baseMean", [float(v) for v in levels]).first()
-    return levels, np.array([row[f"q{i}"] for i in range(len(levels))])
+    rows = exact_quantiles(results, "baseMean", [float(v) for v in levels], at_most=at_most).collect()
+    cutoffs = {r["level"]: r["quantile"] for r in rows}
+    return levels, np.array([cutoffs[i] for i in range(len(levels))])
 
 
-def independent_filter(results: DataFrame, alpha: float) -> DataFrame:
+def independent_filter(results: DataFrame, alpha: float, at_most: int | None = None) -> DataFrame:
     """Add ``padj``: adjusted over the genes above the mean count that yields the most rejections.
 
     Each gene is repeated for the levels it passes, and one ranked pass counts rejections at all levels.
+    ``at_most`` is a known bound on the number of genes.
     """
-    levels, cutoffs = filter_levels(results)
+    levels, cutoffs = filter_levels(results, at_most)
     marks = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(float(c)).alias("cutoff")) for i, c in enumerate(cutoffs)])
     passed = (
         results.filter(F.col("pvalue").isNotNull())
@@ -65,30 +67,33 @@ def independent_filter(results: DataFrame, alpha: float) -> DataFrame:
         .filter(F.col("baseMean") >= F.col("cutoff"))
     )
     hits = np.zeros(len(levels))
-    for row in rejections(passed, "pvalue", ["level"], alpha).collect():
+    for row in rejections(passed, "pvalue", ["level"], alpha, at_most).collect():
         hits[row["level"]] = row["rejections"]
     cutoff = float(cutoffs[filter_threshold(levels, hits)])
     tested = results.withColumn("tested", F.when(F.col("baseMean") >= cutoff, F.col("pvalue")))
-    return adjust_p(tested, "tested").drop("tested")
+    return adjust_p(tested, "tested", at_most=at_most).drop("tested")
 
 
 def prior_scale(estimates: DataFrame) -> float:
     """Spread of true effects beyond their standard errors, for ``estimates(s, d)``: squares of both.
 
-    The root of a monotone weighted mean is bracketed by evaluating sixteen candidates per job.
+    The root of a monotone weighted mean is bracketed by evaluating many candidates per job: each gene is
+    repeated per candidate and reduced to one row per candidate before the shuffle.
     """
     low, high = 1e-6, 400.0
+    w = 1 / (2 * (F.col("a") + F.col("d")) * (F.col("a") + F.col("d")))
 
     def gaps(candidates: np.ndarray) -> np.ndarray:
-        aggs = []
-        for a in candidates:
-            w = 1 / (2 * (F.lit(float(a)) + F.col("d")) * (F.lit(float(a)) + F.col("d")))
-            aggs += [F.sum((F.col("s") - F.col("d")) * w), F.sum(w)]
-        row = [float(v) for v in estimates.agg(*aggs).first()]
-        return np.array([row[2 * i] / row[2 * i + 1] for i in range(len(candidates))]) - candidates
-
-    for _ in range(5):
-        grid = np.exp(np.linspace(np.log(low), np.log(high), 17))
+        marks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(a)).alias("a")) for i, a in enumerate(candidates)])
+        rows = (
+            estimates.select("s", "d", F.inline(marks)).groupBy("i")
+            .agg((F.sum((F.col("s") - F.col("d")) * w) / F.sum(w)).alias("mean")).collect()
+        )
+        found = {r["i"]: r["mean"] for r in rows}
+        return np.array([found[i] for i in range(len(candidates))]) - candidates
+
+    for _ in range(3):
+        grid = np.exp(np.linspace(np.log(low), np.log(high), 65))
         value = gaps(grid)
         if value[0] <= 0:
             return float(np.sqrt(low))
