@@ -54,11 +54,12 @@ def broken_rules(df: DataFrame, rules: list[tuple[Column, str, str]], start: int
     return found.select("study_id", "record", "v.column", "v.rule", "v.rule_order")
 
 
-def rows_as(df: DataFrame, column: str | Column, rule: str, order: int) -> DataFrame:
+def rows_as(df: DataFrame, column: str | Column, rule: str | Column, order: int) -> DataFrame:
     name = F.lit(column) if isinstance(column, str) else column
+    rule = F.lit(rule) if isinstance(rule, str) else rule
     record = F.col("record") if "record" in df.columns else F.lit(1)
     return df.select(
-        "study_id", record.cast("bigint").alias("record"), name.alias("column"), F.lit(rule).alias("rule"), F.lit(order).alias("rule_order")
+        "study_id", record.cast("bigint").alias("record"), name.alias("column"), rule.alias("rule"), F.lit(order).alias("rule_order")
     )
 
 
@@ -82,6 +83,14 @@ def absent(studies: DataFrame, present: DataFrame) -> DataFrame:
     return studies.select("study_id").distinct().join(present.select("study_id").distinct(), "study_id", "left_anti")
 
 
+def absent_values(studies: DataFrame, present: DataFrame, column: str, wanted: tuple[str, ...]) -> DataFrame:
+    """Wanted values no row of a study holds, as ``(study_id, wanted, position)``."""
+    listed = F.array(*[F.lit(w) for w in wanted])
+    asked = studies.select("study_id").distinct().select("study_id", F.posexplode(listed).alias("position", "wanted"))
+    held = present.select("study_id", F.col(column).alias("wanted")).distinct()
+    return asked.join(held, ["study_id", "wanted"], "left_anti")
+
+
 def sample_violations(samples: DataFrame, studies: DataFrame | None = None) -> DataFrame:
     samples = keyed(samples)
     found = [
@@ -149,9 +158,8 @@ def reference_violations(references: DataFrame, files: DataFrame | None = None)
         ),
         rows_as(repeats(references, ["role"]), "role", "repeated_role", 10),
     ]
-    for i, role in enumerate(ROLES):
-        missing = absent(studies, references.filter(F.col("role") == role))
-        found.append(rows_as(missing, "role", f"missing_{role}", 20 + i))
+    missing = absent_values(studies, references, "role", ROLES)
+    found.append(rows_as(missing, "role", F.concat(F.lit("missing_"), "wanted"), 20))
     if files is not None:
         actual = files.select("path", F.col("sha256").alias("actual"))
         checked = references.join(actual, "path", "left")
@@ -198,13 +206,13 @@ def setting_violations(settings: DataFrame, covariates: DataFrame) -> DataFrame:
     ]
     rules += [((key == k) & (value != v), "value", f"{k}_must_be_{v}") for k, v in FIXED_SETTINGS.items()]
     found = [broken_rules(settings, rules), rows_as(repeats(settings, ["key"]), "key", "repeated_key", 20)]
-    studies = settings.select("study_id").distinct()
-    for i, name in enumerate(REQUIRED_SETTINGS):
-        found.append(rows_as(absent(studies, settings.filter(key == name)), name, "missing_setting", 30 + i))
+    missing = absent_values(settings, settings, "key", REQUIRED_SETTINGS)
+    found.append(rows_as(missing, F.col("wanted"), "missing_setting", 30))
     names = covariates.select("study_id", "name").distinct()
-    for prefix in ("type.", "reference."):
-        loose = declared(settings, prefix).join(names, ["study_id", "name"], "left_anti")
-        found.append(rows_as(loose, "key", "names_absent_covariate", 40))
+    marked = settings.filter(key.startswith("type.") | key.startswith("reference.")).select(
+        "study_id", "record", F.regexp_extract(key, r"\A(?:type|reference)\.(.*)\z", 1).alias("name")
+    )
+    found.append(rows_as(marked.join(names, ["study_id", "name"], "left_anti"), "key", "names_absent_covariate", 40))
     return union(found)
 
 
@@ -255,9 +263,9 @@ def contrast_violations(contrasts: DataFrame, settings: DataFrame, covariates: D
     levels = covariates.select("study_id", F.col("name").alias("factor"), F.col("value").alias("level")).distinct()
     refs = declared(settings, "reference.").select("study_id", F.col("name").alias("factor"), F.col("declared").alias("reference"))
 
-    def unobserved(side: str) -> DataFrame:
-        asked = contrasts.withColumn("level", F.col(side)).filter(F.col(side) != "")
-        return asked.join(levels, ["study_id", "factor", "level"], "left_anti")
+    sides = F.array(*[F.struct(F.lit(c).alias("side"), F.col(c).alias("level")) for c in ("numerator", "denominator")])
+    asked = contrasts.select("study_id", "record", "factor", F.inline(sides)).filter("level <> ''")
+    unobserved = asked.join(levels, ["study_id", "factor", "level"], "left_anti")
 
     wanted = design_terms(settings).select("study_id", "record", F.col("term").alias("factor"))
     anchored = refs.select("study_id", "factor").unionByName(contrasts.select("study_id", "factor")).distinct()
@@ -277,8 +285,7 @@ def contrast_violations(contrasts: DataFrame, settings: DataFrame, covariates: D
             rows_as(repeats(contrasts, ["contrast_id"]), "contrast_id", "repeated_id", 10),
             rows_as(contrasts.join(terms, ["study_id", "factor"], "left_anti"), "factor", "not_a_design_term", 11),
             rows_as(contrasts.join(categorical, ["study_id", "factor"], "left_anti"), "factor", "not_categorical", 12),
-            rows_as(unobserved("numerator"), "numerator", "level_not_observed", 13),
-            rows_as(unobserved("denominator"), "denominator", "level_not_observed", 14),
+            rows_as(unobserved, F.col("side"), "level_not_observed", 13),
             rows_as(against, "denominator", "disagrees_with_reference", 15),
             rows_as(loose, "value", "term_without_reference", 20),
             rows_as(absent(settings, contrasts), "contrast_id", "no_contrasts", -1),

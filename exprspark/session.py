@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -17,12 +19,29 @@ RUNTIME_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
 def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings and make this package importable in the tasks."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package's source to the executors once per application, as ``--py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="spark-"), os.path.basename(package))
+    archive = shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
