@@ -2,27 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exprspark.functions.text import UINT64_MAX
 
 
+WORD = 4294967296
+
+
 def merge_runs(counts: DataFrame, runs: DataFrame) -> DataFrame:
     """Sum ``counts(run_id, gene_id, count)`` into ``(gene_id, sample_id, count)``.
 
     Partial sums run before the only wide shuffle, so a hot gene or sample is reduced where it is read.
-    A sum past the unsigned 64-bit range fails the job.
+    A sum past the unsigned 64-bit range fails the job. Counts are summed as two 32-bit halves in plain
+    longs, which neither overflow nor need wide decimals before the last step.
     """
+    c = F.col("count")
+    if dict(counts.dtypes)["count"].startswith("decimal"):
+        low = (c % WORD).cast("bigint")
+        high = ((c - c % WORD) / WORD).cast("bigint")
+    else:
+        low, high = c.bitwiseAND(F.lit(WORD - 1)), F.shiftright(c, 32)
     mapped = counts.join(runs.select("run_id", "sample_id"), "run_id")
-    total = F.sum(F.col("count").cast("decimal(20,0)"))
-    return mapped.groupBy("gene_id", "sample_id").agg(checked_total(total).alias("count"))
+    halves = mapped.groupBy("gene_id", "sample_id").agg(F.sum(low).alias("low"), F.sum(high).alias("high"))
+    return halves.select("gene_id", "sample_id", checked_total(F.col("low"), F.col("high")).alias("count"))
 
 
-def checked_total(total):
-    limit = F.lit(str(UINT64_MAX)).cast("decimal(20,0)")
-    overflow = F.raise_error(F.concat(F.lit("count sum exceeds uint64: "), total.cast("string")))
-    return F.when(total > limit, overflow.cast("decimal(20,0)")).otherwise(total.cast("decimal(20,0)"))
+def checked_total(low: Column, high: Column) -> Column:
+    """The two half sums as one decimal; a total that is small stays in longs until its last cast."""
+    wide = high.cast("decimal(20,0)") * F.lit(WORD).cast("decimal(10,0)") + low.cast("decimal(20,0)")
+    over = wide > F.lit(str(UINT64_MAX)).cast("decimal(20,0)")
+    overflow = F.raise_error(F.concat(F.lit("count sum exceeds uint64: "), wide.cast("string")))
+    large = F.when(over, overflow.cast("decimal(20,0)")).otherwise(wide.cast("decimal(20,0)"))
+    return F.when(high == 0, low.cast("decimal(20,0)")).otherwise(large)
 
 
 def gene_totals(matrix: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exprspark.functions.sequence import reverse_complement
+from exprspark.session import Workspace
 
 # Assignment states of a fragment.
 ASSIGNED = "Assigned"
@@ -19,13 +20,23 @@ BIN_SIZE = 1024
 ROWS_PER_SALT = 1_000_000
 
 
-def _bins(start: Column, end: Column, size: int) -> Column:
-    return F.explode(F.sequence(F.floor(start / size), F.floor(end / size)))
+def _bins(start: str, end: str, size: int) -> Column:
+    return F.explode(F.expr(f"sequence({start} div {size}, {end} div {size})"))
+
+
+def hot_bins(binned: DataFrame, at: list[str], rows_per_salt: int) -> DataFrame:
+    """Bins with more than ``rows_per_salt`` blocks and over how many salts to spread them.
+
+    There are at most blocks / ``rows_per_salt`` of them, whatever the data looks like.
+    """
+    salts = F.ceil(F.count(F.lit(1)) / rows_per_salt).cast("int")
+    return binned.groupBy(*at).agg(salts.alias("salts")).filter("salts > 1")
 
 
 def overlap_hits(
     blocks: DataFrame,
     exons: DataFrame,
+    ws: Workspace,
     bin_size: int = BIN_SIZE,
     rows_per_salt: int = ROWS_PER_SALT,
     keys: tuple[str, ...] = (),
@@ -33,29 +44,22 @@ def overlap_hits(
     """Pairs of overlapping blocks and exons on the same chromosome, each pair once.
 
     Both sides are cut into fixed bins and joined by equality on ``(chrom, bin)``. A pair is kept only in
-    the bin where its overlap begins. Bins that hold more than ``rows_per_salt`` blocks are spread over
-    salts, and only the exons of those bins are repeated per salt, so a hot gene is shared by many tasks.
+    the bin where its overlap begins. Hot bins are spread over salts, and only the exons of those bins are
+    repeated per salt, so a gene that takes a third of all reads is shared by many tasks.
+    ``blocks`` should be a written table: it is read once to count bins and once to join.
     """
     at = [*keys, "chrom", "bin"]
-    left = blocks.withColumn("bin", _bins(F.col("start"), F.col("end"), bin_size))
-    right = exons.select(
-        *keys, "chrom", "gene_id", F.col("strand").alias("exon_strand"), F.col("start").alias("exon_start"), F.col("end").alias("exon_end")
-    ).distinct().withColumn("bin", _bins(F.col("exon_start"), F.col("exon_end"), bin_size))
-    hot = (
-        left.groupBy(*at)
-        .agg(F.ceil(F.count(F.lit(1)) / rows_per_salt).cast("int").alias("salts"))
-        .filter("salts > 1")
-    )
-    salts = F.coalesce(F.col("salts"), F.lit(1))
-    spread = F.pmod(F.xxhash64("fragment_id", "start"), salts.cast("long")).cast("int")
-    left = left.join(hot, at, "left").withColumn("salt", spread).drop("salts")
-    right = right.join(hot, at, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
-    begins = F.floor(F.greatest("start", "exon_start") / bin_size)
-    return left.join(right, [*at, "salt"]).filter(
-        (F.col("start") <= F.col("exon_end"))
-        & (F.col("exon_start") <= F.col("end"))
-        & (begins == F.col("bin"))
-    )
+    left = blocks.withColumn("bin", _bins("start", "end", bin_size))
+    right = exons.withColumn("bin", _bins("exon_start", "exon_end", bin_size))
+    hot = ws.save(hot_bins(left, at, rows_per_salt), "hot")
+    if hot.take(1):
+        salts = F.coalesce(F.col("salts"), F.lit(1))
+        spread = F.pmod(F.xxhash64("fragment_id", "start"), salts.cast("long")).cast("int")
+        left = left.join(hot, at, "left").withColumn("salt", spread).drop("salts")
+        right = right.join(hot, at, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+        at = [*at, "salt"]
+    overlaps = "start <= exon_end AND exon_start <= end"
+    return left.join(right, at).filter(f"{overlaps} AND greatest(start, exon_start) div {bin_size} = bin")
 
 
 def strand_agrees(strandedness: Column, strand: Column, mate: Column, exon_strand: Column) -> Column:
@@ -85,23 +89,34 @@ def assign(
     ``aligned(read_id, chrom, strand, mate, nh, unmapped, blocks)``; mates share a fragment through their
     name. Exactly one gene is an assignment, several are ambiguous, more than one reported location makes
     the fragment multi-mapped. Hits and fragments meet in a single aggregate: a fragment with one gene
-    has equal smallest and largest gene ids, so no per-fragment gene set is built.
+    has equal smallest and largest gene numbers, so no per-fragment gene set is built.
     """
+    spark = aligned.sparkSession
+    ws = Workspace(spark, "overlap")
     reads = aligned.withColumn("fragment_id", fragment_name(F.col("read_id")))
     usable = reads.filter(~F.col("unmapped") & (F.coalesce(F.col("nh"), F.lit(1)) <= 1))
+    # The outer form keeps Spark from parsing every alignment a second time just to drop empty arrays.
     blocks = usable.select(
-        *keys, "fragment_id", "chrom", "strand", "mate", F.inline("blocks").alias("start", "end")
-    )
+        *keys, "fragment_id", "chrom", "strand", "mate", F.inline_outer("blocks").alias("start", "end")
+    ).filter("start IS NOT NULL")
+    blocks = ws.save(blocks, "blocks")
     exon_keys = tuple(k for k in keys if k in exons.columns)
-    pairs = overlap_hits(blocks, exons, bin_size, rows_per_salt, exon_keys).filter(
+    # Written once, the running id is a stable number per gene; numbers keep the last aggregate hash-based.
+    genes = exons.select(*exon_keys, "gene_id").distinct().withColumn("gene_no", F.monotonically_increasing_id())
+    genes = ws.save(genes, "genes")
+    spans = exons.join(genes, [*exon_keys, "gene_id"]).select(
+        *exon_keys, "chrom", "gene_no", F.col("strand").alias("exon_strand"),
+        F.col("start").alias("exon_start"), F.col("end").alias("exon_end"),
+    ).distinct()
+    pairs = overlap_hits(blocks, ws.save(spans, "exons"), ws, bin_size, rows_per_salt, exon_keys).filter(
         strand_agrees(F.lit(strandedness), F.col("strand"), F.col("mate"), F.col("exon_strand"))
     )
     none = F.lit(None)
-    hits = pairs.select(*keys, "fragment_id", "gene_id", none.cast("int").alias("nh"), none.cast("boolean").alias("mapped"))
+    hits = pairs.select(*keys, "fragment_id", "gene_no", none.cast("int").alias("nh"), none.cast("boolean").alias("mapped"))
     facts = reads.select(
         *keys,
         "fragment_id",
-        none.cast("string").alias("gene_id"),
+        none.cast("bigint").alias("gene_no"),
         F.coalesce(F.col("nh"), F.lit(1)).cast("int").alias("nh"),
         (~F.col("unmapped")).alias("mapped"),
     )
@@ -112,18 +127,20 @@ def assign(
         .when(F.col("lowest") == F.col("highest"), ASSIGNED)
         .otherwise(AMBIGUOUS)
     )
-    return (
+    judged = (
         facts.unionByName(hits)
         .groupBy(*keys, "fragment_id")
         .agg(
-            F.min("gene_id").alias("lowest"),
-            F.max("gene_id").alias("highest"),
+            F.min("gene_no").alias("lowest"),
+            F.max("gene_no").alias("highest"),
             F.max("nh").alias("nh"),
             F.bool_or("mapped").alias("mapped"),
         )
-        .withColumn("status", status)
-        .select(*keys, "fragment_id", "status", F.when(F.col("status") == ASSIGNED, F.col("lowest")).alias("gene_id"))
+        .select(*keys, "fragment_id", status.alias("status"), "lowest")
+        .withColumn("gene_no", F.when(F.col("status") == ASSIGNED, F.col("lowest")))
     )
+    names = genes.select("gene_no", "gene_id")
+    return judged.join(names, "gene_no", "left").select(*keys, "fragment_id", "status", "gene_id")
 
 
 def gene_counts(assigned: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

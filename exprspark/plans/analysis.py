@@ -195,8 +195,7 @@ def run_analysis(
     if not retained:
         raise checks.ContractError("no genes retained after zero_total filtering")
     packed = packed_all.filter(has_count)
-    kept = tr.unpack(packed.withColumnRenamed("y", "x"), study.sample_ids, "count")
-    sf = factor_array(size_factors(kept, n, retained), study.sample_ids)
+    sf = factor_array(size_factors(packed, study.sample_ids, retained), study.sample_ids)
     facts = {"genes_input": str(tally["genes"]), "genes_zero_total": str(tally["empty"])}
     groups = model_groups(study.models)
     fits: list[Fit] = []

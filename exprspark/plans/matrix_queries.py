@@ -8,6 +8,7 @@ from exprspark.functions.text import neg_log10
 from exprspark.operators import checks, cohort, compare
 from exprspark.operators.counts import annotate, dense, drop_zero_total, gene_totals, to_wide
 from exprspark.operators.ordering import adjust_p, ordered_counts
+from exprspark.plans.analysis import factor_array
 from exprspark.plans.registry import query, table
 from exprspark.plans.views import (
     ALPHA,
@@ -18,14 +19,16 @@ from exprspark.plans.views import (
     backend,
     matrix,
     merged,
+    packed,
     results,
     run_counts,
     run_manifest,
     universe,
+    values,
 )
 from exprspark.stats import results as res
-from exprspark.stats.normalize import base_moments, normalized, sample_distances, size_factors, vst_parametric
-from exprspark.stats.transform import distances_of, gram
+from exprspark.stats.normalize import base_moments, sample_distances, size_factors, vst_parametric
+from exprspark.stats.transform import distances_of, gram, normalized_arrays
 
 WITH = "WITH " + RUN_COUNTS_SQL
 WITH_RESULTS = "WITH " + RESULTS_SQL
@@ -81,13 +84,12 @@ def zero_total_filter(spark, sf):
 
 @query("size_factors", WITH + " SELECT sample_id, ROUND(size_factor, 6) AS size_factor FROM factors")
 def size_factors_query(spark, sf):
-    return size_factors(matrix(spark, sf)).withColumn("size_factor", F.round("size_factor", 6))
+    return size_factors(packed(spark, sf), SAMPLES).withColumn("size_factor", F.round("size_factor", 6))
 
 
 @query("normalized_counts", WITH + " SELECT gene_id, sample_id, ROUND(value, 4) AS value FROM normalized")
 def normalized_counts(spark, sf):
-    cells = matrix(spark, sf)
-    return normalized(cells, size_factors(cells)).withColumn("value", F.round("value", 4))
+    return values(spark, sf).withColumn("value", F.round("value", 4))
 
 
 @query(
@@ -95,8 +97,7 @@ def normalized_counts(spark, sf):
     WITH + " SELECT gene_id, ROUND(AVG(value), 4) AS base_mean, ROUND(VAR_SAMP(value), 3) AS base_var FROM normalized GROUP BY gene_id",
 )
 def base_mean_var(spark, sf):
-    cells = matrix(spark, sf)
-    moments = base_moments(normalized(cells, size_factors(cells)))
+    moments = base_moments(values(spark, sf))
     return moments.select("gene_id", F.round("base_mean", 4).alias("base_mean"), F.round("base_var", 3).alias("base_var"))
 
 
@@ -114,15 +115,11 @@ def annotate_left(spark, sf):
 
 @query("vst_fixed_trend", f"{WITH} SELECT gene_id, sample_id, ROUND({VST_SQL}, 5) AS value FROM normalized")
 def vst_fixed_trend(spark, sf):
-    cells = matrix(spark, sf)
-    values = normalized(cells, size_factors(cells))
-    return values.withColumn("value", F.round(vst_parametric(F.col("value"), *TREND), 5))
+    return vst_values(spark, sf).withColumn("value", F.round("value", 5))
 
 
 def vst_values(spark, sf):
-    cells = matrix(spark, sf)
-    values = normalized(cells, size_factors(cells))
-    return values.withColumn("value", vst_parametric(F.col("value"), *TREND))
+    return values(spark, sf).withColumn("value", vst_parametric(F.col("value"), *TREND))
 
 
 DISTANCE_SQL = f"""{WITH}, vst AS (SELECT gene_id, sample_id, {VST_SQL} AS value FROM normalized)
@@ -138,10 +135,11 @@ def sample_distances_query(spark, sf):
 @query("sample_distances_packed", DISTANCE_SQL)
 def sample_distances_packed(spark, sf):
     """The same distances from one Gram matrix over packed gene rows."""
-    wide = vst_values(spark, sf).groupBy("gene_id").pivot("sample_id", SAMPLES).agg(F.first("value"))
-    packed = wide.select(F.array(*SAMPLES).alias("x"))
+    rows = packed(spark, sf)
+    factors = factor_array(size_factors(rows, SAMPLES), SAMPLES)
+    arrays = normalized_arrays(rows, factors).select(F.transform("x", lambda q: vst_parametric(q, *TREND)).alias("x"))
     names = F.array(*[F.lit(s) for s in SAMPLES])
-    return distances_of(gram(packed)).select(
+    return distances_of(gram(arrays)).select(
         names[F.col("i")].alias("sample_a"), names[F.col("j")].alias("sample_b"), F.round("distance", 4).alias("distance")
     )
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from exprspark.functions.text import coefficient_name
-from exprspark.operators.counts import pack
 from exprspark.plans.analysis import factor_array, run_analysis
 from exprspark.plans.registry import query, table
-from exprspark.plans.views import SAMPLES, annotation, matrix
+from exprspark.plans.views import SAMPLES, annotation, matrix, packed
 from exprspark.session import Workspace
 from exprspark.stats import results as res
 from exprspark.stats import transform as tr
@@ -27,13 +26,11 @@ def view_model():
 
 
 def fitted(spark, sf):
-    ws = Workspace(spark, "model")
-    cells = ws.save(matrix(spark, sf), "matrix")
-    ordinals = spark.createDataFrame([(s, i) for i, s in enumerate(SAMPLES)], "sample_id string, ordinal int")
-    packed = pack(cells, ordinals).filter(F.exists("y", lambda v: v > 0))
-    genes = cells.count() // len(SAMPLES)
-    sf_array = factor_array(size_factors(cells, len(SAMPLES), genes), SAMPLES)
-    return fit_model(ws, packed, view_model(), sf_array, "view", genes)
+    rows = packed(spark, sf)
+    genes = rows.count()
+    factors = factor_array(size_factors(rows, SAMPLES, genes), SAMPLES)
+    kept = rows.filter(F.exists("y", lambda v: v > 0))
+    return fit_model(Workspace(spark, "model"), kept, view_model(), factors, "view", genes)
 
 
 def view_analysis(spark, sf):

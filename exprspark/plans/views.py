@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exprspark.operators.counts import dense, merge_runs
+from exprspark.operators.counts import dense, merge_runs, to_wide
 from exprspark.operators.ordering import adjust_p
 from exprspark.plans.registry import table
+from exprspark.session import Workspace
+from exprspark.stats.normalize import normalized, size_factors
 
 SAMPLES = [f"S{i}" for i in range(1, 8)]
 ALPHA = 0.05
@@ -72,6 +74,19 @@ def matrix(spark: SparkSession, sf: str) -> DataFrame:
     return dense(merged(spark, sf), SAMPLES)
 
 
+def packed(spark: SparkSession, sf: str) -> DataFrame:
+    """The matrix with one row per gene, written once: size factors and values both read it."""
+    wide = to_wide(merged(spark, sf), SAMPLES)
+    rows = wide.select("gene_id", F.array(*[F.col(s).cast("double") for s in SAMPLES]).alias("y"))
+    return Workspace(spark, "view").save(rows, "packed")
+
+
+def values(spark: SparkSession, sf: str) -> DataFrame:
+    """Normalized counts in long form."""
+    rows = packed(spark, sf)
+    return normalized(rows, size_factors(rows, SAMPLES), SAMPLES)
+
+
 def universe(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("gene_id"))
 

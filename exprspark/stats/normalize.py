@@ -8,37 +8,34 @@ from pyspark.sql import functions as F
 from exprspark.operators.ordering import exact_quantiles
 
 
-def log_ratios(matrix: DataFrame, samples: int | None = None) -> DataFrame:
-    """``ln count`` minus the gene's mean ``ln count``, for genes counted in every sample.
+def log_ratios(packed: DataFrame) -> DataFrame:
+    """``ln count`` minus the gene's mean ``ln count`` as ``(ordinal, log_ratio)``.
 
-    A zero or missing cell turns a gene away. Without ``samples`` the number of samples is counted.
+    Only genes counted in every sample take part. All of a gene sits in one row, so nothing is shuffled.
     """
-    cells = matrix.select("gene_id", "sample_id", F.col("count").cast("double").alias("c")).filter("c > 0")
-    if samples is None:
-        wanted = matrix.select("sample_id").distinct().agg(F.count(F.lit(1))).scalar()
-    else:
-        wanted = F.lit(samples)
-    usable = (
-        cells.groupBy("gene_id")
-        .agg(F.avg(F.ln("c")).alias("mean_log"), F.count(F.lit(1)).alias("present"))
-        .filter(F.col("present") == wanted)
-        .select("gene_id", "mean_log")
+    logs = packed.filter(F.forall("y", lambda v: v > 0)).select(F.transform("y", F.ln).alias("logs"))
+    mean = F.aggregate("logs", F.lit(0.0), lambda a, v: a + v) / F.size("logs")
+    return logs.select("logs", mean.alias("mean")).select(
+        F.posexplode(F.transform("logs", lambda v: v - F.col("mean"))).alias("ordinal", "log_ratio")
     )
-    return cells.join(usable, "gene_id").select("sample_id", (F.ln("c") - F.col("mean_log")).alias("log_ratio"))
 
 
-def size_factors(matrix: DataFrame, samples: int | None = None, genes: int | None = None) -> DataFrame:
-    """Median-of-ratios size factor per sample: ``(sample_id, size_factor)``.
+def size_factors(packed: DataFrame, sample_ids: list[str], genes: int | None = None) -> DataFrame:
+    """Median-of-ratios size factor per sample: ``(sample_id, size_factor)`` for ``packed(gene_id, y)``.
 
-    ``samples`` and ``genes`` spare counting them where the caller knows them.
+    ``genes`` is a known bound on the number of rows. With no gene counted everywhere the result is empty.
     """
-    medians = exact_quantiles(log_ratios(matrix, samples), "log_ratio", [0.5], ["sample_id"], at_most=genes)
-    return medians.select("sample_id", F.exp("quantile").alias("size_factor"))
+    medians = exact_quantiles(log_ratios(packed), "log_ratio", [0.5], ["ordinal"], at_most=genes)
+    names = F.array(*[F.lit(s) for s in sample_ids])
+    return medians.select(names[F.col("ordinal")].alias("sample_id"), F.exp("quantile").alias("size_factor"))
 
 
-def normalized(matrix: DataFrame, factors: DataFrame) -> DataFrame:
-    joined = matrix.join(factors, "sample_id")
-    return joined.select("gene_id", "sample_id", (F.col("count").cast("double") / F.col("size_factor")).alias("value"))
+def normalized(packed: DataFrame, factors: DataFrame, sample_ids: list[str]) -> DataFrame:
+    """Counts over size factors in long form ``(gene_id, sample_id, value)``; the factors join by sample."""
+    names = F.array(*[F.lit(s) for s in sample_ids])
+    cells = packed.select("gene_id", F.posexplode("y").alias("ordinal", "c"))
+    joined = cells.select("gene_id", names[F.col("ordinal")].alias("sample_id"), "c").join(factors, "sample_id")
+    return joined.select("gene_id", "sample_id", (F.col("c") / F.col("size_factor")).alias("value"))
 
 
 def base_moments(values: DataFrame) -> DataFrame:
