@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from exprspark.functions.text import plain_path, resolve_path
 from exprspark.operators import checks
 from exprspark.operators.counts import merge_runs
+from exprspark.session import Workspace
 from exprspark.sources.counts import read_run_counts
 from exprspark.sources.tsv import read_table
 
@@ -29,8 +30,10 @@ class Merged:
 
 
 def manifest(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """A manifest with its record numbers."""
     table = read_table(spark, path, columns)
-    return table.withColumn("record", F.col("_record")).withColumn("manifest", plain_path(F.col("_source"))).drop("_record", "_source")
+    named = table.withColumn("record", F.col("_record")).withColumn("manifest", plain_path(F.col("_source")))
+    return named.drop("_record", "_source")
 
 
 def check_runs(samples: DataFrame, runs: DataFrame) -> None:
@@ -61,11 +64,12 @@ def merge_counts(
     checks.enforce(checks.union(gates))
     resolved = inputs.select("run_id", "format", resolve_path(F.col("manifest"), F.col("path")).alias("path"), "column")
     scan = read_run_counts(spark, resolved)
+    counts = Workspace(spark, "merge").save(scan.counts, "counts")
     first = scan.problems.orderBy("rule_order", "source", "record").limit(1).collect()
     if first:
         p = first[0]
         raise checks.ContractError(f"{p['source']}: record {p['record']}, column {p['column']}: {p['rule']}")
-    report = checks.completeness(scan.counts, runs, genes)
+    report = checks.completeness(counts, runs, genes)
     short = report.filter(~F.col("complete")).orderBy("run_id").limit(1).collect()
     if short:
         r = short[0]
@@ -73,7 +77,7 @@ def merge_counts(
             f"run {r['run_id']}: {r['missing_genes']} genes missing, {r['unknown_genes']} unknown, {r['repeated_genes']} repeated"
         )
     order = [r["sample_id"] for r in samples.orderBy("record").select("sample_id").collect()]
-    return Merged(merge_runs(scan.counts, runs), order)
+    return Merged(merge_runs(counts, runs), order)
 
 
 def bundle_violations(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exprspark.functions.text import BOM, cell_is_closed, unquote
+from exprspark.session import Workspace
 from exprspark.sources.lines import numbered_lines
 
 # Rule names in the order they are tested on one record.
@@ -114,18 +115,21 @@ class TableFormatError(ValueError):
 def bind_header(scan: DataFrame, schema: list[str] | None = None, name: str = "table") -> DataFrame:
     """Turn the scan of one file (or of parts sharing one header) into named string columns.
 
-    Only the header rows and at most one reject row reach the driver. ``schema`` demands exactly these
-    columns in any order. The result keeps ``_source`` and ``_record``.
+    The scan is written once, so the text is parsed a single time; only the header and at most one reject
+    row reach the driver. ``schema`` demands exactly these columns in any order. The result keeps
+    ``_source`` and ``_record``.
     """
-    bad = rejects(scan).orderBy("record", "rule_order").limit(1).collect()
-    if bad:
-        raise TableFormatError(f"{bad[0]['source']}: record {bad[0]['record']}: {bad[0]['rule']}")
-    heads = scan.filter("is_head").select("cells").distinct().limit(2).collect()
-    if not heads:
+    scan = Workspace(scan.sparkSession, "tsv").save(scan, "scan")
+    head = F.when(F.col("is_head"), F.col("cells"))
+    reject = F.when(F.col("problem").isNotNull(), F.struct("record", "source", F.col("problem.rule").alias("rule")))
+    facts = scan.agg(F.min(reject).alias("bad"), F.min(head).alias("first"), F.max(head).alias("last")).first()
+    if facts["bad"]:
+        raise TableFormatError(f"{facts['bad']['source']}: record {facts['bad']['record']}: {facts['bad']['rule']}")
+    if facts["first"] is None:
         raise TableFormatError(f"{name}: empty file")
-    if len(heads) > 1:
+    if facts["first"] != facts["last"]:
         raise TableFormatError(f"{name}: files with different headers")
-    header = list(heads[0]["cells"])
+    header = list(facts["first"])
     if len(set(header)) != len(header) or "" in header:
         raise TableFormatError(f"{name}: empty or repeated header cell")
     if schema is not None and set(header) != set(schema):
