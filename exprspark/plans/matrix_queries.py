@@ -27,8 +27,8 @@ from exprspark.plans.views import (
     values,
 )
 from exprspark.stats import results as res
-from exprspark.stats.normalize import base_moments, sample_distances, size_factors, vst_parametric
-from exprspark.stats.transform import distances_of, gram, normalized_arrays
+from exprspark.stats.normalize import base_moments, size_factors, vst_parametric
+from exprspark.stats.transform import distance_matrix, distances_of, gram, gram_matrix, normalized_arrays
 
 WITH = "WITH " + RUN_COUNTS_SQL
 WITH_RESULTS = "WITH " + RESULTS_SQL
@@ -129,15 +129,23 @@ FROM vst a JOIN vst b ON a.gene_id = b.gene_id AND a.sample_id <= b.sample_id GR
 
 @query("sample_distances", DISTANCE_SQL)
 def sample_distances_query(spark, sf):
-    return sample_distances(vst_values(spark, sf)).withColumn("distance", F.round("distance", 4))
+    """Distances on the driver from the collected samples x samples Gram matrix, as the analysis does."""
+    d = distance_matrix(gram_matrix(vst_packed(spark, sf), len(SAMPLES)))
+    pairs = [(a, b, float(d[i, j])) for i, a in enumerate(SAMPLES) for j, b in enumerate(SAMPLES) if i <= j]
+    found = spark.createDataFrame(pairs, "sample_a string, sample_b string, distance double")
+    return found.withColumn("distance", F.round("distance", 4))
 
 
-@query("sample_distances_packed", DISTANCE_SQL)
-def sample_distances_packed(spark, sf):
-    """The same distances from one Gram matrix over packed gene rows."""
+def vst_packed(spark, sf):
     rows = packed(spark, sf)
     factors = factor_array(size_factors(rows, SAMPLES), SAMPLES)
-    arrays = normalized_arrays(rows, factors).select(F.transform("x", lambda q: vst_parametric(q, *TREND)).alias("x"))
+    return normalized_arrays(rows, factors).select(F.transform("x", lambda q: vst_parametric(q, *TREND)).alias("x"))
+
+
+@query("sample_distances_packed", DISTANCE_SQL)
+def sample_distances_packed(spark, sf):
+    """The same distances without the driver: Gram rows joined with their own diagonal."""
+    arrays = vst_packed(spark, sf)
     names = F.array(*[F.lit(s) for s in SAMPLES])
     return distances_of(gram(arrays)).select(
         names[F.col("i")].alias("sample_a"), names[F.col("j")].alias("sample_b"), F.round("distance", 4).alias("distance")

@@ -15,7 +15,7 @@ from exprspark.operators.counts import merge_runs
 from exprspark.plans.registry import query, table
 from exprspark.session import Workspace
 from exprspark.sources import records
-from exprspark.sources.counts import _legacy, _native, _table, _with_run
+from exprspark.sources.counts import legacy_counts, native_counts, table_counts, with_run
 from exprspark.sources.files import inventory
 from exprspark.sources.lines import carry_forward
 from exprspark.sources.tsv import check_lines, read_table, rejects, scan_tsv
@@ -443,7 +443,7 @@ def merge_count_files(spark, sf):
     }
     fixed = {"chr": F.lit("chr1"), "start": F.lit("1"), "end": F.lit("9"), "strand": F.lit("+"), "length": F.lit("9"), "other.bam": F.lit("99")}
     names = {"gene_id": "Geneid", "chr": "Chr", "start": "Start", "end": "End", "strand": "Strand", "length": "Length", "count": "mine.bam"}
-    readers = {"tsv": _native, "legacy": _legacy, "featurecounts": _table}
+    readers = {"tsv": native_counts, "legacy": legacy_counts, "featurecounts": table_counts}
     parts, runs = [], []
     for fmt, (samples, columns, header) in layouts.items():
         folder = ws.folder(fmt)
@@ -461,7 +461,7 @@ def merge_count_files(spark, sf):
             path.alias("path"),
             F.lit("mine.bam" if fmt == "featurecounts" else "").alias("column"),
         )
-        scan = readers[fmt](_with_run(scan_tsv(spark, folder), inputs.drop("sample_id")))
+        scan = readers[fmt](with_run(scan_tsv(spark, folder), inputs.drop("sample_id")))
         parts.append(scan.counts.select("run_id", "gene_id", "count"))
         runs.append(inputs.select("run_id", "sample_id"))
     counts, manifest = parts[0].unionByName(parts[1]).unionByName(parts[2]), runs[0].unionByName(runs[1]).unionByName(runs[2])

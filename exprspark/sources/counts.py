@@ -36,7 +36,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _with_run(scan: DataFrame, inputs: DataFrame) -> DataFrame:
+def with_run(scan: DataFrame, inputs: DataFrame) -> DataFrame:
     """Attach run id and count column through the file path; the manifest has one row per file."""
     return scan.withColumn("path", plain_path(F.col("source"))).join(inputs, "path")
 
@@ -49,7 +49,7 @@ def _counts_of(rows: DataFrame, gene: Column, text: Column, name: Column) -> Cou
     return CountScan(picked.drop("text", "column"), bad)
 
 
-def _native(scan: DataFrame) -> CountScan:
+def native_counts(scan: DataFrame) -> CountScan:
     expected = F.array(*[F.lit(h) for h in NATIVE_HEADER])
     head = _problem(
         scan, F.col("is_head") & F.col("cells").isNotNull() & (F.col("cells") != expected), "1", "header", 10
@@ -59,7 +59,7 @@ def _native(scan: DataFrame) -> CountScan:
     return CountScan(counts, head.unionByName(bad))
 
 
-def _legacy(scan: DataFrame) -> CountScan:
+def legacy_counts(scan: DataFrame) -> CountScan:
     sound = scan.filter(F.col("cells").isNotNull())
     width = _problem(sound, F.size("cells") != 2, F.size("cells"), "width", 10)
     rows = sound.filter(F.size("cells") == 2)
@@ -72,7 +72,7 @@ def _header_problems(heads: DataFrame) -> DataFrame:
     return _problem(heads, repeated, "1", "repeated_header", 11)
 
 
-def _table(scan: DataFrame) -> CountScan:
+def table_counts(scan: DataFrame) -> CountScan:
     """Six annotation columns, then count columns: one is picked by name, all must hold counts."""
     first_count = len(TABLE_PREFIX) + 1
     heads = scan.filter(F.col("is_head") & F.col("cells").isNotNull())
@@ -102,7 +102,7 @@ def _table(scan: DataFrame) -> CountScan:
     return CountScan(counts, _union(problems))
 
 
-READERS = {"tsv": _native, "legacy": _legacy, "featurecounts": _table}
+READERS = {"tsv": native_counts, "legacy": legacy_counts, "featurecounts": table_counts}
 
 
 def read_run_counts(spark: SparkSession, inputs: DataFrame) -> CountScan:
@@ -120,7 +120,7 @@ def read_run_counts(spark: SparkSession, inputs: DataFrame) -> CountScan:
             continue
         mine = inputs.filter(F.col("format") == fmt)
         scan = scan_tsv(spark, sorted(listed[fmt]), leading_comments=fmt == "featurecounts")
-        got = READERS[fmt](_with_run(scan, mine))
+        got = READERS[fmt](with_run(scan, mine))
         counts.append(got.counts)
         paths = mine.select(F.col("path").alias("source")).distinct()
         seen = scan.select(plain_path(F.col("source")).alias("source"))
@@ -136,7 +136,7 @@ def read_summaries(spark: SparkSession, inputs: DataFrame) -> CountScan:
     beside = inputs.withColumn("path", F.concat("path", F.lit(".summary")))
     paths = sorted({r["path"] for r in beside.select("path").distinct().collect()})
     listed = scan_tsv(spark, paths)
-    scan = _with_run(listed, beside)
+    scan = with_run(listed, beside)
     heads = scan.filter(F.col("is_head") & F.col("cells").isNotNull())
     position = F.array_position("cells", F.col("column"))
     rows = scan.filter(~F.col("is_head") & F.col("cells").isNotNull())

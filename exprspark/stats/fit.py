@@ -88,6 +88,15 @@ def task_count(df: DataFrame, genes: int, samples: int) -> int:
     return int(max(min(cores, -(-genes // 128)), genes * samples // 2_000_000, 1))
 
 
+CELLS_PER_BATCH = 4_000_000
+
+
+def bound_batches(df: DataFrame, samples: int) -> None:
+    """Keep the Arrow batches of the fits at a bounded number of cells, however many samples a gene row has."""
+    rows = max(1, min(4096, CELLS_PER_BATCH // samples))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 GENEWISE = "gene_id string, y array<double>, mu array<double>, base_mean double, base_var double, gene_dispersion double"
 
 
@@ -340,6 +349,7 @@ class GeneFitter:
 
 def fit_model(ws: Workspace, packed: DataFrame, model: Model, sf: np.ndarray, name: str, genes: int) -> Fit:
     """Fit all genes of ``packed(gene_id, y)``; ``y`` follows the model's sample order."""
+    bound_batches(packed, len(sf))
     tasks = task_count(packed, genes, len(sf))
     first = ws.save(genewise(packed.repartition(tasks, "gene_id"), model, sf), f"{name}-genewise")
     trend = fit_trend(first)

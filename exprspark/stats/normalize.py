@@ -48,16 +48,3 @@ def vst_parametric(q: Column, a0: float | Column, a1: float | Column) -> Column:
     a0, a1 = (c if isinstance(c, Column) else F.lit(float(c)) for c in (a0, a1))
     root = F.sqrt(a0 * q * (a1 + 1 + a0 * q))
     return F.log2((1 + a1 + 2 * a0 * q + 2 * root) / (4 * a0))
-
-
-def sample_distances(values: DataFrame) -> DataFrame:
-    """Euclidean distances of all ordered sample pairs ``(sample_a, sample_b, distance)``, ``a <= b``.
-
-    For a handful of samples. Each gene meets itself once per pair, and the pair sums are reduced before
-    the shuffle; large cohorts take distances from the packed Gram matrix instead.
-    """
-    left = values.select("gene_id", F.col("sample_id").alias("sample_a"), F.col("value").alias("a"))
-    right = values.select("gene_id", F.col("sample_id").alias("sample_b"), F.col("value").alias("b"))
-    pairs = left.join(right, "gene_id").filter("sample_a <= sample_b")
-    gap = F.col("a") - F.col("b")
-    return pairs.groupBy("sample_a", "sample_b").agg(F.sqrt(F.sum(gap * gap)).alias("distance"))
