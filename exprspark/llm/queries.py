@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from exprspark.llm import mixing, rules
+from exprspark.llm import mixing, packing, rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,16 +19,34 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/labels.parquet")
 
 
+def tokenizer_path() -> str:
+    """Where the public word-piece vocabulary lies on this machine."""
+    from public_tokenizers import path
+
+    return path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf), tokenizer_path())
+
+
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf))
 
 
+def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    groups = simhash.near_groups(documents(spark, sf))
+    return groups.select("doc_id", simhash.hex_of(groups["fp"]).alias("fingerprint"), "component_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.apply_rules(documents(spark, sf))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
     "op4_mixing": op4_mixing,
+    "op5_simhash": op5_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {}
