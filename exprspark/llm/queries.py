@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from exprspark.llm import mixing, packing, rules, simhash
+from exprspark.llm import convnet, mixing, packing, rules, secrets, simhash, sketches, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,41 @@ def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_of(groups["fp"]).alias("fingerprint"), "component_id")
 
 
+def joined_spans(spans: Column) -> Column:
+    """``kind:start:end`` of each span, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def has_kind(kind: str) -> Callable[[Column], Column]:
+    """A span's kind where it is this one, else NULL."""
+    return lambda span: F.when(span["kind"] == kind, span["kind"])
+
+
+def span_digest(found: DataFrame, kinds: list[str]) -> DataFrame:
+    """Counts per base kind, the hash of the base spans, and all spans, from ``doc_id, spans``."""
+    counts = [F.size(F.array_compact(F.transform("spans", has_kind(k)))).cast("long").alias(f"n_{k}") for k in kinds]
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *counts, F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return convnet.score(docs, convnet.fit(docs, labels(spark, sf)))
+
+
+def op6_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return span_digest(secrets.scan(documents(spark, sf)), ["assign", "access", "hex"])
+
+
+def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return sketches.compare_with_edits(documents(spark, sf))
+
+
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return toxicity.score(docs, toxicity.fit(docs, labels(spark, sf)))
+
+
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.apply_rules(documents(spark, sf))
 
@@ -47,6 +83,10 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op6_secrets": op6_secrets,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {}
