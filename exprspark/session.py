@@ -16,6 +16,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
@@ -75,6 +76,13 @@ class Workspace:
         df.write.mode("errorifexists").parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def drop(self, *names: str) -> None:
+        """Remove tables that nothing reads any more, or the whole workspace."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for target in [self.folder(n) for n in names] or [self.path]:
+            path = jvm.org.apache.hadoop.fs.Path(target)
+            path.getFileSystem(conf).delete(path, True)
+
     def save_text(self, df: DataFrame, name: str) -> str:
         target = self.folder(name)
         df.write.mode("errorifexists").text(target)
