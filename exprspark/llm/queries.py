@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exprspark.llm import convnet, mixing, packing, rules, secrets, simhash, sketches, toxicity
+from exprspark.llm import convnet, lines, mixing, packing, privacy, rules, secrets, simhash, sketches, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,10 @@ def span_digest(found: DataFrame, kinds: list[str]) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
 
 
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.dedup_lines(documents(spark, sf).select("doc_id", "text"), counts=True)
+
+
 def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     return convnet.score(docs, convnet.fit(docs, labels(spark, sf)))
@@ -66,6 +70,10 @@ def op6_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return span_digest(secrets.scan(documents(spark, sf)), ["assign", "access", "hex"])
 
 
+def op7_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return span_digest(privacy.personal_data(documents(spark, sf)), ["email", "ip", "card", "phone"])
+
+
 def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return sketches.compare_with_edits(documents(spark, sf))
 
@@ -83,8 +91,10 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
+    "op2_line_dedup": op2_line_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op6_secrets": op6_secrets,
+    "op7_personal_data": op7_personal_data,
     "op8_fingerprints": op8_fingerprints,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
