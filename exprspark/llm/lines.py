@@ -113,12 +113,13 @@ def bitmap(rows: DataFrame, row: Column) -> DataFrame:
 def possibly_in(df: DataFrame, marks: DataFrame, row: Column, within: bool = True) -> DataFrame:
     """The rows whose bit is set (``within``), or those whose bit isn't and that surely are not among the marked ones."""
     word, bit = bit_of(row)
-    asked = df.withColumns({"mark_word": word, "mark_bit": bit})
-    small = F.broadcast(marks.select(F.col("word").alias("mark_word"), "bits"))
-    there = F.expr("(shiftrightunsigned(bits, mark_bit) & 1L) = 1L")
-    joined = asked.join(small, "mark_word", "inner" if within else "left")
+    at, place, bits = (free_name(df, n) for n in ("mark_word", "mark_bit", "mark_bits"))
+    asked = df.withColumns({at: word, place: bit})
+    small = F.broadcast(marks.select(F.col("word").alias(at), F.col("bits").alias(bits)))
+    there = F.expr(f"(shiftrightunsigned({bits}, {place}) & 1L) = 1L")
+    joined = asked.join(small, at, "inner" if within else "left")
     kept = joined.filter(there if within else ~F.coalesce(there, F.lit(False)))
-    return kept.drop("mark_word", "mark_bit", "bits")
+    return kept.drop(at, place, bits)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, percent: int, space: Workspace, label: str) -> DataFrame:

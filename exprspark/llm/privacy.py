@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exprspark.llm.words import doc_key, text_of
+from exprspark.llm.words import doc_key, free_name, text_of
 from exprspark.session import Workspace
 
 # The patterns, by kind in the order of ties. Runs are possessive and start where no earlier start could
@@ -199,9 +199,10 @@ def sanitised(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
     ``spans`` is the result of ``personal_data``. Of spans that overlap the one that begins first counts.
     """
-    keyed = docs.withColumns({"clean_id": doc_key(), "clean_key": F.xxhash64(text_of())})
-    own = spans.filter(F.size("spans") > 0).select(doc_key().alias("clean_id"), F.col("text_key").alias("clean_key"), "spans")
-    joined = keyed.join(own.dropDuplicates(["clean_id", "clean_key"]), ["clean_id", "clean_key"], "left")
+    own_id, own_key, found = (free_name(docs, n) for n in ("clean_id", "clean_key", "clean_spans"))
+    keyed = docs.withColumns({own_id: doc_key(), own_key: F.xxhash64(text_of())})
+    own = spans.filter(F.size("spans") > 0).select(doc_key().alias(own_id), F.col("text_key").alias(own_key), F.col("spans").alias(found))
+    joined = keyed.join(own.dropDuplicates([own_id, own_key]), [own_id, own_key], "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def put(a: Column, s: Column) -> Column:
@@ -210,6 +211,6 @@ def sanitised(docs: DataFrame, spans: DataFrame) -> DataFrame:
         moved = F.struct(F.concat(a["out"], gap, name).alias("out"), s["end"].alias("at"))
         return F.when(s["start"] >= a["at"], moved).otherwise(a)
 
-    done = F.aggregate("spans", start, put, lambda a: F.concat(a["out"], F.substr(F.col("text"), (a["at"] + 1).cast("int"))))
-    clean = F.when(F.col("spans").isNull(), F.col("text")).otherwise(done)
+    done = F.aggregate(found, start, put, lambda a: F.concat(a["out"], F.substr(F.col("text"), (a["at"] + 1).cast("int"))))
+    clean = F.when(F.col(found).isNull(), F.col("text")).otherwise(done)
     return joined.withColumn("text", clean).select(*docs.columns)

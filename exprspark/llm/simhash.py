@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from exprspark.llm.batches import parts
 from exprspark.llm.components import components
-from exprspark.llm.words import LAST_ID, doc_key, text_of
+from exprspark.llm.words import LAST_ID, doc_key, free_name, text_of
 from exprspark.session import Workspace
 
 SHINGLE = 3
@@ -287,9 +287,10 @@ def one_of_each(docs: DataFrame, bits: int = BITS) -> DataFrame:
     groups = near_groups(docs, bits)
     kept = groups.groupBy("component_key", "fp").agg(F.min(F.struct(doc_key().alias("id"), "text_key")).alias("row"))
     kept = kept.groupBy("component_key").agg(F.min("row").alias("row")).select("row.*")
-    left = docs.withColumns({"near_id": doc_key(), "near_key": F.xxhash64(text_of())})
-    stay = left.join(kept.select(F.col("id").alias("near_id"), F.col("text_key").alias("near_key")), ["near_id", "near_key"], "left_semi")
-    return stay.dropDuplicates(["near_id", "near_key"]).select(*docs.columns)
+    own_id, own_key = free_name(docs, "near_id"), free_name(docs, "near_key")
+    left = docs.withColumns({own_id: doc_key(), own_key: F.xxhash64(text_of())})
+    kept = kept.select(F.col("id").alias(own_id), F.col("text_key").alias(own_key))
+    return left.join(kept, [own_id, own_key], "left_semi").dropDuplicates([own_id, own_key]).select(*docs.columns)
 
 
 def hex_of(fp: Column) -> Column:
