@@ -14,7 +14,7 @@ from exprspark.stats import transform as tr
 from exprspark.stats.design import build_model, model_groups
 from exprspark.stats.fit import filter_threshold
 from exprspark.stats.normalize import vst_parametric
-from tests.fixtures import simulated_counts
+from tests.fixtures import DOWN, EMPTY, SPARSE, UP, simulated_counts
 
 SAMPLES = [f"sample_{i}" for i in range(1, 9)]
 CONDITION = ["control"] * 4 + ["treated"] * 4
@@ -176,11 +176,12 @@ def by_gene(table, contrast):
 
 def test_analysis_finds_the_planted_effects(analysis):
     rows = by_gene(analysis.tables["results"], "treated_vs_control")
-    assert len(rows) == 999 and "gene_1000" not in rows
+    assert len(rows) == 999 and f"gene_{EMPTY + 1:04d}" not in rows
     significant = {g for g, r in rows.items() if r["padj"] is not None and r["padj"] < 0.05}
-    planted = {f"gene_{i:04d}" for i in range(1, 301)}
-    assert len(significant & planted) > 200 and len(significant - planted) < 60
-    assert 1.5 < np.median([rows[f"gene_{i:04d}"]["log2FoldChange"] for i in range(1, 101)]) < 3
+    planted = {f"gene_{i + 1:04d}" for i in (*UP, *DOWN)}
+    assert len(significant & planted) > 140 and len(significant - planted) < 30
+    assert 1.7 < np.median([rows[f"gene_{i + 1:04d}"]["log2FoldChange"] for i in UP]) < 2.3
+    assert -2.3 < np.median([rows[f"gene_{i + 1:04d}"]["log2FoldChange"] for i in DOWN]) < -1.7
     assert any(r["padj"] is None and r["pvalue"] is not None for r in rows.values())
     assert rows["gene_0001"]["gene_symbol"] == "SHARED" and rows["gene_0001"]["biotype"] is None and rows["gene_0002"]["gene_symbol"] is None
     assert analysis.fits[0].trend.parametric and analysis.groups == [0, 1]
@@ -199,7 +200,7 @@ def test_reversed_contrast_negates(analysis):
 def test_shrunken_volcano_heatmap_and_sample_tables(analysis):
     raw, small = (by_gene(analysis.tables[t], "treated_vs_control") for t in ("results", "shrunken"))
     assert all(small[g]["pvalue"] == raw[g]["pvalue"] and small[g]["padj"] == raw[g]["padj"] for g in raw)
-    noise = [f"gene_{i:04d}" for i in range(501, 1000)]
+    noise = [f"gene_{i + 1:04d}" for i in SPARSE]
     assert np.median([abs(small[g]["log2FoldChange"]) for g in noise]) < 0.2 * np.median([abs(raw[g]["log2FoldChange"]) for g in noise])
     heat = analysis.tables["heatmap_data"].filter("contrast_id = 'treated_vs_control'").collect()
     order = sorted((r["padj"], g) for g, r in raw.items() if r["padj"] is not None and r["padj"] < 0.05)[:50]
