@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from exprspark.operators.ordering import ordered_counts
+from exprspark.session import Workspace
 from exprspark.functions.text import (
     INT32_MAX,
     decimal_value,
@@ -399,17 +401,24 @@ def completeness(counts: DataFrame, runs: DataFrame, universe: DataFrame) -> Dat
 
 
 def missing_genes(counts: DataFrame, report: DataFrame, universe: DataFrame) -> DataFrame:
-    """``(run_id, gene_id)`` still missing, worked out per gene for the incomplete runs only.
+    """``(run_id, gene_id)`` still missing, for the incomplete runs only.
 
-    A gene's runs are compared with the list of incomplete runs, so only true gaps are emitted.
+    Genes are numbered; between two numbers a run has in succession lie exactly the genes it misses. So only true gaps
+    are ever emitted, and a run's numbers are ordered within that run alone.
     """
+    space = Workspace(counts.sparkSession, "missing")
+    numbers = ordered_counts(universe.select("gene_id").distinct(), "gene_id", []).select("gene_id", F.col("upto").alias("number"))
+    numbers = space.save(numbers, "numbers")
     short = report.filter("missing_genes > 0").select("run_id")
-    wanted = short.agg(F.collect_set("run_id").alias("runs")).scalar()
-    seen = counts.join(short, "run_id", "left_semi").groupBy("gene_id").agg(F.collect_set("run_id").alias("seen"))
-    held = universe.select("gene_id").join(seen, "gene_id", "left").withColumn("wanted", wanted)
-    none = F.array().cast("array<string>")
-    gaps = F.array_except(F.coalesce("wanted", none), F.coalesce("seen", none))
-    return held.select(F.explode(gaps).alias("run_id"), "gene_id")
+    last = numbers.agg(F.count(F.lit(1)).alias("last")).scalar()
+    seen = counts.join(short, "run_id", "left_semi").select("run_id", "gene_id").distinct().join(numbers, "gene_id")
+    # A run that saw nothing still has its two ends.
+    ends = short.select("run_id", F.explode(F.array(F.lit(0).cast("long"), last + 1)).alias("number"))
+    places = seen.select("run_id", "number").unionByName(ends)
+    before = F.lag("number").over(Window.partitionBy("run_id").orderBy("number"))
+    gaps = places.withColumn("before", before).filter(F.col("number") - F.col("before") > 1)
+    gaps = gaps.select("run_id", F.explode(F.sequence(F.col("before") + 1, F.col("number") - 1)).alias("number"))
+    return gaps.join(numbers, "number").select("run_id", "gene_id")
 
 
 def reserved_violations(samples: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exprspark.operators.ordering import exact_quantiles, top_per_group
+from exprspark.session import Workspace
+from exprspark.sources.records import refuse
 
 # Parity tolerance.
 ABS_TOL = 1e-10
@@ -77,18 +79,43 @@ def significant_genes(results: DataFrame, alpha: float = 0.05) -> DataFrame:
 
 
 def compare_results(a: DataFrame, b: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """One row: common genes, fold-change correlation, median difference, sign changes, gene-set overlap."""
-    common = join_results(a, b)
+    """One row: common genes, fold-change correlation, median difference, sign changes, gene-set overlap.
+
+    Both tables meet in one grouping by gene, which is written once and serves every figure.
+    """
+
+    def side(table: DataFrame, number: int) -> DataFrame:
+        lfc = F.when(is_finite(F.col("log2FoldChange")), F.col("log2FoldChange"))
+        chosen = is_finite(F.col("padj")) & (F.col("padj") < alpha)
+        return table.select("gene_id", F.lit(number).alias("side"), lfc.alias("lfc"), chosen.alias("chosen"))
+
+    def of(number: int, column: str):
+        return F.when(F.col("side") == number, F.col(column))
+
+    genes = side(a, 1).unionByName(side(b, 2)).groupBy("gene_id").agg(
+        F.max(of(1, "lfc")).alias("a"),
+        F.max(of(2, "lfc")).alias("b"),
+        F.coalesce(F.bool_or(of(1, "chosen")), F.lit(False)).alias("in_a"),
+        F.coalesce(F.bool_or(of(2, "chosen")), F.lit(False)).alias("in_b"),
+    )
+    genes = Workspace(a.sparkSession, "compare").save(genes, "genes")
+    known = F.col("a").isNotNull() & F.col("b").isNotNull()
     opposite = ((F.col("a") > 0) != (F.col("b") > 0)) & (F.col("a") != 0) & (F.col("b") != 0)
-    base = common.agg(
-        F.count(F.lit(1)).alias("common_genes"),
+    totals = genes.agg(
+        F.count_if(known).alias("common_genes"),
         pearson("a", "b").alias("lfc_pearson"),
-        F.count_if(opposite).alias("sign_disagreements"),
+        F.count_if(known & opposite).alias("sign_disagreements"),
+        F.count_if("in_a").alias("n_a"),
+        F.count_if("in_b").alias("n_b"),
+        F.count_if(F.col("in_a") & F.col("in_b")).alias("n_both"),
+        F.count_if(F.col("in_a") | F.col("in_b")).alias("n_either"),
     )
-    median = exact_quantiles(common.select(F.abs(F.col("a") - F.col("b")).alias("d")), "d", [0.5])
-    overlap = set_overlap(significant_genes(a, alpha), significant_genes(b, alpha))
-    return base.withColumn("median_absolute_difference", median.select("quantile").scalar()).withColumns(
-        {c: overlap.select(c).scalar() for c in ("n_a", "n_b", "n_both", "n_either", "jaccard")}
+    median = exact_quantiles(genes.filter(known).select(F.abs(F.col("a") - F.col("b")).alias("d")), "d", [0.5])
+    return totals.withColumns(
+        {
+            "median_absolute_difference": median.select("quantile").scalar(),
+            "jaccard": F.try_divide(F.col("n_both").cast("double"), F.col("n_either").cast("double")),
+        }
     )
 
 
@@ -149,17 +176,24 @@ def parity(expected: DataFrame, actual: DataFrame, keys: list[str], log_columns:
 
 
 def mapping_metrics(sam: DataFrame, inputs: DataFrame, keys: list[str]) -> DataFrame:
-    """Mapped, unique, multi-mapped and spliced primary records per run, and the mapping rate."""
-    primary = sam.filter("primary").groupBy(*keys).agg(
+    """Mapped, unique, multi-mapped and spliced primary records per run, and the mapping rate.
+
+    A record that ``sam_violations`` lists fails the job, as does a run with more mapped records than reads.
+    """
+    place = F.concat(F.col("source"), F.lit(" read "), F.col("read_id"))
+    sound = sam.filter(F.col("primary") | F.col("problem").isNotNull()).withColumn("nh", refuse(F.col("problem"), place, F.col("nh")))
+    primary = sound.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("mapped"),
         F.count_if(F.col("nh") == 1).alias("unique"),
         F.count_if(F.col("nh") > 1).alias("multimapped"),
         F.count_if("spliced").alias("spliced"),
     )
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("mapped", "unique", "multimapped", "spliced")}
-    return inputs.select(*keys, "input_reads").join(primary, keys, "left").withColumns(zero).withColumn(
-        "mapping_rate", F.try_divide(F.col("mapped").cast("double"), F.col("input_reads").cast("double"))
-    )
+    joined = inputs.select(*keys, "input_reads").join(primary, keys, "left").withColumns(zero)
+    more = F.when(F.col("mapped") > F.col("input_reads"), F.lit("more mapped records than reads"))
+    run = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    rate = F.try_divide(F.col("mapped").cast("double"), F.col("input_reads").cast("double"))
+    return joined.withColumn("mapping_rate", refuse(more, run, rate))
 
 
 def repeat_equality(files: DataFrame) -> DataFrame:

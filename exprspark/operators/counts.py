@@ -48,13 +48,11 @@ def drop_zero_total(matrix: DataFrame) -> DataFrame:
     return matrix.join(kept, "gene_id", "left_semi")
 
 
-def restrict_genes(counts: DataFrame, universe: DataFrame) -> DataFrame:
-    return counts.join(universe.select("gene_id"), "gene_id", "left_semi")
-
-
 def to_wide(matrix: DataFrame, sample_ids: list[str]) -> DataFrame:
-    """Gene rows, one column per sample in the given order; missing cells become zero."""
-    wide = matrix.groupBy("gene_id").pivot("sample_id", sample_ids).agg(F.sum("count"))
+    """Gene rows, one column per sample in the given order; missing cells become zero, a cell of another sample fails the job."""
+    told = F.concat(F.lit("count of a sample that is not listed: "), F.coalesce("sample_id", F.lit("NULL")))
+    listed = F.when(F.coalesce(F.col("sample_id").isin(sample_ids), F.lit(False)), F.col("sample_id")).otherwise(F.raise_error(told))
+    wide = matrix.withColumn("sample_id", listed).groupBy("gene_id").pivot("sample_id", sample_ids).agg(F.sum("count"))
     return wide.select("gene_id", *[F.coalesce(F.col(f"`{s}`"), F.lit(0)).alias(s) for s in sample_ids])
 
 

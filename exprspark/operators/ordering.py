@@ -1,84 +1,61 @@
 """Ranks, adjusted p-values and exact quantiles that need a total order within a group.
 
-A plain window over one contrast or one sample would sort that whole group in a single task. Here a
-group is first reduced to its distinct values, then cut into value ranges of bounded size, and only
-tables with one row per range are windowed over whole groups.
+A plain window over one contrast or one sample would sort that whole group in a single task. Here a group is first
+reduced to its distinct values, these are dealt to ranges of bounded size in order of group and value, and only tables
+with one row per group and range are windowed over whole groups. The way is the same at every size and for every type
+that Spark can order; values are never converted.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from exprspark.session import Workspace
 
 ROWS_PER_RANGE = 500_000
-MAX_RANGES = 2_000
 
 
-def range_bounds(df: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
-    """Inner bounds that cut the column into ranges of at most about ``rows_per_range`` rows.
+def is_value(df: DataFrame, value: str) -> Column:
+    """Whether a row has a value to rank: neither NULL nor, in floating columns, NaN."""
+    known = F.col(value).isNotNull()
+    return known & ~F.isnan(value) if dict(df.dtypes)[value] in ("double", "float") else known
 
-    A row count decides whether any are needed; then one aggregate returns the quantile marks. The marks
-    only steer how rows are spread over tasks; being plain numbers afterwards, every use sees the same
-    ranges.
-    """
-    ranges = min(MAX_RANGES, -(-df.count() // rows_per_range))
-    if ranges <= 1:
-        return []
-    marks = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(value, marks, 4 * MAX_RANGES)).first()[0]
-    return sorted(set(map(float, found)))
 
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join by columns of the same names, NULL keys matching each other; the keys come once, from the left."""
+    names = {k: f"{k}__other" for k in keys}
+    renamed = right.withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return left.join(renamed, same, how).drop(*names.values())
 
-def ordered_counts(
-    df: DataFrame,
-    value: str,
-    by: list[str],
-    rows_per_range: int = ROWS_PER_RANGE,
-    at_most: int | None = None,
-) -> DataFrame:
-    """Distinct non-NULL values per group as ``by + (value, n, upto, total, value_range)``.
 
-    ``n`` rows share the value, ``upto`` rows are less or equal, ``total`` rows are in the group. The
-    distinct values are written once, so finding the ranges does not run the input a second time. A caller
-    that knows no group exceeds ``at_most`` rows saves that step when the bound fits one range.
+def ordered_counts(df: DataFrame, value: str, by: list[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Distinct values per group as ``by + (value, n, upto, total, value_range)``.
+
+    ``n`` rows share the value, ``upto`` rows are less or equal, ``total`` rows are in the group. NULL and NaN are no
+    values. The ranges are written with their numbers, so that every use sees the same ones.
     """
-    distinct = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    if at_most is not None and at_most <= rows_per_range:
-        bounds = []
-    else:
-        distinct = Workspace(df.sparkSession, "ordered").save(distinct, "distinct")
-        bounds = range_bounds(distinct, value, rows_per_range)
-    if not bounds:
-        group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-        running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        return distinct.select(
-            *by,
-            value,
-            "n",
-            F.sum("n").over(running).alias("upto"),
-            F.sum("n").over(group).alias("total"),
-            F.lit(0.0).alias("value_range"),
-        )
-    cut = Bucketizer(
-        splits=[-float("inf"), *bounds, float("inf")], inputCol=value, outputCol="value_range"
-    ).transform(distinct.withColumn(value, F.col(value).cast("double")))
+    space = Workspace(df.sparkSession, "ordered")
+    counted = Observation()
+    distinct = df.filter(is_value(df, value)).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    distinct = space.save(distinct.observe(counted, F.count(F.lit(1)).alias("rows")), "distinct")
+    ranges = max(1, -(-counted.get["rows"] // rows_per_range))
+    cut = space.save(
+        distinct.repartitionByRange(ranges, *by, value).withColumn("value_range", F.spark_partition_id().cast("long")), "ranges"
+    )
+    space.drop("distinct")
     keys = [*by, "value_range"]
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = group.orderBy("value_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = cut.groupBy(*keys).agg(F.sum("n").alias("in_range")).select(
-        *keys,
-        F.coalesce(F.sum("in_range").over(before), F.lit(0)).alias("before"),
-        F.sum("in_range").over(group).alias("total"),
+    sums = cut.groupBy(*keys).agg(F.sum("n").alias("in_range")).select(
+        *keys, F.coalesce(F.sum("in_range").over(before), F.lit(0)).alias("before"), F.sum("in_range").over(group).alias("total")
     )
     inside = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        cut.withColumn("inside", F.sum("n").over(inside))
-        .join(ranges, keys)
-        .select(*by, value, "n", (F.col("before") + F.col("inside")).alias("upto"), "total", "value_range")
-    )
+    joined = join_on(cut.withColumn("inside", F.sum("n").over(inside)), sums, keys)
+    return joined.select(*by, value, "n", (F.col("before") + F.col("inside")).alias("upto"), "total", "value_range")
 
 
 def adjust_p(
@@ -87,15 +64,14 @@ def adjust_p(
     by: list[str] | None = None,
     out: str = "padj",
     rows_per_range: int = ROWS_PER_RANGE,
-    at_most: int | None = None,
 ) -> DataFrame:
-    """Benjamini-Hochberg adjusted p-values within each group; NULL p-values stay out and stay NULL.
+    """Benjamini-Hochberg adjusted p-values within each group; NULL and NaN p-values stay out and get NULL.
 
     Tied p-values share the smallest of their ``total * p / rank``, reached at the last tied rank, so the
     work runs over distinct p-values and is joined back.
     """
     by = by or []
-    ranked = ordered_counts(df, p, by, rows_per_range, at_most)
+    ranked = ordered_counts(df, p, by, rows_per_range)
     ranked = ranked.withColumn("step", F.col("total") * F.col(p) / F.col("upto"))
     keys = [*by, "value_range"]
     inside = Window.partitionBy(*keys).orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
@@ -104,20 +80,17 @@ def adjust_p(
     ranges = ranked.groupBy(*keys).agg(F.min("step").alias("lowest")).select(
         *keys, F.min("lowest").over(later).alias("later")
     )
-    adjusted = (
-        ranked.withColumn("inside", F.min("step").over(inside))
-        .join(ranges, keys)
-        .select(*by, p, F.least(F.lit(1.0), F.col("inside"), F.col("later")).alias(out))
-    )
-    return df.join(adjusted, [*by, p], "left")
+    adjusted = join_on(ranked.withColumn("inside", F.min("step").over(inside)), ranges, keys)
+    adjusted = adjusted.select(*by, p, F.least(F.lit(1.0), F.col("inside"), F.col("later")).alias(out))
+    return join_on(df, adjusted, [*by, p], "left")
 
 
-def rejections(df: DataFrame, p: str, by: list[str], alpha: float, at_most: int | None = None) -> DataFrame:
+def rejections(df: DataFrame, p: str, by: list[str], alpha: float) -> DataFrame:
     """How many rows per group an adjusted p-value below ``alpha`` would select.
 
     It is the last rank whose own ``total * p / rank`` lies below ``alpha``; no reverse scan is needed.
     """
-    ranked = ordered_counts(df, p, by, at_most=at_most)
+    ranked = ordered_counts(df, p, by)
     hit = F.col("total") * F.col(p) / F.col("upto") < alpha
     return ranked.groupBy(*by).agg(F.coalesce(F.max(F.when(hit, F.col("upto"))), F.lit(0)).alias("rejections"))
 
@@ -128,18 +101,13 @@ def exact_quantiles(
     probs: list[float],
     by: list[str] | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
-    at_most: int | None = None,
 ) -> DataFrame:
     """Interpolated quantiles per group as ``by + (level, quantile)``, one row per probability in order.
 
     Only the one or two distinct values around each wanted position take part in the last aggregate.
-    Groups known to be small use the built-in exact percentile.
     """
     by = by or []
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-    if at_most is not None and at_most <= rows_per_range:
-        found = df.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), [float(p) for p in probs]).alias("q"))
-        return found.select(*by, F.posexplode("q").alias("level", "quantile"))
     ranked = ordered_counts(df, value, by, rows_per_range)
     places = F.transform(
         wanted, lambda p, i: F.struct(i.cast("int").alias("level"), (p * (F.col("total") - 1)).alias("place"))

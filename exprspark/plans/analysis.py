@@ -129,7 +129,7 @@ def sample_tables(spark: SparkSession, arrays: DataFrame, model: Model, covariat
 def contrast_tables(ws: Workspace, study: Study, fit: Fit, i: int, facts: dict[str, str], annotation: DataFrame | None, arrays: DataFrame) -> dict[str, DataFrame]:
     contrast, model = study.contrasts[i], study.models[i]
     name = f"contrast{i}"
-    raw = ws.save(res.independent_filter(res.wald(fit, model.coefficient), study.alpha, fit.gene_count), f"{name}-results")
+    raw = ws.save(res.independent_filter(res.wald(fit, model.coefficient), study.alpha), f"{name}-results")
     shrunk = ws.save(res.shrink(fit, raw, model.coefficient), f"{name}-shrunken")
     facts = {
         "contrast_id": contrast["contrast_id"], "factor": contrast["factor"], "numerator": contrast["numerator"],
@@ -195,7 +195,7 @@ def run_analysis(
     if not retained:
         raise checks.ContractError("no genes retained after zero_total filtering")
     packed = packed_all.filter(has_count)
-    sf = factor_array(size_factors(packed, study.sample_ids, retained), study.sample_ids)
+    sf = factor_array(size_factors(packed, study.sample_ids), study.sample_ids)
     facts = {"genes_input": str(tally["genes"]), "genes_zero_total": str(tally["empty"])}
     groups = model_groups(study.models)
     fits: list[Fit] = []

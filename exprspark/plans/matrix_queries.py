@@ -26,6 +26,7 @@ from exprspark.plans.views import (
     universe,
     values,
 )
+from exprspark.session import Workspace
 from exprspark.stats import results as res
 from exprspark.stats.normalize import base_moments, size_factors, vst_parametric
 from exprspark.stats.transform import distance_matrix, distances_of, gram, gram_matrix, normalized_arrays
@@ -187,11 +188,11 @@ def volcano_data(spark, sf):
 @query(
     "ma_data",
     WITH_RESULTS
-    + """ SELECT gene_id, ROUND(baseMean, 6) AS baseMean, ROUND(log2FoldChange, 6) AS log2FoldChange,
-             padj < 0.05 AS significant FROM results WHERE backend = 'N'""",
+    + """ SELECT backend, gene_id, ROUND(baseMean, 6) AS baseMean, ROUND(log2FoldChange, 6) AS log2FoldChange,
+             padj < 0.05 AS significant FROM results""",
 )
 def ma_data(spark, sf):
-    table_ = res.ma_data(backend(results(spark, sf), "N"), ALPHA)
+    table_ = res.ma_data(results(spark, sf), ALPHA, ["backend"])
     return table_.withColumns({c: F.round(c, 6) for c in ("baseMean", "log2FoldChange")})
 
 
@@ -307,6 +308,11 @@ da AS (SELECT gene_id FROM x WHERE padj < 0.05), db AS (SELECT gene_id FROM y WH
 both_sets AS (SELECT * FROM da INTERSECT SELECT * FROM db), either AS (SELECT * FROM da UNION SELECT * FROM db)"""
 
 
+def saved_results(spark, sf):
+    """The result table, written once for a query that reads it more than once."""
+    return Workspace(spark, "results").save(results(spark, sf), "results")
+
+
 @query(
     "compare_results",
     PAIR_SQL
@@ -319,7 +325,7 @@ both_sets AS (SELECT * FROM da INTERSECT SELECT * FROM db), either AS (SELECT *
           FROM x JOIN y USING (gene_id)""",
 )
 def compare_results(spark, sf):
-    both = results(spark, sf)
+    both = saved_results(spark, sf)
     report = compare.compare_results(backend(both, "A"), backend(both, "R"), ALPHA)
     return report.withColumns({c: F.round(c, 8) for c in ("lfc_pearson", "median_absolute_difference", "jaccard")})
 
@@ -332,7 +338,7 @@ def compare_results(spark, sf):
              ROUND((SELECT COUNT(*) FROM both_sets)::DOUBLE / NULLIF((SELECT COUNT(*) FROM either), 0), 8) AS jaccard""",
 )
 def deg_jaccard(spark, sf):
-    both = results(spark, sf)
+    both = saved_results(spark, sf)
     report = compare.set_overlap(
         compare.significant_genes(backend(both, "A")), compare.significant_genes(backend(both, "R"))
     )
@@ -341,14 +347,14 @@ def deg_jaccard(spark, sf):
 
 @query("deg_union", PAIR_SQL + " SELECT gene_id FROM either")
 def deg_union(spark, sf):
-    both = results(spark, sf)
+    both = saved_results(spark, sf)
     a, b = (compare.significant_genes(backend(both, f)) for f in "AR")
     return a.union(b).distinct()
 
 
 @query("deg_intersection", PAIR_SQL + " SELECT gene_id FROM both_sets")
 def deg_intersection(spark, sf):
-    both = results(spark, sf)
+    both = saved_results(spark, sf)
     a, b = (compare.significant_genes(backend(both, f)) for f in "AR")
     return a.intersect(b)
 
@@ -360,7 +366,7 @@ def deg_intersection(spark, sf):
           UNION ALL SELECT gene_id, 'absent' FROM (SELECT * FROM db EXCEPT SELECT * FROM da)""",
 )
 def deg_novel_absent(spark, sf):
-    both = results(spark, sf)
+    both = saved_results(spark, sf)
     return cohort.novel_and_absent(
         compare.significant_genes(backend(both, "A")), compare.significant_genes(backend(both, "R"))
     )
@@ -383,31 +389,32 @@ def gene_set_equality(spark, sf):
 
 # The second table plants errors: effects off by 1e-6 relative, dropped padj, and lost rows, by part size.
 PARITY_SQL = WITH_RESULTS + """,
-n AS (SELECT r.*, p_size FROM results r JOIN part ON gene_id = 'P' || p_partkey WHERE backend = 'N'),
-joined AS (SELECT gene_id, log2FoldChange AS e_lfc, pvalue AS e_p,
+n AS (SELECT r.*, p_size FROM results r JOIN part ON gene_id = 'P' || p_partkey),
+joined AS (SELECT backend, gene_id, log2FoldChange AS e_lfc, pvalue AS e_p,
    CASE WHEN p_size = 7 THEN log2FoldChange * (1 + 1e-6) WHEN p_size = 8 THEN log2FoldChange * (1 + 1e-9) ELSE log2FoldChange END AS x_lfc,
    CASE WHEN p_size = 9 THEN NULL WHEN p_size = 10 THEN pvalue * (1 + 1e-6) ELSE pvalue END AS x_p, p_size FROM n)
-SELECT gene_id, 'log2FoldChange' AS "column", 'number' AS problem FROM joined
+SELECT backend, gene_id, 'log2FoldChange' AS "column", 'number' AS problem FROM joined
   WHERE p_size <> 11 AND ABS(x_lfc - e_lfc) > 1e-10 + 1e-7 * ABS(e_lfc)
-UNION ALL SELECT gene_id, 'pvalue', 'null_mask' FROM joined WHERE p_size = 9
-UNION ALL SELECT gene_id, 'pvalue', CASE WHEN ABS(x_p - e_p) > 1e-10 + 1e-7 * ABS(e_p) THEN 'number' ELSE 'log_number' END
+UNION ALL SELECT backend, gene_id, 'pvalue', 'null_mask' FROM joined WHERE p_size = 9
+UNION ALL SELECT backend, gene_id, 'pvalue', CASE WHEN ABS(x_p - e_p) > 1e-10 + 1e-7 * ABS(e_p) THEN 'number' ELSE 'log_number' END
   FROM joined WHERE p_size = 10 AND e_p > 0
-UNION ALL SELECT gene_id, '*', 'missing_row' FROM joined WHERE p_size = 11"""
+UNION ALL SELECT backend, gene_id, '*', 'missing_row' FROM joined WHERE p_size = 11"""
 
 
 @query("parity_diff", PARITY_SQL)
 def parity_diff(spark, sf):
-    expected = backend(results(spark, sf), "N").select("gene_id", "log2FoldChange", "pvalue")
+    expected = saved_results(spark, sf).select("backend", "gene_id", "log2FoldChange", "pvalue")
     sizes = table(spark, sf, "part").select(
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("gene_id"), "p_size"
     )
     size, lfc, p = F.col("p_size"), F.col("log2FoldChange"), F.col("pvalue")
     actual = expected.join(sizes, "gene_id").filter(size != 11).select(
+        "backend",
         "gene_id",
         F.when(size == 7, lfc * (1 + 1e-6)).when(size == 8, lfc * (1 + 1e-9)).otherwise(lfc).alias("log2FoldChange"),
         F.when(size == 10, p * (1 + 1e-6)).when(size != 9, p).alias("pvalue"),
     )
-    return compare.parity(expected, actual, ["gene_id"], ("pvalue",))
+    return compare.parity(expected, actual, ["backend", "gene_id"], ("pvalue",))
 
 
 @query(
@@ -428,7 +435,8 @@ def completeness(spark, sf):
          EXCEPT SELECT run_id, gene_id FROM run_counts""",
 )
 def missing_genes(spark, sf):
-    counts, genes = run_counts(spark, sf), universe(spark, sf)
+    genes = universe(spark, sf)
+    counts = Workspace(spark, "runs").save(run_counts(spark, sf), "counts")
     return checks.missing_genes(counts, checks.completeness(counts, run_manifest(spark, sf), genes), genes)
 
 
@@ -471,6 +479,19 @@ def prefix_sample(spark, sf):
     return fastq_prefix(event_records(spark, sf), 50)
 
 
+@query(
+    "rank_large_ids",
+    """SELECT event_type, event_id + 9007199254740992 AS big_id,
+         ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY event_id) AS place,
+         COUNT(*) OVER (PARTITION BY event_type) AS total FROM events""",
+)
+def rank_large_ids(spark, sf):
+    """Ids past 2^53, where neighbours would be one number as doubles, over ranges far smaller than the table."""
+    ids = table(spark, sf, "events").select("event_type", (F.col("event_id").cast("bigint") + F.lit(2**53)).alias("big_id"))
+    ranked = ordered_counts(ids, "big_id", ["event_type"], rows_per_range=1_000)
+    return ranked.select("event_type", "big_id", F.col("upto").cast("bigint").alias("place"), F.col("total").cast("bigint").alias("total"))
+
+
 def event_records(spark, sf):
     """Events as records of one file per event type, numbered in order."""
     ids = table(spark, sf, "events").select("event_type", "event_id")

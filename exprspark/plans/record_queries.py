@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from exprspark.functions import sequence as seq
-from exprspark.functions.text import decimal_value, uint64_value, valid_id, valid_identifier
+from exprspark.functions.text import decimal_value, plain_path, uint64_value, valid_id, valid_identifier
 from exprspark.operators import cohort, compare, overlap
-from exprspark.operators.counts import merge_runs
+from exprspark.operators.counts import dense, merge_runs
+from exprspark.plans import merge
 from exprspark.plans.registry import query, table
 from exprspark.session import Workspace
+from exprspark.sinks.tables import write_counts, write_results
 from exprspark.sources import records
-from exprspark.sources.counts import legacy_counts, native_counts, table_counts, with_run
+from exprspark.sources.counts import legacy_counts, native_counts, read_summaries, table_counts, typed_counts, wide_to_long, with_run
 from exprspark.sources.files import inventory
 from exprspark.sources.lines import carry_forward
 from exprspark.sources.tsv import check_lines, read_table, rejects, scan_tsv
@@ -197,26 +199,26 @@ def mapping_metrics(spark, sf):
     return compare.mapping_metrics(sam, inputs, ["run"]).withColumn("mapping_rate", F.round("mapping_rate", 8))
 
 
-# Documents as reads: bases and qualities from the digest of the whole text, broken in a way set by language.
+# Documents as reads: bases and qualities from all bytes of the text in hexadecimal, broken in a way set by language.
 FASTQ_SQL = """
 reads AS (
   SELECT '@doc' || doc_id AS header,
-    CASE WHEN lang = 'es' THEN 'X' ELSE '' END || translate(md5(text), '0123456789abcdef', 'ACGTNACGTNACGTNA') AS seq,
+    CASE WHEN lang = 'es' THEN 'X' ELSE '' END || translate(hex(text), '0123456789ABCDEF', 'ACGTNACGTNACGTNA') AS seq,
     CASE WHEN lang = 'de' THEN '-' ELSE '+' END AS plus,
-    CASE WHEN lang = 'es' THEN 'I' ELSE '' END || CASE WHEN lang = 'fr' THEN substr(md5(text), 2) ELSE md5(text) END AS qual,
+    CASE WHEN lang = 'es' THEN 'I' ELSE '' END || CASE WHEN lang = 'fr' THEN substr(hex(text), 2) ELSE hex(text) END AS qual,
     CASE lang WHEN 'de' THEN 'delimiter' WHEN 'fr' THEN 'length' WHEN 'es' THEN 'sequence' END AS problem
   FROM documents
 )"""
 
 
 def fastq_folder(spark, sf):
-    lang, digest = F.col("lang"), F.md5("text")
+    lang, cells = F.col("lang"), F.hex("text")
     extra = F.when(lang == "es", "X").otherwise("")
-    quality = F.concat(F.when(lang == "es", "I").otherwise(""), F.when(lang == "fr", F.substring(digest, 2, 32)).otherwise(digest))
+    quality = F.concat(F.when(lang == "es", "I").otherwise(""), F.when(lang == "fr", F.substr(cells, F.lit(2))).otherwise(cells))
     record = F.concat_ws(
         "\n",
         F.concat(F.lit("@doc"), F.col("doc_id").cast("string")),
-        F.concat(extra, F.translate(digest, "0123456789abcdef", "ACGTNACGTNACGTNA")),
+        F.concat(extra, F.translate(cells, "0123456789ABCDEF", "ACGTNACGTNACGTNA")),
         F.when(lang == "de", "-").otherwise("+"),
         quality,
     )
@@ -240,18 +242,18 @@ def fastq_text_roundtrip(spark, sf):
 
 @query(
     "revcomp_phred",
-    """SELECT doc_id, reverse(translate(upper(md5(text)), 'ACGT', 'TGCA')) AS revcomp,
-              CAST(list_sum(list_transform(string_split(md5(text), ''), lambda q: ascii(q) - 33)) AS BIGINT) AS score_sum,
-              ROUND(list_sum(list_transform(string_split(md5(text), ''), lambda q: POW(10.0, -(ascii(q) - 33) / 10.0))), 9) AS expected_errors
+    """SELECT doc_id, reverse(translate(hex(text), 'ACGT', 'TGCA')) AS revcomp,
+              CAST(list_sum(list_transform(string_split(hex(text), ''), lambda q: ascii(q) - 33)) AS BIGINT) AS score_sum,
+              ROUND(list_sum(list_transform(string_split(hex(text), ''), lambda q: POW(10.0, -(ascii(q) - 33) / 10.0))), 6) AS expected_errors
        FROM documents""",
 )
 def revcomp_phred(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.md5("text").alias("q"))
+    docs = table(spark, sf, "documents").select("doc_id", F.hex("text").alias("q"))
     scores = seq.phred_scores(F.col("q"))
     total = F.aggregate(scores, F.lit(0).cast("bigint"), lambda a, b: a + b)
     errors = F.aggregate(F.transform(scores, seq.phred_error), F.lit(0.0), lambda a, b: a + b)
     return docs.select(
-        "doc_id", seq.reverse_complement(F.upper("q")).alias("revcomp"), total.alias("score_sum"), F.round(errors, 9).alias("expected_errors")
+        "doc_id", seq.reverse_complement(F.col("q")).alias("revcomp"), total.alias("score_sum"), F.round(errors, 6).alias("expected_errors")
     )
 
 
@@ -296,6 +298,37 @@ def gtf_rows(spark, sf):
     return records.read_gtf(spark, folder)
 
 
+@query(
+    "gtf_violations",
+    """SELECT rule, COUNT(*) AS rows FROM (SELECT CASE WHEN p_partkey % 5 = 0 THEN 'fields' WHEN p_partkey % 5 = 1 THEN 'coordinates'
+         WHEN p_partkey % 5 = 2 THEN 'gene_id' END AS rule FROM part) WHERE rule IS NOT NULL GROUP BY rule""",
+)
+def gtf_violations(spark, sf):
+    """Parts as exon rows: some a field short, some without a start, some without a gene."""
+    kind = F.col("p_partkey") % 5
+    name = F.when(kind == 2, F.lit('gene "x";')).otherwise(F.concat(F.lit('gene_id "P'), F.col("p_partkey").cast("string"), F.lit('";')))
+    start = F.when(kind == 1, F.lit("x")).otherwise(F.lit("1"))
+    full = F.concat_ws("\t", F.lit("chr1\tparts\texon"), start, F.lit("9\t.\t+\t."), name)
+    text = table(spark, sf, "part").select(F.when(kind == 0, F.substring_index(full, "\t", 8)).otherwise(full).alias("value"))
+    features = records.read_gtf(spark, Workspace(spark, "gtf").save_text(text, "broken"))
+    return records.gtf_violations(features).groupBy("rule").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "sam_violations",
+    """SELECT rule, COUNT(*) AS rows FROM (SELECT CASE l_linenumber % 4 WHEN 0 THEN 'flag' WHEN 1 THEN 'nh_tag' WHEN 2 THEN 'nh_tag' END AS rule
+         FROM lineitem) WHERE rule IS NOT NULL GROUP BY rule""",
+)
+def sam_violations(spark, sf):
+    """Line items as alignments: some with an unreadable flag, some without a hit count, some with two."""
+    kind = F.col("l_linenumber") % 4
+    tags = F.when(kind == 1, "AS:i:0").when(kind == 2, "NH:i:1\tNH:i:2").otherwise("NH:i:1")
+    cells = [F.col("l_orderkey").cast("string"), F.when(kind == 0, "x").otherwise("0"), F.lit("chr1\t1\t255\t9M\t*\t0\t0\t*\t*"), tags]
+    text = table(spark, sf, "lineitem").select(F.concat_ws("\t", *cells).alias("value"))
+    found = records.sam_violations(records.read_sam(spark, Workspace(spark, "sam").save_text(text, "broken")))
+    return found.groupBy("rule").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("gtf_annotation", GTF_SQL)
 def gtf_annotation(spark, sf):
     return cohort.annotation_from_exons(records.exon_rows(gtf_rows(spark, sf)))
@@ -342,6 +375,25 @@ def soft_entries(spark, sf):
     return records.read_soft(spark, folder)
 
 
+@query(
+    "soft_violations",
+    """SELECT rule, COUNT(*) AS rows FROM (
+         SELECT UNNEST(CASE c_custkey % 4 WHEN 0 THEN ['title', 'incomplete'] WHEN 1 THEN ['label', 'incomplete']
+                                          WHEN 2 THEN ['repeated_sample', 'incomplete'] ELSE ['incomplete'] END) AS rule
+         FROM customer) GROUP BY rule""",
+)
+def soft_violations(spark, sf):
+    """Customers as metadata blocks, each of which lacks most labels: some with a bad title or label, some opened twice."""
+    key = F.col("c_custkey")
+    opener = F.concat(F.lit("^SAMPLE = GSM"), key.cast("string"))
+    title = F.when(key % 4 == 0, "!Sample_title = other-1").otherwise("!Sample_title = control-1")
+    label = F.when(key % 4 == 1, "!Sample_characteristics_ch1 = height: 2").otherwise("!Sample_characteristics_ch1 = Sex: male")
+    text = F.concat_ws("\n", opener, title, label, F.when(key % 4 == 2, opener))
+    folder = Workspace(spark, "soft").save_text(table(spark, sf, "customer").select(text.alias("value")), "broken")
+    found = records.soft_problems(records.read_soft(spark, folder))
+    return found.groupBy("rule").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("soft_metadata", SOFT_SQL)
 def soft_metadata(spark, sf):
     return records.soft_samples(soft_entries(spark, sf))
@@ -452,8 +504,6 @@ def merge_count_files(spark, sf):
             rows = rows.toDF("sample", *[names.get(c, c) for c in columns])
         rows.write.mode("errorifexists").partitionBy("sample").option("sep", "\t").option("header", header).csv(folder)
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder)
-        from exprspark.functions.text import plain_path
-
         path = plain_path(F.col("path"))
         inputs = listed.select(
             F.regexp_extract(path, "([^/]*/[^/]*)$", 1).alias("run_id"),
@@ -468,6 +518,140 @@ def merge_count_files(spark, sf):
     return merge_runs(counts, manifest).withColumn("count", F.col("count").cast("bigint"))
 
 
+def write_study(spark, sf) -> dict[str, str]:
+    """A study written as its manifests and one count file per run, in all three formats; gives the paths.
+
+    Runs are line number by return flag, samples line numbers; every run lists every part.
+    """
+    ws = Workspace(spark, "study")
+    quantity = F.col("l_quantity").cast("bigint")
+    gene = F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("gene_id")
+    run = F.concat_ws("_", F.lit("R"), F.col("l_linenumber").cast("string"), F.col("l_returnflag")).alias("sample_id")
+    items = table(spark, sf, "lineitem").groupBy(gene, run).agg(F.sum(quantity).alias("count"))
+    items = ws.save(items, "items")
+    run_ids = sorted(r[0] for r in items.select("sample_id").distinct().collect())
+    parts = table(spark, sf, "part")
+    genes = parts.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("gene_id"), "p_name", "p_brand")
+    cells = dense(items, run_ids, genes).select(F.col("sample_id").alias("run"), "gene_id", F.col("count").cast("bigint").alias("count"))
+    line = F.split_part("run", F.lit("_"), F.lit(2)).cast("int")
+    kinds = {"tsv": line <= 3, "legacy": line.isin(4, 5), "featurecounts": line >= 6}
+    inputs = []
+    for kind, chosen in kinds.items():
+        rows = cells.filter(chosen)
+        if kind == "featurecounts":
+            fixed = [F.lit(v).alias(n) for n, v in (("Chr", "c"), ("Start", "1"), ("End", "9"), ("Strand", "+"), ("Length", "9"), ("other.bam", "99"))]
+            rows = rows.select("run", F.col("gene_id").alias("Geneid"), *fixed, F.col("count").alias("mine.bam"))
+        # A run's file is one file by its format, so a run is one task here.
+        writer = rows.repartition("run").write.mode("errorifexists").partitionBy("run").option("sep", "\t")
+        writer.option("header", kind != "legacy").csv(ws.folder(kind))
+        path = plain_path(F.col("path"))
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(ws.folder(kind))
+        inputs.append(
+            listed.select(
+                F.regexp_extract(path, "/run=([^/]*)/", 1).alias("run_id"), F.lit(kind).alias("format"), path.alias("path"),
+                F.lit("mine.bam" if kind == "featurecounts" else "").alias("column"),
+            )
+        )
+    write_summaries(ws, inputs[-1], items)
+    manifest = inputs[0].unionByName(inputs[1]).unionByName(inputs[2])
+    sample = F.concat(F.lit("S"), F.split_part("run_id", F.lit("_"), F.lit(2))).alias("sample_id")
+    runs = manifest.select(
+        "run_id", sample, F.concat("run_id", F.lit(".fq")).alias("fastq_1"), F.lit("").alias("fastq_2"),
+        F.lit("single").alias("layout"), F.lit("unstranded").alias("strandedness"),
+    )
+    annotation = genes.select("gene_id", F.col("p_name").alias("gene_symbol"), F.lit("").alias("biotype"), F.col("p_brand").alias("chromosome"))
+    sheets = {
+        "samples": runs.select("sample_id").distinct().select("sample_id", F.lit("all").alias("condition")).orderBy(F.desc("sample_id")),
+        "runs": runs, "inputs": manifest, "genes": genes.select("gene_id"), "annotation": annotation,
+    }
+    for name, sheet in sheets.items():
+        # The sample sheet's order matters, so it is one file; it has a row per sample.
+        sheet = sheet.coalesce(1) if name in ("samples", "runs", "inputs") else sheet
+        sheet.write.mode("errorifexists").option("sep", "\t").option("header", True).option("emptyValue", "").csv(ws.folder(name))
+    return {name: ws.folder(name) for name in sheets}
+
+
+def write_summaries(ws: Workspace, inputs, items) -> None:
+    """An assignment summary beside each count table of ``inputs``; a run's file takes its place by renaming."""
+    run = F.col("sample_id").alias("run")
+    totals = items.join(inputs.select(F.col("run_id").alias("sample_id")), "sample_id", "left_semi").groupBy(run).agg(
+        F.sum("count").alias("assigned"), F.count(F.lit(1)).alias("other")
+    )
+    lines = F.concat_ws(
+        "\n", F.lit("Status\tother.bam\tmine.bam"), F.concat(F.lit("Assigned\t99\t"), F.col("assigned").cast("string")),
+        F.concat(F.lit("Unassigned_Unmapped\t0\t"), F.col("other").cast("string")),
+    )
+    folder = ws.folder("summaries")
+    totals.select("run", lines.alias("value")).repartition("run").write.mode("errorifexists").partitionBy("run").text(folder)
+    spark = ws.spark
+    made = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(folder)
+    made = made.select(F.regexp_extract(plain_path(F.col("path")), "/run=([^/]*)/", 1).alias("run_id"), plain_path(F.col("path")).alias("made"))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for row in made.join(inputs.select("run_id", "path"), "run_id").collect():
+        source = path(row["made"])
+        source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, path(row["path"] + ".summary"))
+
+
+@query(
+    "summary_scan",
+    """WITH runs AS (SELECT 'R_' || l_linenumber || '_' || l_returnflag AS run_id, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS assigned,
+                      COUNT(DISTINCT l_partkey) AS other FROM lineitem WHERE l_linenumber >= 6 GROUP BY l_linenumber, l_returnflag)
+       SELECT run_id, 'Assigned' AS status, assigned AS count FROM runs UNION ALL SELECT run_id, 'Unassigned_Unmapped', other FROM runs
+       UNION ALL SELECT run_id, 'Assigned', 99 FROM runs UNION ALL SELECT run_id, 'Unassigned_Unmapped', 0 FROM runs""",
+)
+def summary_scan(spark, sf):
+    """Assignment summaries read beside their count tables."""
+    paths = write_study(spark, sf)
+    inputs = read_table(spark, paths["inputs"], merge.INPUT_COLUMNS).filter("format = 'featurecounts'")
+    scan = read_summaries(spark, inputs.select("run_id", "path", "column"))
+    return scan.counts.select("run_id", "status", F.col("count").cast("bigint").alias("count"))
+
+
+FULL_SQL = """SELECT 'P' || p_partkey AS gene_id, 'S' || s AS sample_id, CAST(COALESCE(SUM(CAST(l_quantity AS BIGINT)), 0) AS BIGINT) AS count
+FROM part CROSS JOIN (SELECT DISTINCT l_linenumber AS s FROM lineitem) LEFT JOIN lineitem ON l_partkey = p_partkey AND l_linenumber = s GROUP BY ALL"""
+
+
+@query("merge_bundle", FULL_SQL)
+def merge_bundle(spark, sf):
+    """Manifests and count files read, checked, proven complete and summed by sample."""
+    paths = write_study(spark, sf)
+    merged = merge.merge_counts(spark, paths["samples"], paths["runs"], paths["genes"], paths["inputs"], paths["annotation"])
+    return merged.matrix.withColumn("count", F.col("count").cast("bigint"))
+
+
+@query("count_table_roundtrip", FULL_SQL)
+def count_table_roundtrip(spark, sf):
+    """The merged matrix published as the canonical table and read back through the strict dialect."""
+    paths = write_study(spark, sf)
+    merged = merge.merge_counts(spark, paths["samples"], paths["runs"], paths["genes"], paths["inputs"])
+    target = Workspace(spark, "published").folder("counts")
+    write_counts(merged.matrix, merged.sample_ids, target)
+    long = typed_counts(wide_to_long(read_table(spark, target), merged.sample_ids))
+    return long.withColumn("count", F.col("count").cast("bigint"))
+
+
+@query(
+    "result_table_roundtrip",
+    """SELECT o_orderpriority AS contrast_id, 'G' || o_orderkey AS gene_id,
+              CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE ROUND(CAST(o_totalprice AS DOUBLE) / 3, 6) END AS padj,
+              CASE WHEN o_orderkey % 5 = 0 THEN 'say "' || o_orderstatus || '"' ELSE o_orderstatus END AS gene_symbol FROM orders""",
+)
+def result_table_roundtrip(spark, sf):
+    """Orders as result rows by contrast: quoted cells and NA for NULL, written and read back."""
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    rows = table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("contrast_id"),
+        F.concat(F.lit("G"), key.cast("string")).alias("gene_id"),
+        F.when(key % 7 != 0, F.col("o_totalprice").cast("double") / 3).alias("padj"),
+        F.when(key % 5 == 0, F.concat(F.lit('say "'), status, F.lit('"'))).otherwise(status).alias("gene_symbol"),
+    )
+    target = Workspace(spark, "published").folder("results")
+    write_results(rows, target)
+    back = read_table(spark, target, ["contrast_id", "gene_id", "padj", "gene_symbol"])
+    padj = F.round(F.nullif(F.col("padj"), F.lit("NA")).cast("double"), 6)
+    return back.select("contrast_id", "gene_id", padj.alias("padj"), "gene_symbol")
+
+
 TOKENS_SQL = """tokens AS (SELECT doc_id, UNNEST(string_split(replace(text, chr(10), ' '), ' ')) AS token FROM documents)"""
 
 

@@ -108,12 +108,35 @@ def outside_reference(features: DataFrame, lengths: DataFrame) -> DataFrame:
     return joined.filter((F.col("start") < 1) | F.col("bases").isNull() | (F.col("end") > F.col("bases")))
 
 
+def gtf_violations(features: DataFrame) -> DataFrame:
+    """``source, record, rule``: rows that could not be read, and exons that name no gene."""
+    nameless = (F.col("feature") == "exon") & (gtf_attribute(F.col("attributes"), "gene_id") == "")
+    rule = F.coalesce(F.col("problem"), F.when(nameless, "gene_id"))
+    return features.withColumn("rule", rule).filter(F.col("rule").isNotNull()).select("source", "record", "rule")
+
+
+def refuse(rule: Column, place: Column, value: Column) -> Column:
+    """The value where no rule is broken; a broken one fails the job and names the place."""
+    told = F.concat(F.lit("broken record, "), rule, F.lit(": "), place)
+    return F.when(rule.isNotNull(), F.raise_error(told)).otherwise(value)
+
+
 def exon_rows(features: DataFrame, chrom: str | None = None) -> DataFrame:
-    kept = features.filter(F.col("feature") == "exon")
-    kept = kept if chrom is None else kept.filter(F.col("chrom") == chrom)
+    """Exons with their gene's names, of one chromosome if given. A row that ``gtf_violations`` lists fails the job."""
+    broken = F.col("problem").isNotNull()
+    wanted = F.col("feature") == "exon"
+    wanted = wanted if chrom is None else wanted & (F.col("chrom") == chrom)
     names = {"gene_id": "gene_id", "gene_symbol": "gene", "biotype": "gene_biotype"}
     found = {out: gtf_attribute(F.col("attributes"), key) for out, key in names.items()}
-    return kept.withColumns(found)
+    rule = F.coalesce(F.col("problem"), F.when(found["gene_id"] == "", "gene_id"))
+    place = F.concat(F.col("source"), F.lit(" record "), F.col("record").cast("string"))
+    found["gene_id"] = refuse(rule, place, found["gene_id"])
+    return features.filter(broken | wanted).withColumns(found).filter(F.col("gene_id").isNotNull())
+
+
+def sam_violations(records: DataFrame) -> DataFrame:
+    """``source, read_id, rule``: records without a readable flag, and mapped primary ones without one readable ``NH`` tag."""
+    return records.filter(F.col("problem").isNotNull()).select("source", "read_id", F.col("problem").alias("rule"))
 
 
 def read_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -180,8 +203,20 @@ def read_soft(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+OPENED = "opened"
+
+
 def soft_samples(entries: DataFrame) -> DataFrame:
-    """One row per sample. A later entry of the same name replaces an earlier one."""
+    """One row per sample. A later entry of the same name replaces an earlier one; a sample opened twice fails the job."""
+    gathered = soft_values(entries)
+    twice = F.when(F.col("times") > 1, F.lit("repeated_sample"))
+    checked = gathered.withColumn("sample_id", refuse(twice, F.col("sample_id"), F.col("sample_id")))
+    some = F.coalesce(*SOFT_COLUMNS).isNotNull()
+    return checked.filter(F.col("sample_id").isNotNull() & some).drop("times")
+
+
+def soft_values(entries: DataFrame) -> DataFrame:
+    """The values of each sample and how many ``times`` it is opened."""
     key, value = F.col("key"), F.col("value")
     labels = F.create_map(*[F.lit(x) for pair in SOFT_LABELS.items() for x in pair])
     title = (key == "!Sample_title") & value.rlike(SOFT_TITLE)
@@ -195,13 +230,14 @@ def soft_samples(entries: DataFrame) -> DataFrame:
             F.struct(F.try_element_at(labels, before(value, ": ")).alias("name"), after(value, ": ").alias("v")),
         ),
     )
-    long = entries.select("sample_id", "record", F.explode(fields).alias("f")).filter("f.v is not null and f.name is not null")
-    return (
-        long.select("sample_id", "record", "f.name", "f.v")
-        .groupBy("sample_id")
-        .pivot("name", SOFT_COLUMNS)
-        .agg(F.max_by("v", "record"))
-    )
+    opened = F.when(key == "^SAMPLE", F.struct(F.lit(OPENED).alias("name"), value.alias("v")))
+    long = entries.select("sample_id", "record", F.explode(F.array_append(fields, opened)).alias("f"))
+    long = long.filter("f.v is not null and f.name is not null").select("sample_id", "record", "f.name", "f.v")
+    # The openers of a sample are counted in the same pass as its values are gathered.
+    times = F.count_if(F.col("name") == OPENED)
+    values = [F.max_by("v", F.when(F.col("name") == c, F.col("record"))).alias(c) for c in SOFT_COLUMNS]
+    values = [F.when(F.count_if(F.col("name") == c) > 0, v).alias(c) for c, v in zip(SOFT_COLUMNS, values)]
+    return long.groupBy("sample_id").agg(times.alias("times"), *values)
 
 
 def soft_problems(entries: DataFrame) -> DataFrame:
@@ -223,7 +259,7 @@ def soft_problems(entries: DataFrame) -> DataFrame:
     missing = F.lit(False)
     for column in SOFT_COLUMNS:
         missing = missing | F.col(column).isNull()
-    incomplete = soft_samples(entries).filter(missing).select(
+    incomplete = soft_values(entries).filter(missing).select(
         "sample_id", F.lit(None).cast("long").alias("record"), F.lit("incomplete").alias("rule")
     )
     return bad.unionByName(opened).unionByName(incomplete)

@@ -210,12 +210,12 @@ def residual_column(trend: Trend):
     return F.ln("gene_dispersion") - curve("base_mean")
 
 
-def prior_width(genes: DataFrame, trend: Trend, residual_df: int, at_most: int | None = None) -> tuple[float, float]:
+def prior_width(genes: DataFrame, trend: Trend, residual_df: int) -> tuple[float, float]:
     """Variance of log residuals around the trend (robust), and the prior variance left after sampling noise."""
     residuals = genes.filter(F.col("gene_dispersion") >= USABLE_DISPERSION).select(residual_column(trend).alias("r"))
-    middle = exact_quantiles(residuals, "r", [0.5], at_most=at_most).first()["quantile"]
+    middle = exact_quantiles(residuals, "r", [0.5]).first()["quantile"]
     gaps = residuals.selectExpr("r", parameters(middle=middle)).selectExpr("abs(r - middle) AS d")
-    spread = exact_quantiles(gaps, "d", [0.5], at_most=at_most).first()["quantile"]
+    spread = exact_quantiles(gaps, "d", [0.5]).first()["quantile"]
     residual_var = float((MAD_SCALE * spread) ** 2)
     if residual_df <= 3:
         return residual_var, matched_width(residuals, residual_df)
@@ -353,7 +353,7 @@ def fit_model(ws: Workspace, packed: DataFrame, model: Model, sf: np.ndarray, na
     tasks = task_count(packed, genes, len(sf))
     first = ws.save(genewise(packed.repartition(tasks, "gene_id"), model, sf), f"{name}-genewise")
     trend = fit_trend(first)
-    residual_var, prior_var = prior_width(first, trend, model.residual_df, genes)
+    residual_var, prior_var = prior_width(first, trend, model.residual_df)
     fitter = GeneFitter(model, sf, trend, prior_var, residual_var)
     inputs = first.select("gene_id", "y", "mu", "gene_dispersion").repartition(tasks, "gene_id")
     fitted = ws.save(inputs.mapInPandas(fitter, FITTED), f"{name}-fitted")

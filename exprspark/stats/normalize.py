@@ -20,12 +20,12 @@ def log_ratios(packed: DataFrame) -> DataFrame:
     )
 
 
-def size_factors(packed: DataFrame, sample_ids: list[str], genes: int | None = None) -> DataFrame:
+def size_factors(packed: DataFrame, sample_ids: list[str]) -> DataFrame:
     """Median-of-ratios size factor per sample: ``(sample_id, size_factor)`` for ``packed(gene_id, y)``.
 
-    ``genes`` is a known bound on the number of rows. With no gene counted everywhere the result is empty.
+    With no gene counted everywhere the result is empty.
     """
-    medians = exact_quantiles(log_ratios(packed), "log_ratio", [0.5], ["ordinal"], at_most=genes)
+    medians = exact_quantiles(log_ratios(packed), "log_ratio", [0.5], ["ordinal"])
     names = F.array(*[F.lit(s) for s in sample_ids])
     return medians.select(names[F.col("ordinal")].alias("sample_id"), F.exp("quantile").alias("size_factor"))
 

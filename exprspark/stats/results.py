@@ -43,23 +43,22 @@ def wald(fit: Fit, coefficient: int) -> DataFrame:
     )
 
 
-def filter_levels(results: DataFrame, at_most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def filter_levels(results: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Levels from the share of zero means up to 0.95, and the mean counts at them."""
     zero_share = results.agg(F.avg((F.col("baseMean") == 0).cast("double"))).first()[0]
     top = FILTER_TOP if zero_share < FILTER_TOP else 1.0
     levels = np.linspace(zero_share, top, FILTER_LEVELS)
-    rows = exact_quantiles(results, "baseMean", [float(v) for v in levels], at_most=at_most).collect()
+    rows = exact_quantiles(results, "baseMean", [float(v) for v in levels]).collect()
     cutoffs = {r["level"]: r["quantile"] for r in rows}
     return levels, np.array([cutoffs[i] for i in range(len(levels))])
 
 
-def independent_filter(results: DataFrame, alpha: float, at_most: int | None = None) -> DataFrame:
+def independent_filter(results: DataFrame, alpha: float) -> DataFrame:
     """Add ``padj``: adjusted over the genes above the mean count that yields the most rejections.
 
     Each gene is repeated for the levels it passes, and one ranked pass counts rejections at all levels.
-    ``at_most`` is a known bound on the number of genes.
     """
-    levels, cutoffs = filter_levels(results, at_most)
+    levels, cutoffs = filter_levels(results)
     marks = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(float(c)).alias("cutoff")) for i, c in enumerate(cutoffs)])
     passed = (
         results.filter(F.col("pvalue").isNotNull())
@@ -67,11 +66,11 @@ def independent_filter(results: DataFrame, alpha: float, at_most: int | None = N
         .filter(F.col("baseMean") >= F.col("cutoff"))
     )
     hits = np.zeros(len(levels))
-    for row in rejections(passed, "pvalue", ["level"], alpha, at_most).collect():
+    for row in rejections(passed, "pvalue", ["level"], alpha).collect():
         hits[row["level"]] = row["rejections"]
     cutoff = float(cutoffs[filter_threshold(levels, hits)])
     tested = results.withColumn("tested", F.when(F.col("baseMean") >= cutoff, F.col("pvalue")))
-    return adjust_p(tested, "tested", at_most=at_most).drop("tested")
+    return adjust_p(tested, "tested").drop("tested")
 
 
 def prior_scale(estimates: DataFrame) -> float:
@@ -156,8 +155,8 @@ def volcano(results: DataFrame, shrunken: DataFrame, alpha: float) -> DataFrame:
     )
 
 
-def ma_data(results: DataFrame, alpha: float) -> DataFrame:
-    return results.select("gene_id", "baseMean", "log2FoldChange", is_significant(alpha).alias("significant"))
+def ma_data(results: DataFrame, alpha: float, by: list[str] | None = None) -> DataFrame:
+    return results.select(*(by or []), "gene_id", "baseMean", "log2FoldChange", is_significant(alpha).alias("significant"))
 
 
 def dispersion_data(fit: Fit) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from exprspark.functions import sequence as seq
-from exprspark.operators import checks, cohort, compare, overlap
+from exprspark.operators import checks, cohort, compare, counts, overlap
 from exprspark.operators.counts import annotate, dense, merge_runs, pack
 from exprspark.operators.ordering import adjust_p, exact_quantiles, ordered_counts, rejections
 from exprspark.plans.merge import check_bundle, merge_counts
@@ -235,6 +235,29 @@ def test_adjusted_p_and_quantiles_match_brute_force(spark, rows_per_range):
     assert counted["n"] == sum(v == 0.25 for v in own) and counted["upto"] == sum(v <= 0.25 for v in own) and counted["total"] == len(own)
 
 
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("bigint", [2**53 + i for i in (3, 1, 1, 2, 0)] + [None, -5]),
+        ("decimal(20,0)", ["18446744073709551615", "18446744073709551614", "0", None, "0"]),
+        ("string", ["b", "a", "ab", None, "", "a", "é"]),
+        ("double", [0.5, float("nan"), None, -0.0, 0.0, float("inf"), 0.5]),
+    ],
+)
+def test_ranks_do_not_depend_on_range_size_or_type(spark, kind, values):
+    rows = [(g, None if v is None else str(v)) for g in ("x", None) for v in values]
+    frame = spark.createDataFrame(rows, "g string, s string").select("g", F.col("s").cast(kind).alias("v"))
+    tables = [ordered_counts(frame, "v", ["g"], n).drop("value_range") for n in (1, 2, 10**6)]
+    assert all(dict(t.dtypes)["v"] == kind for t in tables)
+    rows = [sorted(map(repr, t.collect())) for t in tables]
+    assert rows[0] == rows[1] == rows[2]
+    known = [v for v in values if v is not None and v == v]
+    for r in tables[0].collect():
+        assert r["total"] == len(known) and r["n"] == sum(str(v) == str(r["v"]) or v == r["v"] for v in known)
+    if kind == "double":
+        assert adjust_p(frame, "v", ["g"]).filter("isnan(v) AND padj IS NOT NULL").count() == 0
+
+
 def test_correlation_guards_and_sets(spark):
     flat = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "a double, b double")
     assert flat.agg(compare.pearson("a", "b")).first()[0] is None
@@ -268,3 +291,11 @@ def test_workspace_tables_live_in_the_shared_folder(spark):
     ws = Workspace(spark, "test")
     assert ws.path.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert ws.save(spark.range(3), "t").count() == 3
+
+
+def test_counts_of_unlisted_samples_are_refused(spark):
+    matrix = spark.createDataFrame([("g", "a", 1), ("g", "stranger", 5)], "gene_id string, sample_id string, count long")
+    for made in (counts.to_wide, counts.dense):
+        assert made(matrix, ["a", "stranger"]).count() > 0
+        with pytest.raises(Exception, match="stranger"):
+            made(matrix, ["a"]).collect()

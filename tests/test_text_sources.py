@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from exprspark.functions import sequence as seq
 from exprspark.functions import text as tx
+from exprspark.operators import cohort, compare
 from exprspark.sources import files, records
 from exprspark.sources.lines import numbered_lines
 from exprspark.sources.tsv import TableFormatError, read_settings, read_table, scan_tsv
@@ -196,3 +197,37 @@ def test_published_matrix(spark, tmp_path):
     annotation, counts = files.read_published_matrix(spark, path)
     assert annotation.columns == ["gene_id", "gene_symbol", "biotype", "chromosome"]
     assert {(r["count_column"], r["count"]) for r in counts.collect()} == {("C_1", "3"), ("BD_2", "4")}
+
+
+GTF_HEAD = "c1\tx\texon\t1\t9\t.\t+\t.\t"
+
+
+@pytest.mark.parametrize("line, rule", [("c1\tx\texon\t1\t9", "fields"), (GTF_HEAD.replace("\t1\t9", "\tone\t9") + 'gene_id "a";', "coordinates"), (GTF_HEAD + 'gene "a";', "gene_id")])
+def test_broken_annotation_rows_are_listed_and_refused(spark, tmp_path, line, rule):
+    features = records.read_gtf(spark, write(tmp_path, "x.gtf", GTF_HEAD + 'gene_id "a";\n' + line + "\n"))
+    assert [(r["record"], r["rule"]) for r in records.gtf_violations(features).collect()] == [(2, rule)]
+    with pytest.raises(Exception, match=rule):
+        records.exon_rows(features).collect()
+    with pytest.raises(Exception, match=rule):
+        cohort.exon_totals(records.exon_rows(features)).collect()
+
+
+@pytest.mark.parametrize("tags", ["AS:i:0", "NH:i:1\tNH:i:1", "NH:i:x"])
+def test_mapped_records_without_a_hit_count_are_listed_and_refused(spark, tmp_path, tags):
+    good, bad = (f"{name}\t0\tc1\t1\t255\t9M\t*\t0\t0\t*\t*\t{t}" for name, t in (("a", "NH:i:1"), ("b", tags)))
+    sam = records.read_sam(spark, write(tmp_path, "x.sam", f"{good}\n{bad}\n"))
+    assert [(r["read_id"], r["rule"]) for r in records.sam_violations(sam).collect()] == [("b", "nh_tag")]
+    inputs = spark.createDataFrame([(1, 9)], "run int, input_reads long")
+    with pytest.raises(Exception, match="nh_tag"):
+        compare.mapping_metrics(sam.withColumn("run", F.lit(1)), inputs, ["run"]).collect()
+    short = spark.createDataFrame([(1, 0)], "run int, input_reads long")
+    with pytest.raises(Exception, match="more mapped"):
+        compare.mapping_metrics(sam.filter("read_id = 'a'").withColumn("run", F.lit(1)), short, ["run"]).collect()
+
+
+def test_a_sample_opened_twice_is_refused(spark, tmp_path):
+    block = "^SAMPLE = GSM1\n!Sample_title = control-1\n"
+    entries = records.read_soft(spark, write(tmp_path, "x.soft", block + block))
+    assert "repeated_sample" in {r["rule"] for r in records.soft_problems(entries).collect()}
+    with pytest.raises(Exception, match="repeated_sample"):
+        records.soft_samples(entries).collect()
