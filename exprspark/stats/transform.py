@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from exprspark.operators.ordering import exact_quantiles
 from exprspark.stats.fit import Fit, Trend
 from exprspark.stats.normalize import vst_parametric
 
@@ -31,18 +32,16 @@ def vst_arrays(fit: Fit) -> DataFrame:
 
 def vst_local(values: DataFrame, trend: Trend, sf: np.ndarray) -> DataFrame:
     """Without a closed form: integrate 1/sd over an even asinh grid, then match log2 at the top end."""
-    ends = values.agg(
-        F.max(F.array_max("x")).alias("top"),
-        F.percentile_approx(F.aggregate("x", F.lit(0.0), lambda a, b: a + b) / F.size("x"), [0.5, 0.95]).alias("q"),
-    ).first()
-    at = np.sinh(np.linspace(0, np.arcsinh(max(ends["top"], 1.0)), GRID_POINTS))[1:]
+    top = values.agg(F.max(F.array_max("x"))).first()[0]
+    means = values.select((F.aggregate("x", F.lit(0.0), lambda a, b: a + b) / F.size("x")).alias("mean"))
+    low, high = (r["quantile"] for r in exact_quantiles(means, "mean", [0.5, 0.95]).orderBy("level").collect())
+    at = np.sinh(np.linspace(0, np.arcsinh(max(top, 1.0)), GRID_POINTS))[1:]
     step = np.diff(np.concatenate([[0.0], at]))
     middle = at - step / 2
     raw = trend(np.maximum(middle, np.exp(trend.log_mean[0])))
     variance = middle * np.mean(1.0 / sf) + raw * middle**2
     curve = np.concatenate([[0.0], np.cumsum(step / np.sqrt(variance))])
     knots = np.concatenate([[0.0], at])
-    low, high = ends["q"]
     a, b = np.interp([low, high], knots, curve)
     slope = (np.log2(high) - np.log2(low)) / (b - a) if b > a else 1.0
     offset = np.log2(high) - slope * b
@@ -50,8 +49,10 @@ def vst_local(values: DataFrame, trend: Trend, sf: np.ndarray) -> DataFrame:
 
     def run(tables: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for table in tables:
-            x = table["x"].map(lambda v: slope * np.interp(np.arcsinh(np.asarray(v)), knots_asinh, curve) + offset)
-            yield pd.DataFrame({"gene_id": table["gene_id"], "x": x})
+            if len(table):
+                cells = np.stack(table["x"].to_numpy())
+                stable = slope * np.interp(np.arcsinh(cells), knots_asinh, curve) + offset
+                yield pd.DataFrame({"gene_id": table["gene_id"], "x": list(stable)})
 
     return values.mapInPandas(run, "gene_id string, x array<double>")
 

@@ -33,6 +33,10 @@ def test_special_functions():
     # For two and d degrees of freedom the F quantile has a closed form.
     assert sp.f_quantile(0.99, 2, 5) == pytest.approx(2.5 * (0.01 ** (-0.4) - 1), rel=1e-9)
     assert sp.two_sided_p(np.array([0.0, 1.959963984540054]))[1] == pytest.approx(0.05, rel=1e-9)
+    x = np.concatenate([np.linspace(0, 6, 2001), np.linspace(6, 26, 500)])
+    want = np.array([math.erfc(v) for v in x])
+    assert np.max(np.abs(sp.erfc_positive(x) / want - 1)) < 1e-14
+    assert sp.erfc_positive(np.array([np.inf, 50.0]))[0] == 0.0 and np.isnan(sp.erfc_positive(np.array([np.nan]))[0])
     hist = sp.log_chi2_histogram(2, 0.7, np.arange(-20, 21) / 2.0)
     draws = np.log(np.random.default_rng(0).chisquare(2, 200_000) / 2) + np.random.default_rng(1).normal(0, 0.7, 200_000)
     assert np.abs(hist - np.histogram(draws, np.arange(-20, 21) / 2.0, density=True)[0]).max() < 0.01
