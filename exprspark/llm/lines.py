@@ -2,22 +2,23 @@
 
 A line is the set of its words in lower case. A line goes if an earlier line, by document id and place, has a set with a
 Jaccard similarity of at least the threshold. Lines with equal sets are one class, so copies are never paired with each
-other; classes are joined by prefix filtering: the words of a set are ordered by rarity, and two similar sets share at
-least two of their first ``n - ceil(t n) + 2`` words. Length and position filters drop pairs whose sets cannot overlap
-enough; what is left is verified on the sets themselves.
-
-Only the existence of an earlier match counts, not all matches. So each class is first checked against pivots, the
-earliest class under each of its prefix words: in a large group of similar lines this settles nearly all of them with a
-few pairs each. Only classes that no pivot settled are then paired with every earlier class under their words.
-
-Rarity is a word's frequency class: a count over all lines, kept for a fixed number of hash buckets. Any order is right for
-the filter as long as it is the same everywhere; collisions only cost candidates.
+other; classes are joined by prefix filtering: the words of a set are ordered by rarity, and two similar sets share one
+of their first ``n - ceil(t n) + 1`` words. Length and position filters drop pairs whose sets cannot overlap enough, and
+so does a parity bitmap: each word of only one of two sets flips one bit between their bitmaps, so more flipped bits
+than words may differ rule a pair out. What is left is verified on the sets themselves.
+
+Only the existence of an earlier match counts, not all matches. So in a large bucket of classes under one word each
+class is first checked against the bucket's earliest, its pivot: in a large group of similar lines this settles nearly
+all of them with a few pairs each. Only classes that no pivot settled meet the other earlier ones.
+
+Rarity is a word's frequency class, from a count over all texts that is kept for a fixed number of hash buckets, and
+within a class its length. Any order is right for the filter as long as it is the same everywhere; collisions only cost
+candidates.
 """
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,79 +26,95 @@ from exprspark.llm.words import doc_key, free_name, split_words, text_of
 from exprspark.session import Workspace
 
 PERCENT = 80
-SHARED = 2
-BUCKETS = 1 << 16
-KEY_BITS = 25
+BUCKETS = 1 << 17
+CLASS_BITS, LENGTH_BITS, TAIL_BITS = 4, 5, 22
 ROWS_PER_WINDOW = 1 << 20
-SMALL_BUCKET = 32
+SMALL_BUCKET = 128
 BITMAP_WORDS = 1 << 18
-CLASS = ("k", "place")
 
 
 def low_half(x: Column) -> Column:
     return x.cast("long").bitwiseAND(0xFFFFFFFF)
 
 
-def word_lines(docs: DataFrame) -> DataFrame:
-    """``k, ln, line, tokens``: every line that has a word, with the hashes of its distinct words.
+def coded(number: Column, line: Column) -> Column:
+    """A line's number above the low half of its text's hash; the hash keeps rows apart that share an id but not a text."""
+    return F.shiftleft(number.cast("long"), 32).bitwiseOR(low_half(F.hash(line)))
 
-    Words are compared by 64-bit hash; within two lines a collision is out of the question.
-    """
+
+def text_lines(docs: DataFrame) -> DataFrame:
+    """``k, place, line``: the lines of all documents, by document key and coded line number."""
     lines = docs.select(doc_key().alias("k"), F.posexplode(F.split(text_of(), "\n")).alias("ln", "line"))
-    return lines.withColumn("tokens", word_set("line")).filter(F.size("tokens") > 0)
+    return lines.select("k", coded(F.col("ln"), F.col("line")).alias("place"), "line")
 
 
 def word_set(line: str) -> Column:
-    """The 64-bit hashes of a line's distinct words in lower case."""
-    return F.array_distinct(F.transform(split_words(F.lower(line)), lambda w: F.xxhash64(w)))
-
+    """A line's distinct words in lower case: 59 bits of a hash above five bits of length.
 
-def with_identity(lines: DataFrame) -> DataFrame:
-    """Adds the set's signature ``h1, h2``, its size ``n`` and ``place``: the line number above the signature's low half.
-
-    Rows that share an id but not a text keep apart by the signature in ``place``.
+    Words are compared by these numbers; within two lines a collision is out of the question.
     """
-    signed = lines.withColumn("sorted", F.sort_array("tokens")).select(
-        "k", "ln", "line", "tokens", F.size("tokens").alias("n"), F.xxhash64("sorted").alias("h1"), F.hash("sorted").alias("h2")
+    return F.array_distinct(
+        F.transform(split_words(F.lower(line)), lambda w: F.xxhash64(w).bitwiseAND(-32).bitwiseOR(F.least(F.length(w), F.lit(31)).cast("long")))
     )
-    return signed.withColumn("place", F.shiftleft(F.col("ln").cast("long"), 32).bitwiseOR(low_half(F.col("h2"))))
+
+
+def bucket_of(token: Column) -> Column:
+    return F.shiftrightunsigned(token, 40).bitwiseAND(BUCKETS - 1).cast("int")
 
 
 def frequency_classes(docs: DataFrame) -> bytes:
-    """For each hash bucket the binary logarithm of how many words of all lines fall into it; the table's size is fixed."""
-    words = word_lines(docs).select(F.explode("tokens").alias("token"))
-    counts = words.groupBy(F.pmod("token", F.lit(BUCKETS)).alias("bucket")).count().collect()
-    table = bytearray(BUCKETS)
-    for row in counts:
-        table[row["bucket"]] = int(math.log2(row["count"])) + 1
-    return bytes(table)
+    """For each hash bucket half the binary logarithm of how many words of all texts fall into it; of fixed size."""
+    words = docs.select(F.explode(split_words(F.lower(text_of()))).alias("word"))
+    counts = words.groupBy(bucket_of(F.xxhash64("word")).alias("bucket")).count().toArrow()
+    table = np.zeros(BUCKETS, dtype=np.uint8)
+    table[counts["bucket"].to_numpy()] = np.minimum((1 << CLASS_BITS) - 1, np.log2(counts["count"].to_numpy()) / 2)
+    return table.tobytes()
 
 
 def prefix_keys(tokens: Column, n: Column, classes: bytes, percent: int) -> Column:
-    """The first ``n - ceil(t n) + SHARED`` words of a set by rarity, each as a small number led by its frequency class."""
+    """The first ``n - ceil(t n) + 1`` words of a set by rarity, each as one number.
+
+    It holds the frequency class, then the length (of words in a class the longer ones are the rarer), then hash bits.
+    """
     table = F.lit(bytearray(classes))
 
     def key(token: Column) -> Column:
-        place = F.pmod(token, F.lit(BUCKETS)).cast("int") + 1
-        rank = F.ascii(F.substring(table, place, F.lit(1)).cast("string"))
-        tail = F.shiftrightunsigned(token, 16).bitwiseAND((1 << KEY_BITS) - 1)
-        return F.shiftleft(rank, KEY_BITS).bitwiseOR(tail.cast("int"))
+        rank = F.ascii(F.substring(table, bucket_of(token) + 1, F.lit(1)).cast("string"))
+        shortness = F.lit(31) - token.bitwiseAND(31).cast("int")
+        tail = F.shiftrightunsigned(token, 10).bitwiseAND((1 << TAIL_BITS) - 1).cast("int")
+        return F.shiftleft(rank, LENGTH_BITS + TAIL_BITS).bitwiseOR(F.shiftleft(shortness, TAIL_BITS)).bitwiseOR(tail)
 
-    wanted = n - F.floor((n * percent + 99) / 100).cast("int") + SHARED
+    wanted = n - F.floor((n * percent + 99) / 100).cast("int") + 1
     return F.slice(F.sort_array(F.transform(tokens, key)), F.lit(1), wanted)
 
 
-def overlaps_enough(n: Column, pos: Column, other_n: Column, other_pos: Column, percent: int) -> Column:
-    """Length filter, and position filter for a shared word at these places (from 0) of both orders.
+def parity_bitmaps(tokens: Column) -> list[Column]:
+    """One bit per word in 128 bits, added without carry: a word that only one of two sets has flips one bit between them."""
+    spots = F.transform(tokens, lambda t: F.shiftrightunsigned(t, 8).bitwiseAND(127).cast("int"))
+    one = F.lit(1).cast("long")
+
+    def half(first: int) -> Column:
+        own = F.filter(spots, lambda b: (b >= first) & (b < first + 64))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(F.call_function("shiftleft", one, b)))
+
+    return [half(0).alias("low"), half(64).alias("high")]
+
+
+def similar_enough(own: Column, other: Column, percent: int) -> Column:
+    """The filters for two entries ``(n, pos, low, high)`` under a shared word at places ``pos`` (from 0) of their orders.
 
-    Words before the shared one may all be shared as well, those after it at most as many as the shorter rest has.
+    Lengths must be near; words before the shared one may all be shared, those after it as many as the shorter rest has;
+    and no more bits may differ than words.
     """
-    sizes = (percent * F.greatest(n, other_n)) <= 100 * F.least(n, other_n)
-    least = F.least(pos, other_pos) + 1 + F.least(n - pos - 1, other_n - other_pos - 1)
-    return sizes & ((100 + percent) * least >= percent * (n + other_n))
+    n, m, i, j = own["n"], other["n"], own["pos"], other["pos"]
+    lengths = (percent * F.greatest(n, m)) <= 100 * F.least(n, m)
+    most = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
+    places = (100 + percent) * most >= percent * (n + m)
+    flipped = F.bit_count(own["low"].bitwiseXOR(other["low"])) + F.bit_count(own["high"].bitwiseXOR(other["high"]))
+    return lengths & places & ((100 + percent) * flipped <= (100 - percent) * (n + m))
 
 
-def bit_of(row: Column) -> tuple[Column, Column]:
+def word_of_bitmap(row: Column) -> tuple[Column, Column]:
     """The word of the bitmap and the bit in it that stand for a row."""
     spread = F.xxhash64(row)
     return F.shiftrightunsigned(spread, 6).bitwiseAND(BITMAP_WORDS - 1), spread.bitwiseAND(63).cast("int")
@@ -105,14 +122,14 @@ def bit_of(row: Column) -> tuple[Column, Column]:
 
 def bitmap(rows: DataFrame, row: Column) -> DataFrame:
     """``word, bits``: which bits the rows have; at most ``BITMAP_WORDS`` rows of two numbers, so it may be broadcast."""
-    word, bit = bit_of(row)
+    word, bit = word_of_bitmap(row)
     set_bit = F.expr("shiftleft(1L, bit)")
     return rows.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or(set_bit).alias("bits"))
 
 
 def possibly_in(df: DataFrame, marks: DataFrame, row: Column, within: bool = True) -> DataFrame:
     """The rows whose bit is set (``within``), or those whose bit isn't and that surely are not among the marked ones."""
-    word, bit = bit_of(row)
+    word, bit = word_of_bitmap(row)
     at, place, bits = (free_name(df, n) for n in ("mark_word", "mark_bit", "mark_bits"))
     asked = df.withColumns({at: word, place: bit})
     small = F.broadcast(marks.select(F.col("word").alias(at), F.col("bits").alias(bits)))
@@ -122,101 +139,125 @@ def possibly_in(df: DataFrame, marks: DataFrame, row: Column, within: bool = Tru
     return kept.drop(at, place, bits)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, percent: int, space: Workspace, label: str) -> DataFrame:
-    """The pairs ``k, place, pk, pplace`` whose sets have the similarity.
+def line_sets(docs: DataFrame, percent: int, space: Workspace) -> DataFrame:
+    """Every line that has a word, written once: ``k, place, n, h1, h2, low, high, prefix``; equal sets have equal ``h1, h2``."""
+    table = frequency_classes(docs)
+    sets = text_lines(docs).select("k", "place", word_set("line").alias("tokens")).filter(F.size("tokens") > 0)
+    sets = sets.withColumn("sorted", F.sort_array("tokens"))
+    n = F.size("tokens")
+    return space.save(
+        sets.select(
+            "k", "place", n.alias("n"), F.xxhash64("sorted").alias("h1"), F.hash("sorted").alias("h2"),
+            *parity_bitmaps(F.col("tokens")), prefix_keys(F.col("tokens"), n, table, percent).alias("prefix"),
+        ),
+        "lines",
+    )
+
+
+def line_classes(lines: DataFrame, space: Workspace) -> DataFrame:
+    """``id, h1, h2, k, place``: each set of words with the earliest line that has it; ids rise with these lines."""
+    firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("k", "place")).alias("first")).select("h1", "h2", "first.*")
+    spread = firsts.repartitionByRange("k", "place").sortWithinPartitions("k", "place")
+    classes = space.save(spread.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "k", "place"), "classes")
+    space.release()
+    return classes
+
+
+def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int, space: Workspace, label: str) -> DataFrame:
+    """The ``id`` of those pairs ``id, other`` whose sets have the similarity.
 
     Sets are read again for the lines in pairs only: a bitmap of fixed size drops most other lines before the shuffle
     and the join drops the rest.
     """
-    ends = pairs.select("k", "place").unionByName(pairs.select(F.col("pk").alias("k"), F.col("pplace").alias("place")))
-    ends = space.save(ends.distinct(), f"ends-{label}")
+    ids = pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct()
+    ends = space.save(classes.join(ids, "id").select("id", "k", "place"), f"ends-{label}")
     row = F.struct("k", "place")
-    likely = possibly_in(with_identity(word_lines(docs)).select("k", "place", "line"), bitmap(ends, row), row)
-    texts = likely.join(ends, ["k", "place"], "left_semi").dropDuplicates(["k", "place"])
-    sets = space.save(texts.select("k", "place", word_set("line").alias("tokens")), f"sets-{label}")
-    others = sets.select(F.col("k").alias("pk"), F.col("place").alias("pplace"), F.col("tokens").alias("others"))
-    both = pairs.join(sets, ["k", "place"]).join(others, ["pk", "pplace"])
+    likely = possibly_in(text_lines(docs), bitmap(ends, row), row)
+    # Rows that share a document and a line have it once for each copy; their sets are the same.
+    sets = likely.join(ends, ["k", "place"]).dropDuplicates(["id"]).select("id", word_set("line").alias("tokens"))
+    sets = space.save(sets, f"sets-{label}")
+    both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("other"), F.col("tokens").alias("others")), "other")
     shared = F.size(F.array_intersect("tokens", "others"))
     enough = 100 * shared >= percent * (F.size("tokens") + F.size("others") - shared)
-    found = space.save(both.filter(enough).select("k", "place").distinct(), f"settled-{label}")
+    found = space.save(both.filter(enough).select("id").distinct(), f"settled-{label}")
     space.drop(f"ends-{label}", f"sets-{label}")
     return found
 
 
-def similar_classes(docs: DataFrame, classes: DataFrame, percent: int, space: Workspace, small: int = SMALL_BUCKET) -> DataFrame:
-    """``k, place`` of the classes that have an earlier similar class; ``classes`` has ``k, place, n, prefix``.
+def similar_classes(docs: DataFrame, lines: DataFrame, classes: DataFrame, percent: int, space: Workspace,
+                    small: int = SMALL_BUCKET) -> DataFrame:
+    """``id`` of the classes that have an earlier similar class.
 
-    The classes under one prefix word are its bucket. In a small bucket all pairs are made at once. In a large one each
-    class meets the bucket's earliest, its pivot; then those that this didn't settle meet all earlier ones.
+    In a small bucket all pairs are tried where the bucket lies. In a large one each class meets the bucket's pivot; then
+    those that this didn't settle meet all earlier ones.
     """
     # A set of so few words that no other set can reach the similarity has only its own class.
-    joined = classes.filter(100 * F.col("n") >= percent * (F.col("n") + 1))
-    entries = joined.select("k", "place", "n", F.posexplode("prefix").alias("pos", "key"))
+    able = lines.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).select("k", "place", "n", "low", "high", "prefix")
+    firsts = able.join(classes.select("id", "k", "place"), ["k", "place"]).dropDuplicates(["id"])
+    # n and pos share one number in the shuffle.
+    entries = firsts.select("id", "low", "high", "n", F.posexplode("prefix").alias("pos", "key")).select(
+        "key", "id", "low", "high", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("sizes")
+    )
     # A bucket whose word is frequent in the corpus is split into parts of about a million rows, with a pivot each.
-    spread = F.greatest(F.lit(1), F.pow(F.lit(2.0), F.shiftright("key", KEY_BITS)) / ROWS_PER_WINDOW).cast("int")
-    entries = entries.withColumn("part", F.when(spread > 1, F.pmod(F.hash("k", "place"), spread)).otherwise(0))
-    part = Window.partitionBy("key", "part")
-    entries = entries.withColumns(
-        {
-            "pivot": F.first(F.struct("k", "place", "n", "pos")).over(part.orderBy("k", "place")),
-            "together": F.count(F.lit(1)).over(part),
-            "split": spread > 1,
-        }
+    frequency = F.pow(F.lit(4.0), F.shiftrightunsigned("key", LENGTH_BITS + TAIL_BITS) + 1)
+    spread = F.greatest(F.lit(1), F.floor(frequency / ROWS_PER_WINDOW)).cast("int")
+    entries = entries.withColumn("part", F.when(spread > 1, F.pmod(F.hash("id"), spread)).otherwise(0))
+    bucket = Window.partitionBy("key", "part")
+    entry = F.struct(
+        "id", "low", "high", F.shiftright("sizes", 32).cast("int").alias("n"), F.col("sizes").bitwiseAND(0xFFFFFFFF).cast("int").alias("pos")
     )
-    ids = ["k", "place", "pk", "pplace"]
-    close = overlaps_enough(F.col("n"), F.col("pos"), F.col("pn"), F.col("ppos"), percent)
-    entry = F.struct("k", "place", "n", "pos")
-    # One shuffle by word serves both kinds of bucket: a row is either a small bucket's list or an entry of a large one.
+    rows = entries.repartition("key", "part").select(
+        "key", "part", entry.alias("own"), (spread > 1).alias("split"), F.first(entry).over(bucket.orderBy("id")).alias("pivot"),
+        F.count(F.lit(1)).over(bucket).alias("together"),
+    ).filter(F.col("split") | (F.col("together") > 1))
     is_small = ~F.col("split") & (F.col("together") <= small)
-    grouped = entries.filter(F.col("split") | (F.col("together") > 1)).groupBy("key", "part", F.when(is_small, 0).otherwise(F.col("place")).alias("apart"), F.when(is_small, 0).otherwise(F.col("k")).alias("apart_k")).agg(
-        F.first("pivot").alias("pivot"), F.first(is_small).alias("small"), F.sort_array(F.collect_list(entry)).alias("list")
+    # One row per small bucket and per entry of a large one; both stay in the bucket's task.
+    grouped = rows.groupBy("key", "part", F.when(is_small, -1).otherwise(F.col("own.id")).alias("apart")).agg(
+        F.first("pivot").alias("pivot"), F.array_sort(F.collect_list("own")).alias("list")
     )
-    listed = space.save(grouped.select("key", "pivot", "small", "list"), "buckets")
-    each = listed.filter("small").select("list", F.posexplode("list").alias("at", "own"))
-    paired = each.select("own", F.explode(F.slice("list", F.lit(1), F.col("at"))).alias("other"))
-    near = paired.select("own.*", F.col("other.k").alias("pk"), F.col("other.place").alias("pplace"), F.col("other.n").alias("pn"), F.col("other.pos").alias("ppos"))
-    by_small = near.filter(close).select(*ids)
-    large = listed.filter(~F.col("small")).select("key", "pivot", F.col("list")[0].alias("own")).select(
-        "key", "own.*", F.col("pivot.k").alias("pk"), F.col("pivot.place").alias("pplace"), F.col("pivot.n").alias("pn"), F.col("pivot.pos").alias("ppos")
+
+    # Rows of a small bucket's list become pairs with those before them; an entry of a large bucket stays as it is.
+    each = grouped.select("key", "apart", "pivot", "list", F.posexplode("list").alias("at", "own"))
+    each = each.select("key", "apart", "pivot", "own", F.explode_outer(F.slice("list", F.lit(1), F.col("at"))).alias("earlier"))
+    alone = F.col("apart") >= 0
+    pair = F.col("earlier").isNotNull() & similar_enough(F.col("own"), F.col("earlier"), percent)
+    found = each.filter(alone | F.coalesce(pair, F.lit(False)))
+    found = found.select(
+        F.when(alone, F.col("key")).alias("key"), F.col("own.id").alias("id"), F.col("earlier.id").alias("other"),
+        F.when(alone, F.col("own")).alias("own"), F.when(alone, F.col("pivot")).alias("pivot"),
     )
-    not_self = (F.col("k") != F.col("pk")) | (F.col("place") != F.col("pplace"))
-    first = large.filter(not_self & close).groupBy(*ids).count().filter(F.col("count") >= SHARED).select(*ids)
-    settled = verified(docs, space.save(first, "pivot-pairs"), percent, space, "by-pivot")
-    left = large.select("key", "k", "place", "n", "pos").join(settled, ["k", "place"], "left_anti")
-    earlier = large.select("key", F.col("k").alias("pk"), F.col("place").alias("pplace"), F.col("n").alias("pn"), F.col("pos").alias("ppos"))
-    before = (F.col("pk") < F.col("k")) | ((F.col("pk") == F.col("k")) & (F.col("pplace") < F.col("place")))
-    by_large = left.join(earlier, "key").filter(before & close).select(*ids)
-    rest = by_small.unionByName(by_large).groupBy(*ids).count().filter(F.col("count") >= SHARED).select(*ids)
-    rest = space.save(rest.join(settled, ["k", "place"], "left_anti"), "other-pairs")
+    found = space.save(found, "buckets")
+    by_small = found.filter("key IS NULL").select("id", "other")
+    large = found.filter("key IS NOT NULL").select("key", "own", "pivot")
+    to_pivot = large.filter((F.col("own.id") != F.col("pivot.id")) & similar_enough(F.col("own"), F.col("pivot"), percent))
+    first = space.save(to_pivot.select(F.col("own.id").alias("id"), F.col("pivot.id").alias("other")).distinct(), "pivot-pairs")
+    settled = verified(docs, first, classes, percent, space, "by-pivot")
+    left = large.select("key", "own", F.col("own.id").alias("id")).join(settled, "id", "left_anti").drop("id")
+    earlier = large.select("key", F.col("own").alias("earlier"))
+    before = F.col("earlier.id") < F.col("own.id")
+    by_large = left.join(earlier, "key").filter(before & similar_enough(F.col("own"), F.col("earlier"), percent))
+    by_large = by_large.select(F.col("own.id").alias("id"), F.col("earlier.id").alias("other"))
+    rest = by_small.unionByName(by_large).distinct().join(settled, "id", "left_anti").join(first, ["id", "other"], "left_anti")
+    rest = space.save(rest, "other-pairs")
     space.drop("buckets", "pivot-pairs")
-    return settled.unionByName(verified(docs, rest, percent, space, "by-all"))
-
-
-def line_classes(docs: DataFrame, percent: int, space: Workspace) -> DataFrame:
-    """One row per set of words: signature, size, prefix and the earliest line that has it."""
-    table = frequency_classes(docs)
-    lines = with_identity(word_lines(docs))
-    lines = lines.select("k", "place", "n", "h1", "h2", prefix_keys(F.col("tokens"), F.col("n"), table, percent).alias("prefix"))
-    first = lines.groupBy("h1", "h2", "n", "prefix").agg(F.min(F.struct("k", "place")).alias("first"))
-    return space.save(first.select("h1", "h2", "n", "prefix", "first.*"), "classes")
-
-
-def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``k, codes``: per document key the lines to remove, each as its number above the low half of its text's hash."""
-    if not 50 < percent <= 100:
-        raise ValueError("sets of two similar lines must share two words, which needs a similarity above 50 per cent")
-    space = Workspace(docs.sparkSession, "lines")
-    classes = line_classes(docs, percent, space)
-    similar = similar_classes(docs, classes.select("k", "place", "n", "prefix"), percent, space)
-    similar = similar.withColumn("similar", F.lit(True))
-    marked = classes.select("h1", "h2", "k", "place").join(similar, ["k", "place"], "left").select(
-        "h1", "h2", F.col("k").alias("first_k"), F.col("place").alias("first_place"), "similar"
+    return settled.unionByName(verified(docs, rest, classes, percent, space, "by-all"))
+
+
+def removed_lines(docs: DataFrame, percent: int, space: Workspace) -> DataFrame:
+    """``k, codes``: per document key the places of the lines to remove, written."""
+    if not 0 < percent <= 100:
+        raise ValueError("the similarity is a percentage above zero")
+    lines = line_sets(docs, percent, space)
+    classes = line_classes(lines, space)
+    similar = similar_classes(docs, lines, classes, percent, space).withColumn("similar", F.lit(True))
+    marked = classes.join(similar, "id", "left").select(
+        "h1", "h2", F.col("k").alias("first_k"), F.col("place").alias("first_place"), F.coalesce("similar", F.lit(False)).alias("similar")
     )
-    code = F.shiftleft(F.col("ln").cast("long"), 32).bitwiseOR(low_half(F.hash("line"))).alias("code")
-    index = with_identity(word_lines(docs)).select("k", "place", "h1", "h2", code)
     later = (F.col("k") != F.col("first_k")) | (F.col("place") != F.col("first_place"))
-    gone = index.join(marked, ["h1", "h2"]).filter(F.coalesce("similar", F.lit(False)) | later)
-    return gone.groupBy("k").agg(F.collect_set("code").alias("codes"))
+    gone = lines.select("k", "place", "h1", "h2").join(marked, ["h1", "h2"]).filter(F.col("similar") | later)
+    gone = space.save(gone.groupBy("k").agg(F.collect_set("place").alias("codes")), "gone")
+    space.drop("lines", "classes", "settled-by-pivot", "settled-by-all", "other-pairs")
+    return gone
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, counts: bool = False) -> DataFrame:
@@ -228,8 +269,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, counts: bool = False) -
     """
     key, codes = free_name(docs, "line_key"), free_name(docs, "line_codes")
     space = Workspace(docs.sparkSession, "lines")
-    gone = removed_lines(docs, percent).select(F.col("k").alias(key), F.col("codes").alias(codes))
-    gone = space.save(gone, "gone")
+    gone = removed_lines(docs, percent, space).select(F.col("k").alias(key), F.col("codes").alias(codes))
     keyed = docs.withColumn(key, doc_key())
     marks = space.save(bitmap(gone, F.col(key)), "marks")
     # Documents that surely keep all lines need no shuffle.
@@ -238,8 +278,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, counts: bool = False) -
     joined = joined.unionByName(whole)
     kept, own = free_name(docs, "line_kept"), free_name(docs, "line_texts")
     cut = joined.withColumn(own, F.when(F.col(codes).isNotNull(), F.split("text", "\n")))
-    all_codes = F.transform(own, lambda x, i: F.shiftleft(i.cast("long"), 32).bitwiseOR(low_half(F.hash(x))))
-    cut = cut.withColumn(kept, F.array_except(all_codes, F.col(codes)))
+    cut = cut.withColumn(kept, F.array_except(F.transform(own, lambda x, i: coded(i, x)), F.col(codes)))
     left = F.transform(kept, lambda c: F.get(own, F.shiftright(c, 32).cast("int")))
     text = F.when(F.col(kept).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     columns = [text.alias(c) if c == "text" else F.col(c) for c in docs.columns]
