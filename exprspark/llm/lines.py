@@ -30,6 +30,7 @@ BUCKETS = 1 << 17
 CLASS_BITS, LENGTH_BITS, TAIL_BITS = 4, 5, 22
 ROWS_PER_WINDOW = 1 << 20
 SMALL_BUCKET = 128
+PIVOT_ROUNDS = 3
 BITMAP_WORDS = 1 << 18
 
 
@@ -188,8 +189,8 @@ def similar_classes(docs: DataFrame, lines: DataFrame, classes: DataFrame, perce
                     small: int = SMALL_BUCKET) -> DataFrame:
     """``id`` of the classes that have an earlier similar class.
 
-    In a small bucket all pairs are tried where the bucket lies. In a large one each class meets the bucket's pivot; then
-    those that this didn't settle meet all earlier ones.
+    In a small bucket all pairs are tried where the bucket lies. In a large one each class meets the bucket's pivot, for a
+    few rounds with a new pivot among those left; then those that this didn't settle meet all earlier ones.
     """
     # A set of so few words that no other set can reach the similarity has only its own class.
     able = lines.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).select("k", "place", "n", "low", "high", "prefix")
@@ -217,29 +218,35 @@ def similar_classes(docs: DataFrame, lines: DataFrame, classes: DataFrame, perce
     )
 
     # Rows of a small bucket's list become pairs with those before them; an entry of a large bucket stays as it is.
-    each = grouped.select("key", "apart", "pivot", "list", F.posexplode("list").alias("at", "own"))
-    each = each.select("key", "apart", "pivot", "own", F.explode_outer(F.slice("list", F.lit(1), F.col("at"))).alias("earlier"))
+    each = grouped.select("key", "part", "apart", "pivot", "list", F.posexplode("list").alias("at", "own"))
+    each = each.select("key", "part", "apart", "pivot", "own", F.explode_outer(F.slice("list", F.lit(1), F.col("at"))).alias("earlier"))
     alone = F.col("apart") >= 0
     pair = F.col("earlier").isNotNull() & similar_enough(F.col("own"), F.col("earlier"), percent)
     found = each.filter(alone | F.coalesce(pair, F.lit(False)))
     found = found.select(
-        F.when(alone, F.col("key")).alias("key"), F.col("own.id").alias("id"), F.col("earlier.id").alias("other"),
+        F.when(alone, F.col("key")).alias("key"), "part", F.col("own.id").alias("id"), F.col("earlier.id").alias("other"),
         F.when(alone, F.col("own")).alias("own"), F.when(alone, F.col("pivot")).alias("pivot"),
     )
     found = space.save(found, "buckets")
     by_small = found.filter("key IS NULL").select("id", "other")
-    large = found.filter("key IS NOT NULL").select("key", "own", "pivot")
-    to_pivot = large.filter((F.col("own.id") != F.col("pivot.id")) & similar_enough(F.col("own"), F.col("pivot"), percent))
-    first = space.save(to_pivot.select(F.col("own.id").alias("id"), F.col("pivot.id").alias("other")).distinct(), "pivot-pairs")
-    settled = verified(docs, first, classes, percent, space, "by-pivot")
-    left = large.select("key", "own", F.col("own.id").alias("id")).join(settled, "id", "left_anti").drop("id")
+    large = found.filter("key IS NOT NULL").select("key", "part", "id", "own", "pivot")
+    left, settled, tried = large, None, None
+    for turn in range(PIVOT_ROUNDS):
+        to_pivot = left.filter((F.col("id") != F.col("pivot.id")) & similar_enough(F.col("own"), F.col("pivot"), percent))
+        pairs = space.save(to_pivot.select("id", F.col("pivot.id").alias("other")).distinct(), f"pivot-pairs-{turn}")
+        done = verified(docs, pairs, classes, percent, space, f"by-pivot-{turn}")
+        settled = done if settled is None else settled.unionByName(done)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        # The next pivot of a bucket is the earliest class that is still unsettled.
+        left = large.drop("pivot").join(settled, "id", "left_anti")
+        left = left.withColumn("pivot", F.first("own").over(Window.partitionBy("key", "part").orderBy("id")))
     earlier = large.select("key", F.col("own").alias("earlier"))
     before = F.col("earlier.id") < F.col("own.id")
-    by_large = left.join(earlier, "key").filter(before & similar_enough(F.col("own"), F.col("earlier"), percent))
+    by_large = left.drop("pivot").join(earlier, "key").filter(before & similar_enough(F.col("own"), F.col("earlier"), percent))
     by_large = by_large.select(F.col("own.id").alias("id"), F.col("earlier.id").alias("other"))
-    rest = by_small.unionByName(by_large).distinct().join(settled, "id", "left_anti").join(first, ["id", "other"], "left_anti")
+    rest = by_small.unionByName(by_large).distinct().join(settled, "id", "left_anti").join(tried, ["id", "other"], "left_anti")
     rest = space.save(rest, "other-pairs")
-    space.drop("buckets", "pivot-pairs")
+    space.drop("buckets")
     return settled.unionByName(verified(docs, rest, classes, percent, space, "by-all"))
 
 
@@ -256,7 +263,7 @@ def removed_lines(docs: DataFrame, percent: int, space: Workspace) -> DataFrame:
     later = (F.col("k") != F.col("first_k")) | (F.col("place") != F.col("first_place"))
     gone = lines.select("k", "place", "h1", "h2").join(marked, ["h1", "h2"]).filter(F.col("similar") | later)
     gone = space.save(gone.groupBy("k").agg(F.collect_set("place").alias("codes")), "gone")
-    space.drop("lines", "classes", "settled-by-pivot", "settled-by-all", "other-pairs")
+    space.drop("lines", "classes", "other-pairs")
     return gone
 
 
