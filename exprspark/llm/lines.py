@@ -221,7 +221,9 @@ def similar_classes(docs: DataFrame, lines: DataFrame, classes: DataFrame, perce
     each = grouped.select("key", "part", "apart", "pivot", "list", F.posexplode("list").alias("at", "own"))
     each = each.select("key", "part", "apart", "pivot", "own", F.explode_outer(F.slice("list", F.lit(1), F.col("at"))).alias("earlier"))
     alone = F.col("apart") >= 0
-    pair = F.col("earlier").isNotNull() & similar_enough(F.col("own"), F.col("earlier"), percent)
+    # Two words of a set may have one key, so a class may stand twice in a bucket; it is no earlier class of itself.
+    another = F.col("own.id") != F.col("earlier.id")
+    pair = F.col("earlier").isNotNull() & another & similar_enough(F.col("own"), F.col("earlier"), percent)
     found = each.filter(alone | F.coalesce(pair, F.lit(False)))
     found = found.select(
         F.when(alone, F.col("key")).alias("key"), "part", F.col("own.id").alias("id"), F.col("earlier.id").alias("other"),

@@ -97,6 +97,20 @@ def test_removed_lines_equal_brute_force(spark, monkeypatch, percent, small):
     assert {r.doc_id: r.text for r in lines.dedup_lines(docs, percent).collect()} == brute_lines(rows, percent)
 
 
+@pytest.mark.parametrize("small", [128, 2])
+def test_lines_whose_own_words_share_a_key_are_no_match_of_themselves(spark, monkeypatch, small):
+    monkeypatch.setattr(lines, "TAIL_BITS", 2)
+    monkeypatch.setattr(lines.similar_classes, "__defaults__", (small,))
+    rng = random.Random(11)
+    rows = []
+    for doc in range(40):
+        words = [f"{doc:03}x{rng.randrange(10**6):06}" for _ in range(30)]
+        near = [*words[:-1], f"{doc:03}y{rng.randrange(10**6):06}"]
+        rows.append((doc, "\n".join(map(" ".join, [words, near, words] if doc % 3 == 0 else [words]))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == brute_lines(rows, 80)
+
+
 def test_a_large_group_of_similar_lines_makes_few_pairs(spark):
     rng = random.Random(2)
     base = [f"rare{i}" for i in range(40)]
