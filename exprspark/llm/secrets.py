@@ -10,7 +10,7 @@ a text with very many parts costs no more than sorting them. A text is one row a
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,10 +26,12 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST_VALUE = 8
 NAMES = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 
-# Weak parts: account names, addresses, values that look random.
-ACCOUNT = re.compile(r"(?<![a-z_])(?:user(?:name)?|login|account|client_?id|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._+-]{3,})", re.IGNORECASE | re.ASCII)
-ENDPOINT = re.compile(r"(?<![a-z])(?:https?|ftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp)(?::[a-z]+)?://[A-Za-z0-9.-]+(?::[0-9]{1,5})?|(?<![a-z_])(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]{3,}", re.ASCII)
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,64}(?![A-Za-z0-9+/_-])")
+# Weak parts: account names, addresses, values that look random. A name may follow a prefix that an underscore or hyphen joins.
+ACCOUNT = re.compile(r"(?<![a-z])(?:user(?:[_-]?name)?|login|account|client[_-]?id|access[_-]?key[_-]?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._+-]{3,})", re.IGNORECASE | re.ASCII)
+ENDPOINT = re.compile(r"(?<![a-z])(?:https?|ftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp)(?::[a-z]+)?://[A-Za-z0-9.-]+(?::[0-9]{1,5})?|(?<![a-z])(?:host(?:[_-]?name)?|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]{3,}", re.IGNORECASE | re.ASCII)
+RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+")
+KIND_OF = bytes(ord("d" if chr(c).isdigit() else "u" if chr(c).isupper() else "l") for c in range(256))
+CHANGES = (b"du", b"ud", b"dl", b"ld", b"ul", b"lu")
 CUES = (b"user", b"login", b"account", b"client", b"access", b"://", b"host", b"endpoint", b"server")
 
 KINDS = ("assign", "access", "hex", "account", "endpoint", "value")
@@ -54,8 +56,8 @@ def base_spans(text: str, data: bytes) -> list[Span]:
 
 def random_looking(value: str) -> bool:
     """Digits, capitals and small letters together, changing kind often."""
-    kinds = [("d" if c.isdigit() else "u" if c.isupper() else "l") for c in value if c.isalnum()]
-    return len(set(kinds)) == 3 and 3 * sum(a != b for a, b in zip(kinds, kinds[1:])) >= len(kinds)
+    kinds = value.encode().translate(KIND_OF, b"+/_-")
+    return all(k in kinds for k in b"dul") and 3 * sum(map(kinds.count, CHANGES)) >= len(kinds)
 
 
 def weak_spans(text: str, data: bytes) -> list[Span]:
@@ -80,15 +82,18 @@ def linked(text: str, base: list[Span], weak: list[Span], reach: int = REACH) ->
     if not weak:
         return []
     breaks = [m.start() for m in BLANK.finditer(text)]
-    by_part: dict[tuple[int, str], list[Span]] = {}
+    # Per part the starts in order and, up to each, the furthest end.
+    by_part: dict[tuple[int, str], tuple[list[int], list[int]]] = {}
     for span in sorted(base + weak):
-        by_part.setdefault((bisect_left(breaks, span[0]), ROLE[span[2]]), []).append(span)
+        starts, ends = by_part.setdefault((bisect_left(breaks, span[0]), ROLE[span[2]]), ([], []))
+        starts.append(span[0])
+        ends.append(max(span[1], ends[-1]) if ends else span[1])
     complements = {"secret": ("account", "endpoint"), "account": ("secret",), "endpoint": ("secret",)}
     kept = []
     for span in weak:
         scope = bisect_left(breaks, span[0])
-        others = (by_part.get((scope, role), []) for role in complements[ROLE[span[2]]])
-        if any(within(spans, span, reach) for spans in others):
+        others = (by_part.get((scope, role), ([], [])) for role in complements[ROLE[span[2]]])
+        if any(within(starts, ends, span, reach) for starts, ends in others):
             kept.append(span)
     return kept
 
@@ -109,10 +114,10 @@ def touches(stretches: list[tuple[int, int]], span: Span) -> bool:
     return at >= 0 and stretches[at][1] > span[0]
 
 
-def within(spans: list[Span], span: Span, reach: int) -> bool:
-    """Whether some span of a list sorted by start begins at most ``reach`` before or after this one."""
-    at = bisect_left(spans, (span[0] - reach,))
-    return at < len(spans) and spans[at][0] <= span[0] + reach
+def within(starts: list[int], ends: list[int], span: Span, reach: int) -> bool:
+    """Whether at most ``reach`` characters lie between this span and some of those given by ``linked``."""
+    at = bisect_right(starts, span[1] + reach)
+    return at > 0 and ends[at - 1] >= span[0] - reach
 
 
 def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:

@@ -237,6 +237,23 @@ def test_secret_base_spans_equal_brute_force_and_weak_parts_need_a_complement(sp
     assert not any(weak[i] for i in (3, 4, 5, 6))
 
 
+def test_weak_parts_are_found_under_prefixed_names_in_either_case_and_at_any_length(spark):
+    key = "aB3d" * 21 + "Xy7="
+    texts = {
+        "DB_HOST=db.example.com\nDB_USER=carol\nDB_PASSWORD=hunter2": ["endpoint", "account", "value"],
+        "db_host=db.example.com\ndb_user=carol\ndb_password=hunter2": ["endpoint", "account", "value"],
+        "Host: db.example.com\nLogin-User: carol\nPassword: hunter2": ["endpoint", "account", "value"],
+        "aws_access_key_id=mykeyname\naws_value=" + "aB3d" * 10: ["account", "value"],
+        "smtp-host=mail.example.com\nkey=" + key + "=": ["endpoint", "value"],
+        "key=" + "aB3d" * 300 + "\nAPP_USER_NAME=carol": ["value", "account"],
+        "DB_USER=carol\nDB_HOST=db.example.com": [], "superuser=carol\nghost=abcdef\npassword: hunter2": [], "key=" + key: [],
+    }
+    out = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [[s.kind for s in r.spans] for r in sorted(out)] == list(texts.values())
+    value = next(s for r in out if r.doc_id == 4 for s in r.spans if s.kind == "value")
+    assert value.end - value.start == 87
+
+
 # Personal data
 
 PATTERNS = {
