@@ -1,10 +1,10 @@
 """Personal data by patterns, and terms that reveal it by information content; Column expressions and joins only.
 
 Protected entities are the e-mail addresses, IP addresses, card and phone numbers of a text. Over all documents it is
-counted how often a term occurs, how often an entity does, and how often the term stands near the entity. The
+counted in how many texts a term occurs, in how many an entity does, and in how many both do, wherever they stand. The
 pointwise mutual information of both, set against the information content of the entity, is the share of the
 entity that the term discloses: 1 means that whoever reads the term knows the entity. Terms above a threshold are
-personal data themselves wherever they share a document with the entity, provided that enough different texts bear it
+personal data themselves in every document, also in one without the entity, provided that enough different texts bear it
 out. Entities are generalised to their kind, disclosing terms are removed.
 
 Places are found by setting a mark around each match and splitting at the marks; their sums are taken in blocks, so
@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from exprspark.llm.lines import bitmap, possibly_in
 from exprspark.llm.words import doc_key, free_name, text_of
 from exprspark.session import Workspace
 
@@ -33,10 +34,9 @@ KINDS = [*PATTERNS, "term"]
 
 MARK, STAND_IN = "\x01", "\x02"
 BLOCK = 256
-WINDOW = 120
 SUPPORT = 3
 DISCLOSURE = 0.95
-TERM = r"\p{L}{4,}"
+TERM = r"\p{L}+"
 
 
 def running_sums(values: Column) -> Column:
@@ -59,10 +59,7 @@ def running_sums(values: Column) -> Column:
 
 
 def with_matches(df: DataFrame, kind: str, pattern: str, hint: str | None = None) -> DataFrame:
-    """Adds a column ``kind``: an array of ``(start, end, value, before, after)`` of the pattern's matches in ``text``.
-
-    ``before`` and ``after`` are the texts between this match and its neighbours. Start and end are code points.
-    """
+    """Adds a column ``kind``: an array of ``(start, end, value)`` of the pattern's matches in ``text``, places in code points."""
     text = F.replace(F.col("text"), F.lit(MARK), F.lit(STAND_IN))
     marked = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK)
     if hint:
@@ -77,11 +74,9 @@ def with_matches(df: DataFrame, kind: str, pattern: str, hint: str | None = None
             F.get("firsts", i).alias("start"),
             (F.get("firsts", i) + F.get("sizes", i)).alias("end"),
             F.get("pieces", i).alias("value"),
-            F.right(F.get("pieces", i - 1), F.lit(WINDOW)).alias("before"),
-            F.left(F.get("pieces", i + 1), F.lit(WINDOW)).alias("after"),
         ),
     )
-    none = F.array().cast("array<struct<start: bigint, end: bigint, value: string, before: string, after: string>>")
+    none = F.array().cast("array<struct<start: bigint, end: bigint, value: string>>")
     return cut.withColumn(kind, F.coalesce(found, none)).drop("pieces", "sizes", "firsts")
 
 
@@ -112,8 +107,8 @@ def valid(kind: str, value: Column) -> Column:
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, spans`` per row; spans ``(start, place of the kind, end, kind, value, before, after)`` in order."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
+    """``doc_id, text_key, spans`` per row; spans ``(start, place of the kind, end, kind, value)`` in order."""
+    rows = keyed_texts(docs)
     for kind, pattern in PATTERNS.items():
         rows = with_matches(rows, kind, pattern, HINTS[kind])
     kinds = []
@@ -131,33 +126,85 @@ def named_spans(matches: Column, place: int, kind: str) -> Column:
         matches,
         lambda m: F.struct(
             m["start"].alias("start"), F.lit(place).alias("place"), m["end"].alias("end"), F.lit(kind).alias("kind"),
-            m["value"].alias("value"), m["before"].alias("before"), m["after"].alias("after"),
+            m["value"].alias("value"),
         ),
     )
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """``entity, term`` pairs whose mutual information reaches ``disclosure`` of the entity's information content.
+def words_of(text: Column) -> Column:
+    """A text's distinct terms in lower case; what stands in an e-mail address is no term."""
+    apart = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, PATTERNS["email"], MARK)).otherwise(text)
+    return F.array_distinct(F.transform(F.regexp_extract_all(apart, F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
+
+
+def without_mails(text: Column) -> Column:
+    """The text with blanks in place of its e-mail addresses, so that all other places stay."""
+    pieces = F.split(F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(STAND_IN)), PATTERNS["email"], f"{MARK}$0{MARK}"), MARK)
+    blanked = F.transform(pieces, lambda p, i: F.when(i % 2 == 1, F.lpad(F.lit(""), F.length(p), F.lit(" "))).otherwise(p))
+    return F.when(F.contains(text, F.lit("@")), F.array_join(blanked, "")).otherwise(text)
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
+
+
+def same_row() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
+
+
+def rows_in(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts joined with the ``own_id, own_key`` of ``wanted``; a bitmap drops most others before the shuffle."""
+    marks = bitmap(wanted, F.struct(F.col("own_id").alias("doc_id"), F.col("own_key").alias("text_key")))
+    return possibly_in(texts, marks, F.struct("doc_id", "text_key")).join(wanted, same_row())
+
+
+def entity_classes(found: DataFrame, total: int, support: int, space: Workspace) -> DataFrame:
+    """``entity, group, n_entity``: entities in enough different texts; those that stand in the same texts have one group."""
+    single = found.filter(F.size("spans") > 0).select("text_key", F.explode(F.array_distinct("spans.value")).alias("entity"))
+    by_text = single.groupBy("entity", "text_key").agg(F.count(F.lit(1)).alias("docs"))
+    marks = [F.bit_xor(F.xxhash64("text_key", F.lit(i))).alias(f"mark{i}") for i in (1, 2)]
+    each = by_text.groupBy("entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("docs").alias("n_entity"), *marks)
+    each = each.filter((F.col("texts") >= support) & (F.col("n_entity") < total))
+    return space.save(each.select("entity", F.struct("texts", "n_entity", "mark1", "mark2").alias("group"), "n_entity"), "classes")
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, space: Workspace, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+    """``term``: terms whose mutual information with an entity reaches ``disclosure`` of the entity's information content.
 
-    ``found`` has one row per document with its ``spans``. All counts are of documents; ``support`` counts different
-    texts, so that copies of one text prove nothing.
+    ``found`` has one row per document with its ``spans``. All counts are of documents, over whole texts; ``support`` counts
+    different texts, so that copies of one text prove nothing. Entities in the same texts are counted as one group, and terms
+    first per set of groups, so documents that hold the same entities are summed before any term meets an entity.
     """
-    single = found.filter(F.size("spans") > 0).select("doc_id", "text_key", F.explode("spans").alias("s"))
-    # A word cut off by the window's edge has no letter boundary there and is left out.
-    left = F.regexp_extract_all(F.lower(F.concat(F.lit(" "), "s.before")), F.lit(rf"(?<=[^\p{{L}}]){TERM}"), F.lit(0))
-    right = F.regexp_extract_all(F.lower(F.concat("s.after", F.lit(" "))), F.lit(rf"{TERM}(?=[^\p{{L}}])"), F.lit(0))
-    near = single.select("doc_id", "text_key", F.col("s.value").alias("entity"), F.explode(F.array_distinct(F.concat(left, right))).alias("term"))
-    near = near.groupBy("entity", "term", "text_key").agg(F.countDistinct(doc_key()).alias("docs"))
-    together = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("docs").alias("both"))
-    together = together.filter(F.col("texts") >= support)
-    each = single.select("doc_id", "text_key", F.col("s.value").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text_of()), F.lit(TERM), F.lit(0)))
-    terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = F.lit(float(max(found.count(), 1)))
-    counted = together.join(each, "entity").join(terms, "term")
-    mutual = F.log2(F.col("both") * total / (F.col("n_entity") * F.col("n_term")))
-    content = F.log2(total / F.col("n_entity"))
-    return counted.filter((content > 0) & (mutual >= disclosure * content)).select("entity", "term")
+    total = found.count()
+    n = F.lit(float(max(total, 1)))
+    classes = entity_classes(found, total, support, space)
+    bearing = found.filter(F.size("spans") > 0).select("doc_id", "text_key", F.explode(F.array_distinct("spans.value")).alias("entity"))
+    sets = bearing.join(classes, "entity").groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("group")).alias("groups"))
+    keyed = sets.withColumn("set", F.struct(F.xxhash64("groups", F.lit(1)).alias("a"), F.xxhash64("groups", F.lit(2)).alias("b")))
+    sets = space.save(keyed.withColumnsRenamed({"doc_id": "own_id", "text_key": "own_key"}), "sets")
+    held = rows_in(keyed_texts(docs), sets.select("own_id", "own_key", "set"))
+    per_text = held.select("set", "text_key", F.explode(words_of(F.col("text"))).alias("term"))
+    per_text = per_text.groupBy("set", "term", "text_key").agg(F.count(F.lit(1)).alias("docs"))
+    per_set = space.save(per_text.groupBy("set", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("docs").alias("docs")), "per-set")
+    # In how many documents a term stands; only terms with enough texts beside entities are counted.
+    able = per_set.groupBy("term").agg(F.sum("texts").alias("texts")).filter(F.col("texts") >= support).select("term")
+    able = space.save(able, "able")
+    words = docs.select(F.explode(words_of(text_of())).alias("term"))
+    terms = possibly_in(words, bitmap(able, F.col("term")), F.col("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    terms = terms.join(able, "term", "left_semi")
+
+    def discloses(both: Column) -> Column:
+        mutual = F.log2(both * n / (F.col("n_entity") * F.col("n_term")))
+        return mutual >= disclosure * F.log2(n / F.col("n_entity"))
+
+    members = sets.select("set", "groups").dropDuplicates(["set"]).select("set", F.explode("groups").alias("group"))
+    members = members.withColumn("n_entity", F.col("group.n_entity"))
+    # The most documents that the largest group of a set and a term can share drops frequent terms before they meet the groups.
+    largest = members.groupBy("set").agg(F.max("n_entity").alias("n_entity"))
+    rare = per_set.join(terms, "term").join(largest, "set").filter(discloses(F.least("n_entity", "n_term"))).drop("n_entity")
+    pairs = rare.join(members, "set").filter(discloses(F.least("n_entity", "n_term")))
+    together = pairs.groupBy("group", "term", "n_entity", "n_term").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("both"))
+    return together.filter((F.col("texts") >= support) & discloses(F.col("both"))).select("term").distinct()
 
 
 def personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
@@ -169,17 +216,19 @@ def personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = D
     """
     space = Workspace(docs.sparkSession, "privacy")
     found = space.save(entities(docs), "found")
-    pairs = space.save(disclosing_terms(docs, found, support, disclosure), "pairs")
-    bearing = found.filter(F.size("spans") > 0).select("doc_id", "text_key", F.explode("spans.value").alias("entity"))
-    wanted = bearing.join(pairs, "entity").groupBy("doc_id", "text_key").agg(F.collect_set("term").alias("terms"))
+    terms = space.save(disclosing_terms(docs, found, space, support, disclosure), "terms")
+    texts = keyed_texts(docs)
+    words = texts.select("doc_id", "text_key", F.explode(words_of(F.col("text"))).alias("term"))
+    bearing = possibly_in(words, bitmap(terms, F.col("term")), F.col("term")).join(terms, "term")
+    wanted = bearing.groupBy("doc_id", "text_key").agg(F.collect_set("term").alias("terms"))
     wanted = space.save(wanted.withColumnsRenamed({"doc_id": "own_id", "text_key": "own_key"}), "wanted")
-    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    whole = with_matches(texts.join(wanted, same).dropDuplicates(["doc_id", "text_key"]), "words", TERM)
+    # A term within an e-mail address is generalised with it.
+    whole = rows_in(texts, wanted).dropDuplicates(["doc_id", "text_key"]).withColumn("text", without_mails(F.col("text")))
+    whole = with_matches(whole, "words", TERM)
     hits = F.filter("words", lambda w: F.array_contains("terms", F.lower(w["value"])))
     added = whole.select("own_id", "own_key", slim(named_spans(hits, len(PATTERNS), "term"), False).alias("added"))
     none = F.array().cast("array<struct<start: bigint, place: int, end: bigint, kind: string, base: boolean>>")
-    joined = found.join(space.save(added, "added"), same, "left")
+    joined = found.join(space.save(added, "added"), same_row(), "left")
     return joined.select(
         "doc_id", "text_key", F.array_sort(F.concat(slim(F.col("spans"), True), F.coalesce("added", none))).alias("spans")
     )

@@ -309,6 +309,43 @@ def test_terms_that_reveal_an_entity_are_removed_where_it_stands(spark):
     assert clean[3].startswith(" 3   contact <email> about ") and clean[12] == rows[7][1]
 
 
+def brute_terms(rows):
+    email = re.compile(PATTERNS["email"])
+    word = re.compile(r"[^\W\d_]+")
+    texts = [t for _, t in rows]
+    holds = [{m[0] for m in email.finditer(t)} for t in texts]
+    has = [{w.lower() for w in word.findall(email.sub("\x01", t))} for t in texts]
+    total, found = len(rows), set()
+    for e in set().union(*holds):
+        own = [i for i in range(total) if e in holds[i]]
+        for t in set().union(*(has[i] for i in own)):
+            both = [i for i in own if t in has[i]]
+            n_term = sum(t in h for h in has)
+            if len({texts[i] for i in both}) >= 3 and math.log2(len(both) * total / (len(own) * n_term)) >= 0.95 * math.log2(total / len(own)):
+                found.add(t)
+    marks = []
+    for t in texts:
+        mails = [m.span() for m in email.finditer(t)]
+        marks.append([m.span() for m in word.finditer(t) if m[0].lower() in found and not any(s < m.end() and m.start() < e for s, e in mails)])
+    return found, marks
+
+
+def test_terms_anywhere_in_a_text_disclose_and_go_from_every_text_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(12):
+        gap = sentence(random.Random(i), 30 + i)
+        rows.append((i, f"Lee {gap} x{i} joe@lee.com and amy@x.com or joe@lee.com, 王伟 {sentence(rng, i)} {'Zed' if i % 2 else ''}"))
+    rows += [(20 + i, f"{sentence(random.Random(i), 40)} number bob{i % 4}@y.org {'Ann' if i % 4 == 1 else ''}") for i in range(40)]
+    rows += [(100 + i, sentence(rng, 40)) for i in range(200)]
+    rows += [(400, "only LEE is named here"), (401, "mail lee@other.net to lee")] + [(410 + i, rows[3][1]) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want, marks = brute_terms(rows)
+    out = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "term"] for r in privacy.personal_data(docs).collect()}
+    assert {"lee", "王伟", "zed", "ann"} <= want and out == {r[0]: m for r, m in zip(rows, marks)}
+    assert out[400] == [(5, 8)] and out[401] == [(22, 25)]
+
+
 # Sketches
 
 def shingles(text):
