@@ -62,11 +62,33 @@ CLASS_OF = byte_classes()
 INPUTS = WIDTH * CLASS_OF.shape[1] + LAGS
 
 
-def windows_of(data: np.ndarray) -> Iterator[np.ndarray]:
-    """Input rows of all windows, in chunks; the last window is filled up with zero bytes."""
-    count = max(1, -(-max(0, len(data) - WIDTH) // STRIDE) + 1)
-    padded = np.zeros(LAGS + (count - 1) * STRIDE + WIDTH, dtype=np.uint8)
+def window_count(data: np.ndarray) -> int:
+    return max(1, -(-max(0, len(data) - WIDTH) // STRIDE) + 1)
+
+
+def padded_bytes(data: np.ndarray) -> np.ndarray:
+    """The bytes of all windows behind ``LAGS`` zero bytes; the last window is filled up with zero bytes."""
+    padded = np.zeros(LAGS + (window_count(data) - 1) * STRIDE + WIDTH, dtype=np.uint8)
     padded[LAGS : LAGS + len(data)] = data[: len(padded) - LAGS]
+    return padded
+
+
+def windows_at(data: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Input rows of the windows with these numbers; no others are built."""
+    parts = np.lib.stride_tricks.sliding_window_view(padded_bytes(data), LAGS + WIDTH)[numbers * STRIDE]
+    own = parts[:, LAGS:]
+    rows = np.empty((len(parts), INPUTS), dtype=np.float32)
+    planes = WIDTH * CLASS_OF.shape[1]
+    rows[:, :planes] = CLASS_OF[own].reshape(len(parts), -1)
+    for lag in range(1, LAGS + 1):
+        same = (own == parts[:, LAGS - lag : LAGS - lag + WIDTH]) & (own != 0)
+        rows[:, planes + lag - 1] = same.sum(axis=1, dtype=np.uint8) * np.float32(1.0 / WIDTH)
+    return rows
+
+
+def windows_of(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Input rows of all windows, in chunks."""
+    count, padded = window_count(data), padded_bytes(data)
     for first in range(0, count, CHUNK_WINDOWS):
         n = min(CHUNK_WINDOWS, count - first)
         begin = LAGS + first * STRIDE
@@ -126,9 +148,11 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: in
     for epoch in range(epochs):
         rate = RATE * (1.0 - epoch / epochs)
         for place, i in enumerate(rng.permutation(len(bags))):
-            rows = np.concatenate(list(windows_of(bags[i])))
-            if len(rows) > SAMPLE_WINDOWS:
-                rows = rows[rng.choice(len(rows), SAMPLE_WINDOWS, replace=False)]
+            count = window_count(bags[i])
+            if count > SAMPLE_WINDOWS:
+                rows = windows_at(bags[i], rng.choice(count, SAMPLE_WINDOWS, replace=False))
+            else:
+                rows = np.concatenate(list(windows_of(bags[i])))
             response = np.maximum(rows @ net.filters + net.shift, 0)
             top = response.argmax(axis=0)
             pooled = np.concatenate([response.max(axis=0), response.mean(axis=0), [1.0]])

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -436,6 +437,18 @@ def test_chunks_give_the_windows_of_the_whole_text(monkeypatch):
     assert len(whole) == -(-(len(data) - convnet.WIDTH) // convnet.STRIDE) + 1 and len(list(convnet.windows_of(data[:0]))) == 1
 
 
+def test_training_on_a_long_text_builds_only_the_chosen_windows():
+    data = np.frombuffer((sentence(random.Random(3), 400) + " é\0 ").encode(), dtype=np.uint8)
+    numbers = np.random.default_rng(1).permutation(convnet.window_count(data))
+    assert np.array_equal(convnet.windows_at(data, numbers), np.concatenate(list(convnet.windows_of(data)))[numbers])
+    long = sentence(random.Random(4), 150_000).encode()
+    tracemalloc.start()
+    convnet.train([long], np.array([1]), epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(long) > 1_000_000 and peak < 20 * len(long)
+
+
 def test_classifier_tells_junk_from_prose_on_held_out_rows(spark):
     rows = []
     for i in range(400):
