@@ -1,10 +1,10 @@
 """Spelling variants: words one edit apart, found through a reduced alphabet.
 
 Letters are hashed to a few symbols, so a word becomes a reduced word of the same length. If two words are one edit
-apart, so are their reduced words, or these are equal. Of every reduced word the whole neighbourhood of one edit is
-written out, which takes few rows with so few symbols, and joined with the reduced vocabulary; the pairs are then
-verified on the words themselves. A neighbourhood holds each reduced word once, so a pair is found once from either
-side and a word's neighbours come together under the word itself.
+apart, so are their reduced words, or these are equal. Of every reduced word, taken once, the whole neighbourhood of one
+edit is generated, which takes few rows with so few symbols, and joined with the reduced vocabulary; pairs of words
+behind such pairs are then verified on the words themselves. A neighbourhood holds each reduced word once, so a pair is
+found once from either side and a word's neighbours come together under the word itself.
 
 A bitmap of fixed size over the reduced vocabulary drops most neighbours that are no reduced word before the shuffle.
 Words are counted before anything is paired, so how often a word occurs makes no key hot.
@@ -25,7 +25,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TYPO_EVERY = 31
 LEAST_LENGTH, LEAST_COUNT, RATIO = 7, 2, 10
 
-SYMBOLS = 4
+SYMBOLS = 5
 
 
 def runs_of(docs: DataFrame, least_length: int = LEAST_LENGTH) -> DataFrame:
@@ -77,12 +77,16 @@ def neighbourhood(word: Column, symbols: int = SYMBOLS) -> Column:
 
 def near_words(words: DataFrame, space: Workspace, symbols: int = SYMBOLS) -> DataFrame:
     """``word, n, other, other_n`` for every two words one edit apart, from both sides. ``words`` has ``word, n``."""
-    small = space.save(words.select("word", "n", reduced(F.col("word"), symbols).alias("small")), "reduced")
-    keyed = small.select(F.xxhash64("small").alias("key"), F.col("word").alias("other"), F.col("n").alias("other_n"))
-    marks = space.save(bitmap(keyed.select("key").distinct(), F.col("key")), "marks")
-    near = small.select("word", "n", F.explode(neighbourhood(F.col("small"), symbols)).alias("key"))
-    near = possibly_in(near, marks, F.col("key"))
-    return near.join(keyed, "key").filter(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
+    small = reduced(F.col("word"), symbols)
+    keyed = space.save(words.select(F.xxhash64(small).alias("key"), "word", "n", small.alias("small")), "reduced")
+    # The reduced vocabulary, each word once, and which of the reduced words around each are in it.
+    vocabulary = keyed.groupBy("key").agg(F.first("small").alias("small"))
+    marks = space.save(bitmap(vocabulary.select("key"), F.col("key")), "marks")
+    near = vocabulary.select("key", F.explode(neighbourhood(F.col("small"), symbols)).alias("near"))
+    near = possibly_in(near, marks, F.col("near"))
+    own = near.join(keyed.select("key", "word", "n"), "key").select("near", "word", "n")
+    others = keyed.select(F.col("key").alias("near"), F.col("word").alias("other"), F.col("n").alias("other_n"))
+    return own.join(others, "near").filter(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
 
 
 def follow(forms: DataFrame, space: Workspace) -> DataFrame:
