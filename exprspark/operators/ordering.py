@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from exprspark.session import Workspace
 
-ROWS_PER_RANGE = 500_000
 
 
 def is_value(df: DataFrame, value: str) -> Column:
@@ -32,21 +31,19 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(renamed, same, how).drop(*names.values())
 
 
-def ordered_counts(df: DataFrame, value: str, by: list[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def ordered_counts(df: DataFrame, value: str, by: list[str], rows_per_range: int | None = None) -> DataFrame:
     """Distinct values per group as ``by + (value, n, upto, total, value_range)``.
 
     ``n`` rows share the value, ``upto`` rows are less or equal, ``total`` rows are in the group. NULL and NaN are no
-    values. The ranges are written with their numbers, so that every use sees the same ones.
+    values. The ranges are written with their numbers, so that every use sees the same ones. Spark's shuffle decides
+    how many ranges there are, from its partition count and the size it wants of a partition; ``rows_per_range`` sets
+    their size, at the cost of a count.
     """
     space = Workspace(df.sparkSession, "ordered")
-    counted = Observation()
     distinct = df.filter(is_value(df, value)).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    distinct = space.save(distinct.observe(counted, F.count(F.lit(1)).alias("rows")), "distinct")
-    ranges = max(1, -(-counted.get["rows"] // rows_per_range))
-    cut = space.save(
-        distinct.repartitionByRange(ranges, *by, value).withColumn("value_range", F.spark_partition_id().cast("long")), "ranges"
-    )
-    space.drop("distinct")
+    order = [*by, value]
+    dealt = distinct.repartitionByRange(max(1, -(-distinct.count() // rows_per_range)), *order) if rows_per_range else distinct.repartitionByRange(*order)
+    cut = space.save(dealt.withColumn("value_range", F.spark_partition_id().cast("long")), "ranges")
     keys = [*by, "value_range"]
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = group.orderBy("value_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -63,7 +60,7 @@ def adjust_p(
     p: str = "pvalue",
     by: list[str] | None = None,
     out: str = "padj",
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Benjamini-Hochberg adjusted p-values within each group; NULL and NaN p-values stay out and get NULL.
 
@@ -100,7 +97,7 @@ def exact_quantiles(
     value: str,
     probs: list[float],
     by: list[str] | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Interpolated quantiles per group as ``by + (level, quantile)``, one row per probability in order.
 

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,60 +23,161 @@ NO_FEATURE = "Unassigned_NoFeatures"
 UNMAPPED = "Unassigned_Unmapped"
 STATUSES = (ASSIGNED, AMBIGUOUS, MULTIMAPPED, NO_FEATURE, UNMAPPED)
 
-BIN_SIZE = 1024
-ROWS_PER_SALT = 1_000_000
+RANGES = 1024
+CANDIDATES = 1 << 20
 
 
-def _bins(start: str, end: str, size: int) -> Column:
-    return F.explode(F.expr(f"sequence({start} div {size}, {end} div {size})"))
+def place(section: Column, position: Column) -> Column:
+    """A position as one number whose order runs through one section (a chromosome) after another.
 
+    Sections that share a hash are mixed in that order, which is no matter: who overlaps is decided by section.
+    """
+    return F.shiftleft(F.hash(section).bitwiseAND(0xFFFFF).cast("long"), 32) + position
 
-def hot_bins(binned: DataFrame, at: list[str], rows_per_salt: int) -> DataFrame:
-    """Bins with more than ``rows_per_salt`` blocks and over how many salts to spread them.
 
-    There are at most blocks / ``rows_per_salt`` of them, whatever the data looks like.
-    """
-    salts = F.ceil(F.count(F.lit(1)) / rows_per_salt).cast("int")
-    return binned.groupBy(*at).agg(salts.alias("salts")).filter("salts > 1")
+def equal_shares(places: DataFrame, ranges: int) -> list[float]:
+    """At most ``ranges - 1`` borders that cut the column ``place`` into ranges of about equal counts; a border that
+    comes ``c`` times begins with a place that holds ``c`` shares."""
+    cuts = [i / ranges for i in range(1, ranges)]
+    found = places.agg(F.percentile_approx("place", cuts, 20 * ranges).alias("cuts")).first()["cuts"] if cuts else None
+    return [float(v) for v in found or []]
 
 
-def overlap_hits(
-    blocks: DataFrame,
-    exons: DataFrame,
-    ws: Workspace,
-    bin_size: int = BIN_SIZE,
-    rows_per_salt: int = ROWS_PER_SALT,
-    keys: tuple[str, ...] = (),
-) -> DataFrame:
-    """Pairs of overlapping blocks and exons on the same chromosome, each pair once.
+def range_of(df: DataFrame, places: dict[str, Column], borders: list[float]) -> DataFrame:
+    """Adds for each name the number of the range that its place lies in."""
+    splits = [-float("inf"), *borders, float("inf")]
+    for name, at in places.items():
+        if not borders:
+            df = df.withColumn(name, F.lit(0))
+            continue
+        spot = f"{name}_place"
+        cut = Bucketizer(splits=splits, inputCol=spot, outputCol=f"{name}_cut")
+        df = cut.transform(df.withColumn(spot, at.cast("double"))).withColumn(name, F.col(f"{name}_cut").cast("int")).drop(spot, f"{name}_cut")
+    return df
+
+
+class Open:
+    """The exons of one range by section and start, for the blocks that stream by.
 
-    Both sides are cut into fixed bins and joined by equality on ``(chrom, bin)``. A pair is kept only in
-    the bin where its overlap begins. Hot bins are spread over salts, and only the exons of those bins are
-    repeated per salt, so a gene that takes a third of all reads is shared by many tasks.
-    ``blocks`` should be a written table: it is read once to count bins and once to join.
+    Exons are kept by length class, each at most twice as long as the shortest of its class. In a class, those that may
+    reach a block are a run of starts, of which only the ones farther back than the shortest length can fail; so a long
+    exon never drags the short ones behind it along.
     """
-    at = [*keys, "chrom", "bin"]
-    left = blocks.withColumn("bin", _bins("start", "end", bin_size))
-    right = exons.withColumn("bin", _bins("exon_start", "exon_end", bin_size))
-    hot = ws.save(hot_bins(left, at, rows_per_salt), "hot")
-    if hot.take(1):
-        salts = F.coalesce(F.col("salts"), F.lit(1))
-        spread = F.pmod(F.xxhash64("fragment_id", "start"), salts.cast("long")).cast("int")
-        left = left.join(hot, at, "left").withColumn("salt", spread).drop("salts")
-        right = right.join(hot, at, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
-        at = [*at, "salt"]
-    overlaps = "start <= exon_end AND exon_start <= end"
-    return left.join(right, at).filter(f"{overlaps} AND greatest(start, exon_start) div {bin_size} = bin")
-
-
-def strand_agrees(strandedness: Column, strand: Column, mate: Column, exon_strand: Column) -> Column:
-    """Reads of a forward library lie on the gene's strand, of a reverse library opposite; mate 2 flips."""
-    flipped = F.when(mate == 2, F.translate(strand, "+-", "-+")).otherwise(strand)
-    return (
-        (strandedness == "unstranded")
-        | ((strandedness == "forward") & (flipped == exon_strand))
-        | ((strandedness == "reverse") & (flipped != exon_strand))
+
+    def __init__(self, section: np.ndarray, start: np.ndarray, end: np.ndarray, strand: np.ndarray, gene: np.ndarray):
+        length = np.maximum(end - start, 0)
+        kind = np.frexp(length.astype(float))[1]
+        self.classes = []
+        for k in np.unique(kind):
+            own = np.flatnonzero(kind == k)
+            key = (section[own] << 33) | start[own]
+            own = own[np.argsort(key, kind="stable")]
+            self.classes.append(((section[own] << 33) | start[own], int(length[own].max()), start[own], end[own], strand[own], gene[own]))
+
+    def hits(self, section: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Block number and start, strand and gene of the exon, for all overlaps, in parts of bounded size."""
+        for keys, longest, starts, ends, strands, genes in self.classes:
+            first = np.searchsorted(keys, (section << 33) | np.maximum(start - longest, 0), "left")
+            last = np.searchsorted(keys, (section << 33) | end, "right")
+            upto = np.cumsum(np.maximum(last - first, 0))
+            total = int(upto[-1]) if len(upto) else 0
+            for low in range(0, total, CANDIDATES):
+                flat = np.arange(low, min(total, low + CANDIDATES))
+                block = np.searchsorted(upto, flat, "right")
+                exon = last[block] - (upto[block] - flat)
+                meets = ends[exon] >= start[block]
+                block, exon = block[meets], exon[meets]
+                yield block, starts[exon], strands[exon], genes[exon]
+
+
+def sweep(rows: DataFrame, keys: tuple[str, ...], strandedness: str, borders: list[float]) -> DataFrame:
+    """``keys + (fragment_id, lowest, highest)``: per block with overlaps its smallest and largest gene number.
+
+    ``rows`` holds exons and blocks, each in every range it touches: an interval that is open at a border is carried
+    over it. A range's exons come first and its blocks stream past them. An overlap counts in the range in which it
+    begins, so in one only. Pairs never leave the task.
+    """
+    cuts = np.array(borders)
+    names = ["fragment_id", *keys]
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([f"`{n}` {kinds[n]}" for n in names] + ["lowest long", "highest long"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes: dict = {None: -1}
+        now, held, opened = None, [], None
+
+        def coded(column: pa.Array) -> np.ndarray:
+            words = column.dictionary_encode()
+            own = np.array([codes.setdefault(w, len(codes)) for w in words.dictionary.to_pylist()] + [-1], dtype=np.int64)
+            return own[pc.fill_null(words.indices, len(own) - 1).to_numpy(zero_copy_only=False)]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at, sub, kind, start, end, base, gene = (
+                pc.fill_null(batch.column(c), -1).to_numpy(zero_copy_only=False) for c in ("range", "sub", "kind", "start", "end", "base", "gene_no")
+            )
+            section, strand = coded(batch.column("section")), coded(batch.column("strand"))
+            changes = np.flatnonzero((np.diff(at) != 0) | (np.diff(sub) != 0) | (np.diff(kind) != 0)) + 1
+            for low, high in zip([0, *changes], [*changes, len(at)]):
+                part = slice(low, high)
+                if now != (at[low], sub[low]):
+                    now, held, opened = (at[low], sub[low]), [], None
+                if kind[low] == 0:
+                    held.append((section[part], start[part], end[part], strand[part], gene[part]))
+                    continue
+                if held:
+                    opened, held = Open(*(np.concatenate(x) for x in zip(*held))), []
+                if opened is None:
+                    continue
+                lowest = np.full(high - low, np.iinfo(np.int64).max)
+                highest = np.full(high - low, -1)
+                for block, exon_start, exon_strand, exon_gene in opened.hits(section[part], start[part], end[part]):
+                    begins = base[part][block] + np.maximum(start[part][block], exon_start)
+                    fits = np.searchsorted(cuts, begins.astype(float), "right") == at[low]
+                    own = strand[part][block]
+                    if strandedness != "unstranded":
+                        known = (own >= 0) & (exon_strand >= 0)
+                        fits &= known & ((own == exon_strand) if strandedness == "forward" else (own != exon_strand))
+                    np.minimum.at(lowest, block[fits], exon_gene[fits])
+                    np.maximum.at(highest, block[fits], exon_gene[fits])
+                hit = np.flatnonzero(highest >= 0)
+                if len(hit):
+                    columns = [batch.column(n).take(pa.array(low + hit)) for n in names]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(lowest[hit]), pa.array(highest[hit])], names=[*names, "lowest", "highest"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def overlap_hits(blocks: DataFrame, exons: DataFrame, strandedness: str, ranges: int = RANGES, keys: tuple[str, ...] = (),
+                 exon_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Smallest and largest gene number per block that overlaps an exon; see ``sweep``.
+
+    Blocks and exons are dealt by one shuffle to ranges that hold about equal counts of both, whatever the depth. Where
+    one place alone holds several shares, its blocks are dealt to as many parts, and the exons there are repeated.
+    """
+    section = F.concat_ws("\x01", *[F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in exon_keys], F.col("chrom"))
+    none = F.lit(None)
+    left = blocks.select(*keys, "fragment_id", section.alias("section"), F.lit(1).alias("kind"), "start", "end", "strand", none.cast("long").alias("gene_no"))
+    right = exons.filter("chrom IS NOT NULL").select(
+        *[(F.col(k) if k in exon_keys else none.cast(dict(blocks.dtypes)[k])).alias(k) for k in keys], none.cast("string").alias("fragment_id"),
+        section.alias("section"), F.lit(0).alias("kind"), "start", "end", "strand", "gene_no",
     )
+    both = left.unionByName(right).withColumns({"start": F.col("start").cast("long"), "end": F.col("end").cast("long")})
+    both = both.withColumn("base", place(F.col("section"), F.lit(0).cast("long")))
+    marks = equal_shares(both.select((F.col("base") + F.col("start")).alias("place")), ranges)
+    borders = sorted(set(marks))
+    # More tasks than ranges share each range's blocks; its exons are few and go to all of them.
+    spread = -(-int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")) // ranges)
+    held = Counter(marks)
+    shares = F.array(F.lit(spread), *[F.lit(spread * held[b]) for b in borders])
+    touched = range_of(both, {"first": F.col("base") + F.col("start"), "last": F.col("base") + F.greatest("start", "end")}, borders)
+    touched = touched.withColumn("range", F.explode(F.sequence("first", "last"))).withColumn("shares", shares[F.col("range")])
+    own = F.array(F.pmod(F.xxhash64("fragment_id", "start"), F.col("shares").cast("long")).cast("int"))
+    everywhere = F.sequence(F.lit(0), F.col("shares") - 1)
+    dealt = touched.withColumn("sub", F.explode(F.when(F.col("kind") == 1, own).otherwise(everywhere))).drop("first", "last", "shares")
+    placed = dealt.repartition("range", "sub").sortWithinPartitions("range", "sub", "kind")
+    return sweep(placed, keys, strandedness, borders)
 
 
 def fragment_name(read_id: Column) -> Column:
@@ -77,46 +185,38 @@ def fragment_name(read_id: Column) -> Column:
 
 
 def assign(
-    aligned: DataFrame,
-    exons: DataFrame,
-    strandedness: str = "unstranded",
-    keys: tuple[str, ...] = (),
-    bin_size: int = BIN_SIZE,
-    rows_per_salt: int = ROWS_PER_SALT,
+    aligned: DataFrame, exons: DataFrame, strandedness: str = "unstranded", keys: tuple[str, ...] = (), ranges: int = RANGES
 ) -> DataFrame:
     """One row per fragment: ``keys + (fragment_id, status, gene_id)``.
 
     ``aligned(read_id, chrom, strand, mate, nh, unmapped, blocks)``; mates share a fragment through their
-    name. Exactly one gene is an assignment, several are ambiguous, more than one reported location makes
-    the fragment multi-mapped. Hits and fragments meet in a single aggregate: a fragment with one gene
-    has equal smallest and largest gene numbers, so no per-fragment gene set is built.
+    name. Reads of a forward library lie on the gene's strand, of a reverse library opposite; mate 2 flips. Exactly one
+    gene is an assignment, several are ambiguous, more than one reported location makes the fragment multi-mapped. Hits
+    and fragments meet in a single aggregate: a fragment with one gene has equal smallest and largest gene numbers, so no
+    per-fragment gene set is built.
     """
     spark = aligned.sparkSession
     ws = Workspace(spark, "overlap")
     reads = aligned.withColumn("fragment_id", fragment_name(F.col("read_id")))
     usable = reads.filter(~F.col("unmapped") & (F.coalesce(F.col("nh"), F.lit(1)) <= 1))
     # The outer form keeps Spark from parsing every alignment a second time just to drop empty arrays.
+    flipped = F.when(F.col("mate") == 2, F.translate("strand", "+-", "-+")).otherwise(F.col("strand"))
     blocks = usable.select(
-        *keys, "fragment_id", "chrom", "strand", "mate", F.inline_outer("blocks").alias("start", "end")
-    ).filter("start IS NOT NULL")
-    blocks = ws.save(blocks, "blocks")
+        *keys, "fragment_id", "chrom", flipped.alias("strand"), F.inline_outer("blocks").alias("start", "end")
+    ).filter("start IS NOT NULL AND chrom IS NOT NULL")
     exon_keys = tuple(k for k in keys if k in exons.columns)
     # Written once, the running id is a stable number per gene; numbers keep the last aggregate hash-based.
     genes = exons.select(*exon_keys, "gene_id").distinct().withColumn("gene_no", F.monotonically_increasing_id())
     genes = ws.save(genes, "genes")
-    spans = exons.join(genes, [*exon_keys, "gene_id"]).select(
-        *exon_keys, "chrom", "gene_no", F.col("strand").alias("exon_strand"),
-        F.col("start").alias("exon_start"), F.col("end").alias("exon_end"),
-    ).distinct()
-    pairs = overlap_hits(blocks, ws.save(spans, "exons"), ws, bin_size, rows_per_salt, exon_keys).filter(
-        strand_agrees(F.lit(strandedness), F.col("strand"), F.col("mate"), F.col("exon_strand"))
-    )
+    spans = exons.join(genes, [*exon_keys, "gene_id"]).select(*exon_keys, "chrom", "gene_no", "strand", "start", "end").distinct()
+    pairs = overlap_hits(blocks, ws.save(spans, "exons"), strandedness, ranges, keys, exon_keys)
     none = F.lit(None)
-    hits = pairs.select(*keys, "fragment_id", "gene_no", none.cast("int").alias("nh"), none.cast("boolean").alias("mapped"))
+    hits = pairs.select(*keys, "fragment_id", "lowest", "highest", none.cast("int").alias("nh"), none.cast("boolean").alias("mapped"))
     facts = reads.select(
         *keys,
         "fragment_id",
-        none.cast("bigint").alias("gene_no"),
+        none.cast("bigint").alias("lowest"),
+        none.cast("bigint").alias("highest"),
         F.coalesce(F.col("nh"), F.lit(1)).cast("int").alias("nh"),
         (~F.col("unmapped")).alias("mapped"),
     )
@@ -131,8 +231,8 @@ def assign(
         facts.unionByName(hits)
         .groupBy(*keys, "fragment_id")
         .agg(
-            F.min("gene_no").alias("lowest"),
-            F.max("gene_no").alias("highest"),
+            F.min("lowest").alias("lowest"),
+            F.max("highest").alias("highest"),
             F.max("nh").alias("nh"),
             F.bool_or("mapped").alias("mapped"),
         )

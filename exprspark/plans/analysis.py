@@ -106,11 +106,9 @@ def model_matrix_table(spark: SparkSession, model: Model) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def sample_tables(spark: SparkSession, arrays: DataFrame, model: Model, covariates: dict[str, list], genes: int) -> dict[str, DataFrame]:
-    """PCA scores and sample distances from one Gram matrix."""
-    g = tr.gram_matrix(arrays, len(model.samples))
-    scores, share = tr.principal_components(g, genes)
-    d = tr.distance_matrix(g)
+def sample_tables(spark: SparkSession, arrays: DataFrame, model: Model, covariates: dict[str, list]) -> dict[str, DataFrame]:
+    """PCA scores and sample distances from the packed, stabilized rows, a written table."""
+    scores, share = tr.principal_components(arrays, len(model.samples))
     names = list(covariates)
     rows = [
         (s, float(scores[i, 0]), float(scores[i, 1]), float(share[0]), float(share[1]), *[covariates[n][i] for n in names])
@@ -119,11 +117,8 @@ def sample_tables(spark: SparkSession, arrays: DataFrame, model: Model, covariat
     kinds = ["double" if isinstance(covariates[n][0], float) else "string" for n in names]
     schema = "sample_id string, PC1 double, PC2 double, PC1_variance double, PC2_variance double"
     schema += "".join(f", `{n}` {t}" for n, t in zip(names, kinds))
-    pairs = [(a, b, float(d[i, j])) for i, a in enumerate(model.samples) for j, b in enumerate(model.samples)]
-    return {
-        "pca_data": spark.createDataFrame(rows, schema),
-        "sample_distances": spark.createDataFrame(pairs, "sample_a string, sample_b string, distance double"),
-    }
+    order = spark.createDataFrame(list(enumerate(model.samples)), "at int, sample_id string")
+    return {"pca_data": spark.createDataFrame(rows, schema), "sample_distances": tr.sample_distances(arrays, order)}
 
 
 def contrast_tables(ws: Workspace, study: Study, fit: Fit, i: int, facts: dict[str, str], annotation: DataFrame | None, arrays: DataFrame) -> dict[str, DataFrame]:
@@ -151,14 +146,14 @@ def contrast_tables(ws: Workspace, study: Study, fit: Fit, i: int, facts: dict[s
     }
 
 
-def model_tables(spark: SparkSession, study: Study, fit: Fit, arrays: DataFrame, genes: int) -> dict[str, DataFrame]:
+def model_tables(spark: SparkSession, study: Study, fit: Fit, arrays: DataFrame) -> dict[str, DataFrame]:
     """Tables that depend on the model only; contrasts of one model share them."""
     normalized = tr.unpack(tr.normalized_arrays(fit.genes, fit.size_factors), fit.model.samples)
     return {
         "normalized_counts": normalized,
         "model_matrix": model_matrix_table(spark, fit.model).unpivot("sample_id", None, "coefficient", "value"),
         "dispersion_data": res.dispersion_data(fit),
-        **sample_tables(spark, arrays, fit.model, study.covariates, genes),
+        **sample_tables(spark, arrays, fit.model, study.covariates),
     }
 
 
@@ -206,7 +201,7 @@ def run_analysis(
             fit = fit_model(ws, packed, study.models[i], sf, f"model{group}", retained)
             fits.append(fit)
             arrays = ws.save(tr.vst_arrays(fit), f"model{group}-vst")
-            shared[group] = (arrays, model_tables(spark, study, fit, arrays, retained))
+            shared[group] = (arrays, model_tables(spark, study, fit, arrays))
         arrays, per_model = shared[group]
         tables = contrast_tables(ws, study, fits[group], i, facts, annotation, arrays) | per_model
         for name, table in tables.items():

@@ -29,7 +29,7 @@ from exprspark.plans.views import (
 from exprspark.session import Workspace
 from exprspark.stats import results as res
 from exprspark.stats.normalize import base_moments, size_factors, vst_parametric
-from exprspark.stats.transform import distance_matrix, distances_of, gram, gram_matrix, normalized_arrays
+from exprspark.stats.transform import distances_of, gram, normalized_arrays, sample_distances
 
 WITH = "WITH " + RUN_COUNTS_SQL
 WITH_RESULTS = "WITH " + RESULTS_SQL
@@ -130,10 +130,9 @@ FROM vst a JOIN vst b ON a.gene_id = b.gene_id AND a.sample_id <= b.sample_id GR
 
 @query("sample_distances", DISTANCE_SQL)
 def sample_distances_query(spark, sf):
-    """Distances on the driver from the collected samples x samples Gram matrix, as the analysis does."""
-    d = distance_matrix(gram_matrix(vst_packed(spark, sf), len(SAMPLES)))
-    pairs = [(a, b, float(d[i, j])) for i, a in enumerate(SAMPLES) for j, b in enumerate(SAMPLES) if i <= j]
-    found = spark.createDataFrame(pairs, "sample_a string, sample_b string, distance double")
+    """All ordered pairs of samples, added up in narrow tiles; the half that the SQL lists."""
+    samples = spark.createDataFrame(list(enumerate(SAMPLES)), "at int, sample_id string")
+    found = sample_distances(vst_packed(spark, sf), samples).filter("sample_a <= sample_b")
     return found.withColumn("distance", F.round("distance", 4))
 
 

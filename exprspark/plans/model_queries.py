@@ -80,16 +80,52 @@ def analysis_heatmap(spark, sf):
     return view_analysis(spark, sf).tables["heatmap_data"]
 
 
+def embedding_rows(spark, sf):
+    """Each vector taken as a gene, each dimension as a sample."""
+    return table(spark, sf, "embeddings").select(F.col("embedding").cast("array<double>").alias("x"))
+
+
 @query("pca_samples")
 def pca_samples(spark, sf):
     """PCA of the embedding dimensions, each vector taken as a gene."""
-    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("gene_id"), F.col("embedding").cast("array<double>").alias("x"))
+    vectors = embedding_rows(spark, sf)
     width = vectors.select(F.size("x")).first()[0]
-    scores, share = tr.principal_components(tr.gram_matrix(vectors, width), vectors.count())
+    scores, share = tr.principal_components(vectors, width)
     rows = [(i, float(scores[i, 0]), float(scores[i, 1]), float(share[0]), float(share[1])) for i in range(width)]
     return spark.createDataFrame(rows, "dimension int, PC1 double, PC2 double, PC1_variance double, PC2_variance double")
 
 
+# A covariance matrix squared often enough, and scaled each time, is the projection on its first eigenvector; what that
+# explains is taken off and the rest squared again.
+@query(
+    "pca_variance",
+    """WITH RECURSIVE e AS (SELECT vec_id, UNNEST(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS d FROM embeddings),
+            c AS (SELECT vec_id, d, v - AVG(v) OVER (PARTITION BY vec_id) AS x FROM e),
+            g AS (SELECT a.d AS i, b.d AS j, SUM(a.x * b.x) AS g FROM c a JOIN c b ON a.vec_id = b.vec_id GROUP BY ALL),
+            m AS (SELECT LIST(r ORDER BY i) AS m FROM (SELECT i, LIST(g ORDER BY j) AS r FROM g GROUP BY i)),
+            total AS (SELECT SUM(g) AS total FROM g WHERE i = j),
+            first AS (SELECT 0 AS step, list_transform(m, lambda r: list_transform(r, lambda v: v / total)) AS p FROM m, total
+                      UNION ALL
+                      SELECT step + 1, list_transform(q, lambda r: list_transform(r, lambda v: v / t)) FROM (
+                        SELECT step, q, list_sum(list_transform(range(1, len(q) + 1), lambda k: q[k][k])) AS t FROM (
+                          SELECT step, list_transform(p, lambda r: list_transform(p, lambda s: list_dot_product(r, s))) AS q FROM first WHERE step < 36))),
+            one AS (SELECT p, list_sum(list_transform(range(1, len(p) + 1), lambda k: list_dot_product(p[k], m[k]))) AS value FROM first, m WHERE step = 36),
+            rest AS (SELECT list_transform(range(1, len(p) + 1), lambda a: list_transform(range(1, len(p) + 1), lambda b: m[a][b] - value * p[a][b])) AS m FROM one, m),
+            second AS (SELECT 0 AS step, list_transform(rest.m, lambda r: list_transform(r, lambda v: v / total)) AS p FROM rest, total
+                      UNION ALL
+                      SELECT step + 1, list_transform(q, lambda r: list_transform(r, lambda v: v / t)) FROM (
+                        SELECT step, q, list_sum(list_transform(range(1, len(q) + 1), lambda k: q[k][k])) AS t FROM (
+                          SELECT step, list_transform(p, lambda r: list_transform(p, lambda s: list_dot_product(r, s))) AS q FROM second WHERE step < 36))),
+            two AS (SELECT list_sum(list_transform(range(1, len(p) + 1), lambda k: list_dot_product(p[k], m[k]))) AS value FROM second, m WHERE step = 36)
+       SELECT 1 AS component, ROUND(value / total, 8) AS share FROM one, total UNION ALL SELECT 2, ROUND(value / total, 8) FROM two, total""",
+)
+def pca_variance(spark, sf):
+    """Shares of variance of the first two components."""
+    vectors = embedding_rows(spark, sf)
+    _, share = tr.principal_components(vectors, vectors.select(F.size("x")).first()[0])
+    return spark.createDataFrame([(c + 1, float(v)) for c, v in enumerate(share)], "component int, share double").withColumn("share", F.round("share", 8))
+
+
 @query(
     "gram_embeddings",
     """WITH e AS (SELECT vec_id, UNNEST(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS d FROM embeddings),
@@ -97,8 +133,7 @@ def pca_samples(spark, sf):
        SELECT CAST(a.d AS INTEGER) AS i, CAST(b.d AS INTEGER) AS j, ROUND(SUM(a.x * b.x), 6) AS g FROM c a JOIN c b ON a.vec_id = b.vec_id AND a.d <= b.d GROUP BY ALL""",
 )
 def gram_embeddings(spark, sf):
-    vectors = table(spark, sf, "embeddings").select(F.col("embedding").cast("array<double>").alias("x"))
-    return tr.gram(vectors).withColumn("g", F.round("g", 6))
+    return tr.gram(embedding_rows(spark, sf)).withColumn("g", F.round("g", 6))
 
 
 @query(

@@ -83,7 +83,6 @@ class Workspace:
         for target in [self.folder(n) for n in names] or [self.path]:
             path = jvm.org.apache.hadoop.fs.Path(target)
             path.getFileSystem(conf).delete(path, True)
-        self.release()
 
     def release(self) -> None:
         """Let shuffle files of finished jobs go: Spark removes them once the driver has collected what referred to them."""

@@ -154,10 +154,10 @@ def exon_frame(spark):
     return spark.createDataFrame([(g, "c", s, a, b) for g, s, a, b in EXONS], "gene_id string, chrom string, strand string, start int, end int")
 
 
-@pytest.mark.parametrize("bin_size,rows_per_salt", [(1024, 10**6), (50, 1), (7, 2)])
-def test_read_origins_give_known_genes(spark, bin_size, rows_per_salt):
+@pytest.mark.parametrize("ranges", [overlap.RANGES, 1, 3])
+def test_read_origins_give_known_genes(spark, ranges):
     rows = [(n, "c", s, 0, 1, False, i) for n, (i, s) in ORIGINS.items()]
-    got = overlap.assign(aligned(spark, rows), exon_frame(spark), bin_size=bin_size, rows_per_salt=rows_per_salt)
+    got = overlap.assign(aligned(spark, rows), exon_frame(spark), ranges=ranges)
     assert {r["fragment_id"]: (r["status"], r["gene_id"]) for r in got.collect()} == {
         "exon_plus": ("Assigned", "A"), "junction": ("Assigned", "A"), "exon_minus": ("Assigned", "B"), "both": ("Unassigned_Ambiguity", None)}
     universe = exon_frame(spark).select("gene_id").distinct()
@@ -176,20 +176,40 @@ def test_pairs_strands_and_multimapping(spark):
     assert state("forward")["f"] == "Assigned" and state("reverse")["f"] == "Unassigned_NoFeatures"
 
 
-def test_overlap_matches_brute_force_when_one_bin_is_hot(spark):
-    rng = np.random.default_rng(1)
-    starts = np.where(rng.random(600) < 0.4, 500, rng.integers(1, 20000, 600))
-    rows = [(f"r{i}", "c", "+", 0, 1, False, f"{s}-{s + int(rng.integers(1, 400))}") for i, s in enumerate(starts)]
-    exons = [(f"g{i}", "c", "+", int(s), int(s) + int(rng.integers(1, 3000))) for i, s in enumerate(rng.integers(1, 20000, 60))]
+def check_overlap(spark, rows, exons, **how):
     frame = spark.createDataFrame(exons, "gene_id string, chrom string, strand string, start int, end int")
-    got = {r["fragment_id"]: (r["status"], r["gene_id"]) for r in overlap.assign(aligned(spark, rows), frame, bin_size=256, rows_per_salt=20).collect()}
-    for name, _, _, _, _, _, text in rows:
+    got = {r["fragment_id"]: (r["status"], r["gene_id"]) for r in overlap.assign(aligned(spark, rows), frame, **how).collect()}
+    assert len(got) == len(rows)
+    for name, chrom, strand, _, _, _, text in rows:
         s, e = map(int, text.split("-"))
-        hits = {g for g, _, _, a, b in exons if s <= b and a <= e}
+        hits = {g for g, c, t, a, b in exons if c == chrom and s <= b and a <= e and (how.get("strandedness") != "forward" or t == strand)}
         want = ("Unassigned_NoFeatures", None) if not hits else ("Assigned", hits.pop()) if len(hits) == 1 else ("Unassigned_Ambiguity", None)
         assert got[name] == want
 
 
+@pytest.mark.parametrize("ranges", [1, 7, 64])
+def test_overlap_matches_brute_force_when_one_place_is_hot(spark, ranges):
+    rng = np.random.default_rng(1)
+    starts = np.where(rng.random(600) < 0.4, 500, rng.integers(1, 20000, 600))
+    rows = [(f"r{i}", "cd"[i % 2], "+-"[i % 3 % 2], 0, 1, False, f"{s}-{s + int(rng.integers(1, 400))}") for i, s in enumerate(starts)]
+    exons = [(f"g{i}", "cd"[i % 2], "+-"[i % 5 % 2], int(s), int(s) + int(rng.integers(1, 3000))) for i, s in enumerate(rng.integers(1, 20000, 60))]
+    check_overlap(spark, rows, exons, ranges=ranges)
+    check_overlap(spark, rows, exons, ranges=ranges, strandedness="forward")
+
+
+def test_overlap_where_exons_crowd_and_long_ones_stay_open(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "CANDIDATES", 64)
+    rng = np.random.default_rng(2)
+    # Half of all exons begin at one place, three span everything, and reads lie on borders of length one.
+    exons = [(f"g{i}", "c", "+", 700, 700 + int(rng.integers(0, 50))) for i in range(200)]
+    exons += [(f"far{i}", "c", "+", 1 + i, 100_000) for i in range(3)]
+    exons += [(f"s{i}", "c", "+", 3000 + 40 * i, 3010 + 40 * i) for i in range(150)]
+    rows = [(f"r{i}", "c", "+", 0, 1, False, f"{s}-{s + int(rng.integers(0, 30))}") for i, s in enumerate(rng.integers(650, 9500, 300))]
+    check_overlap(spark, rows, exons, ranges=16)
+    check_overlap(spark, rows, exons[203:], ranges=16)
+    check_overlap(spark, rows[:5], [("only", "other", "+", 1, 10)], ranges=4)
+
+
 def test_reads_equal_spliced_reference(spark, tmp_path):
     rng = np.random.default_rng(3)
     bases = "".join(rng.choice(list("ACGT"), 3000))

@@ -136,20 +136,54 @@ def test_vst_derivative_identity(spark):
         assert (hi - lo) / (2 * h) * math.log(2) * math.sqrt(q + a1 * q + a0 * q * q) == pytest.approx(math.sqrt(a0), rel=1e-5)
 
 
-def test_pca_and_distances_match_svd(spark):
+def packed_rows(spark, x):
+    return spark.createDataFrame([(f"g{i}", [float(v) for v in row]) for i, row in enumerate(x)], "gene_id string, x array<double>").repartition(5)
+
+
+def svd_scores(x, components=2):
+    u, s, _ = np.linalg.svd((x - x.mean(axis=1, keepdims=True)).T, full_matrices=False)
+    return u[:, :components] * s[:components], s[:components] ** 2 / (s**2).sum()
+
+
+@pytest.mark.parametrize("genes, samples, block", [(200, 6, 8), (200, 6, 2), (300, 90, 8), (40, 90, 3), (500, 33, 4)])
+def test_components_match_svd(spark, genes, samples, block):
+    x = np.random.default_rng(genes + samples).normal(size=(genes, samples)) * (1 + np.arange(samples) / samples)
+    scores, share = tr.principal_components(packed_rows(spark, x), samples, block=block)
+    want, want_share = svd_scores(x)
+    assert np.abs(np.abs(scores) - np.abs(want)).max() < 1e-8 * np.abs(want).max()
+    assert np.abs(share - want_share).max() < 1e-10
+    assert all(scores[np.argmax(np.abs(scores[:, c])), c] > 0 for c in range(2))
+
+
+def test_components_of_degenerate_tables(spark):
     x = np.random.default_rng(4).normal(size=(200, 6))
-    arrays = spark.createDataFrame([(f"g{i}", [float(v) for v in row]) for i, row in enumerate(x)], "gene_id string, x array<double>")
-    g = tr.gram_matrix(arrays, 6)
-    scores, share = tr.principal_components(g, 200)
-    centered = (x - x.mean(axis=1, keepdims=True)).T
-    u, s, _ = np.linalg.svd(centered, full_matrices=False)
-    for c in range(2):
-        assert np.abs(np.abs(scores[:, c]) - np.abs(u[:, c] * s[c])).max() < 1e-9
-        assert share[c] == pytest.approx(s[c] ** 2 / (s**2).sum())
-    want = np.sqrt(((x.T[:, None, :] - x.T[None, :, :]) ** 2).sum(axis=2))
-    assert np.abs(tr.distance_matrix(g) - want).max() < 1e-9
-    scores, share = tr.principal_components(tr.gram_matrix(arrays.limit(1), 6), 1)
-    assert (scores[:, 1] == 0).all() and share[1] == 0
+    scores, share = tr.principal_components(packed_rows(spark, x[:1]), 6)
+    assert np.abs(scores[:, 1]).max() == 0 and share[1] == 0 and share[0] == pytest.approx(1)
+    for rows in (np.ones((5, 6)), np.zeros((0, 6))):
+        scores, share = tr.principal_components(packed_rows(spark, rows), 6)
+        assert not scores.any() and not share.any()
+    # Two equal eigenvalues: any basis of their plane will do.
+    pair = np.zeros((2, 4))
+    pair[0, :2], pair[1, 2:] = (1, -1), (1, -1)
+    scores, share = tr.principal_components(packed_rows(spark, pair), 4)
+    assert share == pytest.approx([0.5, 0.5]) and np.abs(scores @ scores.T - pair.T @ pair).max() < 1e-9
+
+
+@pytest.mark.parametrize("tile, held", [(32, 1 << 22), (4, 64), (1, 1)])
+def test_gram_tiles_and_distances(spark, tile, held):
+    x = np.random.default_rng(7).normal(size=(60, 9))
+    arrays = packed_rows(spark, x)
+    centered = x - x.mean(axis=1, keepdims=True)
+    got = {(r.i, r.j): r.g for r in tr.gram(arrays, True, tile, held).collect()}
+    want = centered.T @ centered
+    assert set(got) == {(i, j) for i in range(9) for j in range(i, 9)}
+    assert max(abs(got[k] - want[k]) for k in got) < 1e-9
+    order = spark.createDataFrame([(i, f"s{i}") for i in range(9)], "at int, sample_id string")
+    found = {(r.sample_a, r.sample_b): r.distance for r in tr.sample_distances(arrays, order).collect()}
+    assert len(found) == 81
+    apart = np.sqrt(((x.T[:, None, :] - x.T[None, :, :]) ** 2).sum(axis=2))
+    assert max(abs(found[f"s{i}", f"s{j}"] - apart[i, j]) for i in range(9) for j in range(9)) < 1e-6
+    assert tr.gram(arrays.limit(0)).count() == 0
 
 
 def inputs(spark, counts, contrasts, alpha="0.05"):
