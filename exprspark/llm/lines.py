@@ -182,6 +182,7 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int
     enough = 100 * shared >= percent * (F.size("tokens") + F.size("others") - shared)
     found = space.save(both.filter(enough).select("id").distinct(), f"settled-{label}")
     space.drop(f"ends-{label}", f"sets-{label}")
+    space.release()
     return found
 
 
@@ -249,6 +250,7 @@ def similar_classes(docs: DataFrame, lines: DataFrame, classes: DataFrame, perce
     rest = by_small.unionByName(by_large).distinct().join(settled, "id", "left_anti").join(tried, ["id", "other"], "left_anti")
     rest = space.save(rest, "other-pairs")
     space.drop("buckets")
+    space.release()
     return settled.unionByName(verified(docs, rest, classes, percent, space, "by-all"))
 
 
@@ -266,6 +268,7 @@ def removed_lines(docs: DataFrame, percent: int, space: Workspace) -> DataFrame:
     gone = lines.select("k", "place", "h1", "h2").join(marked, ["h1", "h2"]).filter(F.col("similar") | later)
     gone = space.save(gone.groupBy("k").agg(F.collect_set("place").alias("codes")), "gone")
     space.drop("lines", "classes", "other-pairs")
+    space.release()
     return gone
 
 
