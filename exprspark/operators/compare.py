@@ -175,6 +175,81 @@ def parity(expected: DataFrame, actual: DataFrame, keys: list[str], log_columns:
     return joined.select(*keys, F.inline(found))
 
 
+def packed_cells(table: str, df: DataFrame, keys: list[str], bookkeeping: dict[str, list[str]]) -> DataFrame:
+    """``table, row, cells``: a table's rows by their key, each with its cells in order of column name.
+
+    A cell has ``column, number, text``: numbers of any width as doubles, all else as text. Rows that only keep books, by
+    the values a key column has, are left out.
+    """
+    numeric_types = ("double", "float", "int", "bigint", "smallint", "tinyint", "decimal")
+    for column, values in bookkeeping.items():
+        if column in df.columns:
+            df = df.filter(~F.coalesce(F.col(f"`{column}`").cast("string").isin(values), F.lit(False)))
+
+    def cell(name: str, kind: str) -> Column:
+        value, none = F.col(f"`{name}`"), F.lit(None)
+        text = F.to_json(value) if kind.startswith(("array", "struct", "map")) else value.cast("string")
+        number = kind.startswith(numeric_types)
+        return F.struct(
+            F.lit(name).alias("column"), (value if number else none).cast("double").alias("number"), (none if number else text).cast("string").alias("text")
+        )
+
+    cells = [cell(n, k) for n, k in sorted(df.dtypes) if n not in keys]
+    empty = F.array().cast("array<struct<column:string,number:double,text:string>>")
+    row = F.to_json(F.struct(*[F.col(f"`{k}`").cast("string").alias(k) for k in keys]), {"ignoreNullFields": "false"})
+    return df.select(F.lit(table).alias("table"), row.alias("row"), (F.array(*cells) if cells else empty).alias("cells"))
+
+
+def run_parity(
+    expected: dict[str, DataFrame], actual: dict[str, DataFrame], keys: dict[str, list[str]], bookkeeping: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """Differences of two runs' tables as ``table, row, column, problem``; none means parity.
+
+    All tables are compared by one join, whatever their columns: each row is packed into its key, as JSON, and its cells.
+    Tables and columns on one side only are told from the schemas alone (``row`` is NULL then, ``column`` too for a
+    table); of a table whose columns differ the common ones are compared. Then come rows on one side only (``column`` is
+    ``*``), different NULL masks, numbers outside the tolerance and other values that differ, a column being a number or
+    not on both sides included. ``bookkeeping`` names key columns and the values whose rows are no result. Keys must be
+    unique within a table.
+    """
+    books = bookkeeping or {}
+    spark = next(iter([*expected.values(), *actual.values()])).sparkSession
+    told, left, right = [], [], []
+    for name in sorted({*expected, *actual}):
+        if name not in actual or name not in expected:
+            told.append((name, None, None, "missing_table" if name not in actual else "extra_table"))
+            continue
+        e, x = expected[name], actual[name]
+        told += [(name, None, c, "missing_column") for c in e.columns if c not in x.columns]
+        told += [(name, None, c, "extra_column") for c in x.columns if c not in e.columns]
+        common = [c for c in e.columns if c in x.columns]
+        left.append(packed_cells(name, e.select(*[f"`{c}`" for c in common]), keys[name], books))
+        right.append(packed_cells(name, x.select(*[f"`{c}`" for c in common]), keys[name], books))
+    found = spark.createDataFrame(told, "table string, row string, column string, problem string")
+    if not left:
+        return found
+
+    def whole(parts: list[DataFrame], side: str) -> DataFrame:
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out.withColumnRenamed("cells", side)
+
+    joined = whole(left, "e").join(whole(right, "x"), ["table", "row"], "full_outer")
+
+    def problem(e: Column, x: Column) -> Column:
+        nothing_e, nothing_x = e["number"].isNull() & e["text"].isNull(), x["number"].isNull() & x["text"].isNull()
+        kinds = e["number"].isNull() != x["number"].isNull()
+        off = ~F.coalesce(close(x["number"], e["number"]) | (e["number"] == x["number"]), F.lit(False)) & e["number"].isNotNull()
+        return F.when(nothing_e != nothing_x, "null_mask").when(kinds, "kind").when(off, "number").when(~e["text"].eqNullSafe(x["text"]), "value")
+
+    cells = F.zip_with("e", "x", lambda e, x: F.struct(e["column"].alias("column"), problem(e, x).alias("problem")))
+    one_sided = F.array(F.struct(F.lit("*").alias("column"), F.when(F.col("x").isNull(), "missing_row").otherwise("extra_row").alias("problem")))
+    both = F.col("e").isNotNull() & F.col("x").isNotNull()
+    rows = joined.select("table", "row", F.inline(F.when(both, F.filter(cells, lambda c: c["problem"].isNotNull())).otherwise(one_sided)))
+    return found.unionByName(rows)
+
+
 def mapping_metrics(sam: DataFrame, inputs: DataFrame, keys: list[str]) -> DataFrame:
     """Mapped, unique, multi-mapped and spliced primary records per run, and the mapping rate.
 

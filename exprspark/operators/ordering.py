@@ -124,6 +124,28 @@ def exact_quantiles(
     return near.groupBy(*by, "level").agg((low + (high - low) * weight).alias("quantile"))
 
 
+def global_positions(df: DataFrame, order: list[str], out: str = "position") -> DataFrame:
+    """The rows with their place, from 1, in the total order of the given columns; no task sees more than its range.
+
+    Rows are dealt to ranges, sorted there and written with range and row number; a range's offset is the sum of the
+    counts before it, from a table with one row a range. That table also proves the order: a range that begins before
+    its predecessor's end fails the job. Rows equal in all columns of the order have neighbouring places in any order.
+    """
+    key = F.struct(*order)
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    taken = {c.lower() for c in df.columns}
+    part, row = (next(n for n in (f"{base}{'_' * k}" for k in range(len(taken) + 1)) if n not in taken) for base in ("part", "row"))
+    cut = cut.withColumns({part: F.spark_partition_id(), row: F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
+    cut = Workspace(df.sparkSession, "positions").save(cut, "ranges")
+    ends = cut.groupBy(part).agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("first"), F.max(key).alias("last"))
+    ranges = Window.partitionBy(F.lit(0)).orderBy(part)
+    ends = ends.select(part, F.sum("rows").over(ranges.rowsBetween(Window.unboundedPreceding, -1)).alias("offset"), "first", F.lag("last").over(ranges).alias("ended"))
+    wrong = F.col("ended").isNotNull() & (F.col("ended") > F.col("first"))
+    offset = F.when(wrong, F.raise_error(F.lit("ranges overlap")).cast("long")).otherwise(F.coalesce("offset", F.lit(0)))
+    placed = cut.join(ends.select(part, offset.alias("offset")), part)
+    return placed.select(*df.columns, (F.col("offset") + F.col(row) + 1).alias(out))
+
+
 def top_per_group(df: DataFrame, k: int, order: list[Column], by: list[str] | None = None) -> DataFrame:
     """The first ``k`` rows in the given order, with their 1-based ``rank``.
 

@@ -6,9 +6,9 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +23,7 @@ NO_FEATURE = "Unassigned_NoFeatures"
 UNMAPPED = "Unassigned_Unmapped"
 STATUSES = (ASSIGNED, AMBIGUOUS, MULTIMAPPED, NO_FEATURE, UNMAPPED)
 
-RANGES = 1024
+RANGES = 256
 CANDIDATES = 1 << 20
 
 
@@ -38,22 +38,17 @@ def place(section: Column, position: Column) -> Column:
 def equal_shares(places: DataFrame, ranges: int) -> list[float]:
     """At most ``ranges - 1`` borders that cut the column ``place`` into ranges of about equal counts; a border that
     comes ``c`` times begins with a place that holds ``c`` shares."""
-    cuts = [i / ranges for i in range(1, ranges)]
-    found = places.agg(F.percentile_approx("place", cuts, 20 * ranges).alias("cuts")).first()["cuts"] if cuts else None
+    if ranges < 2:
+        return []
+    cuts = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
+    found = places.agg(F.expr(f"percentile_approx(place, array({cuts}), {20 * ranges})").alias("cuts")).first()["cuts"]
     return [float(v) for v in found or []]
 
 
-def range_of(df: DataFrame, places: dict[str, Column], borders: list[float]) -> DataFrame:
-    """Adds for each name the number of the range that its place lies in."""
-    splits = [-float("inf"), *borders, float("inf")]
-    for name, at in places.items():
-        if not borders:
-            df = df.withColumn(name, F.lit(0))
-            continue
-        spot = f"{name}_place"
-        cut = Bucketizer(splits=splits, inputCol=spot, outputCol=f"{name}_cut")
-        df = cut.transform(df.withColumn(spot, at.cast("double"))).withColumn(name, F.col(f"{name}_cut").cast("int")).drop(spot, f"{name}_cut")
-    return df
+def range_of(borders: list[float]):
+    """A vectorised function from a place to the number of the range it lies in."""
+    cuts = np.array(borders)
+    return F.pandas_udf(lambda at: pd.Series(np.searchsorted(cuts, at.to_numpy(dtype=float), "right").astype(np.int32)), "int")
 
 
 class Open:
@@ -170,8 +165,9 @@ def overlap_hits(blocks: DataFrame, exons: DataFrame, strandedness: str, ranges:
     # More tasks than ranges share each range's blocks; its exons are few and go to all of them.
     spread = -(-int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")) // ranges)
     held = Counter(marks)
-    shares = F.array(F.lit(spread), *[F.lit(spread * held[b]) for b in borders])
-    touched = range_of(both, {"first": F.col("base") + F.col("start"), "last": F.col("base") + F.greatest("start", "end")}, borders)
+    shares = F.expr("array(" + ", ".join(str(n) for n in (spread, *(spread * held[b] for b in borders))) + ")")
+    number = range_of(borders)
+    touched = both.withColumns({"first": number(F.col("base") + F.col("start")), "last": number(F.col("base") + F.greatest("start", "end"))})
     touched = touched.withColumn("range", F.explode(F.sequence("first", "last"))).withColumn("shares", shares[F.col("range")])
     own = F.array(F.pmod(F.xxhash64("fragment_id", "start"), F.col("shares").cast("long")).cast("int"))
     everywhere = F.sequence(F.lit(0), F.col("shares") - 1)
