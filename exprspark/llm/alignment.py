@@ -7,7 +7,7 @@ other groups are counted by a shuffle, after each task has added up its own.
 
 A text is cut before a space that follows a letter, digit or ASCII sign. Neither tokenizer has a token across such a
 place, so both end a token there; a segment's tokens and groups are worked out when it is first met and looked up
-afterwards. The table of known segments is bounded and starts anew when full.
+afterwards. The table of known segments is bounded; when it is full the half used least goes.
 
 Then every document looks its pairs up. Pairs that are common in the corpus, at most ``HOT_PAIRS`` by their share of
 all counts, and one-to-one pairs, at most one per A id, are a table every task holds. The others are joined; none of
@@ -34,6 +34,7 @@ HOT_PAIRS = 1 << 17
 CACHED_SEGMENTS, CACHED_CHARS = 250_000, 4_000_000
 COUNTED_PAIRS = 1 << 20
 CUT = re.compile(r"(?<=[\w!-~])(?= .)", re.DOTALL)
+INSIDE = re.compile("[\\w!-~\udc80-\udcff] ")
 
 TOKENS = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -72,18 +73,39 @@ class Aligner:
         ]
         of_bytes = {x: i for i, x in reversed(list(enumerate(self.b_bytes))) if not self.b.is_byte(i) and not self.b.is_control(i)}
         self.same = np.array([of_bytes.get(x, -1) for x in self.a_bytes], dtype=np.int64)
-        # Cutting before a space is safe only where no piece has one behind another sign.
-        self.cut = not any(" " in x.decode("utf-8", "ignore").lstrip(" ") for x in self.b_bytes + self.a_bytes)
+        # Cutting is safe only where no token has such a place inside; a part of a letter counts as a letter.
+        self.cut = not any(INSIDE.search(x.decode("utf-8", "surrogateescape")) for x in self.b_bytes + self.a_bytes)
+        self.same_list = self.same.tolist()
+        self.a_size, self.b_size = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
         self.limit = segments
         self.forget()
 
     def forget(self) -> None:
         self.slots: dict[str, int] = {}
-        self.chars = 0
+        self.names: list[str] = []
         self.texts: list[str] = []
-        self.sizes: list[tuple[int, int, int, int, bool]] = []
-        self.known = [[], [], [], []]  # same, times, pairs, times of each segment
-        self.flat: tuple | None = None
+        self.sizes = np.zeros((0, 5), dtype=np.int64)
+        # One-to-one pairs and other pairs of all segments in a row: lengths, values, times.
+        self.kinds = [[np.zeros(0, dtype=np.int64)] * 3, [np.zeros(0, dtype=np.int64)] * 3]
+        self.uses = np.zeros(0, dtype=np.int64)
+        self.chars = 0
+
+    def make_room(self) -> None:
+        """Keep the segments used most, at most half of what may be kept, if the table is full."""
+        if len(self.names) <= self.limit and self.chars <= CACHED_CHARS:
+            return
+        order = np.argsort(-self.uses, kind="stable")
+        held = np.cumsum(np.array([len(n) for n in self.names])[order])
+        kept = np.sort(order[(np.arange(len(order)) < self.limit // 2) & (held <= CACHED_CHARS // 2)])
+        for kind in self.kinds:
+            stays = np.zeros(len(self.names), dtype=bool)
+            stays[kept] = True
+            entry_stays = np.repeat(stays, kind[0])
+            kind[:] = [kind[0][kept], kind[1][entry_stays], kind[2][entry_stays]]
+        self.sizes, self.uses = self.sizes[kept], self.uses[kept] // 2
+        self.names, self.texts = [self.names[i] for i in kept], [self.texts[i] for i in kept]
+        self.slots = {n: i for i, n in enumerate(self.names)}
+        self.chars = sum(map(len, self.names))
 
     def segments(self, text: str) -> list[str]:
         return CUT.split(" " + text) if self.cut else [" " + text]
@@ -91,72 +113,64 @@ class Aligner:
     def learn(self, new: list[str]) -> None:
         all_a = self.a.encode_batch_fast(new, add_special_tokens=False)
         all_b = self.b.encode([s[1:] for s in new], num_threads=1)
-        for segment, a, b in zip(new, all_a, all_b):
-            self.slots[segment] = len(self.texts)
-            self.chars += len(segment)
-            self.group(segment.encode(), a.ids, b)
-        self.flat = None
-
-    def group(self, data: bytes, a: list[int], b: list[int]) -> None:
-        """Append what a segment has: its groups as text, sizes, and linked pairs with how often each is linked."""
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
+        found = [self.group(segment.encode(), a.ids, b) for segment, a, b in zip(new, all_a, all_b)]
+        self.slots.update(zip(new, range(len(self.names), len(self.names) + len(new))))
+        self.names += new
+        self.chars += sum(map(len, new))
+        texts, sizes, *kinds = zip(*found)
+        self.texts += texts
+        self.sizes = np.concatenate([self.sizes, np.array(sizes, dtype=np.int64)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), dtype=np.int64)])
+        for kind, dicts in zip(self.kinds, kinds):
+            kind[0] = np.concatenate([kind[0], np.array([len(d) for d in dicts], dtype=np.int64)])
+            kind[1] = np.concatenate([kind[1], np.array([x for d in dicts for x in d], dtype=np.int64)])
+            kind[2] = np.concatenate([kind[2], np.array([n for d in dicts for n in d.values()], dtype=np.int64)])
+
+    def group(self, data: bytes, a: list[int], b: list[int]) -> tuple[str, tuple, dict[int, int], dict[int, int]]:
+        """A segment's groups as text, its sizes, and how often one-to-one pairs and other pairs are linked in it."""
+        a_bytes, b_bytes, same_as = self.a_bytes, self.b_bytes, self.same_list
         if b"".join([a_bytes[x] for x in a]) != data or b"".join([b_bytes[x] for x in b]) != data:
-            self.texts.append("")
-            self.sizes.append((0, 0, 0, 0, False))
-            for column in self.known:
-                column.append([])
-            return
-        same, pairs, shown, links = Counter(), Counter(), [], 0
-        i = j = at_a = at_b = first_a = first_b = 0
-        while i < len(a):
-            at_a += len(a_bytes[a[i]])
-            i += 1
+            return "", (0, 0, 0, 0, 0), {}, {}
+        a_size, b_size = self.a_size, self.b_size
+        same: dict[int, int] = {}
+        pairs: dict[int, int] = {}
+        shown, links = [], 0
+        j = at_a = at_b = first_a = first_b = 0
+        for i, x in enumerate(a, 1):
+            at_a += a_size[x]
             while at_b < at_a:
-                at_b += len(b_bytes[b[j]])
+                at_b += b_size[b[j]]
                 j += 1
             if at_a != at_b:
                 continue
-            own, others = a[first_a:i], b[first_b:j]
-            links += len(own) * len(others)
-            if len(own) == len(others) == 1 and self.same[own[0]] == others[0]:
-                same[own[0]] += 1
-                shown.append(f"{own[0]}|{others[0]}")
+            if i - first_a == 1 and j - first_b == 1 and same_as[x] == b[first_b]:
+                links += 1
+                same[x] = same.get(x, 0) + 1
+                shown.append(f"{x}|{same_as[x]}")
             else:
+                own, others = a[first_a:i], b[first_b:j]
+                links += len(own) * len(others)
                 # Ids with the same bytes may also be linked in a larger group; that is the same pair.
-                right = Counter(others).items()
-                for x, n in Counter(own).items():
-                    for y, m in right:
-                        if self.same[x] == y:
-                            same[x] += n * m
+                right = Counter(others).items() if len(others) > 8 else [(y, 1) for y in others]
+                for y, m in right:
+                    for z, n in Counter(own).items() if len(own) > 8 else [(z, 1) for z in own]:
+                        if same_as[z] == y:
+                            same[z] = same.get(z, 0) + n * m
                         else:
-                            pairs[pair_code(x, y)] += n * m
+                            code = z << 32 | y
+                            pairs[code] = pairs.get(code, 0) + n * m
                 shown.append(",".join(map(str, own)) + "|" + ",".join(map(str, others)))
             first_a, first_b = i, j
-        self.texts.append(";".join(shown))
-        self.sizes.append((len(a), len(b), len(shown), links, True))
-        for column, values in zip(self.known, (list(same), list(same.values()), list(pairs), list(pairs.values()))):
-            column.append(values)
-
-    def tables(self) -> tuple:
-        """Sizes per segment, and for one-to-one and other pairs: starts, lengths, values and times in a row."""
-        if self.flat is None:
-            out = [np.array(self.sizes, dtype=np.int64).reshape(-1, 5)]
-            for values, times in ((self.known[0], self.known[1]), (self.known[2], self.known[3])):
-                lengths = np.array([len(v) for v in values], dtype=np.int64)
-                flat = [np.array([x for v in part for x in v], dtype=np.int64) for part in (values, times)]
-                out.append((np.cumsum(lengths) - lengths, lengths, *flat))
-            self.flat = tuple(out)
-        return self.flat
+        return ";".join(shown), (len(a), len(b), len(shown), links, 1), same, pairs
 
     def rows(self, doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
         """One row per text; ``TOKENS`` names the columns."""
-        if len(self.slots) > self.limit or self.chars > CACHED_CHARS:
-            self.forget()
+        self.make_room()
         split = [self.segments(t) if t else [] for t in texts]
         if new := list({s for segments in split for s in segments if s not in self.slots}):
             self.learn(new)
         slots = [[self.slots[s] for s in segments] for segments in split]
-        sizes, *kinds = self.tables()
+        sizes = self.sizes
         docs = np.repeat(np.arange(len(texts)), [len(x) for x in slots])
         flat = np.array([i for x in slots for i in x], dtype=np.int64)
         broken = np.zeros(len(texts), dtype=bool)
@@ -171,9 +185,10 @@ class Aligner:
         # Each segment of a document once, with how often it stands there.
         units, often = np.unique(docs * max(1, len(sizes)) + flat, return_counts=True)
         docs, flat = units // max(1, len(sizes)), units % max(1, len(sizes))
+        np.add.at(self.uses, flat, 1)
         lists = []
-        for kind in kinds:
-            lists += distinct(*gathered(docs, flat, often, *kind), len(texts))
+        for lengths, values, times in self.kinds:
+            lists += distinct(*gathered(docs, flat, often, np.cumsum(lengths) - lengths, lengths, values, times), len(texts))
         kinds_of = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         arrays = [pa.ListArray.from_arrays(pa.array(b, pa.int32()), pa.array(v).cast(k)) for (b, v), k in zip(lists, kinds_of)]
         columns = [doc_ids, *[pa.array(t) for t in totals], pa.array(digests, pa.string()), *arrays]
