@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from exprspark.operators.compare import pairs_of
+
 
 def sample_run_mapping(samples: DataFrame, runs: DataFrame, strandedness: str) -> DataFrame:
     """Samples joined to their sequencing run through the experiment accession."""
@@ -57,6 +59,16 @@ def same_set(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
     return tally.withColumn("equal", (F.col("only_left") == 0) & (F.col("only_right") == 0))
 
 
+def same_sets(table: DataFrame, names: list[str], columns: list[str], by: str = "backend") -> DataFrame:
+    """``same_set`` of every two of the named parts of a table, as ``by_a, by_b, only_left, only_right, equal``."""
+    sides = pairs_of(table, names, columns, {"held": F.lit(True)}, by)
+    tally = sides.groupBy(f"{by}_a", f"{by}_b").agg(
+        F.count_if(F.col("held_a").isNotNull() & F.col("held_b").isNull()).alias("only_left"),
+        F.count_if(F.col("held_b").isNotNull() & F.col("held_a").isNull()).alias("only_right"),
+    )
+    return tally.withColumn("equal", (F.col("only_left") == 0) & (F.col("only_right") == 0))
+
+
 def novel_and_absent(current: DataFrame, past: DataFrame) -> DataFrame:
     """Genes only in the current list (novel) or only in the past one (absent)."""
     novel = current.select("gene_id").distinct().join(past, "gene_id", "left_anti").withColumn("state", F.lit("novel"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,10 +47,27 @@ def unmatched_cells(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("a").isNull() | F.col("b").isNull())
 
 
-def compare_counts(cells: DataFrame) -> DataFrame:
-    """One row of totals over joined cells."""
+def pairs_of(table: DataFrame, names: list[str], keys: list[str], values: dict[str, Column], by: str = "backend") -> DataFrame:
+    """Every two of the named tables side by side, as ``keys + (by_a, by_b)`` and each value as ``value_a, value_b``.
+
+    The tables are parts of one, told apart by ``by``, with one row per key at most (of more, each value's largest counts).
+    They meet in one grouping by key, a hash aggregate for numbers, however many pairs there are. A key that one side lacks has NULL for all its values
+    there; a key is listed for every pair once any of the named tables has it. Rows under other names take no part.
+    """
+    own = [F.max(F.when(F.col(by) == n, v)).alias(f"_{i}_{c}") for i, n in enumerate(names) for c, v in values.items()]
+    rows = table.filter(F.col(by).isin(names)).groupBy(*keys).agg(*own)
+
+    def pair(i: int, j: int) -> Column:
+        sides = [F.lit(names[i]).alias(f"{by}_a"), F.lit(names[j]).alias(f"{by}_b")]
+        return F.struct(*sides, *[F.col(f"_{n}_{c}").alias(f"{c}_{side}") for c in values for n, side in ((i, "a"), (j, "b"))])
+
+    return rows.select(*keys, F.inline(F.array(*[pair(i, j) for i, j in combinations(range(len(names)), 2)])))
+
+
+def compare_counts(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Totals over joined cells, one row, or one per group."""
     diff = F.abs(F.col("a") - F.col("b"))
-    return cells.agg(
+    return cells.groupBy(*(by or [])).agg(
         F.count(F.lit(1)).alias("cells"),
         F.count_if(F.col("a") != F.col("b")).alias("differing_cells"),
         F.sum(diff).cast("bigint").alias("total_absolute_difference"),
@@ -58,13 +77,13 @@ def compare_counts(cells: DataFrame) -> DataFrame:
     )
 
 
-def gene_differences(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("gene_id").agg(F.sum(F.abs(F.col("a") - F.col("b"))).cast("bigint").alias("difference"))
+def gene_differences(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
+    return cells.groupBy(*(by or []), "gene_id").agg(F.sum(F.abs(F.col("a") - F.col("b"))).cast("bigint").alias("difference"))
 
 
-def largest_differences(cells: DataFrame, k: int = 10) -> DataFrame:
+def largest_differences(cells: DataFrame, k: int = 10, by: list[str] | None = None) -> DataFrame:
     """Top genes by summed difference; ties go to the larger gene id."""
-    return top_per_group(gene_differences(cells), k, [F.desc("difference"), F.desc("gene_id")])
+    return top_per_group(gene_differences(cells, by), k, [F.desc("difference"), F.desc("gene_id")], by)
 
 
 def join_results(a: DataFrame, b: DataFrame, column: str = "log2FoldChange") -> DataFrame:
@@ -78,45 +97,51 @@ def significant_genes(results: DataFrame, alpha: float = 0.05) -> DataFrame:
     return results.filter(is_finite(F.col("padj")) & (F.col("padj") < alpha)).select("gene_id")
 
 
-def compare_results(a: DataFrame, b: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """One row: common genes, fold-change correlation, median difference, sign changes, gene-set overlap.
-
-    Both tables meet in one grouping by gene, which is written once and serves every figure.
-    """
+def paired_results(results: DataFrame, names: list[str], alpha: float = 0.05, by: str = "backend") -> DataFrame:
+    """Effects of every two result tables as ``gene_id, by_a, by_b, a, b, in_a, in_b``; an effect that is not finite is NULL."""
+    lfc = F.when(is_finite(F.col("log2FoldChange")), F.col("log2FoldChange"))
+    chosen = is_finite(F.col("padj")) & (F.col("padj") < alpha)
+    return pairs_of(results, names, ["gene_id"], {"lfc": lfc, "chosen": chosen}, by).select(
+        "gene_id", f"{by}_a", f"{by}_b", F.col("lfc_a").alias("a"), F.col("lfc_b").alias("b"),
+        F.coalesce("chosen_a", F.lit(False)).alias("in_a"), F.coalesce("chosen_b", F.lit(False)).alias("in_b"),
+    )
 
-    def side(table: DataFrame, number: int) -> DataFrame:
-        lfc = F.when(is_finite(F.col("log2FoldChange")), F.col("log2FoldChange"))
-        chosen = is_finite(F.col("padj")) & (F.col("padj") < alpha)
-        return table.select("gene_id", F.lit(number).alias("side"), lfc.alias("lfc"), chosen.alias("chosen"))
 
-    def of(number: int, column: str):
-        return F.when(F.col("side") == number, F.col(column))
+def compare_pairs(genes: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Common genes, fold-change correlation, median difference, sign changes and gene-set overlap of paired results.
 
-    genes = side(a, 1).unionByName(side(b, 2)).groupBy("gene_id").agg(
-        F.max(of(1, "lfc")).alias("a"),
-        F.max(of(2, "lfc")).alias("b"),
-        F.coalesce(F.bool_or(of(1, "chosen")), F.lit(False)).alias("in_a"),
-        F.coalesce(F.bool_or(of(2, "chosen")), F.lit(False)).alias("in_b"),
-    )
-    genes = Workspace(a.sparkSession, "compare").save(genes, "genes")
+    One row, or one per group; without rows there are no groups. The rows are written once and serve every figure.
+    """
+    by = by or []
+    genes = Workspace(genes.sparkSession, "compare").save(genes, "genes")
     known = F.col("a").isNotNull() & F.col("b").isNotNull()
     opposite = ((F.col("a") > 0) != (F.col("b") > 0)) & (F.col("a") != 0) & (F.col("b") != 0)
-    totals = genes.agg(
+    totals = genes.groupBy(*by).agg(
         F.count_if(known).alias("common_genes"),
         pearson("a", "b").alias("lfc_pearson"),
         F.count_if(known & opposite).alias("sign_disagreements"),
-        F.count_if("in_a").alias("n_a"),
-        F.count_if("in_b").alias("n_b"),
-        F.count_if(F.col("in_a") & F.col("in_b")).alias("n_both"),
-        F.count_if(F.col("in_a") | F.col("in_b")).alias("n_either"),
-    )
-    median = exact_quantiles(genes.filter(known).select(F.abs(F.col("a") - F.col("b")).alias("d")), "d", [0.5])
-    return totals.withColumns(
-        {
-            "median_absolute_difference": median.select("quantile").scalar(),
-            "jaccard": F.try_divide(F.col("n_both").cast("double"), F.col("n_either").cast("double")),
-        }
+        *overlap_sizes(),
     )
+    distances = genes.filter(known).select(*by, F.abs(F.col("a") - F.col("b")).alias("d"))
+    median = exact_quantiles(distances, "d", [0.5], by).select(*by, F.col("quantile").alias("median_absolute_difference"))
+    joined = totals.join(median, by, "left") if by else totals.withColumn("median_absolute_difference", median.scalar())
+    return joined.withColumn("jaccard", jaccard())
+
+
+def compare_results(a: DataFrame, b: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """The comparison of two result tables in one row, also where both are empty."""
+    sides = a.withColumn("backend", F.lit("a")).unionByName(b.withColumn("backend", F.lit("b")))
+    return compare_pairs(paired_results(sides, ["a", "b"], alpha))
+
+
+def overlap_sizes() -> list[Column]:
+    """Sizes of two sets and of what they share and hold together, from rows with ``in_a`` and ``in_b``."""
+    a, b = F.col("in_a"), F.col("in_b")
+    return [F.count_if(a).alias("n_a"), F.count_if(b).alias("n_b"), F.count_if(a & b).alias("n_both"), F.count_if(a | b).alias("n_either")]
+
+
+def jaccard() -> Column:
+    return F.try_divide(F.col("n_both").cast("double"), F.col("n_either").cast("double"))
 
 
 def set_overlap(a: DataFrame, b: DataFrame, key: str = "gene_id") -> DataFrame:
@@ -131,7 +156,12 @@ def set_overlap(a: DataFrame, b: DataFrame, key: str = "gene_id") -> DataFrame:
         F.count_if(F.col("sides") == 3).alias("n_both"),
         F.count(F.lit(1)).alias("n_either"),
     )
-    return sizes.withColumn("jaccard", F.try_divide(F.col("n_both").cast("double"), F.col("n_either").cast("double")))
+    return sizes.withColumn("jaccard", jaccard())
+
+
+def overlap_of_pairs(genes: DataFrame, by: list[str]) -> DataFrame:
+    """``set_overlap`` of every group of rows with ``in_a`` and ``in_b``."""
+    return genes.groupBy(*by).agg(*overlap_sizes()).withColumn("jaccard", jaccard())
 
 
 def parity(expected: DataFrame, actual: DataFrame, keys: list[str], log_columns: tuple[str, ...] = ()) -> DataFrame:

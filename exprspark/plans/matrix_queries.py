@@ -12,11 +12,11 @@ from exprspark.plans.analysis import factor_array
 from exprspark.plans.registry import query, table
 from exprspark.plans.views import (
     ALPHA,
+    FLAGS,
     RESULTS_SQL,
     RUN_COUNTS_SQL,
     SAMPLES,
     annotation,
-    backend,
     matrix,
     merged,
     packed,
@@ -201,13 +201,13 @@ def ma_data(spark, sf):
     + RUN_COUNTS_SQL
     + ","
     + RESULTS_SQL
-    + f""", top AS (SELECT gene_id, ROW_NUMBER() OVER (ORDER BY padj, gene_id) AS rank FROM results
-             WHERE backend = 'R' AND padj < 0.05 ORDER BY padj, gene_id LIMIT 50)
-    SELECT gene_id, sample_id, ROUND({VST_SQL}, 5) AS value, CAST(rank AS INTEGER) AS rank FROM normalized JOIN top USING (gene_id)""",
+    + f""", top AS (SELECT backend, gene_id, ROW_NUMBER() OVER (PARTITION BY backend ORDER BY padj, gene_id) AS rank
+             FROM results WHERE padj < 0.05 QUALIFY rank <= 50)
+    SELECT backend, gene_id, sample_id, ROUND({VST_SQL}, 5) AS value, CAST(rank AS INTEGER) AS rank FROM normalized JOIN top USING (gene_id)""",
 )
 def heatmap_top50(spark, sf):
-    picked = res.heatmap(backend(results(spark, sf), "R"), vst_values(spark, sf), ALPHA)
-    return picked.select("gene_id", "sample_id", F.round("value", 5).alias("value"), "rank")
+    picked = res.heatmap(results(spark, sf), vst_values(spark, sf), ALPHA, ["backend"])
+    return picked.select("backend", "gene_id", "sample_id", F.round("value", 5).alias("value"), "rank")
 
 
 @query(
@@ -242,148 +242,139 @@ def de_summary(spark, sf):
 @query(
     "contrast_summary",
     WITH_RESULTS
-    + """, r AS (SELECT * FROM results WHERE backend = 'A')
-    SELECT 'contrast_id' AS key, 'even_vs_odd' AS value UNION ALL SELECT 'alpha', '0.05'
-    UNION ALL SELECT 'genes_retained', CAST(COUNT(*) AS VARCHAR) FROM r
-    UNION ALL SELECT 'significant', CAST(COUNT(*) FILTER (padj < 0.05) AS VARCHAR) FROM r
-    UNION ALL SELECT 'padj_na', CAST(COUNT(*) FILTER (padj IS NULL) AS VARCHAR) FROM r""",
+    + """, r AS (SELECT backend, COUNT(*) AS n, COUNT(*) FILTER (padj < 0.05) AS hits, COUNT(*) FILTER (padj IS NULL) AS unknown
+                 FROM results GROUP BY backend)
+    SELECT backend, UNNEST(['contrast_id', 'alpha', 'genes_retained', 'significant', 'padj_na']) AS key,
+           UNNEST(['even_vs_odd', '0.05', CAST(n AS VARCHAR), CAST(hits AS VARCHAR), CAST(unknown AS VARCHAR)]) AS value FROM r""",
 )
 def contrast_summary(spark, sf):
     facts = {"contrast_id": "even_vs_odd", "alpha": "0.05"}
-    return res.contrast_summary(backend(results(spark, sf), "A"), facts, ALPHA)
+    return res.contrast_summary(results(spark, sf), facts, ALPHA, ["backend"])
 
 
-CELLS_SQL = WITH + """,
+PAIR = ["backend_a", "backend_b"]
+PAIRS_SQL = """,
+pairs AS (SELECT a.f AS backend_a, b.f AS backend_b
+          FROM (SELECT DISTINCT l_returnflag AS f FROM lineitem) a JOIN (SELECT DISTINCT l_returnflag AS f FROM lineitem) b ON a.f < b.f)"""
+CELLS_SQL = WITH + PAIRS_SQL + """,
 by_flag AS (SELECT flag, gene_id, sample_id, CAST(SUM(count) AS BIGINT) AS count FROM run_counts GROUP BY ALL),
-grid AS (SELECT DISTINCT 'P' || p_partkey AS gene_id, sample_id FROM part CROSS JOIN samples),
-cells AS (SELECT gene_id, sample_id, COALESCE(x.count, 0) AS a, COALESCE(y.count, 0) AS b FROM grid
-  LEFT JOIN (SELECT * FROM by_flag WHERE flag = 'A') x USING (gene_id, sample_id)
-  LEFT JOIN (SELECT * FROM by_flag WHERE flag = 'R') y USING (gene_id, sample_id))"""
+grid AS (SELECT DISTINCT backend_a, backend_b, 'P' || p_partkey AS gene_id, sample_id FROM part CROSS JOIN samples CROSS JOIN pairs),
+cells AS (SELECT backend_a, backend_b, g.gene_id, g.sample_id, COALESCE(x.count, 0) AS a, COALESCE(y.count, 0) AS b FROM grid g
+  LEFT JOIN by_flag x ON x.flag = backend_a AND x.gene_id = g.gene_id AND x.sample_id = g.sample_id
+  LEFT JOIN by_flag y ON y.flag = backend_b AND y.gene_id = g.gene_id AND y.sample_id = g.sample_id)"""
 
 
 def flag_cells(spark, sf):
-    counts, runs, genes = run_counts(spark, sf), run_manifest(spark, sf), universe(spark, sf)
-
-    def one(flag):
-        mine = counts.join(runs.filter(F.col("flag") == flag), "run_id")
-        return dense(mine.select("gene_id", "sample_id", "count"), SAMPLES, genes)
-
-    return compare.join_cells(one("A"), one("R"))
+    """Cells of every two flags side by side; a part nobody ordered counts zero. Grid and pairs are made gene by gene."""
+    sums = run_counts(spark, sf).join(run_manifest(spark, sf), "run_id")
+    cell = F.concat_ws(":", "flag", "sample_id").alias("sample_id")
+    grid = dense(sums.select("gene_id", cell, "count"), [f"{f}:{s}" for f in FLAGS for s in SAMPLES], universe(spark, sf))
+    place = F.split("sample_id", ":")
+    cells = grid.select("gene_id", place[0].alias("backend"), place[1].alias("sample_id"), "count")
+    pairs = compare.pairs_of(cells, FLAGS, ["gene_id", "sample_id"], {"count": F.col("count")})
+    return pairs.select(*PAIR, "gene_id", "sample_id", F.col("count_a").alias("a"), F.col("count_b").alias("b"))
 
 
 @query(
     "compare_counts",
     CELLS_SQL
-    + """ SELECT COUNT(*) AS cells, COUNT(*) FILTER (a <> b) AS differing_cells,
+    + """ SELECT backend_a, backend_b, COUNT(*) AS cells, COUNT(*) FILTER (a <> b) AS differing_cells,
              CAST(SUM(ABS(a - b)) AS BIGINT) AS total_absolute_difference, CAST(SUM(a) AS BIGINT) AS total_a,
-             CAST(SUM(b) AS BIGINT) AS total_b, ROUND(CORR(a, b), 8) AS pearson FROM cells""",
+             CAST(SUM(b) AS BIGINT) AS total_b, ROUND(CORR(a, b), 8) AS pearson FROM cells GROUP BY ALL""",
 )
 def compare_counts(spark, sf):
-    return compare.compare_counts(flag_cells(spark, sf)).withColumn("pearson", F.round("pearson", 8))
+    return compare.compare_counts(flag_cells(spark, sf), PAIR).withColumn("pearson", F.round("pearson", 8))
 
 
 @query(
     "gene_differences",
-    CELLS_SQL + " SELECT gene_id, CAST(SUM(ABS(a - b)) AS BIGINT) AS difference FROM cells GROUP BY gene_id",
+    CELLS_SQL + " SELECT backend_a, backend_b, gene_id, CAST(SUM(ABS(a - b)) AS BIGINT) AS difference FROM cells GROUP BY ALL",
 )
 def gene_differences(spark, sf):
-    return compare.gene_differences(flag_cells(spark, sf))
+    return compare.gene_differences(flag_cells(spark, sf), PAIR)
 
 
 @query(
     "top_gene_diff",
     CELLS_SQL
-    + """ SELECT gene_id, difference, CAST(ROW_NUMBER() OVER (ORDER BY difference DESC, gene_id DESC) AS INTEGER) AS rank
-          FROM (SELECT gene_id, CAST(SUM(ABS(a - b)) AS BIGINT) AS difference FROM cells GROUP BY gene_id)
-          ORDER BY difference DESC, gene_id DESC LIMIT 10""",
+    + """ SELECT backend_a, backend_b, gene_id, difference,
+                 CAST(ROW_NUMBER() OVER (PARTITION BY backend_a, backend_b ORDER BY difference DESC, gene_id DESC) AS INTEGER) AS rank
+          FROM (SELECT backend_a, backend_b, gene_id, CAST(SUM(ABS(a - b)) AS BIGINT) AS difference FROM cells GROUP BY ALL)
+          QUALIFY rank <= 10""",
 )
 def top_gene_diff(spark, sf):
-    return compare.largest_differences(flag_cells(spark, sf))
+    return compare.largest_differences(flag_cells(spark, sf), by=PAIR)
 
 
-PAIR_SQL = WITH_RESULTS + """,
-x AS (SELECT * FROM results WHERE backend = 'A'), y AS (SELECT * FROM results WHERE backend = 'R'),
-da AS (SELECT gene_id FROM x WHERE padj < 0.05), db AS (SELECT gene_id FROM y WHERE padj < 0.05),
-both_sets AS (SELECT * FROM da INTERSECT SELECT * FROM db), either AS (SELECT * FROM da UNION SELECT * FROM db)"""
+PAIR_SQL = WITH_RESULTS + PAIRS_SQL + """,
+sets AS (SELECT backend_a, backend_b, gene_id, BOOL_OR(backend = backend_a) AS in_a, BOOL_OR(backend = backend_b) AS in_b
+         FROM pairs JOIN results ON padj < 0.05 AND (backend = backend_a OR backend = backend_b) GROUP BY ALL),
+overlap AS (SELECT backend_a, backend_b, n_a, n_b, n_both, n_either, ROUND(n_both::DOUBLE / NULLIF(n_either, 0), 8) AS jaccard FROM (
+  SELECT p.backend_a, p.backend_b, COUNT(*) FILTER (in_a) AS n_a, COUNT(*) FILTER (in_b) AS n_b, COUNT(*) FILTER (in_a AND in_b) AS n_both,
+         COUNT(gene_id) AS n_either FROM pairs p LEFT JOIN sets s ON s.backend_a = p.backend_a AND s.backend_b = p.backend_b GROUP BY ALL)),
+effect AS (SELECT p.*, x.log2FoldChange AS a, y.log2FoldChange AS b
+           FROM pairs p JOIN results x ON x.backend = backend_a JOIN results y ON y.backend = backend_b AND y.gene_id = x.gene_id)"""
 
 
-def saved_results(spark, sf):
-    """The result table, written once for a query that reads it more than once."""
-    return Workspace(spark, "results").save(results(spark, sf), "results")
+def result_pairs(spark, sf):
+    """Results of every two flags side by side, in one grouping by gene."""
+    return compare.paired_results(results(spark, sf), FLAGS, ALPHA)
 
 
 @query(
     "compare_results",
     PAIR_SQL
-    + """ SELECT COUNT(*) AS common_genes, ROUND(CORR(x.log2FoldChange, y.log2FoldChange), 8) AS lfc_pearson,
-             COUNT(*) FILTER ((x.log2FoldChange > 0) <> (y.log2FoldChange > 0) AND x.log2FoldChange <> 0 AND y.log2FoldChange <> 0) AS sign_disagreements,
-             ROUND(MEDIAN(ABS(x.log2FoldChange - y.log2FoldChange)), 8) AS median_absolute_difference,
-             (SELECT COUNT(*) FROM da) AS n_a, (SELECT COUNT(*) FROM db) AS n_b, (SELECT COUNT(*) FROM both_sets) AS n_both,
-             (SELECT COUNT(*) FROM either) AS n_either,
-             ROUND((SELECT COUNT(*) FROM both_sets)::DOUBLE / NULLIF((SELECT COUNT(*) FROM either), 0), 8) AS jaccard
-          FROM x JOIN y USING (gene_id)""",
+    + """ SELECT * FROM overlap JOIN (
+             SELECT backend_a, backend_b, COUNT(*) AS common_genes, ROUND(CORR(a, b), 8) AS lfc_pearson,
+                    COUNT(*) FILTER ((a > 0) <> (b > 0) AND a <> 0 AND b <> 0) AS sign_disagreements,
+                    ROUND(MEDIAN(ABS(a - b)), 8) AS median_absolute_difference FROM effect GROUP BY ALL) USING (backend_a, backend_b)""",
 )
 def compare_results(spark, sf):
-    both = saved_results(spark, sf)
-    report = compare.compare_results(backend(both, "A"), backend(both, "R"), ALPHA)
+    report = compare.compare_pairs(result_pairs(spark, sf), PAIR)
     return report.withColumns({c: F.round(c, 8) for c in ("lfc_pearson", "median_absolute_difference", "jaccard")})
 
 
-@query(
-    "deg_jaccard",
-    PAIR_SQL
-    + """ SELECT (SELECT COUNT(*) FROM da) AS n_a, (SELECT COUNT(*) FROM db) AS n_b, (SELECT COUNT(*) FROM both_sets) AS n_both,
-             (SELECT COUNT(*) FROM either) AS n_either,
-             ROUND((SELECT COUNT(*) FROM both_sets)::DOUBLE / NULLIF((SELECT COUNT(*) FROM either), 0), 8) AS jaccard""",
-)
+@query("deg_jaccard", PAIR_SQL + " SELECT * FROM overlap")
 def deg_jaccard(spark, sf):
-    both = saved_results(spark, sf)
-    report = compare.set_overlap(
-        compare.significant_genes(backend(both, "A")), compare.significant_genes(backend(both, "R"))
-    )
-    return report.withColumn("jaccard", F.round("jaccard", 8))
+    return compare.overlap_of_pairs(result_pairs(spark, sf), PAIR).withColumn("jaccard", F.round("jaccard", 8))
 
 
-@query("deg_union", PAIR_SQL + " SELECT gene_id FROM either")
+@query("deg_union", PAIR_SQL + " SELECT backend_a, backend_b, gene_id FROM sets")
 def deg_union(spark, sf):
-    both = saved_results(spark, sf)
-    a, b = (compare.significant_genes(backend(both, f)) for f in "AR")
-    return a.union(b).distinct()
+    return result_pairs(spark, sf).filter("in_a OR in_b").select(*PAIR, "gene_id")
 
 
-@query("deg_intersection", PAIR_SQL + " SELECT gene_id FROM both_sets")
+@query("deg_intersection", PAIR_SQL + " SELECT backend_a, backend_b, gene_id FROM sets WHERE in_a AND in_b")
 def deg_intersection(spark, sf):
-    both = saved_results(spark, sf)
-    a, b = (compare.significant_genes(backend(both, f)) for f in "AR")
-    return a.intersect(b)
+    return result_pairs(spark, sf).filter("in_a AND in_b").select(*PAIR, "gene_id")
 
 
 @query(
     "deg_novel_absent",
-    PAIR_SQL
-    + """ SELECT gene_id, 'novel' AS state FROM (SELECT * FROM da EXCEPT SELECT * FROM db)
-          UNION ALL SELECT gene_id, 'absent' FROM (SELECT * FROM db EXCEPT SELECT * FROM da)""",
+    PAIR_SQL + " SELECT backend_a, backend_b, gene_id, CASE WHEN in_a THEN 'novel' ELSE 'absent' END AS state FROM sets WHERE in_a <> in_b",
 )
 def deg_novel_absent(spark, sf):
-    both = saved_results(spark, sf)
-    return cohort.novel_and_absent(
-        compare.significant_genes(backend(both, "A")), compare.significant_genes(backend(both, "R"))
-    )
+    state = F.when(F.col("in_a"), "novel").otherwise("absent").alias("state")
+    return result_pairs(spark, sf).filter("in_a <> in_b").select(*PAIR, "gene_id", state)
 
 
 @query(
     "gene_set_equality",
-    """WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'A'),
-            b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R')
-       SELECT (SELECT COUNT(*) FROM (SELECT k FROM a EXCEPT SELECT k FROM b)) AS only_left,
-              (SELECT COUNT(*) FROM (SELECT k FROM b EXCEPT SELECT k FROM a)) AS only_right,
-              (SELECT COUNT(*) FROM (SELECT k FROM a EXCEPT SELECT k FROM b)) + (SELECT COUNT(*) FROM (SELECT k FROM b EXCEPT SELECT k FROM a)) = 0 AS equal""",
+    """WITH k AS (SELECT DISTINCT l_returnflag AS f, l_partkey AS k FROM lineitem)""" + PAIRS_SQL + """
+       SELECT *, only_left + only_right = 0 AS equal FROM (
+         SELECT backend_a, backend_b,
+           (SELECT COUNT(*) FROM k x WHERE x.f = backend_a AND x.k NOT IN (SELECT y.k FROM k y WHERE y.f = backend_b)) AS only_left,
+           (SELECT COUNT(*) FROM k x WHERE x.f = backend_b AND x.k NOT IN (SELECT y.k FROM k y WHERE y.f = backend_a)) AS only_right
+         FROM pairs)""",
 )
 def gene_set_equality(spark, sf):
-    items = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("k"), "l_returnflag")
-    return cohort.same_set(
-        items.filter(F.col("l_returnflag") == "A"), items.filter(F.col("l_returnflag") == "R"), ["k"]
-    )
+    items = table(spark, sf, "lineitem").select("l_partkey", F.col("l_returnflag").alias("backend"))
+    return cohort.same_sets(items, FLAGS, ["l_partkey"])
+
+
+def saved_results(spark, sf):
+    """The result table, written once for a query that reads it more than once."""
+    return Workspace(spark, "results").save(results(spark, sf), "results")
 
 
 # The second table plants errors: effects off by 1e-6 relative, dropped padj, and lost rows, by part size.

@@ -12,6 +12,7 @@ from exprspark.session import Workspace
 from exprspark.stats.normalize import normalized, size_factors
 
 SAMPLES = [f"S{i}" for i in range(1, 8)]
+FLAGS = ["A", "N", "R"]
 ALPHA = 0.05
 
 # Line items as technical-run counts: part = gene, line number = sample, line number and flag = run.
@@ -145,7 +146,3 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
         F.exp(-6.0 * F.abs(lfc)).alias("pvalue"),
     )
     return adjust_p(scored, "pvalue", ["backend"])
-
-
-def backend(df: DataFrame, flag: str) -> DataFrame:
-    return df.filter(F.col("backend") == flag).drop("backend")

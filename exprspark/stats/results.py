@@ -170,10 +170,11 @@ def top_significant(results: DataFrame, alpha: float, k_top: int = HEATMAP_GENES
     return top_per_group(kept, k_top, [F.col("padj"), F.col("gene_id")], by)
 
 
-def heatmap(results: DataFrame, values: DataFrame, alpha: float) -> DataFrame:
-    """Values of the top significant genes, with their rank. The gene list has at most fifty rows."""
-    top = top_significant(results, alpha).select("gene_id", "rank")
-    return values.join(F.broadcast(top), "gene_id")
+def heatmap(results: DataFrame, values: DataFrame, alpha: float, by: list[str] | None = None) -> DataFrame:
+    """Values of the top significant genes, with their rank. One contrast's list has at most fifty rows; Spark sizes those of groups."""
+    by = by or []
+    top = top_significant(results, alpha, by=by).select(*by, "gene_id", "rank")
+    return values.join(top if by else F.broadcast(top), "gene_id")
 
 
 def summary(results: DataFrame, by: list[str] | None = None, alpha: float = 0.05) -> DataFrame:
@@ -193,13 +194,14 @@ def summary(results: DataFrame, by: list[str] | None = None, alpha: float = 0.05
     return table.withColumns(share)
 
 
-def contrast_summary(results: DataFrame, facts: dict[str, str], alpha: float) -> DataFrame:
-    """Key/value rows of one contrast: given facts first, then counts from the results."""
-    counted = results.agg(
+def contrast_summary(results: DataFrame, facts: dict[str, str], alpha: float, by: list[str] | None = None) -> DataFrame:
+    """Key/value rows of one contrast, or of each group: given facts first, then counts from the results."""
+    by = by or []
+    counted = results.groupBy(*by).agg(
         F.count(F.lit(1)).cast("string").alias("genes_retained"),
         F.count_if(is_significant(alpha)).cast("string").alias("significant"),
         F.count_if(F.col("padj").isNull()).cast("string").alias("padj_na"),
     )
     pairs = [F.struct(F.lit(n).alias("key"), F.lit(v).alias("value")) for n, v in facts.items()]
-    pairs += [F.struct(F.lit(n).alias("key"), F.col(n).alias("value")) for n in counted.columns]
-    return counted.select(F.inline(F.array(*pairs)))
+    pairs += [F.struct(F.lit(n).alias("key"), F.col(n).alias("value")) for n in counted.columns if n not in by]
+    return counted.select(*by, F.inline(F.array(*pairs)))

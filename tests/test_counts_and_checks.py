@@ -319,3 +319,44 @@ def test_counts_of_unlisted_samples_are_refused(spark):
         assert made(matrix, ["a", "stranger"]).count() > 0
         with pytest.raises(Exception, match="stranger"):
             made(matrix, ["a"]).collect()
+
+
+def test_every_two_tables_side_by_side(spark):
+    from exprspark.stats import results as res
+
+    nan = float("nan")
+    rows = [
+        ("x", "g1", 2.0, 0.01), ("y", "g1", -1.0, 0.02), ("z", "g1", 0.0, 0.9),
+        ("x", "g2", 1.0, 0.04), ("y", "g2", nan, 0.03), ("z", "g3", 3.0, None),
+        ("y", "g4", 1.5, nan), ("x", "g4", 1.0, 0.5), ("other", "g5", 1.0, 0.01), (None, "g6", 1.0, 0.01),
+    ]
+    table = spark.createDataFrame(rows, "backend string, gene_id string, log2FoldChange double, padj double")
+    names = ["x", "y", "z"]
+    genes = compare.paired_results(table, names)
+    assert genes.count() == 12
+    by = ["backend_a", "backend_b"]
+    report = {(r["backend_a"], r["backend_b"]): r for r in compare.compare_pairs(genes, by).collect()}
+    sets = {(r["backend_a"], r["backend_b"]): r for r in compare.overlap_of_pairs(genes, by).collect()}
+    assert set(report) == set(sets) == {("x", "y"), ("x", "z"), ("y", "z")}
+    for (a, b), got in report.items():
+        one = [table.filter(F.col("backend") == n).drop("backend") for n in (a, b)]
+        alone = compare.compare_results(*one).first().asDict()
+        assert {k: got[k] for k in alone} == alone
+        overlap = compare.set_overlap(*[compare.significant_genes(t) for t in one]).first().asDict()
+        assert {k: sets[a, b][k] for k in overlap} == overlap
+        state = {(r["gene_id"], r["state"]) for r in cohort.novel_and_absent(*[compare.significant_genes(t) for t in one]).collect()}
+        mine = genes.filter((F.col("backend_a") == a) & (F.col("backend_b") == b) & (F.col("in_a") != F.col("in_b"))).collect()
+        assert state == {(r["gene_id"], "novel" if r["in_a"] else "absent") for r in mine}
+        same = cohort.same_set(*one, ["gene_id"]).first().asDict()
+        every = cohort.same_sets(table, names, ["gene_id"]).filter((F.col("backend_a") == a) & (F.col("backend_b") == b)).first()
+        assert {k: every[k] for k in same} == same
+    assert report["x", "y"]["common_genes"] == 2 and report["x", "y"]["sign_disagreements"] == 1
+    assert report["x", "y"]["median_absolute_difference"] == 1.75 and report["x", "y"]["n_both"] == 2
+    empty = table.limit(0)
+    assert compare.compare_pairs(compare.paired_results(empty, names), by).count() == 0
+    assert compare.compare_results(empty.drop("backend"), empty.drop("backend")).first()["common_genes"] == 0
+    lists = res.contrast_summary(table, {"alpha": "0.05"}, 0.05, ["backend"]).filter("key = 'significant'").collect()
+    assert {r["backend"]: r["value"] for r in lists} == {"x": "2", "y": "2", "z": "0", "other": "1", None: "1"}
+    values = spark.createDataFrame([("g1", "s", 1.0), ("g2", "s", 2.0)], "gene_id string, sample_id string, value double")
+    picked = res.heatmap(table, values, 0.05, ["backend"]).collect()
+    assert {(r["backend"], r["gene_id"], r["rank"]) for r in picked} == {("x", "g1", 1), ("x", "g2", 2), ("y", "g1", 1), ("y", "g2", 2)}
