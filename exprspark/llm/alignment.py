@@ -6,7 +6,7 @@ B's ids with the same bytes tells them, and they are counted in vectors as long
 other groups are counted by a shuffle, after each task has added up its own.
 
 A text is cut before a space that follows a letter, digit or ASCII sign. Neither tokenizer has a token across such a
-place, so both end a token there; a segment's tokens and groups are worked out when it is first met and looked up
+place, so both end a token there; a segment's tokens and groups are worked out, with those of all new segments of a batch, when it is first met and looked up
 afterwards. The table of known segments is bounded; when it is full the half used least goes.
 
 Then every document looks its pairs up. Pairs that are common in the corpus, at most ``HOT_PAIRS`` by their share of
@@ -19,8 +19,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,7 @@ from exprspark.session import Workspace
 HOT_PAIRS = 1 << 17
 CACHED_SEGMENTS, CACHED_CHARS = 250_000, 4_000_000
 COUNTED_PAIRS = 1 << 20
+SMALL_GROUP = 64
 CUT = re.compile(r"(?<=[\w!-~])(?= .)", re.DOTALL)
 INSIDE = re.compile("[\\w!-~\udc80-\udcff] ")
 
@@ -53,6 +54,44 @@ def pair_code(a: np.ndarray | int, b: np.ndarray | int):
     return (a << 32) | b
 
 
+class Groups:
+    """Groups of tokens of many segments in a row: where each ends on either side, and its segment.
+
+    Both sides spell the same bytes in every segment, so a segment's end is a group's end.
+    """
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray, segment: np.ndarray):
+        self.a, self.b = a, b
+        ends_a, ends_b = np.cumsum(a_size), np.cumsum(b_size)
+        place = np.searchsorted(ends_b, ends_a)
+        self.last_a = np.flatnonzero(ends_b[place] == ends_a)
+        self.last_b = place[self.last_a]
+        self.n_a, self.n_b = np.diff(self.last_a, prepend=-1), np.diff(self.last_b, prepend=-1)
+        self.first_a, self.first_b = self.last_a - self.n_a + 1, self.last_b - self.n_b + 1
+        self.links = self.n_a * self.n_b
+        self.segment = segment[self.last_a]
+
+    def linked(self, plain: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Segment, ids of A and B, and times of the linked pairs; a pair may come more than once.
+
+        ``plain`` tells the one-to-one groups. Pairs of a large group are counted by id before they are made.
+        """
+        one = np.flatnonzero(plain)
+        found = [(self.segment[one], self.a[self.last_a[one]], self.b[self.last_b[one]], np.ones(len(one), dtype=np.int64))]
+        some = np.flatnonzero(~plain & (self.links <= SMALL_GROUP))
+        n = self.links[some]
+        at = np.repeat(some, n)
+        k = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        x, y = self.a[self.first_a[at] + k // self.n_b[at]], self.b[self.first_b[at] + k % self.n_b[at]]
+        found.append((self.segment[at], x, y, np.ones(len(at), dtype=np.int64)))
+        for g in np.flatnonzero(self.links > SMALL_GROUP):
+            x, n_x = np.unique(self.a[self.first_a[g] : self.last_a[g] + 1], return_counts=True)
+            y, n_y = np.unique(self.b[self.first_b[g] : self.last_b[g] + 1], return_counts=True)
+            times = np.outer(n_x, n_y).ravel()
+            found.append((np.full(len(times), self.segment[g]), np.repeat(x, len(y)), np.tile(y, len(x)), times))
+        return tuple(np.concatenate(columns) for columns in zip(*found))
+
+
 class Aligner:
     """The two tokenizers of a worker, and the groups of the segments it knows."""
 
@@ -75,8 +114,8 @@ class Aligner:
         self.same = np.array([of_bytes.get(x, -1) for x in self.a_bytes], dtype=np.int64)
         # Cutting is safe only where no token has such a place inside; a part of a letter counts as a letter.
         self.cut = not any(INSIDE.search(x.decode("utf-8", "surrogateescape")) for x in self.b_bytes + self.a_bytes)
-        self.same_list = self.same.tolist()
-        self.a_size, self.b_size = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.plain_text = [f"{i}|{j}" for i, j in enumerate(self.same.tolist())]
+        self.a_size, self.b_size = [np.array([len(x) for x in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes)]
         self.limit = segments
         self.forget()
 
@@ -111,57 +150,44 @@ class Aligner:
         return CUT.split(" " + text) if self.cut else [" " + text]
 
     def learn(self, new: list[str]) -> None:
-        all_a = self.a.encode_batch_fast(new, add_special_tokens=False)
-        all_b = self.b.encode([s[1:] for s in new], num_threads=1)
-        found = [self.group(segment.encode(), a.ids, b) for segment, a, b in zip(new, all_a, all_b)]
+        """Tokens, groups and linked pairs of new segments, found for all of them at once."""
+        ids_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        ids_b = self.b.encode([s[1:] for s in new], num_threads=1)
+        whole = []
+        for segment, x, y in zip(new, ids_a, ids_b):
+            data = segment.encode()
+            whole.append(b"".join(map(self.a_bytes.__getitem__, x)) == data and b"".join(map(self.b_bytes.__getitem__, y)) == data)
+        ids_a, ids_b = [[x if w else [] for x, w in zip(ids, whole)] for ids in (ids_a, ids_b)]
+        n_a, n_b = [np.array([len(x) for x in ids], dtype=np.int64) for ids in (ids_a, ids_b)]
+        a, b = [np.fromiter(chain.from_iterable(ids), np.int64, n.sum()) for ids, n in ((ids_a, n_a), (ids_b, n_b))]
+        groups = Groups(a, b, self.a_size[a], self.b_size[b], np.repeat(np.arange(len(new)), n_a))
+
+        plain = (groups.links == 1) & (self.same[a[groups.last_a]] == b[groups.last_b])
+        segment, x, y, times = groups.linked(plain)
+        same = self.same[x] == y
+        for kind, chosen, values in zip(self.kinds, (same, ~same), (x, pair_code(x, y))):
+            order = np.flatnonzero(chosen)
+            order = order[np.argsort(segment[order], kind="stable")]
+            added = (np.bincount(segment[order], minlength=len(new)), values[order], times[order])
+            kind[:] = [np.concatenate([old, more]) for old, more in zip(kind, added)]
+
+        shown = [self.plain_text[i] for i in a[groups.last_a].tolist()]
+        list_a, list_b = a.tolist(), b.tolist()
+        rest = np.flatnonzero(~plain)
+        bounds = [v[rest].tolist() for v in (groups.first_a, groups.last_a + 1, groups.first_b, groups.last_b + 1)]
+        for at, i, j, k, l in zip(rest.tolist(), *bounds):
+            shown[at] = ",".join(map(str, list_a[i:j])) + "|" + ",".join(map(str, list_b[k:l]))
+        counts = np.bincount(groups.segment, minlength=len(new))
+        ends = np.cumsum(counts)
+        self.texts += [";".join(shown[i:j]) for i, j in zip((ends - counts).tolist(), ends.tolist())]
+
+        links = np.bincount(groups.segment, groups.links, len(new))
+        sizes = np.stack([n_a, n_b, counts, links, whole], axis=1).astype(np.int64)
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), dtype=np.int64)])
         self.slots.update(zip(new, range(len(self.names), len(self.names) + len(new))))
         self.names += new
         self.chars += sum(map(len, new))
-        texts, sizes, *kinds = zip(*found)
-        self.texts += texts
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, dtype=np.int64)])
-        self.uses = np.concatenate([self.uses, np.zeros(len(new), dtype=np.int64)])
-        for kind, dicts in zip(self.kinds, kinds):
-            kind[0] = np.concatenate([kind[0], np.array([len(d) for d in dicts], dtype=np.int64)])
-            kind[1] = np.concatenate([kind[1], np.array([x for d in dicts for x in d], dtype=np.int64)])
-            kind[2] = np.concatenate([kind[2], np.array([n for d in dicts for n in d.values()], dtype=np.int64)])
-
-    def group(self, data: bytes, a: list[int], b: list[int]) -> tuple[str, tuple, dict[int, int], dict[int, int]]:
-        """A segment's groups as text, its sizes, and how often one-to-one pairs and other pairs are linked in it."""
-        a_bytes, b_bytes, same_as = self.a_bytes, self.b_bytes, self.same_list
-        if b"".join([a_bytes[x] for x in a]) != data or b"".join([b_bytes[x] for x in b]) != data:
-            return "", (0, 0, 0, 0, 0), {}, {}
-        a_size, b_size = self.a_size, self.b_size
-        same: dict[int, int] = {}
-        pairs: dict[int, int] = {}
-        shown, links = [], 0
-        j = at_a = at_b = first_a = first_b = 0
-        for i, x in enumerate(a, 1):
-            at_a += a_size[x]
-            while at_b < at_a:
-                at_b += b_size[b[j]]
-                j += 1
-            if at_a != at_b:
-                continue
-            if i - first_a == 1 and j - first_b == 1 and same_as[x] == b[first_b]:
-                links += 1
-                same[x] = same.get(x, 0) + 1
-                shown.append(f"{x}|{same_as[x]}")
-            else:
-                own, others = a[first_a:i], b[first_b:j]
-                links += len(own) * len(others)
-                # Ids with the same bytes may also be linked in a larger group; that is the same pair.
-                right = Counter(others).items() if len(others) > 8 else [(y, 1) for y in others]
-                for y, m in right:
-                    for z, n in Counter(own).items() if len(own) > 8 else [(z, 1) for z in own]:
-                        if same_as[z] == y:
-                            same[z] = same.get(z, 0) + n * m
-                        else:
-                            code = z << 32 | y
-                            pairs[code] = pairs.get(code, 0) + n * m
-                shown.append(",".join(map(str, own)) + "|" + ",".join(map(str, others)))
-            first_a, first_b = i, j
-        return ";".join(shown), (len(a), len(b), len(shown), links, 1), same, pairs
 
     def rows(self, doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
         """One row per text; ``TOKENS`` names the columns."""
