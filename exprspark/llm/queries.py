@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exprspark.llm import alignment, chat, convnet, lines, mixing, packing, privacy, rules, secrets, simhash, sketches, toxicity, variants
+from exprspark.llm.plain_sql import PLAIN_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +117,28 @@ def op13_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The columns of the operators above that SQL can say, so that they are compared row by row.
+def plain_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return op4_mixing(spark, sf).select("doc_id", "size", "source_size", F.round("target", 4).alias("target"))
+
+
+def plain_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return op6_secrets(spark, sf).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+def plain_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return op7_personal_data(spark, sf).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def plain_edits(spark: SparkSession, sf: str) -> DataFrame:
+    return op8_fingerprints(spark, sf).select("doc_id", "n_chars", "edited_sha256")
+
+
+def plain_quality_counts(spark: SparkSession, sf: str) -> DataFrame:
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return op10_quality_rules(spark, sf).select("doc_id", *counts)
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op4_mixing": op4_mixing,
@@ -130,6 +153,11 @@ QUERIES: dict[str, Query] = {
     "op11_alignment": op11_alignment,
     "op12_variants": op12_variants,
     "op13_chat": op13_chat,
+    "plain_mixing": plain_mixing,
+    "plain_secrets": plain_secrets,
+    "plain_personal_data": plain_personal_data,
+    "plain_edits": plain_edits,
+    "plain_quality_counts": plain_quality_counts,
 }
 
 OP12_SQL = """
@@ -194,4 +222,4 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM formatted GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op12_variants": OP12_SQL, "op13_chat": OP13_SQL}
+SQL: dict[str, str] = {"op12_variants": OP12_SQL, "op13_chat": OP13_SQL} | PLAIN_SQL
