@@ -447,6 +447,27 @@ def cohort_violations(samples: DataFrame, runs: DataFrame, expected: dict[str, s
     return union(found)
 
 
+def cohort_matrix_violations(cells: DataFrame, samples: DataFrame, conditions: tuple[str, ...]) -> DataFrame:
+    """A cohort's matrix against its samples: the same count columns, genes once, raw 32-bit counts, and every condition.
+
+    ``cells(record, gene_id, count_column, count)`` hold text counts, ``samples(count_column, condition)`` the cohort.
+    """
+    cells, samples = keyed(cells), keyed(samples)
+    at = ["study_id", "count_column"]
+    have, want = cells.select(*at).distinct(), samples.select(*at).distinct()
+    value = uint64_value(F.col("count"))
+    return union(
+        [
+            rows_as(have.join(want, at, "left_anti"), F.col("count_column"), "unknown_count_column", 0),
+            rows_as(want.join(have, at, "left_anti"), F.col("count_column"), "missing_count_column", 1),
+            rows_as(repeats(cells.select("study_id", "record", "gene_id").distinct(), ["gene_id"]), "gene_id", "repeated_gene", 2),
+            rows_as(cells.filter(value.isNull()), F.col("count_column"), "not_a_count", 3),
+            rows_as(cells.filter(value > INT32_MAX), F.col("count_column"), "beyond_int32", 4),
+            rows_as(absent_values(samples, samples, "condition", conditions), F.col("wanted"), "missing_condition", 5),
+        ]
+    )
+
+
 # Fixed value: how a provenance document names a contiguous prefix.
 PREFIX_SAMPLING = "first N complete FASTQ records in archive order;"
 

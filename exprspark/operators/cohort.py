@@ -9,15 +9,16 @@ from exprspark.operators.compare import pairs_of
 
 
 def sample_run_mapping(samples: DataFrame, runs: DataFrame, strandedness: str) -> DataFrame:
-    """Samples joined to their sequencing run through the experiment accession."""
+    """Samples joined to their sequencing run through the experiment accession; a sample without a run fails the job."""
     carried = [c for c in ("fastq_ftp", "fastq_md5", "fastq_bytes", "read_count") if c in runs.columns]
-    joined = samples.join(runs.withColumnRenamed("experiment_accession", "experiment"), "experiment")
+    joined = samples.join(runs.withColumnRenamed("experiment_accession", "experiment"), "experiment", "left")
+    told = F.raise_error(F.concat(F.lit("sample without a run: "), F.coalesce("sample_id", F.lit("NULL"))))
     return joined.select(
         "sample_id",
         "title",
         "count_column",
         F.col("experiment").alias("experiment_id"),
-        F.col("run_accession").alias("run_id"),
+        F.coalesce("run_accession", told).alias("run_id"),
         F.lower("library_layout").alias("layout"),
         F.lit(strandedness).alias("strandedness"),
         *carried,

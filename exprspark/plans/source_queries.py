@@ -9,7 +9,7 @@ from exprspark.operators import checks, compare, overlap
 from exprspark.operators.counts import to_wide
 from exprspark.plans.matrix_queries import WITH
 from exprspark.plans.registry import query, table
-from exprspark.plans.views import SAMPLES, annotation, merged
+from exprspark.plans.views import SAMPLES, annotation, matrix, merged
 from exprspark.session import Workspace
 from exprspark.sources.files import PUBLISHED_COLUMNS, read_published_matrix
 
@@ -101,3 +101,23 @@ def spliced_sequence(spark, sf):
         F.when(F.col("l_returnflag") == "R", "-").otherwise("+").alias("orientation"),
     ).distinct()
     return overlap.spliced_sequence(origins, Workspace(spark, "chunks").save(chunks, "chunks"))
+
+
+@query(
+    "cohort_matrix_violations",
+    WITH
+    + """, n AS (SELECT CAST(substr(gene_id, 2) AS BIGINT) AS record, sample_id FROM matrix)
+    SELECT record, sample_id AS "column", CASE record % 50 WHEN 0 THEN 'not_a_count' ELSE 'beyond_int32' END AS rule FROM n WHERE record % 50 < 2
+    UNION ALL SELECT DISTINCT record, 'gene_id', 'repeated_gene' FROM n WHERE record % 100 = 7 AND record - 1 IN (SELECT record FROM n)
+    UNION ALL SELECT 1, 'S7', 'unknown_count_column' UNION ALL SELECT 1, 'S9', 'missing_count_column'
+    UNION ALL SELECT 1, 'treated', 'missing_condition'""",
+)
+def cohort_matrix_violations(spark, sf):
+    """The matrix with planted faults: odd counts, genes named as their neighbour, a renamed sample and one condition only."""
+    number = F.substring("gene_id", 2, 20).cast("long")
+    gene = F.when(number % 100 == 7, F.concat(F.lit("P"), number - 1)).otherwise(F.col("gene_id"))
+    count = F.when(number % 50 == 0, "x1").when(number % 50 == 1, "2147483648").otherwise(F.col("count").cast("string"))
+    cells = matrix(spark, sf).select(number.alias("record"), gene.alias("gene_id"), F.col("sample_id").alias("count_column"), count.alias("count"))
+    line = F.when(F.col("l_linenumber") == 7, 9).otherwise(F.col("l_linenumber"))
+    samples = table(spark, sf, "lineitem").select(F.concat(F.lit("S"), line).alias("count_column"), F.lit("control").alias("condition")).distinct()
+    return checks.cohort_matrix_violations(cells, samples, ("control", "treated")).select("record", "column", "rule")

@@ -360,3 +360,23 @@ def test_every_two_tables_side_by_side(spark):
     values = spark.createDataFrame([("g1", "s", 1.0), ("g2", "s", 2.0)], "gene_id string, sample_id string, value double")
     picked = res.heatmap(table, values, 0.05, ["backend"]).collect()
     assert {(r["backend"], r["gene_id"], r["rank"]) for r in picked} == {("x", "g1", 1), ("x", "g2", 2), ("y", "g1", 1), ("y", "g2", 2)}
+
+
+def test_cohort_matrix_and_unmatched_samples(spark):
+    cells = spark.createDataFrame(
+        [(1, "g1", "c1", "3"), (1, "g1", "c2", "-1"), (2, "g2", "c1", "2147483647"), (2, "g2", "c2", "2147483648"), (3, "g1", "c1", None), (3, "g1", "c3", "0")],
+        "record int, gene_id string, count_column string, count string",
+    )
+    samples = spark.createDataFrame([("c1", "control"), ("c2", None), ("c4", "control")], "count_column string, condition string")
+    found = {(r["record"], r["column"], r["rule"]) for r in checks.cohort_matrix_violations(cells, samples, ("control", "case")).collect()}
+    assert found == {
+        (1, "c3", "unknown_count_column"), (1, "c4", "missing_count_column"), (3, "gene_id", "repeated_gene"),
+        (1, "c2", "not_a_count"), (3, "c1", "not_a_count"), (2, "c2", "beyond_int32"), (1, "case", "missing_condition"),
+    }
+    empty = checks.cohort_matrix_violations(cells.limit(0), samples.limit(0), ("control", "case"))
+    assert empty.count() == 0
+    entries = spark.createDataFrame([("s1", "t", "c1", "x1"), ("s2", "t", "c2", "x2")], "sample_id string, title string, count_column string, experiment string")
+    runs = spark.createDataFrame([("r1", "x1", "SINGLE")], "run_accession string, experiment_accession string, library_layout string")
+    assert cohort.sample_run_mapping(entries.filter("sample_id = 's1'"), runs, "reverse").first()["run_id"] == "r1"
+    with pytest.raises(Exception, match="sample without a run: s2"):
+        cohort.sample_run_mapping(entries, runs, "reverse").collect()
