@@ -14,6 +14,7 @@ to the next block: documents are neither shuffled nor gathered, and a lost task
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +32,8 @@ STEP_TOKENS = 1 << 14
 END_ID = 1
 CACHED_WORDS = 400_000
 MARK = "\x01"
+# A run of letters, perhaps with a run of ASCII punctuation after it: at least one and at least two tokenized runs.
+PLAIN = re.compile(r"[^\W\d_]+([!-&(-/:-@\[-`{-~]+)?")
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -52,6 +55,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.ids_of(MARK)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        if suffix:
+            self.closes[[i for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if piece.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -64,26 +71,51 @@ class WordEncoder:
     def ids_of(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def joined_ids(self, words: list[str], between: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([between.join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
+    def cut_at_closing(self, words: list[str], runs: list[int]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and their number per word, cut where a run's last id says so; a word of more runs than given shows in the sum."""
+        ids, last = self.joined_ids(words, " "), np.cumsum(runs)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != last[-1] or ends[-1] != len(ids):
+            return None
+        return ids, np.diff(ends[last - 1], prepend=0)
+
+    def cut_at_marks(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number per word, cut at a mark between words, or word by word where the mark can't tell."""
+        if len(self.mark) == 1 and not any(MARK in w for w in words):
+            ids = self.joined_ids(words, f" {MARK} ")
+            marked = ids == self.mark[0]
+            marks = np.flatnonzero(marked)
+            if len(marks) + 1 == len(words):
+                return ids[~marked], np.diff(marks, prepend=-1, append=len(ids)) - 1
+        each = [np.array(self.ids_of(w), dtype=np.uint32) for w in words]
+        return np.concatenate(each), np.array([len(x) for x in each], dtype=np.int64)
+
     def learn(self, words: list[str]) -> None:
-        found: list[np.ndarray] = []
-        for at in range(0, len(words), 256):
-            part = words[at : at + 256]
-            # One call for many words; the mark between them shows where each one ends.
-            if len(self.mark) == 1 and not any(MARK in w for w in part):
-                ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-                split = np.split(ids, np.flatnonzero(ids == self.mark[0]))
-                if len(split) == len(part):
-                    found += [split[0], *(x[1:] for x in split[1:])]
-                    continue
-            found += [np.array(self.ids_of(w), dtype=np.uint32) for w in part]
-        sizes = np.array([len(x) for x in found], dtype=np.int64)
-        first, n = len(self.slots), len(found)
+        """Tokenize new words, many in one call."""
+        plain, runs, others = [], [], []
+        for word in words:
+            if shape := PLAIN.fullmatch(word):
+                plain.append(word)
+                runs.append(1 if shape[1] is None else 2)
+            else:
+                others.append(word)
+        words = plain + others
+        found = []
+        for at in range(0, len(plain), 256):
+            part = plain[at : at + 256]
+            found.append(self.cut_at_closing(part, runs[at : at + 256]) or self.cut_at_marks(part))
+        found += [self.cut_at_marks(others[at : at + 256]) for at in range(0, len(others), 256)]
+        sizes = np.concatenate([counts for _, counts in found])
+        first, n = len(self.slots), len(sizes)
         while first + n > len(self.starts):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
         total = int(sizes.sum())
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used : self.used + total] = np.concatenate(found)
+        self.flat[self.used : self.used + total] = np.concatenate([ids for ids, _ in found])
         self.starts[first : first + n] = self.used + np.cumsum(sizes) - sizes
         self.lengths[first : first + n] = sizes
         self.used += total
@@ -98,9 +130,11 @@ class WordEncoder:
         vocabulary = coded.dictionary.to_pylist()
         if len(self.slots) + len(vocabulary) > CACHED_WORDS:
             self.forget()
-        if new := [w for w in vocabulary if w not in self.slots]:
+        known = list(map(self.slots.get, vocabulary))
+        if new := [w for w, slot in zip(vocabulary, known) if slot is None]:
             self.learn(new)
-        slot = np.array([self.slots[w] for w in vocabulary], dtype=np.int64)
+            known = [self.slots[w] if slot is None else slot for w, slot in zip(vocabulary, known)]
+        slot = np.array(known, dtype=np.int64)
         slot = slot[coded.indices.to_numpy(zero_copy_only=False)] if len(vocabulary) else np.empty(0, dtype=np.int64)
         lengths = self.lengths[slot]
         ends = np.concatenate([[0], np.cumsum(lengths)])
