@@ -72,12 +72,14 @@ def unquote(cell: Column) -> Column:
     return F.when(cell.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(cell)
 
 
+def quoted(value: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
 def quote(value: Column) -> Column:
     """Quote only what would not read back bare: a leading comment mark or an embedded quote."""
     needs = value.startswith("#") | value.contains('"')
-    return F.when(
-        needs, F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
-    ).otherwise(value)
+    return F.when(needs, quoted(value)).otherwise(value)
 
 
 def split_terms(c: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from exprspark.functions.text import decimal_value
 from exprspark.operators import checks
 from exprspark.operators.counts import annotate, pack
 from exprspark.session import Workspace
-from exprspark.sinks.tables import write_results
+from exprspark.sinks.tables import write_matrix, write_results
 from exprspark.stats import results as res
 from exprspark.stats import transform as tr
 from exprspark.stats.design import Model, build_model, model_groups
@@ -21,6 +22,15 @@ from exprspark.stats.fit import Fit, FitError, fit_model
 from exprspark.stats.normalize import size_factors
 
 
+class Matrix(NamedTuple):
+    """A wide table by packed rows: ``key``, the array ``x`` in the order of ``names``, and what ``order`` needs."""
+
+    rows: DataFrame
+    key: str
+    names: list[str]
+    order: list[str]
+
+
 @dataclass
 class Analysis:
     """Result tables in long form, one DataFrame per kind, each with a ``contrast_id`` column."""
@@ -29,10 +39,14 @@ class Analysis:
     fits: list[Fit]
     groups: list[int]
     sample_ids: list[str]
+    matrices: dict[tuple[str, str], Matrix] = field(default_factory=dict)
 
     def publish(self, path: str) -> None:
+        """Long tables by contrast, and each contrast's wide ones under ``matrices``."""
         for name, table in self.tables.items():
             write_results(table, f"{path}/{name}", ["contrast_id"])
+        for (name, contrast_id), m in self.matrices.items():
+            write_matrix(m.rows, [m.key], "x", m.names, f"{path}/matrices/{name}/contrast_id={contrast_id}", m.order)
 
 
 @dataclass
@@ -157,6 +171,18 @@ def model_tables(spark: SparkSession, study: Study, fit: Fit, arrays: DataFrame)
     }
 
 
+def contrast_matrices(spark: SparkSession, fit: Fit, arrays: DataFrame, results: DataFrame, alpha: float) -> dict[str, Matrix]:
+    """The wide tables of one contrast, from packed rows: genes in byte order, the heatmap's by rank."""
+    samples, design = fit.model.samples, model_matrix_table(spark, fit.model)
+    coefficients = [F.col(f"`{n}`") for n in fit.model.names]
+    return {
+        "normalized_counts": Matrix(tr.normalized_arrays(fit.genes, fit.size_factors), "gene_id", samples, ["gene_id"]),
+        "vst_counts": Matrix(arrays, "gene_id", samples, ["gene_id"]),
+        "heatmap_data": Matrix(res.heatmap(results, arrays, alpha), "gene_id", samples, ["rank"]),
+        "model_matrix": Matrix(design.coalesce(1).select("sample_id", F.array(*coefficients).alias("x")), "sample_id", fit.model.names, []),
+    }
+
+
 def run_analysis(
     matrix: DataFrame, samples: DataFrame, settings: DataFrame, contrasts: DataFrame, annotation: DataFrame | None = None
 ) -> Analysis:
@@ -195,6 +221,7 @@ def run_analysis(
     groups = model_groups(study.models)
     fits: list[Fit] = []
     collected: dict[str, list[DataFrame]] = {}
+    matrices: dict[tuple[str, str], Matrix] = {}
     shared: dict[int, tuple[DataFrame, dict[str, DataFrame]]] = {}
     for i, group in enumerate(groups):
         if group not in shared:
@@ -207,5 +234,7 @@ def run_analysis(
         for name, table in tables.items():
             tagged = table.withColumn("contrast_id", F.lit(study.contrasts[i]["contrast_id"]))
             collected.setdefault(name, []).append(tagged)
+        for name, matrix_ in contrast_matrices(spark, fits[group], arrays, tables["results"], study.alpha).items():
+            matrices[name, study.contrasts[i]["contrast_id"]] = matrix_
     united = {n: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) for n, parts in collected.items()}
-    return Analysis(united, fits, groups, study.sample_ids)
+    return Analysis(united, fits, groups, study.sample_ids, matrices)

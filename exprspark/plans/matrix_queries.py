@@ -27,6 +27,8 @@ from exprspark.plans.views import (
     values,
 )
 from exprspark.session import Workspace
+from exprspark.sinks.tables import write_matrix
+from exprspark.sources.counts import read_matrix
 from exprspark.stats import results as res
 from exprspark.stats.normalize import base_moments, size_factors, vst_parametric
 from exprspark.stats.transform import distances_of, gram, normalized_arrays, sample_distances
@@ -93,6 +95,25 @@ def normalized_counts(spark, sf):
     return values(spark, sf).withColumn("value", F.round("value", 4))
 
 
+def packed_values(spark, sf):
+    """Normalized counts, one array per gene in sample order."""
+    rows = packed(spark, sf)
+    return normalized_arrays(rows, factor_array(size_factors(rows, SAMPLES), SAMPLES))
+
+
+def unfolded(rows, names):
+    return rows.select("*", F.posexplode("x").alias("at", "value")).withColumn("sample_id", F.array(*map(F.lit, names))[F.col("at")])
+
+
+@query("normalized_table_roundtrip", WITH + " SELECT gene_id, sample_id, ROUND(value, 4) AS value FROM normalized")
+def normalized_table_roundtrip(spark, sf):
+    """Normalized counts written as a wide table without a pivot, and read back through the strict dialect."""
+    target = Workspace(spark, "published").folder("normalized")
+    write_matrix(packed_values(spark, sf), ["gene_id"], "x", SAMPLES, target, ["gene_id"])
+    rows, names = read_matrix(spark, target, ["gene_id"])
+    return unfolded(rows, names).select("gene_id", "sample_id", F.round("value", 4).alias("value"))
+
+
 @query(
     "base_mean_var",
     WITH + " SELECT gene_id, ROUND(AVG(value), 4) AS base_mean, ROUND(VAR_SAMP(value), 3) AS base_var FROM normalized GROUP BY gene_id",
@@ -210,6 +231,25 @@ def heatmap_top50(spark, sf):
     return picked.select("backend", "gene_id", "sample_id", F.round("value", 5).alias("value"), "rank")
 
 
+@query(
+    "heatmap_table_roundtrip",
+    "WITH "
+    + RUN_COUNTS_SQL
+    + ","
+    + RESULTS_SQL
+    + f""", top AS (SELECT backend, gene_id, ROW_NUMBER() OVER (PARTITION BY backend ORDER BY padj, gene_id) AS rank
+             FROM results WHERE padj < 0.05 QUALIFY rank <= 50)
+    SELECT backend, gene_id, sample_id, ROUND({VST_SQL}, 5) AS value FROM normalized JOIN top USING (gene_id)""",
+)
+def heatmap_table_roundtrip(spark, sf):
+    """Every backend's top genes as rows of one wide table by backend and rank, read back; without genes the header is read back."""
+    stable = packed_values(spark, sf).withColumn("x", F.transform("x", lambda q: vst_parametric(q, *TREND)))
+    target = Workspace(spark, "published").folder("heatmap")
+    write_matrix(res.heatmap(results(spark, sf), stable, ALPHA, ["backend"]), ["backend", "gene_id"], "x", SAMPLES, target, ["backend", "rank"])
+    rows, names = read_matrix(spark, target, ["backend", "gene_id"])
+    return unfolded(rows, names).select("backend", "gene_id", "sample_id", F.round("value", 5).alias("value"))
+
+
 @query(
     "heatmap_by_contrast",
     WITH_RESULTS

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from exprspark.functions.text import quote
+from exprspark.functions.text import quote, quoted
 from exprspark.operators.counts import to_wide
 
 WHITESPACE_KEPT = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -40,6 +42,29 @@ def write_results(table: DataFrame, path: str, by: list[str] | None = None) -> N
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
+def write_matrix(rows: DataFrame, keys: list[str], values: str, names: list[str], path: str, order: list[str] | None = None) -> None:
+    """Packed rows as a wide table: quoted keys, then a cell per name from the array ``values``, NA for NULL.
+
+    A row is one text rendered from its array, so nothing is pivoted and the plan does not grow with the names. Without
+    rows the header stands alone. A row of another length, or a key the format can't hold, fails the job.
+    """
+    key = [F.col(f"`{k}`").cast("string") for k in keys]
+    cells = F.transform(values, lambda v: F.coalesce(v.cast("string"), F.lit("NA")))
+    line = F.concat_ws("\t", F.concat_ws("\t", *[F.coalesce(quoted(k), F.lit("NA")) for k in key]), cells)
+    broken = reduce(lambda a, b: a | b, [F.coalesce(k.rlike("[\t\r\n]"), F.lit(False)) for k in key])
+    ragged = F.coalesce(F.size(values), F.lit(-1)) != len(names)
+    checked = F.when(ragged, F.raise_error(F.lit(f"a row without one value per name in {path}")).cast("string")).when(
+        broken, F.raise_error(F.lit(f"a key with a tab or line break in {path}")).cast("string")
+    ).otherwise(line)
+    heads = [*keys, *names]
+    if any(c in h for h in heads for c in "\t\r\n"):
+        raise ValueError("a column name with a tab or line break")
+    header = "\t".join('"' + h.replace('"', '""') + '"' for h in heads)
+    placed = rows.orderBy(*order) if order else rows
+    bare = {"sep": "\x01", "quote": "", "header": True, **WHITESPACE_KEPT}
+    placed.select(checked.alias(header)).write.mode("errorifexists").options(**bare).csv(path)
+
+
 def write_records(table: DataFrame, path: str) -> None:
     table.write.mode("errorifexists").json(path)
 

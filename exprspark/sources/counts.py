@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exprspark.functions.text import COUNT_TYPE, plain_path, uint64_value
-from exprspark.sources.tsv import empty_files, rejects, scan_tsv
+from exprspark.sources.tsv import TableFormatError, empty_files, read_table, rejects, scan_tsv
 
 # Header cells of the accepted count formats.
 NATIVE_HEADER = ["gene_id", "count"]
@@ -188,6 +188,21 @@ def wide_to_long(wide: DataFrame, sample_ids: list[str], gene: str = "gene_id")
     return wide.unpivot(F.col(gene).alias("gene_id"), columns, "sample_id", "count")
 
 
+def read_matrix(spark: SparkSession, path: str, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """A wide table as packed rows, ``keys`` and the array ``x``, with the names of its value columns in order.
+
+    NA is NULL; another cell that is no number fails the job that reads it.
+    """
+    wide = read_table(spark, path)
+    columns = wide.columns[2:]
+    if columns[: len(keys)] != keys:
+        raise TableFormatError(f"{path}: expected {keys} first")
+    names = columns[len(keys):]
+    cells = F.array(*[F.col("`" + n.replace("`", "``") + "`") for n in names]).cast("array<string>")
+    numbers = F.transform(cells, lambda c: F.nullif(c, F.lit("NA")).cast("double"))
+    return wide.select(*[F.col(f"`{k}`") for k in keys], numbers.alias("x")), names
+
+
 def typed_counts(long: DataFrame) -> DataFrame:
     """Parse text counts of a long matrix; a cell that is not a count becomes NULL."""
     return long.withColumn("count", uint64_value(F.col("count")).cast(COUNT_TYPE))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from exprspark.operators.checks import ContractError
 from exprspark.plans.analysis import run_analysis
+from exprspark.sources.counts import read_matrix
 from exprspark.stats import kernels as k
 from exprspark.stats import special as sp
 from exprspark.stats import transform as tr
@@ -250,6 +251,20 @@ def test_shrunken_volcano_heatmap_and_sample_tables(analysis):
     assert all(volcano[g]["significant"] == (raw[g]["padj"] is not None and raw[g]["padj"] < 0.05) for g in raw)
 
 
+def test_published_wide_tables(spark, analysis, tmp_path):
+    path = f"{tmp_path}/run"
+    analysis.publish(path)
+    one = "contrast_id = 'treated_vs_control'"
+    for name, value in {"normalized_counts": "value", "heatmap_data": "value"}.items():
+        long = {(r["gene_id"], r["sample_id"]): r[value] for r in analysis.tables[name].filter(one).collect()}
+        rows, samples = read_matrix(spark, f"{path}/matrices/{name}/contrast_id=treated_vs_control", ["gene_id"])
+        found = {(r["gene_id"], s): x for r in rows.collect() for s, x in zip(samples, r["x"])}
+        assert samples == SAMPLES and found.keys() == long.keys() and all(found[c] == pytest.approx(long[c], rel=1e-12) for c in long)
+    rows, names = read_matrix(spark, f"{path}/matrices/model_matrix/contrast_id=treated_vs_control", ["sample_id"])
+    assert names == analysis.fits[0].model.names
+    assert {r["sample_id"]: r["x"] for r in rows.collect()} == dict(zip(SAMPLES, analysis.fits[0].model.matrix.tolist()))
+
+
 def test_bad_matrices_are_refused(spark):
     counts = simulated_counts()[:20]
     matrix, samples, settings, contrasts = inputs(spark, counts, BOTH[:1])

@@ -9,9 +9,10 @@ from exprspark.functions import sequence as seq
 from exprspark.functions import text as tx
 from exprspark.operators import cohort, compare
 from exprspark.sources import files, records
+from exprspark.sources.counts import read_matrix
 from exprspark.sources.lines import numbered_lines
 from exprspark.sources.tsv import TableFormatError, read_settings, read_table, scan_tsv
-from exprspark.sinks.tables import write_cohorts, write_lines, write_records, write_results
+from exprspark.sinks.tables import write_cohorts, write_lines, write_matrix, write_records, write_results
 from tests.fixtures import tsv, write
 
 MALFORMED = {
@@ -189,6 +190,30 @@ def test_inventory_logs_json_and_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "cohorts")).filter("cohort = 'full'").count() == 1
 
 
+def test_wide_tables(spark, tmp_path):
+    names = ["s 1", 'q"2', "s`3"]
+    rows = spark.createDataFrame(
+        [("g2", [1.0, None, 1e-300]), ('a"b', [float("nan"), -0.1, 3.0]), ("#g", [1e22, 0.1 + 0.2, 0.0])], "gene_id string, x array<double>"
+    )
+    path = str(tmp_path / "wide")
+    write_matrix(rows, ["gene_id"], "x", names, path, ["gene_id"])
+    lines = [x for p in sorted((tmp_path / "wide").glob("*.csv")) for x in p.read_text().splitlines()]
+    assert lines[0] == '"gene_id"\t"s 1"\t"q""2"\t"s`3"' and '"g2"\t1.0\tNA\t1.0E-300' in lines
+    assert [x.split("\t")[0] for x in lines if x != lines[0]] == ['"#g"', '"a""b"', '"g2"']
+    back, found = read_matrix(spark, path, ["gene_id"])
+    assert found == names and {(r[0], str(r[1])) for r in back.collect()} == {(r[0], str(r[1])) for r in rows.collect()}
+    empty = str(tmp_path / "empty")
+    write_matrix(rows.filter("gene_id = 'none'"), ["gene_id"], "x", names, empty, ["gene_id"])
+    back, found = read_matrix(spark, empty, ["gene_id"])
+    assert found == names and back.count() == 0
+    with pytest.raises(Exception, match="one value per name"):
+        write_matrix(rows, ["gene_id"], "x", names[:2], str(tmp_path / "short"))
+    with pytest.raises(Exception, match="tab or line break"):
+        write_matrix(rows.withColumn("gene_id", F.lit("a\tb")), ["gene_id"], "x", names, str(tmp_path / "tab"))
+    with pytest.raises(TableFormatError, match="expected"):
+        read_matrix(spark, path, ["sample_id"])
+
+
 def test_published_matrix(spark, tmp_path):
     import gzip
 
