@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from exprspark.stats import kernels as k
 from exprspark.stats import special as sp
 from exprspark.stats import transform as tr
 from exprspark.stats.design import build_model, model_groups
-from exprspark.stats.fit import filter_threshold
+from exprspark.stats.fit import GeneFitter, Trend, filter_threshold, fit_local, fit_trend, matched_width, residual_column
 from exprspark.stats.normalize import vst_parametric
 from tests.fixtures import DOWN, EMPTY, SPARSE, UP, simulated_counts
 
@@ -203,6 +204,60 @@ def inputs(spark, counts, contrasts, alpha="0.05"):
 BOTH = [("treated_vs_control", "condition", "treated", "control"), ("control_vs_treated", "condition", "control", "treated")]
 
 
+def test_local_trend(spark):
+    mean = np.exp(np.random.default_rng(3).uniform(0, 8, 3000))
+    bent = np.exp(-2 + 0.4 * np.log(mean))
+    points = spark.createDataFrame([(float(m), float(d)) for m, d in zip(mean, bent)], "base_mean double, gene_dispersion double")
+    trend = fit_local(points)
+    inner = np.quantile(mean, np.linspace(0.02, 0.98, 60))
+    assert np.abs(np.log(trend(inner)) - (-2 + 0.4 * np.log(inner))).max() < 1e-2
+    # A dispersion that grows with the mean has no parametric trend.
+    assert not fit_trend(points).parametric
+    rest = points.select(residual_column(trend).alias("r")).agg(F.max(F.abs("r"))).first()[0]
+    assert rest < 5e-2
+    flat = points.select("base_mean", F.lit(0.3).alias("gene_dispersion"))
+    assert np.allclose(fit_local(flat)(inner), 0.3, rtol=1e-9)
+    single = points.limit(1).select("base_mean", F.lit(0.3).alias("gene_dispersion"))
+    assert np.allclose(fit_local(single)(inner), 0.3, rtol=1e-9)
+
+
+@pytest.mark.parametrize("df,width", [(1, 2.0), (2, 1.0), (3, 4.0)])
+def test_prior_width_of_few_residual_degrees(spark, df, width):
+    rng = np.random.default_rng(df)
+    r = np.log(rng.chisquare(df, 30000) / df) + rng.normal(0, np.sqrt(width), 30000)
+    assert matched_width(spark.createDataFrame([(float(v),) for v in r], "r double"), df) == pytest.approx(width, rel=0.2)
+
+
+@pytest.mark.parametrize("replicates", [3, 7])
+def test_outlying_counts(replicates):
+    """With seven replicates an outlying count is replaced and the gene refitted; with three its p-value is withheld."""
+    n = 2 * replicates
+    model = build_model([f"s{i}" for i in range(n)], {"condition": ["a"] * replicates + ["b"] * replicates},
+                        {"condition": "categorical"}, ["condition"], {}, "condition", "b", "a")
+    rng = np.random.default_rng(11)
+    clean = rng.poisson(np.where(np.arange(n) < replicates, 100, 300), (20, n)).astype(float)
+    planted = clean.copy()
+    planted[4, 1] = 20000
+    fitter = GeneFitter(model, np.ones(n), Trend(0.01, 0.1), 1.0, 1.0)
+
+    def fitted(y):
+        dispersion, mu = k.genewise_dispersion(y, model.matrix, np.ones(n))
+        table = pd.DataFrame({"gene_id": [str(i) for i in range(len(y))], "y": list(y), "mu": list(mu), "gene_dispersion": dispersion})
+        return next(fitter(iter([table])))
+
+    before, after = fitted(clean), fitted(planted)
+    effect, found = (np.stack(t["beta"])[:, model.coefficient] for t in (before, after))
+    others = np.arange(20) != 4
+    assert not before["count_outlier"].any() and not before["replaced"].any()
+    assert np.allclose(effect[others], found[others]) and abs(effect[4] - np.log(3)) < 0.2
+    if replicates == 7:
+        assert after["replaced"].tolist() == [i == 4 for i in range(20)] and not after["count_outlier"].any()
+        assert abs(found[4] - effect[4]) < 0.2
+    else:
+        assert after["count_outlier"].tolist() == [i == 4 for i in range(20)] and not after["replaced"].any()
+        assert abs(found[4] - effect[4]) > 1
+
+
 @pytest.fixture(scope="module")
 def analysis(spark):
     notes = spark.createDataFrame([(1, "gene_0001", "SHARED", "", "c")], "record int, gene_id string, gene_symbol string, biotype string, chromosome string")
