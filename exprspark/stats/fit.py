@@ -6,6 +6,7 @@ Spark aggregates, then posterior dispersions, coefficients and outlier handling
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -199,7 +200,8 @@ def fit_trend(genes: DataFrame) -> Trend:
         raise FitError("all gene-wise dispersions lie within two orders of the minimum")
     try:
         return fit_parametric(points)
-    except (FitError, np.linalg.LinAlgError):
+    except (FitError, np.linalg.LinAlgError) as failed:
+        warnings.warn(f"local instead of parametric dispersion trend: {failed}", stacklevel=2)
         return fit_local(points)
 
 
