@@ -28,10 +28,16 @@ def raw_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Lines as ``(source, record, text, is_last)``; record 1 is the first physical line of a file.
+    """Lines as ``(source, record, text, is_last)``; record 1 is the first physical line of a file."""
+    return placed_lines(spark, paths).drop("block_first", "block_last")
+
+
+def placed_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``numbered_lines`` with the first and last record of the file block a line was read in, in scan order.
 
     Two scans and no shuffle of the text: the first reduces each file block to its line count, a window
-    over those few rows gives block offsets, and the second scan adds them. Each block is read by one
+    over those few rows gives block offsets, and the second scan adds them. The offsets are broadcast, one row
+    per file block: Spark sizes them by the text, and would shuffle and sort it for a join. Each block is read by one
     task, so its rows are contiguous in ``seq``. The split number is part of the lookup key: had the two
     scans been split differently, the lookup would miss and the job fails instead of misnumbering.
 
@@ -53,6 +59,7 @@ def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     offsets = blocks.select(
         *BLOCK,
         "first_seq",
+        "n",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("lines_before"),
         F.sum("n").over(whole).alias("lines_total"),
         (compressed | left_over.isin(0, 3)).alias("ends_in_lf"),
@@ -62,7 +69,7 @@ def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     is_last = F.col("record") == F.col("lines_total")
     return (
         raw.drop("file_size")
-        .join(offsets, BLOCK, "left")
+        .join(F.broadcast(offsets), BLOCK, "left")
         .withColumn("record", record)
         .select(
             "source",
@@ -71,6 +78,8 @@ def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             .otherwise(F.col("text"))
             .alias("text"),
             is_last.alias("is_last"),
+            (F.col("lines_before") + 1).alias("block_first"),
+            (F.col("lines_before") + F.col("n")).alias("block_last"),
         )
     )
 

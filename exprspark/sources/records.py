@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,25 +21,57 @@ from exprspark.functions.sequence import (
     tag_values,
 )
 from exprspark.functions.text import BLANKS, accession, after, before, title_condition, title_count_column
-from exprspark.sources.lines import carry_forward, numbered_lines, raw_lines
+from exprspark.sources.lines import carry_forward, numbered_lines, placed_lines, raw_lines
+
+
+LINES = ["header", "seq", "plus", "qual"]
+
+
+def whole_records(lines: DataFrame) -> DataFrame:
+    """Records whose four lines follow each other in scan order, put together where they are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source, place, text = pa.array([], pa.string()), np.array([], dtype=np.int64), pa.array([], pa.large_string())
+        for batch in batches:
+            source = pa.concat_arrays([source, batch.column("source")])
+            place = np.concatenate([place, batch.column("place").to_numpy()])
+            text = pa.concat_arrays([text, batch.column("text").cast(pa.large_string())])
+            first = np.arange(0, len(place) - 3, 4)
+            whole = 4 * len(first)
+            if not whole:
+                continue
+            own = place[:whole].reshape(-1, 4)
+            if (own[:, 0] % 4).any() or (np.diff(own, axis=1) != 1).any():
+                raise ValueError("lines left their scan order")
+            parts = [text.take(pa.array(first + i)).cast(pa.string()) for i in range(4)]
+            columns = [source.take(pa.array(first)), pa.array(own[:, 0] // 4), *parts]
+            yield pa.RecordBatch.from_arrays(columns, names=["source", "rec_idx", *LINES])
+            source, place, text = source.slice(whole), place[whole:], text.slice(whole)
+        if len(place):
+            raise ValueError("lines left their scan order")
+
+    fields = ", ".join(f"{name} string" for name in LINES)
+    return lines.select("source", "place", "text").mapInArrow(run, f"source string, rec_idx long, {fields}")
 
 
 def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Four-line records as ``(source, rec_idx, header, seq, plus, qual, problem)``, ``rec_idx`` from 0.
 
-    One shuffle on ``(source, rec_idx)``; every group holds at most four lines, so none can be large.
+    A record that lies within a file block is put together by the task that reads it. Only lines of records cut by
+    a block's border, and of a last one that lacks lines, are shuffled: at most six per block.
     """
     place = F.col("record") - 1
-    lines = numbered_lines(spark, paths).select(
-        "source", F.floor(place / 4).alias("rec_idx"), (place % 4).cast("int").alias("line"), "text"
+    lines = placed_lines(spark, paths).select(
+        "source", place.alias("place"), F.floor(place / 4).alias("rec_idx"), "text", "block_first", "block_last"
     )
+    first = F.col("rec_idx") * 4 + 1
+    inside = (first >= F.col("block_first")) & (first + 3 <= F.col("block_last"))
 
     def part(i: int) -> Column:
-        return F.max(F.when(F.col("line") == i, F.col("text")))
+        return F.max(F.when(F.col("place") % 4 == i, F.col("text")))
 
-    records = lines.groupBy("source", "rec_idx").agg(
-        part(0).alias("header"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual")
-    )
+    cut = lines.filter(~inside).groupBy("source", "rec_idx").agg(*[part(i).alias(name) for i, name in enumerate(LINES)])
+    records = whole_records(lines.filter(inside)).unionByName(cut)
     problem = (
         F.when(F.col("qual").isNull(), "truncated")
         .when(~F.col("header").startswith("@") | ~F.col("plus").startswith("+"), "delimiter")
