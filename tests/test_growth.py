@@ -43,3 +43,11 @@ def test_fastq_text_is_not_joined_by_sorting(spark, tmp_path):
     _, path = fastq(tmp_path)
     plan = plan_of(records.read_fastq(spark, path))
     assert "SortMergeJoin" not in plan and "MapInArrow" in plan
+
+
+def test_fastq_text_is_read_back_across_blocks(spark, tmp_path, small_blocks):
+    rows, path = fastq(tmp_path)
+    kept = records.read_fastq(spark, path).filter("problem IS NULL")
+    text = records.fastq_text(kept)
+    assert sorted(r["value"] for r in text.collect()) == sorted("\n".join(r) for r in rows)
+    assert "SortMergeJoin" not in plan_of(text)
