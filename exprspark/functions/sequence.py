@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,6 +41,41 @@ def phred_error(score: Column) -> Column:
     return F.pow(F.lit(10.0), -score.cast("double") / 10.0)
 
 
+# A letter's error probability, by its code.
+ERRORS = np.array([10.0 ** (-(code - 33) / 10.0) for code in range(128)])
+LETTERS_AT_ONCE = 1 << 16
+
+
+def letter_sums(text: str | None) -> tuple[int, float] | None:
+    """Score sum and expected errors of one quality text; the letters are added in order, a bounded run at once."""
+    if text is None:
+        return None
+    codes = np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    codes = codes if len(codes) else np.zeros(1, np.uint8)  # the empty text is one letter of code zero, as for split
+    total, errors = 0, 0.0
+    for low in range(0, len(codes), LETTERS_AT_ONCE):
+        run = codes[low: low + LETTERS_AT_ONCE]
+        total += int(run.sum(dtype=np.int64)) - 33 * len(run)
+        chances = ERRORS[run] if run.dtype == np.uint8 else 10.0 ** (-(run.astype(float) - 33) / 10.0)
+        errors = float(np.cumsum(np.concatenate(([errors], chances)))[-1])
+    return total, errors
+
+
+def phred_sums(quality: Column) -> Column:
+    """Score sum and expected errors of quality texts, ``struct<score_sum,expected_errors>``.
+
+    The sums of ``phred_scores`` and ``phred_error`` without an array element per letter.
+    """
+
+    def sums(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.struct([("score_sum", pa.int64()), ("expected_errors", pa.float64())])
+        for batch in texts:
+            found = [letter_sums(text.as_py()) for text in batch]
+            yield pa.array([f and dict(zip(("score_sum", "expected_errors"), f)) for f in found], kind)
+
+    return F.arrow_udf(sums, "score_sum long, expected_errors double")(quality)
+
+
 def has_flag(flag: Column, bits: int) -> Column:
     return flag.bitwiseAND(F.lit(bits)) != 0
 

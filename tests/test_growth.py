@@ -2,7 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from exprspark.functions import sequence as seq
+from exprspark.operators import overlap
 from exprspark.sources import records
 from tests.fixtures import write
 
@@ -51,3 +54,17 @@ def test_fastq_text_is_read_back_across_blocks(spark, tmp_path, small_blocks):
     text = records.fastq_text(kept)
     assert sorted(r["value"] for r in text.collect()) == sorted("\n".join(r) for r in rows)
     assert "SortMergeJoin" not in plan_of(text)
+
+
+def test_quality_sums_equal_letter_by_letter_sums(spark):
+    rng = np.random.default_rng(5)
+    texts = ["".join(chr(c) for c in rng.integers(33, 127, n)) for n in (1, 2, 1000, (1 << 16) + 3)] + ["", None, "!é~"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, q string")
+    scores = seq.phred_scores(F.col("q"))
+    total = F.aggregate(scores, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    errors = F.aggregate(F.transform(scores, seq.phred_error), F.lit(0.0), lambda a, b: a + b)
+    for r in rows.select("q", seq.phred_sums(F.col("q")).alias("sums"), total.alias("t"), errors.alias("e")).collect():
+        if r["q"] is None:
+            assert r["sums"] is None
+        else:
+            assert r["sums"]["score_sum"] == r["t"] and r["sums"]["expected_errors"] == pytest.approx(r["e"], rel=1e-12)
