@@ -94,12 +94,14 @@ def spliced_sequence(spark, sf):
     def interval(start, length):
         return F.struct(start.cast("long").alias("start"), (start + length - 1).cast("long").alias("end"))
 
-    origins = items.join(orders, items["l_orderkey"] == orders["o_orderkey"]).select(
+    # Distinct by the keys themselves, which the join has dealt already.
+    keyed = items.join(orders, items["l_orderkey"] == orders["o_orderkey"]).drop("o_orderkey").distinct()
+    origins = keyed.select(
         F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").alias("read_id"),
         chrom,
         F.array(interval(1 + F.col("l_partkey") % 8, 12), interval(21 + F.col("l_suppkey") % 9, 40)).alias("intervals"),
         F.when(F.col("l_returnflag") == "R", "-").otherwise("+").alias("orientation"),
-    ).distinct()
+    )
     return overlap.spliced_sequence(origins, Workspace(spark, "chunks").save(chunks, "chunks"))
 
 

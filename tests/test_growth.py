@@ -68,3 +68,23 @@ def test_quality_sums_equal_letter_by_letter_sums(spark):
             assert r["sums"] is None
         else:
             assert r["sums"]["score_sum"] == r["t"] and r["sums"]["expected_errors"] == pytest.approx(r["e"], rel=1e-12)
+
+
+def test_reads_across_stretches_and_gaps(spark):
+    rng = np.random.default_rng(6)
+    bases = "".join(rng.choice(list("ACGT"), 3 * overlap.STRETCH + 17))
+    lines = [("c", i, 60, bases[60 * i: 60 * i + 60]) for i in range(-(-len(bases) // 60)) if i != 5]
+    whole = bases[:300] + " " * 60 + bases[360:]
+    chunks = spark.createDataFrame(lines, "chrom string, chunk long, width int, bases string")
+    spans = [("near", [(1, 40), (100, 130)]), ("border", [(1000, 1100)]), ("far", [(10, 20), (3000, 3080)]), ("gap", [(290, 370)]), ("end", [(3080, 4000)])]
+    rows = [(n + s, "c", iv, s) for n, iv in spans for s in "+-"] + [("past", "c", [(9000, 9010)], "+"), ("other", "d", [(1, 5)], "+")]
+    origins = spark.createDataFrame(rows, "read_id string, chrom string, intervals array<struct<start:int,end:int>>, orientation string")
+    read = overlap.spliced_sequence(origins, chunks)
+    flip = str.maketrans("ACGT", "TGCA")
+    want = {}
+    for name, _, intervals, strand in rows[:-2]:
+        text = "".join(whole[a - 1: b] for a, b in intervals).replace(" ", "")
+        want[name] = text.translate(flip)[::-1] if strand == "-" else text
+    assert {r["read_id"]: r["expected"] for r in read.collect()} == want
+    # Reads are dealt by stretch, not line by line.
+    assert "hashpartitioning(chrom" in plan_of(read) and not [x for x in plan_of(read).split("\n") if "hashpartitioning" in x and "chunk#" in x]
