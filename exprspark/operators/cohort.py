@@ -49,6 +49,21 @@ def cohort_counts(matrix: DataFrame, members: DataFrame) -> DataFrame:
     return members.join(matrix, "sample_id")
 
 
+# Cells that one task sums; it holds at most so many, whatever the size of the matrix.
+CELLS_PER_TASK = 500_000
+
+
+def cohort_totals(items: DataFrame, members: DataFrame) -> DataFrame:
+    """Per cohort and gene ``(cohort, gene_id, samples, count)`` of ``items(gene_id, sample_id, count)``, which may repeat cells.
+
+    Items are dealt once, by gene, to as many tasks as their number asks for, so cells and totals are both summed where
+    they lie and the memory of a task doesn't grow with the matrix.
+    """
+    tasks = -(-items.count() // CELLS_PER_TASK) or 1
+    cells = items.repartition(tasks, "gene_id").groupBy("gene_id", "sample_id").agg(F.sum("count").alias("count"))
+    return cohort_counts(cells, members).groupBy("gene_id", "cohort").agg(F.count(F.lit(1)).alias("samples"), F.sum("count").alias("count"))
+
+
 def same_set(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
     """One row ``(only_left, only_right, equal)`` for two sets of rows, counted in a single shuffle."""
     left = a.select(*columns).withColumn("side", F.lit(1))

@@ -417,12 +417,11 @@ COHORTS_SQL = """members AS (
 def cohort_counts(spark, sf):
     supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sample_id"), "s_nationkey", "s_acctbal")
     members = cohort.cohort_members(supplier, supplier.filter("s_nationkey = 4").select("sample_id"), supplier.filter("s_acctbal > 5000").select("sample_id"))
-    cells = table(spark, sf, "lineitem").groupBy(
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("gene_id"), F.col("l_suppkey").alias("sample_id")
-    ).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("count"))
-    return cohort.cohort_counts(cells, members).groupBy("cohort", "gene_id").agg(
-        F.count(F.lit(1)).alias("samples"), F.sum("count").alias("count")
+    items = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("gene_id"), F.col("l_suppkey").alias("sample_id"), F.col("l_quantity").cast("bigint").alias("count")
     )
+    totals = cohort.cohort_totals(items, members)
+    return totals.select("cohort", F.concat(F.lit("P"), F.col("gene_id").cast("string")).alias("gene_id"), "samples", "count")
 
 
 @query(

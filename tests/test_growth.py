@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from exprspark.functions import sequence as seq
-from exprspark.operators import overlap
+from exprspark.operators import cohort, overlap
 from exprspark.sources import records
 from tests.fixtures import write
 
@@ -88,3 +88,17 @@ def test_reads_across_stretches_and_gaps(spark):
     assert {r["read_id"]: r["expected"] for r in read.collect()} == want
     # Reads are dealt by stretch, not line by line.
     assert "hashpartitioning(chrom" in plan_of(read) and not [x for x in plan_of(read).split("\n") if "hashpartitioning" in x and "chunk#" in x]
+
+
+def test_cohort_totals_are_dealt_to_more_tasks_as_cells_grow(spark, monkeypatch):
+    monkeypatch.setattr(cohort, "CELLS_PER_TASK", 50)
+    items = spark.range(1000).selectExpr("id % 37 AS gene_id", "id % 11 AS sample_id", "id AS count")
+    members = spark.createDataFrame([("full", i) for i in range(11)] + [("some", i) for i in (2, 3)], "cohort string, sample_id long")
+    got = cohort.cohort_totals(items, members)
+    want = {}
+    for i in range(1000):
+        for name in ["full"] + ["some"] * (i % 11 in (2, 3)):
+            samples, total = want.setdefault((name, i % 37), (set(), 0))
+            want[name, i % 37] = (samples | {i % 11}, total + i)
+    assert {(r["cohort"], r["gene_id"]): (r["samples"], r["count"]) for r in got.collect()} == {k: (len(s), t) for k, (s, t) in want.items()}
+    assert "hashpartitioning(gene_id#" in plan_of(got) and ", 20), REPARTITION_BY_NUM" in plan_of(got)
