@@ -118,18 +118,21 @@ def cigar_blocks(position: Column, cigar: Column) -> Column:
 
     start = F.struct(at.alias("at"), F.array().cast(block).alias("done"))
     general = F.aggregate(pieces, start, step, lambda acc: acc["done"])
-    one, two = r"\A([0-9]+)M\z", r"\A([0-9]+)M([0-9]+)N([0-9]+)M\z"
+    one, two = r"\A[0-9]+M\z", r"\A[0-9]+M[0-9]+N[0-9]+M\z"
 
-    def group(pattern: str, i: int) -> Column:
-        return F.regexp_extract(cigar, pattern, i).cast("int")
+    def cut(text: Column, mark: str, i: int) -> Column:
+        return F.split_part(text, F.lit(mark), F.lit(i))
+
+    def matched(i: int) -> Column:
+        return cut(cigar, "M", 1).cast("int") if i == 1 else cut(cut(cigar, "M", 2), "N", i - 1).cast("int")
 
     def span(start: Column, length: Column) -> Column:
         return F.struct(start.alias("start"), (start + length - 1).alias("end"))
 
-    second = at + group(two, 1) + group(two, 2)
+    second = at + matched(1) + matched(2)
     return (
-        F.when(cigar.rlike(one), F.array(span(at, group(one, 1))))
-        .when(cigar.rlike(two), F.array(span(at, group(two, 1)), span(second, group(two, 3))))
+        F.when(cigar.rlike(one), F.array(span(at, matched(1))))
+        .when(cigar.rlike(two), F.array(span(at, matched(1)), span(second, matched(3))))
         .otherwise(general)
         .cast(block)
     )

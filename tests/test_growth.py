@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from exprspark.functions import sequence as seq
 from exprspark.operators import cohort, overlap
+from exprspark.plans import record_queries
 from exprspark.sources import records
 from tests.fixtures import write
 
@@ -102,3 +103,13 @@ def test_cohort_totals_are_dealt_to_more_tasks_as_cells_grow(spark, monkeypatch)
             want[name, i % 37] = (samples | {i % 11}, total + i)
     assert {(r["cohort"], r["gene_id"]): (r["samples"], r["count"]) for r in got.collect()} == {k: (len(s), t) for k, (s, t) in want.items()}
     assert "hashpartitioning(gene_id#" in plan_of(got) and ", 20), REPARTITION_BY_NUM" in plan_of(got)
+
+
+def test_both_mates_come_from_one_scan_and_ranges_from_the_jvm(spark):
+    pairs = record_queries.paired_end(spark, "/root/testdata/sf0.001")
+    assert plan_of(pairs).count("FileScan parquet") == 1
+    rows = spark.createDataFrame([(float(i),) for i in range(12)], "at double")
+    placed = overlap.ranged(rows, "at", [2.0, 2.5, 9.0], "n")
+    assert [r["n"] for r in placed.orderBy("at").collect()] == [0, 0, 1, 2, 2, 2, 2, 2, 2, 3, 3, 3]
+    assert "ArrowEvalPython" not in plan_of(placed)
+    assert {r["n"] for r in overlap.ranged(rows, "at", [], "n").collect()} == {0}
