@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exprspark.functions.text import COUNT_TYPE, plain_path, uint64_value
+from exprspark.session import Workspace
 from exprspark.sources.tsv import TableFormatError, empty_files, read_table, rejects, scan_tsv
 
 # Header cells of the accepted count formats.
@@ -38,7 +39,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def with_run(scan: DataFrame, inputs: DataFrame) -> DataFrame:
     """Attach run id and count column through the file path; the manifest has one row per file."""
-    return scan.withColumn("path", plain_path(F.col("source"))).join(inputs, "path")
+    return scan.withColumn("path", plain_path(F.col("source"))).join(F.broadcast(inputs), "path")
 
 
 def _counts_of(rows: DataFrame, gene: Column, text: Column, name: Column) -> CountScan:
@@ -86,7 +87,7 @@ def table_counts(scan: DataFrame) -> CountScan:
         _problem(heads, (position > 0) & (position < first_count), F.col("column"), "column_not_a_count", 13),
     ]
     picks = heads.select("run_id", position.cast("int").alias("pick")).filter(F.col("pick") >= first_count)
-    rows = scan.filter(~F.col("is_head") & F.col("cells").isNotNull()).join(picks, "run_id")
+    rows = scan.filter(~F.col("is_head") & F.col("cells").isNotNull()).join(F.broadcast(picks), "run_id")
     others = F.slice("cells", F.lit(first_count), F.greatest(F.size("cells") - first_count + 1, F.lit(0)))
     bad_flags = F.transform(others, lambda c: uint64_value(c).isNull())
     problems.append(
@@ -108,9 +109,10 @@ READERS = {"tsv": native_counts, "legacy": legacy_counts, "featurecounts": table
 def read_run_counts(spark: SparkSession, inputs: DataFrame) -> CountScan:
     """Long counts of all files a manifest names: ``inputs(run_id, format, path, column)``.
 
-    Files of one format are read in one scan. Only the path list reaches the driver, which lists those
+    Files of one format are read in one scan, which is written once: counts and all checks read it. Only the path list reaches the driver, which lists those
     files for the scan anyway.
     """
+    ws = Workspace(spark, "counts")
     listed: dict[str, set[str]] = {}
     for row in inputs.select("format", "path").distinct().collect():
         listed.setdefault(row["format"], set()).add(row["path"])
@@ -119,7 +121,7 @@ def read_run_counts(spark: SparkSession, inputs: DataFrame) -> CountScan:
         if fmt not in listed:
             continue
         mine = inputs.filter(F.col("format") == fmt)
-        scan = scan_tsv(spark, sorted(listed[fmt]), leading_comments=fmt == "featurecounts")
+        scan = ws.save(scan_tsv(spark, sorted(listed[fmt]), leading_comments=fmt == "featurecounts"), fmt)
         got = READERS[fmt](with_run(scan, mine))
         counts.append(got.counts)
         paths = mine.select(F.col("path").alias("source")).distinct()

@@ -46,11 +46,15 @@ def scan_tsv(spark: SparkSession, paths: str | list[str], leading_comments: bool
     ``problem`` names the first broken rule and its column, or is NULL. With ``leading_comments`` the
     ``#`` lines before the first data line are checked as text and then left out.
     """
-    return check_lines(numbered_lines(spark, paths), leading_comments)
+    return check_lines(numbered_lines(spark, paths), leading_comments, files=True)
 
 
-def check_lines(lines: DataFrame, leading_comments: bool = False) -> DataFrame:
-    """Dialect checks over numbered lines; the first data line of each source sets the width."""
+def check_lines(lines: DataFrame, leading_comments: bool = False, files: bool = False) -> DataFrame:
+    """Dialect checks over numbered lines; the first data line of each source sets the width.
+
+    Sources that are ``files`` are few beside their lines: their widths are broadcast, as a join by source would put a
+    file's lines into one task.
+    """
     is_data = ~F.col("text").startswith("#") if leading_comments else F.lit(True)
     width = F.size(F.split("text", "\t", -1))
     shape = (
@@ -70,7 +74,7 @@ def check_lines(lines: DataFrame, leading_comments: bool = False) -> DataFrame:
         ~leading & (F.size(F.split("text", "\t", -1)) != F.col("width")),
         F.struct(F.lit("ragged").alias("rule"), F.size(F.split("text", "\t", -1)).alias("column")),
     )
-    checked = lines.join(shape, "source", "left").withColumn("problem", F.coalesce(found, ragged))
+    checked = lines.join(F.broadcast(shape) if files else shape, "source", "left").withColumn("problem", F.coalesce(found, ragged))
     cells = F.transform(F.split("text", "\t", -1), unquote)
     return checked.filter(~leading | F.col("problem").isNotNull()).select(
         "source",

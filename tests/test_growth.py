@@ -8,6 +8,7 @@ from exprspark.functions import sequence as seq
 from exprspark.operators import cohort, overlap
 from exprspark.plans import record_queries
 from exprspark.sources import records
+from exprspark.sources.tsv import scan_tsv
 from tests.fixtures import write
 
 
@@ -113,3 +114,10 @@ def test_both_mates_come_from_one_scan_and_ranges_from_the_jvm(spark):
     assert [r["n"] for r in placed.orderBy("at").collect()] == [0, 0, 1, 2, 2, 2, 2, 2, 2, 3, 3, 3]
     assert "ArrowEvalPython" not in plan_of(placed)
     assert {r["n"] for r in overlap.ranged(rows, "at", [], "n").collect()} == {0}
+
+
+def test_lines_of_a_table_file_stay_where_they_are_read(spark, tmp_path):
+    path = write(tmp_path, "t.tsv", "a\tb\n" + "".join(f"{i}\t{i}\n" for i in range(50)))
+    scan = scan_tsv(spark, path)
+    assert scan.filter("problem IS NULL AND NOT is_head").count() == 50
+    assert "SortMergeJoin" not in plan_of(scan)
