@@ -7,9 +7,10 @@ of their first ``n - ceil(t n) + 1`` words. Length and position filters drop pai
 so does a parity bitmap: each word of only one of two sets flips one bit between their bitmaps, so more flipped bits
 than words may differ rule a pair out. What is left is verified on the sets themselves.
 
-Only the existence of an earlier match counts, not all matches. So in a large bucket of classes under one word each
-class is first checked against the bucket's earliest, its pivot: in a large group of similar lines this settles nearly
-all of them with a few pairs each. Only classes that no pivot settled meet the other earlier ones.
+Only the existence of an earlier match counts, not all matches. So classes whose sets have the same two smallest or
+largest hashes of words first meet the earliest of such a group, its pivots, and the likeliest of these is verified: in
+a large group of similar lines this settles nearly all of them with one pair each. The join by prefix words then asks
+for the classes that no pivot settled, and all earlier ones answer; so its result is whole whatever the pivots found.
 
 Rarity is a word's frequency class, from a count over all texts that is kept for a fixed number of hash buckets, and
 within a class its length. Any order is right for the filter as long as it is the same everywhere; collisions only cost
@@ -28,9 +29,7 @@ from exprspark.session import Workspace
 PERCENT = 80
 BUCKETS = 1 << 17
 CLASS_BITS, LENGTH_BITS, TAIL_BITS = 4, 5, 22
-ROWS_PER_WINDOW = 1 << 20
-SMALL_BUCKET = 128
-PIVOT_ROUNDS = 3
+PIVOTS = 16
 BITMAP_WORDS = 1 << 18
 
 
@@ -101,18 +100,25 @@ def parity_bitmaps(tokens: Column) -> list[Column]:
     return [half(0).alias("low"), half(64).alias("high")]
 
 
-def similar_enough(own: Column, other: Column, percent: int) -> Column:
-    """The filters for two entries ``(n, pos, low, high)`` under a shared word at places ``pos`` (from 0) of their orders.
+def flipped_bits(own: dict[str, Column], other: dict[str, Column]) -> Column:
+    return F.bit_count(own["low"].bitwiseXOR(other["low"])) + F.bit_count(own["high"].bitwiseXOR(other["high"]))
 
-    Lengths must be near; words before the shared one may all be shared, those after it as many as the shorter rest has;
-    and no more bits may differ than words.
+
+def near_enough(own: dict[str, Column], other: dict[str, Column], percent: int) -> Column:
+    """The filters for two sets ``n, low, high``: lengths must be near, and no more bits may differ than words."""
+    n, m = own["n"], other["n"]
+    lengths = (percent * F.greatest(n, m)) <= 100 * F.least(n, m)
+    return lengths & ((100 + percent) * flipped_bits(own, other) <= (100 - percent) * (n + m))
+
+
+def similar_enough(own: dict[str, Column], other: dict[str, Column], percent: int) -> Column:
+    """The filters for two entries ``n, pos, low, high`` under a shared word at places ``pos`` (from 0) of their orders.
+
+    Besides ``near_enough``, words before the shared one may all be shared, those after it as many as the shorter rest has.
     """
     n, m, i, j = own["n"], other["n"], own["pos"], other["pos"]
-    lengths = (percent * F.greatest(n, m)) <= 100 * F.least(n, m)
     most = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    places = (100 + percent) * most >= percent * (n + m)
-    flipped = F.bit_count(own["low"].bitwiseXOR(other["low"])) + F.bit_count(own["high"].bitwiseXOR(other["high"]))
-    return lengths & places & ((100 + percent) * flipped <= (100 - percent) * (n + m))
+    return near_enough(own, other, percent) & ((100 + percent) * most >= percent * (n + m))
 
 
 def word_of_bitmap(row: Column) -> tuple[Column, Column]:
@@ -140,15 +146,21 @@ def possibly_in(df: DataFrame, marks: DataFrame, row: Column, within: bool = Tru
     return kept.drop(at, place, bits)
 
 
+def bands(tokens: Column) -> Column:
+    """Three numbers that two sets share the likelier the more similar they are: of the ends of the sorted words."""
+    first, last = F.get(tokens, F.lit(0)), F.get(tokens, F.size(tokens) - 1)
+    return F.array(F.hash(first, F.get(tokens, F.lit(1))), F.hash(last, F.get(tokens, F.size(tokens) - 2)), F.hash(first, last, F.lit(0)))
+
+
 def line_sets(docs: DataFrame, percent: int, space: Workspace) -> DataFrame:
-    """Every line that has a word, written once: ``k, place, n, h1, h2, low, high, prefix``; equal sets have equal ``h1, h2``."""
+    """Every line that has a word, written once: ``k, place, n, h1, h2, low, high, bands, prefix``; equal sets have equal ``h1, h2``."""
     table = frequency_classes(docs)
     sets = text_lines(docs).select("k", "place", word_set("line").alias("tokens")).filter(F.size("tokens") > 0)
     sets = sets.withColumn("sorted", F.sort_array("tokens"))
     n = F.size("tokens")
     return space.save(
         sets.select(
-            "k", "place", n.alias("n"), F.xxhash64("sorted").alias("h1"), F.hash("sorted").alias("h2"),
+            "k", "place", n.alias("n"), F.xxhash64("sorted").alias("h1"), F.hash("sorted").alias("h2"), bands(F.col("sorted")).alias("bands"),
             *parity_bitmaps(F.col("tokens")), prefix_keys(F.col("tokens"), n, table, percent).alias("prefix"),
         ),
         "lines",
@@ -186,70 +198,82 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int
     return found
 
 
+def paired(upper: Column, lower: Column) -> Column:
+    """Two numbers below 2^32 as one."""
+    return F.shiftleft(upper.cast("long"), 32).bitwiseOR(lower.cast("long"))
+
+
+def halves(pair: Column, kind: str) -> tuple[Column, Column]:
+    return F.shiftrightunsigned(pair, 32).cast(kind), low_half(pair).cast(kind)
+
+
+def key_before(steps: int) -> Column:
+    """The key so many places before ``pos`` in the ``prefix``, counted from 1; 0 where there is none."""
+    return F.coalesce(F.get("prefix", F.col("pos") - steps).cast("long") + 1, F.lit(0))
+
+
+def sides(columns: list[str]) -> tuple[dict[str, Column], dict[str, Column]]:
+    """The columns of both sides of a join of ``own`` and ``earlier`` rows."""
+    own, earlier = ({c: F.col(f"{side}.{c}") for c in columns} for side in ("own", "earlier"))
+    return own, earlier
+
+
+def likeliest_pivots(firsts: DataFrame, percent: int, pivots: int, space: Workspace) -> DataFrame:
+    """``id, other``: for each class the likeliest of the earliest classes that share a band with it."""
+    rows = firsts.select("id", "n", "low", "high", F.explode("bands").alias("band"))
+    rank = F.row_number().over(Window.partitionBy("band").orderBy("id"))
+    earliest = rows.withColumn("rank", rank).filter(F.col("rank") <= pivots)
+    together = F.count(F.lit(1)).over(Window.partitionBy("band"))
+    earliest = space.save(earliest.withColumn("together", together).filter("together > 1").select(*rows.columns), "pivots")
+    own, earlier = sides(rows.columns)
+    met = (own["band"] == earlier["band"]) & (earlier["id"] < own["id"]) & near_enough(own, earlier, percent)
+    pairs = rows.alias("own").join(earliest.alias("earlier"), met)
+    unlike = flipped_bits(own, earlier) / (own["n"] + earlier["n"])
+    return pairs.select(own["id"], earlier["id"].alias("other"), unlike.alias("unlike")).groupBy("id").agg(F.min_by("other", "unlike").alias("other"))
+
+
+def pairs_by_prefix(firsts: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """``id, other``: the classes that aren't settled, with all earlier ones that may be similar; some pairs more than once."""
+    # Both sides read the same rows, so their shuffle is one: the lowest bit of a tag tells which classes ask.
+    asks = F.when(F.col("settled").isNull(), 1).otherwise(0)
+    tagged = firsts.join(settled.withColumn("settled", F.lit(True)), "id", "left").withColumn("tag", F.col("id") * 2 + asks)
+    # n and pos share one number in the shuffle, so do the two keys before a key (from 1; 0: there is none).
+    entries = tagged.select("tag", "low", "high", "n", "prefix", F.posexplode("prefix").alias("pos", "key")).select(
+        "key", "tag", "low", "high", paired(F.col("n"), F.col("pos")).alias("sizes"), paired(key_before(1), key_before(2)).alias("before")
+    )
+    own, earlier = sides(entries.columns)
+    for side in (own, earlier):
+        side["n"], side["pos"] = halves(side["sizes"], "int")
+        side["one"], side["two"] = halves(side["before"], "long")
+    # Two words of a set may have one key, so a class may meet itself; its tag is not below its own.
+    before = earlier["tag"] < own["tag"] * own["tag"].bitwiseAND(1)
+    # The first key that two sets share finds the pair, so one that surely is not the first need not.
+    again = F.lit(False)
+    for mine in (own["one"], own["two"]):
+        again = again | ((mine > 0) & ((mine == earlier["one"]) | (mine == earlier["two"])))
+    met = (own["key"] == earlier["key"]) & before & similar_enough(own, earlier, percent) & ~again
+    pairs = entries.alias("own").join(entries.alias("earlier"), met)
+    return pairs.select(F.shiftright(own["tag"], 1).alias("id"), F.shiftright(earlier["tag"], 1).alias("other"))
+
+
 def similar_classes(docs: DataFrame, lines: DataFrame, classes: DataFrame, percent: int, space: Workspace,
-                    small: int = SMALL_BUCKET) -> DataFrame:
+                    pivots: int = PIVOTS) -> DataFrame:
     """``id`` of the classes that have an earlier similar class.
 
-    In a small bucket all pairs are tried where the bucket lies. In a large one each class meets the bucket's pivot, for a
-    few rounds with a new pivot among those left; then those that this didn't settle meet all earlier ones.
+    Each class is compared with its likeliest pivot; those that this didn't settle meet all earlier classes that share
+    a word of their prefixes.
     """
     # A set of so few words that no other set can reach the similarity has only its own class.
-    able = lines.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).select("k", "place", "n", "low", "high", "prefix")
-    firsts = able.join(classes.select("id", "k", "place"), ["k", "place"]).dropDuplicates(["id"])
-    # n and pos share one number in the shuffle.
-    entries = firsts.select("id", "low", "high", "n", F.posexplode("prefix").alias("pos", "key")).select(
-        "key", "id", "low", "high", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("sizes")
-    )
-    # A bucket whose word is frequent in the corpus is split into parts of about a million rows, with a pivot each.
-    frequency = F.pow(F.lit(4.0), F.shiftrightunsigned("key", LENGTH_BITS + TAIL_BITS) + 1)
-    spread = F.greatest(F.lit(1), F.floor(frequency / ROWS_PER_WINDOW)).cast("int")
-    entries = entries.withColumn("part", F.when(spread > 1, F.pmod(F.hash("id"), spread)).otherwise(0))
-    bucket = Window.partitionBy("key", "part")
-    entry = F.struct(
-        "id", "low", "high", F.shiftright("sizes", 32).cast("int").alias("n"), F.col("sizes").bitwiseAND(0xFFFFFFFF).cast("int").alias("pos")
-    )
-    rows = entries.repartition("key", "part").select(
-        "key", "part", entry.alias("own"), (spread > 1).alias("split"), F.first(entry).over(bucket.orderBy("id")).alias("pivot"),
-        F.count(F.lit(1)).over(bucket).alias("together"),
-    ).filter(F.col("split") | (F.col("together") > 1))
-    is_small = ~F.col("split") & (F.col("together") <= small)
-    # One row per small bucket and per entry of a large one; both stay in the bucket's task.
-    grouped = rows.groupBy("key", "part", F.when(is_small, -1).otherwise(F.col("own.id")).alias("apart")).agg(
-        F.first("pivot").alias("pivot"), F.array_sort(F.collect_list("own")).alias("list")
-    )
-
-    # Rows of a small bucket's list become pairs with those before them; an entry of a large bucket stays as it is.
-    each = grouped.select("key", "part", "apart", "pivot", "list", F.posexplode("list").alias("at", "own"))
-    each = each.select("key", "part", "apart", "pivot", "own", F.explode_outer(F.slice("list", F.lit(1), F.col("at"))).alias("earlier"))
-    alone = F.col("apart") >= 0
-    # Two words of a set may have one key, so a class may stand twice in a bucket; it is no earlier class of itself.
-    another = F.col("own.id") != F.col("earlier.id")
-    pair = F.col("earlier").isNotNull() & another & similar_enough(F.col("own"), F.col("earlier"), percent)
-    found = each.filter(alone | F.coalesce(pair, F.lit(False)))
-    found = found.select(
-        F.when(alone, F.col("key")).alias("key"), "part", F.col("own.id").alias("id"), F.col("earlier.id").alias("other"),
-        F.when(alone, F.col("own")).alias("own"), F.when(alone, F.col("pivot")).alias("pivot"),
-    )
-    found = space.save(found, "buckets")
-    by_small = found.filter("key IS NULL").select("id", "other")
-    large = found.filter("key IS NOT NULL").select("key", "part", "id", "own", "pivot")
-    left, settled, tried = large, None, None
-    for turn in range(PIVOT_ROUNDS):
-        to_pivot = left.filter((F.col("id") != F.col("pivot.id")) & similar_enough(F.col("own"), F.col("pivot"), percent))
-        pairs = space.save(to_pivot.select("id", F.col("pivot.id").alias("other")).distinct(), f"pivot-pairs-{turn}")
-        done = verified(docs, pairs, classes, percent, space, f"by-pivot-{turn}")
-        settled = done if settled is None else settled.unionByName(done)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        # The next pivot of a bucket is the earliest class that is still unsettled.
-        left = large.drop("pivot").join(settled, "id", "left_anti")
-        left = left.withColumn("pivot", F.first("own").over(Window.partitionBy("key", "part").orderBy("id")))
-    earlier = large.select("key", F.col("own").alias("earlier"))
-    before = F.col("earlier.id") < F.col("own.id")
-    by_large = left.drop("pivot").join(earlier, "key").filter(before & similar_enough(F.col("own"), F.col("earlier"), percent))
-    by_large = by_large.select(F.col("own.id").alias("id"), F.col("earlier.id").alias("other"))
-    rest = by_small.unionByName(by_large).distinct().join(settled, "id", "left_anti").join(tried, ["id", "other"], "left_anti")
-    rest = space.save(rest, "other-pairs")
-    space.drop("buckets")
+    able = lines.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).select("k", "place", "n", "low", "high", "bands", "prefix")
+    # Rows that share a document and a line are the same.
+    firsts = able.join(classes.select("id", "k", "place"), ["k", "place"]).dropDuplicates(["k", "place"])
+    firsts = space.save(firsts.select("id", "n", "low", "high", "bands", "prefix"), "firsts")
+    likeliest = space.save(likeliest_pivots(firsts, percent, pivots, space), "pivot-pairs")
+    settled = verified(docs, likeliest, classes, percent, space, "by-pivot")
+    space.drop("pivots", "pivot-pairs")
+    space.release()
+    rest = space.save(pairs_by_prefix(firsts, settled, percent).distinct(), "other-pairs")
+    space.drop("firsts")
     space.release()
     return settled.unionByName(verified(docs, rest, classes, percent, space, "by-all"))
 

@@ -124,6 +124,31 @@ def test_a_large_group_of_similar_lines_makes_few_pairs(spark):
     assert out.agg(F.sum("n_removed")).first()[0] == 299 and out.filter("text <> ''").first().doc_id == 0
 
 
+def test_similar_lines_are_paired_under_few_of_the_words_they_share(spark, monkeypatch):
+    """A group whose lines no pivot settles makes about one row per pair, however many words two lines share."""
+    made = []
+    by_prefix = lines.pairs_by_prefix
+
+    def counted(*given):
+        pairs = by_prefix(*given)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(lines, "pairs_by_prefix", counted)
+    monkeypatch.setattr(lines, "likeliest_pivots", lambda firsts, *rest: firsts.select("id", F.col("id").alias("other")).limit(0))
+    rng = random.Random(4)
+    rows = []
+    for doc in range(60):
+        words = [f"rare{i}" for i in range(40)]
+        for i in rng.sample(range(40), 2):
+            words[i] = f"own{doc}x{i}"
+        rows.append((doc, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == brute_lines(rows, 80)
+    [(all_rows, pairs)] = made
+    assert pairs == 60 * 59 / 2 and all_rows < 2 * pairs
+
+
 # Mixing
 
 def test_targets_are_reshared_until_none_is_above_its_cap(spark):
