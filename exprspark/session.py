@@ -89,7 +89,8 @@ class Workspace:
         gc.collect()
         self.spark._jvm.System.gc()
 
-    def save_text(self, df: DataFrame, name: str) -> str:
+    def save_text(self, df: DataFrame, name: str, compression: str = "none") -> str:
+        """A compressed file is read by one task, so it suits parts as large as a task's share of the input."""
         target = self.folder(name)
-        df.write.mode("errorifexists").text(target)
+        df.write.mode("errorifexists").text(target, compression=compression)
         return target

@@ -1,5 +1,7 @@
 """Steps whose cost must grow no faster than their input."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +123,12 @@ def test_lines_of_a_table_file_stay_where_they_are_read(spark, tmp_path):
     scan = scan_tsv(spark, path)
     assert scan.filter("problem IS NULL AND NOT is_head").count() == 50
     assert "SortMergeJoin" not in plan_of(scan)
+
+
+def test_fastq_text_of_documents_is_written_compressed(spark, tmp_path):
+    rows = [(i, f"line {i} of a text " * 40, "en") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    written = Path(record_queries.fastq_folder(spark, str(tmp_path)).removeprefix("file:"))
+    assert 2 * sum(p.stat().st_size for p in written.glob("part-*")) < sum(4 * len(text) for _, text, _ in rows)
+    back = record_queries.fastq_text_roundtrip(spark, str(tmp_path)).collect()
+    assert sorted(r["value"].split("\n")[3] for r in back) == sorted(text.encode().hex().upper() for _, text, _ in rows)
