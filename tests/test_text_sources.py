@@ -1,6 +1,8 @@
 """Dialect, numbering and the text formats."""
 
+import gzip
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,6 +192,33 @@ def test_inventory_logs_json_and_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "cohorts")).filter("cohort = 'full'").count() == 1
 
 
+def test_large_files_are_hashed_in_turns_of_bounded_reads(spark, tmp_path, monkeypatch):
+    rng = random.Random(7)
+    noise = rng.randbytes(9_000) + b"\r\n\n\r\xff" + rng.randbytes(9_000)
+    contents = {
+        "a/noise.bin": noise, "a/feed.bin": noise + b"\n", "b c/mark+.bin": b"\xef\xbb\xbf" + noise, "b c/both.bin": b"\xef\xbb\xbf" + noise + b"\n",
+        "feeds.bin": b"\n" * 7_000, "one.bin": b"x" * 9_000, "marks.bin": b"\xef\xbb\xbf" * 2_000, "packed.gz": gzip.compress(noise),
+        "edge.bin": b"\n" * 3_000, "small.bin": b"one",
+    }
+    for name, content in contents.items():
+        write(tmp_path, f"tree/{name}", content)
+    want = {(n, len(c), hashlib.sha256(c).hexdigest(), hashlib.md5(c).hexdigest()) for n, c in contents.items()}
+    read = []
+    carried = files.hashed_in_turns
+    monkeypatch.setattr(files, "hashed_in_turns", lambda *given: read.append(given[2]) or carried(*given))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = files.inventory(spark, str(tmp_path / "tree"), 3_000).collect()
+        most = files.file_pieces(spark, str(tmp_path / "tree"), 3_000).filter("path LIKE '%noise.bin'").groupBy("block").agg(F.sum(F.octet_length("content")))
+        assert most.count() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+    assert read == [3_000]
+    assert set(map(tuple, files.inventory(spark, str(tmp_path / "tree")).collect())) == want and read == [3_000]
+
+
 def test_wide_tables(spark, tmp_path):
     names = ["s 1", 'q"2', "s`3"]
     rows = spark.createDataFrame(
