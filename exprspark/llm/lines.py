@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from exprspark.llm.words import doc_key, free_name, split_words, text_of
+from exprspark.llm.words import GAP, SPACES, doc_key, free_name, split_words, text_of
 from exprspark.session import Workspace
 
 PERCENT = 80
@@ -48,14 +48,18 @@ def text_lines(docs: DataFrame) -> DataFrame:
     return lines.select("k", coded(F.col("ln"), F.col("line")).alias("place"), "line")
 
 
+def has_word(line: str) -> Column:
+    return F.trim(line, F.lit(SPACES)) != ""
+
+
 def word_set(line: str) -> Column:
-    """A line's distinct words in lower case: 59 bits of a hash above five bits of length.
+    """A line's distinct words in lower case, sorted: 59 bits of a hash above five bits of length. The line has a word.
 
     Words are compared by these numbers; within two lines a collision is out of the question.
     """
-    return F.array_distinct(
-        F.transform(split_words(F.lower(line)), lambda w: F.xxhash64(w).bitwiseAND(-32).bitwiseOR(F.least(F.length(w), F.lit(31)).cast("long")))
-    )
+    words = F.split(F.trim(F.lower(line), F.lit(SPACES)), GAP)
+    numbers = F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(-32).bitwiseOR(F.least(F.length(w), F.lit(31)).cast("long")))
+    return F.sort_array(F.array_distinct(numbers))
 
 
 def bucket_of(token: Column) -> Column:
@@ -90,14 +94,16 @@ def prefix_keys(tokens: Column, n: Column, classes: bytes, percent: int) -> Colu
 
 def parity_bitmaps(tokens: Column) -> list[Column]:
     """One bit per word in 128 bits, added without carry: a word that only one of two sets has flips one bit between them."""
-    spots = F.transform(tokens, lambda t: F.shiftrightunsigned(t, 8).bitwiseAND(127).cast("int"))
-    one = F.lit(1).cast("long")
 
-    def half(first: int) -> Column:
-        own = F.filter(spots, lambda b: (b >= first) & (b < first + 64))
-        return F.aggregate(own, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(F.call_function("shiftleft", one, b)))
+    def half(upper: bool) -> Column:
+        def flip(bits: Column, token: Column) -> Column:
+            own = F.shiftrightunsigned(token, 14).bitwiseAND(1)
+            own = own if upper else own.bitwiseXOR(1)
+            return bits.bitwiseXOR(F.call_function("shiftleft", own, F.shiftrightunsigned(token, 8).bitwiseAND(63).cast("int")))
+
+        return F.aggregate(tokens, F.lit(0).cast("long"), flip)
 
-    return [half(0).alias("low"), half(64).alias("high")]
+    return [half(False).alias("low"), half(True).alias("high")]
 
 
 def flipped_bits(own: dict[str, Column], other: dict[str, Column]) -> Column:
@@ -155,12 +161,12 @@ def bands(tokens: Column) -> Column:
 def line_sets(docs: DataFrame, percent: int, space: Workspace) -> DataFrame:
     """Every line that has a word, written once: ``k, place, n, h1, h2, low, high, bands, prefix``; equal sets have equal ``h1, h2``."""
     table = frequency_classes(docs)
-    sets = text_lines(docs).select("k", "place", word_set("line").alias("tokens")).filter(F.size("tokens") > 0)
-    sets = sets.withColumn("sorted", F.sort_array("tokens"))
+    # A filter on the set itself would build it twice.
+    sets = text_lines(docs).filter(has_word("line")).select("k", "place", word_set("line").alias("tokens"))
     n = F.size("tokens")
     return space.save(
         sets.select(
-            "k", "place", n.alias("n"), F.xxhash64("sorted").alias("h1"), F.hash("sorted").alias("h2"), bands(F.col("sorted")).alias("bands"),
+            "k", "place", n.alias("n"), F.xxhash64("tokens").alias("h1"), F.hash("tokens").alias("h2"), bands(F.col("tokens")).alias("bands"),
             *parity_bitmaps(F.col("tokens")), prefix_keys(F.col("tokens"), n, table, percent).alias("prefix"),
         ),
         "lines",

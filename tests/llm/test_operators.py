@@ -5,6 +5,7 @@ import math
 import random
 import re
 import tracemalloc
+import types
 import zlib
 
 import numpy as np
@@ -112,6 +113,14 @@ def test_lines_whose_own_words_share_a_key_are_no_match_of_themselves(spark, mon
     assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == brute_lines(rows, 80)
 
 
+def test_a_set_of_words_is_built_once_per_line(spark):
+    docs = spark.createDataFrame([(1, "a b c d e\nf"), (2, " \n\x0b")], "doc_id long, text string")
+    space = types.SimpleNamespace(save=lambda df, name: df)
+    sets = lines.line_sets(docs, 80, space)
+    assert [r["n"] for r in sets.orderBy("place").collect()] == [5, 1]
+    assert sets._jdf.queryExecution().executedPlan().toString().count("array_distinct(") == 1
+
+
 def test_a_large_group_of_similar_lines_makes_few_pairs(spark):
     rng = random.Random(2)
     base = [f"rare{i}" for i in range(40)]
