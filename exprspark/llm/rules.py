@@ -34,14 +34,18 @@ COMMON_WORDS = 24
 
 
 def class_counts(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` and one count per character class; each class is cut out of what the earlier ones left."""
-    rest = docs.select(*keep, F.col("text").alias("rest"))
-    for name, pattern in CLASSES.items():
+    """``keep`` and one count per character class; each class is cut out of what the earlier ones left.
+
+    Lower-case letters and blanks, most of a text, are cut out together, in runs longer than a word; blanks are counted apart.
+    """
+    blanks = F.length("text") - F.length(F.replace(F.col("text"), F.lit(" "), F.lit("")))
+    rest = docs.select(*keep, F.col("text").alias("rest"), blanks.alias("blanks"))
+    for name, pattern in {**CLASSES, "lower": "[a-z ]+"}.items():
         cut = rest.withColumn("less", F.regexp_replace("rest", pattern, ""))
-        rest = cut.withColumn(name, (F.length("rest") - F.length("less")).cast("long")).drop("rest").withColumnRenamed(
-            "less", "rest"
-        )
-    return rest.withColumn("other", F.length("rest").cast("long")).drop("rest")
+        count = F.length("rest") - F.length("less")
+        count = count - F.col("blanks") if name == "lower" else count + F.col("blanks") if name == "space" else count
+        rest = cut.withColumn(name, count.cast("long")).drop("rest").withColumnRenamed("less", "rest")
+    return rest.withColumn("other", F.length("rest").cast("long")).drop("rest", "blanks")
 
 
 def shares(counts: list[Column]) -> Column:
@@ -88,7 +92,7 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
 
 
 def repeated_words(words: DataFrame) -> DataFrame:
-    """Adds ``n_repeat_words``: words inside three-word windows that occur at least twice in the text.
+    """Adds ``n_repeat_words``: words inside three-word windows that occur at least twice in the text; ``words`` are their hashes.
 
     Windows are hashed and, only where some hash recurs, sorted with their places, so that a repeated window is
     one whose sorted neighbour equals it. Each step is a column of its own, so no lambda computes it anew.
@@ -136,7 +140,9 @@ def apply_rules(docs: DataFrame, refs: DataFrame | None = None, min_words: int =
     names = [*CLASSES, "other"]
     texts = docs.select("doc_id", "lang", text_of().alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x, F.lit(SPACES)) != "")
-    with_words = texts.withColumn("words", split_words(F.col("text"))).withColumn("lines", lines)
+    # Words are hashed once; windows and common words are compared by these numbers.
+    hashed = F.transform(split_words(F.col("text")), lambda w: F.xxhash64(w))
+    with_words = texts.withColumn("words", hashed).withColumn("lines", lines)
     counted = with_words.select(
         "doc_id",
         "lang",
@@ -146,6 +152,7 @@ def apply_rules(docs: DataFrame, refs: DataFrame | None = None, min_words: int =
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
     )
     counted = class_counts(repeated_words(counted), "doc_id", "lang", "words", "n_words", "n_dup_lines", "n_repeat_words")
+    refs = refs.withColumn("commons", F.transform("commons", lambda w: F.xxhash64(w)))
     joined = counted.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     joined = joined.withColumn("hits", F.filter("words", lambda w: F.array_contains("commons", w)))
     hit_shares = F.transform(
