@@ -30,7 +30,8 @@ TIERS = (2048, 1024, 512, 256)
 BLOCK_TOKENS = 1 << 20
 STEP_TOKENS = 1 << 14
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+PART_ROWS, PART_BYTES = 2048, 16 << 20
 MARK = "\x01"
 # A run of letters, perhaps with a run of ASCII punctuation after it: at least one and at least two tokenized runs.
 PLAIN = re.compile(r"[^\W\d_]+([!-&(-/:-@\[-`{-~]+)?")
@@ -302,7 +303,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer_path)
         packer = Packer(TaskContext.get().partitionId(), tiers, block_tokens, step_tokens)
-        for doc_ids, texts in parts(batches, 1):
+        for doc_ids, texts in parts(batches, 1, PART_ROWS, PART_BYTES):
             ids, bounds = words.encode(texts)
             for i, doc_id in enumerate(doc_ids.to_pylist()):
                 packer.add(doc_id, np.append(ids[bounds[i] : bounds[i + 1]], np.uint32(end_id)))

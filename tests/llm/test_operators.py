@@ -35,6 +35,21 @@ def test_word_by_word_ids_are_those_of_the_whole_text():
         assert [*ids[bounds[i] : bounds[i + 1]].tolist(), 1] == encoded(text)
 
 
+def test_half_a_million_words_are_learned_once(monkeypatch):
+    words = packing.WordEncoder(queries.tokenizer_path())
+    learned = []
+
+    def learn(new):
+        learned.append(len(new))
+        words.slots.update(zip(new, [0] * len(new)))
+
+    monkeypatch.setattr(words, "learn", learn)
+    halves = [pa.array([" ".join(f"{c}{i}" for i in range(250_000))], pa.large_string()) for c in "ab"]
+    for half in (*halves, halves[0]):
+        words.encode(half)
+    assert learned == [250_000, 250_000]
+
+
 def test_pieces_cover_every_id_once_without_gaps(spark):
     rows = prose(60) + odd_rows()
     docs = table(spark, rows).repartition(3)
