@@ -30,7 +30,8 @@ TIERS = (2048, 1024, 512, 256)
 BLOCK_TOKENS = 1 << 20
 STEP_TOKENS = 1 << 14
 END_ID = 1
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 512_000
+GATHERED_WORDS = 1 << 17
 PART_ROWS, PART_BYTES = 2048, 16 << 20
 MARK = "\x01"
 # A run of letters, perhaps with a run of ASCII punctuation after it: at least one and at least two tokenized runs.
@@ -46,7 +47,8 @@ class WordEncoder:
     """Token ids of whole texts, looked up by white-space separated word.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words in a row.
-    A word is tokenized when it is first met; the table of known words is bounded and starts anew when full.
+    A word is tokenized when it is first met. The table of known words is bounded: when full it keeps the words met again
+    since the last time, which are the common ones.
     Basic letters are lowered first, as the tokenizer does, unless a text may hold a special token.
     """
 
@@ -65,10 +67,34 @@ class WordEncoder:
     def forget(self) -> None:
         self.slots: dict[str, int] = {}
         self.flat = np.empty(1 << 16, dtype=np.uint32)
-        self.starts = np.zeros(1 << 14, dtype=np.int64)
-        self.lengths = np.zeros(1 << 14, dtype=np.int64)
+        self.starts = np.zeros(1 << 14, dtype=np.int32)
+        self.lengths = np.zeros(1 << 14, dtype=np.int32)
+        self.again = np.zeros(1 << 14, dtype=bool)
         self.used = 0
 
+    def make_room(self, wanted: int) -> None:
+        """Keep the words met again, or none if they leave no room for ``wanted`` others."""
+        kept = np.flatnonzero(self.again[: len(self.slots)])
+        if len(kept) + wanted > CACHED_WORDS:
+            return self.forget()
+        words = list(self.slots)
+        flat, starts, lengths = self.flat, self.starts[kept], self.lengths[kept]
+        self.forget()
+        self.put([words[i] for i in kept.tolist()], self.gathered(flat, starts, lengths), lengths)
+
+    @staticmethod
+    def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The ids of words in a row, from where each word's ids start and how many they are; some words at a time."""
+        out = np.empty(int(lengths.sum(dtype=np.int64)), dtype=np.uint32)
+        at = 0
+        for i in range(0, len(starts), GATHERED_WORDS):
+            own = lengths[i : i + GATHERED_WORDS]
+            places = np.repeat(starts[i : i + GATHERED_WORDS] - np.cumsum(own, dtype=np.int64) + own, own)
+            places += np.arange(len(places))
+            out[at : at + len(places)] = flat[places]
+            at += len(places)
+        return out
+
     def ids_of(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -109,16 +135,19 @@ class WordEncoder:
             part = plain[at : at + 256]
             found.append(self.cut_at_closing(part, runs[at : at + 256]) or self.cut_at_marks(part))
         found += [self.cut_at_marks(others[at : at + 256]) for at in range(0, len(others), 256)]
-        sizes = np.concatenate([counts for _, counts in found])
-        first, n = len(self.slots), len(sizes)
+        self.put(words, np.concatenate([ids for ids, _ in found]), np.concatenate([counts for _, counts in found]))
+
+    def put(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Add new words with their ids in a row and the number of each."""
+        first, n, total = len(self.slots), len(words), len(ids)
         while first + n > len(self.starts):
-            self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
-        total = int(sizes.sum())
+            self.starts, self.lengths, self.again = (np.resize(x, 2 * len(x)) for x in (self.starts, self.lengths, self.again))
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used : self.used + total] = np.concatenate([ids for ids, _ in found])
+        self.flat[self.used : self.used + total] = ids
         self.starts[first : first + n] = self.used + np.cumsum(sizes) - sizes
         self.lengths[first : first + n] = sizes
+        self.again[first : first + n] = False
         self.used += total
         self.slots.update(zip(words, range(first, first + n)))
 
@@ -129,18 +158,23 @@ class WordEncoder:
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
         vocabulary = coded.dictionary.to_pylist()
-        if len(self.slots) + len(vocabulary) > CACHED_WORDS:
-            self.forget()
         known = list(map(self.slots.get, vocabulary))
-        if new := [w for w, slot in zip(vocabulary, known) if slot is None]:
+        new = [w for w, slot in zip(vocabulary, known) if slot is None]
+        self.again[[slot for slot in known if slot is not None]] = True
+        if len(self.slots) + len(new) > CACHED_WORDS:
+            self.make_room(len(vocabulary))
+            known = list(map(self.slots.get, vocabulary))
+            new = [w for w, slot in zip(vocabulary, known) if slot is None]
+        if new:
             self.learn(new)
             known = [self.slots[w] if slot is None else slot for w, slot in zip(vocabulary, known)]
-        slot = np.array(known, dtype=np.int64)
-        slot = slot[coded.indices.to_numpy(zero_copy_only=False)] if len(vocabulary) else np.empty(0, dtype=np.int64)
+        slot = np.array(known, dtype=np.int32)
+        slot = slot[coded.indices.to_numpy(zero_copy_only=False)] if len(vocabulary) else np.empty(0, dtype=np.int32)
+        bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
+        del texts, words, coded, vocabulary, known, new
         lengths = self.lengths[slot]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        places = np.repeat(self.starts[slot] - ends[:-1], lengths) + np.arange(ends[-1])
-        return self.flat[places], ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])[bounds]
+        return self.gathered(self.flat, self.starts[slot], lengths), ends
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -50,6 +50,20 @@ def test_half_a_million_words_are_learned_once(monkeypatch):
     assert learned == [250_000, 250_000]
 
 
+def test_a_full_table_of_words_keeps_those_met_again(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 50)
+    monkeypatch.setattr(packing, "GATHERED_WORDS", 7)
+    words = packing.WordEncoder(queries.tokenizer_path())
+    learned, learn = [], words.learn
+    monkeypatch.setattr(words, "learn", lambda new: (learned.extend(new), learn(new)))
+    for i in range(12):
+        text = "common words stay, " + " ".join(f"rare{i}x{j}" for j in range(20))
+        ids, bounds = words.encode(pa.array(["", text], pa.large_string()))
+        assert len(words.slots) <= 50 and bounds.tolist() == [0, 0, len(ids)]
+        assert [*ids.tolist(), 1] == encoded(text)
+    assert [learned.count(w) for w in ("common", "words", "stay,", "rare0x0")] == [1] * 4
+
+
 def test_pieces_cover_every_id_once_without_gaps(spark):
     rows = prose(60) + odd_rows()
     docs = table(spark, rows).repartition(3)
