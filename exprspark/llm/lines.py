@@ -19,11 +19,13 @@ candidates.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from exprspark.llm.words import GAP, SPACES, doc_key, free_name, split_words, text_of
+from exprspark.llm.words import SPACES, doc_key, free_name, text_of
 from exprspark.session import Workspace
 
 PERCENT = 80
@@ -52,14 +54,26 @@ def has_word(line: str) -> Column:
     return F.trim(line, F.lit(SPACES)) != ""
 
 
+def blank_split(text: Column) -> Column:
+    """The words in lower case, with an empty one between neighbouring spaces: a cut at one letter needs no pattern."""
+    spaced = F.lower(text)
+    for space in SPACES[1:]:
+        spaced = F.replace(spaced, F.lit(space), F.lit(" "))
+    return F.split(F.trim(spaced), " ")
+
+
 def word_set(line: str) -> Column:
-    """A line's distinct words in lower case, sorted: 59 bits of a hash above five bits of length. The line has a word.
+    """A line's distinct words in lower case, sorted: 59 bits of a hash and, above the lowest ``TAIL_BITS``, five bits of length.
 
     Words are compared by these numbers; within two lines a collision is out of the question.
     """
-    words = F.split(F.trim(F.lower(line), F.lit(SPACES)), GAP)
-    numbers = F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(-32).bitwiseOR(F.least(F.length(w), F.lit(31)).cast("long")))
-    return F.sort_array(F.array_distinct(numbers))
+    room = ~(((1 << LENGTH_BITS) - 1) << TAIL_BITS)
+
+    def number(word: Column) -> Column:
+        length = F.least(F.length(word), F.lit(31))
+        return F.xxhash64(word).bitwiseAND(room).bitwiseOR(F.shiftleft(length, TAIL_BITS).cast("long"))
+
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(blank_split(F.col(line)), ""), number)))
 
 
 def bucket_of(token: Column) -> Column:
@@ -68,7 +82,7 @@ def bucket_of(token: Column) -> Column:
 
 def frequency_classes(docs: DataFrame) -> bytes:
     """For each hash bucket half the binary logarithm of how many words of all texts fall into it; of fixed size."""
-    words = docs.select(F.explode(split_words(F.lower(text_of()))).alias("word"))
+    words = docs.select(F.explode(blank_split(text_of())).alias("word")).filter(F.col("word") != "")
     counts = words.groupBy(bucket_of(F.xxhash64("word")).alias("bucket")).count().toArrow()
     table = np.zeros(BUCKETS, dtype=np.uint8)
     table[counts["bucket"].to_numpy()] = np.minimum((1 << CLASS_BITS) - 1, np.log2(counts["count"].to_numpy()) / 2)
@@ -78,36 +92,41 @@ def frequency_classes(docs: DataFrame) -> bytes:
 def prefix_keys(tokens: Column, n: Column, classes: bytes, percent: int) -> Column:
     """The first ``n - ceil(t n) + 1`` words of a set by rarity, each as one number.
 
-    It holds the frequency class, then the length (of words in a class the longer ones are the rarer), then hash bits.
+    It holds the frequency class, then the length (of words in a class the longer ones are the rarer), then hash bits. The
+    latter two are the lowest bits of a word's number, the length taken from 31 by the bits that stand for it in a class.
     """
-    table = F.lit(bytearray(classes))
+    low, longest = LENGTH_BITS + TAIL_BITS, 31 << TAIL_BITS
+    # Spark folds this to one array of numbers before the job.
+    ranks = F.split(F.lit(",".join(str(c << low | longest) for c in classes)), ",").cast("array<int>")
 
     def key(token: Column) -> Column:
-        rank = F.ascii(F.substring(table, bucket_of(token) + 1, F.lit(1)).cast("string"))
-        shortness = F.lit(31) - token.bitwiseAND(31).cast("int")
-        tail = F.shiftrightunsigned(token, 10).bitwiseAND((1 << TAIL_BITS) - 1).cast("int")
-        return F.shiftleft(rank, LENGTH_BITS + TAIL_BITS).bitwiseOR(F.shiftleft(shortness, TAIL_BITS)).bitwiseOR(tail)
+        rank = F.coalesce(F.get(ranks, bucket_of(token)), F.lit(0))
+        return rank.bitwiseXOR(token.bitwiseAND((1 << low) - 1).cast("int"))
 
     wanted = n - F.floor((n * percent + 99) / 100).cast("int") + 1
     return F.slice(F.sort_array(F.transform(tokens, key)), F.lit(1), wanted)
 
 
 def parity_bitmaps(tokens: Column) -> list[Column]:
-    """One bit per word in 128 bits, added without carry: a word that only one of two sets has flips one bit between them."""
+    """One bit per word in 128 bits, added without carry: a word that only one of two sets has flips one bit between them.
+
+    ``high`` has the upper half; ``low`` has both halves added, from which ``flipped_bits`` takes the upper one.
+    """
 
-    def half(upper: bool) -> Column:
+    def added(own: Callable[[Column], Column]) -> Column:
         def flip(bits: Column, token: Column) -> Column:
-            own = F.shiftrightunsigned(token, 14).bitwiseAND(1)
-            own = own if upper else own.bitwiseXOR(1)
-            return bits.bitwiseXOR(F.call_function("shiftleft", own, F.shiftrightunsigned(token, 8).bitwiseAND(63).cast("int")))
+            place = F.shiftrightunsigned(token, 34).bitwiseAND(63).cast("int")
+            return bits.bitwiseXOR(F.call_function("shiftleft", own(token), place))
 
         return F.aggregate(tokens, F.lit(0).cast("long"), flip)
 
-    return [half(False).alias("low"), half(True).alias("high")]
+    one = F.lit(1).cast("long")
+    return [added(lambda _: one).alias("low"), added(lambda t: F.shiftrightunsigned(t, 33).bitwiseAND(1)).alias("high")]
 
 
 def flipped_bits(own: dict[str, Column], other: dict[str, Column]) -> Column:
-    return F.bit_count(own["low"].bitwiseXOR(other["low"])) + F.bit_count(own["high"].bitwiseXOR(other["high"]))
+    high = own["high"].bitwiseXOR(other["high"])
+    return F.bit_count(high) + F.bit_count(own["low"].bitwiseXOR(other["low"]).bitwiseXOR(high))
 
 
 def near_enough(own: dict[str, Column], other: dict[str, Column], percent: int) -> Column:

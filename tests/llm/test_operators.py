@@ -150,6 +150,25 @@ def test_a_set_of_words_is_built_once_per_line(spark):
     assert sets._jdf.queryExecution().executedPlan().toString().count("array_distinct(") == 1
 
 
+def test_keys_and_bitmaps_need_few_steps_a_word(spark):
+    docs = spark.createDataFrame([(1, "Bb  a\tcc\x0bcc\x0c\rdddd")], "doc_id long, text string")
+    classes = bytes(i % 16 for i in range(lines.BUCKETS))
+    sets = docs.select(lines.word_set("text").alias("tokens"))
+    keys = lines.prefix_keys(F.col("tokens"), F.size("tokens"), classes, 1)
+    found = sets.select("tokens", keys.alias("keys"), *lines.parity_bitmaps(F.col("tokens")))
+    row = found.first()
+    want = {xxhash.xxh64(w.encode(), seed=42).intdigest() & ~(31 << 22) | len(w) << 22 for w in ("a", "bb", "cc", "dddd")}
+    assert {t & (2**64 - 1) for t in row.tokens} == want
+    ranked = sorted((classes[t >> 40 & (lines.BUCKETS - 1)], 31 - (t >> 22 & 31), t & (2**22 - 1)) for t in want)
+    assert [(k >> 27, k >> 22 & 31, k & (2**22 - 1)) for k in row["keys"]] == ranked
+    bits = [0, 0]
+    for t in want:
+        bits[t >> 33 & 1] ^= 1 << (t >> 34 & 63)
+    assert [(row.low ^ row.high) & (2**64 - 1), row.high & (2**64 - 1)] == bits
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring(" not in plan and "ascii(" not in plan and "[ \\x09" not in plan
+
+
 def test_a_large_group_of_similar_lines_makes_few_pairs(spark):
     rng = random.Random(2)
     base = [f"rare{i}" for i in range(40)]
