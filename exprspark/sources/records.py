@@ -93,8 +93,9 @@ def systematic_sample(records: DataFrame, step: int, index: str = "rec_idx") ->
 
 
 def fastq_text(records: DataFrame) -> DataFrame:
-    """Records as text rows of four lines each, ready for a text sink."""
-    return records.select(F.concat_ws("\n", "header", "seq", "plus", "qual").alias("value"))
+    """Records as text rows of four lines each, ready for a text sink; NULL for a record that lacks a line."""
+    whole = F.concat("header", F.lit("\n"), "seq", F.lit("\n"), "plus", F.lit("\n"), "qual")
+    return records.select(whole.alias("value"))
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -149,3 +149,7 @@ def agrees_on_documents_without_text(spark, folder, name):
 
 def test_fastq_scan_keeps_documents_without_text(spark, tmp_path):
     assert agrees_on_documents_without_text(spark, tmp_path, "fastq_scan") is None
+
+
+def test_fastq_text_keeps_documents_without_text(spark, tmp_path):
+    assert agrees_on_documents_without_text(spark, tmp_path, "fastq_text_roundtrip") is None
